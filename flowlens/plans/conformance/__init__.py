@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_AREAS = ["flows"]
+_AREAS = ["flows", "labels"]
 
 
 def _load():
