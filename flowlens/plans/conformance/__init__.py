@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_AREAS = ["flows", "labels"]
+_AREAS = ["flows", "labels", "metrics"]
 
 
 def _load():
