@@ -91,12 +91,13 @@ def _letters(init_lo: Column, arr: Column) -> Column:
 def aggregate_flows(packets: DataFrame, window: str | None = None,
                     history_len: int = HISTORY_LEN, key_includes_proto: bool = False,
                     missing_service: str = "-", history_plan: str = "auto",
-                    prepared: bool = False) -> DataFrame:
+                    prepared: bool = False, keep_window: bool = False) -> DataFrame:
     """A4: packets -> one row per flow (per event-time window when ``window`` is given).
 
     ``history_plan``: ``rank`` (bounded top-k before the shuffle, batch default) or
     ``collect`` (letters collected in the same aggregate; used for streams, whose state is
-    bounded by the window).
+    bounded by the window).  ``keep_window`` also returns the ``window`` struct, whose
+    event-time metadata lets a stream chain a second windowed aggregation.
     """
     p = packets if prepared else normalize_packets(filter_packets(packets))
     p = with_flow_key(p).withColumn("ts_s", seconds_of(p, "ts"))
@@ -152,6 +153,7 @@ def aggregate_flows(packets: DataFrame, window: str | None = None,
     out = flows.select(
         *([F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end")]
           if window else []),
+        *([F.col("window")] if window and keep_window else []),
         F.when(init, F.col("lo.ip")).otherwise(F.col("hi.ip")).alias("src_ip"),
         F.when(init, F.col("lo.port")).otherwise(F.col("hi.port")).alias("sport"),
         F.when(init, F.col("hi.ip")).otherwise(F.col("lo.ip")).alias("dst_ip"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_AREAS = ["flows", "labels", "metrics", "features"]
+_AREAS = ["flows", "labels", "metrics", "features", "live"]
 
 
 def _load():
