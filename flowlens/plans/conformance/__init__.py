@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_AREAS = ["flows", "labels", "metrics", "features", "live"]
+_AREAS = ["flows", "labels", "metrics", "features", "live", "models"]
 
 
 def _load():
