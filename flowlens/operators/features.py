@@ -21,6 +21,7 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.plans.materialize import materialize
 from flowlens.plans.ordering import bucketed_cumsum
 from flowlens.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES, UNKNOWN_CATEGORY
 
@@ -121,7 +122,10 @@ def fit_features(train: DataFrame, numeric: list[str] = NUMERIC_FEATURES,
                  categorical: list[str] = CATEGORICAL_FEATURES,
                  fill: str = UNKNOWN_CATEGORY) -> FeatureModel:
     """F1-F5 fit on the training rows only (three aggregate jobs; results are one value per
-    column plus the vocabularies, which the one-hot encoding needs anyway)."""
+    column plus the vocabularies, which the one-hot encoding needs anyway).  The training rows
+    are read by every statistic, so their lineage is cut once."""
+    cols = list(dict.fromkeys(list(numeric) + list(categorical)))
+    train = materialize(train.select(*cols))
     med = {r["feature"]: r["median"] for r in exact_medians(train, numeric).collect()}
     # sklearn drops an all-null column; we keep the width and impute 0.0 there
     med = {c: (med.get(c) if med.get(c) is not None else 0.0) for c in numeric}

@@ -53,22 +53,24 @@ def normalize_packets(packets: DataFrame) -> DataFrame:
     """Lower-case protocol; icmp has ports 0 and payload 0; a missing payload is 0."""
     proto = F.lower(F.trim(F.col("proto")))
     icmp = proto == "icmp"
-    return (packets
-            .withColumn("proto", proto)
-            .withColumn("sport", F.when(icmp, 0).otherwise(F.coalesce("sport", F.lit(0))).cast("int"))
-            .withColumn("dport", F.when(icmp, 0).otherwise(F.coalesce("dport", F.lit(0))).cast("int"))
-            .withColumn("payload_len",
-                        F.when(icmp, 0).otherwise(F.coalesce("payload_len", F.lit(0))).cast("int"))
-            .withColumn("pkt_len", F.coalesce("pkt_len", F.lit(0)).cast("int")))
+    return packets.withColumns({
+        "proto": proto,
+        "sport": F.when(icmp, 0).otherwise(F.coalesce("sport", F.lit(0))).cast("int"),
+        "dport": F.when(icmp, 0).otherwise(F.coalesce("dport", F.lit(0))).cast("int"),
+        "payload_len": F.when(icmp, 0).otherwise(F.coalesce("payload_len", F.lit(0))).cast("int"),
+        "pkt_len": F.coalesce("pkt_len", F.lit(0)).cast("int"),
+    })
 
 
-def with_flow_key(packets: DataFrame) -> DataFrame:
-    """O2: canonical endpoint pair (lexicographic on (ip, port)) and the packet's side."""
+def _key_columns() -> dict:
     a = F.struct(F.col("src_ip").alias("ip"), F.col("sport").alias("port"))
     b = F.struct(F.col("dst_ip").alias("ip"), F.col("dport").alias("port"))
-    return (packets.withColumn("lo", F.least(a, b))
-            .withColumn("hi", F.greatest(a, b))
-            .withColumn("is_lo", a == F.least(a, b)))
+    return {"lo": F.least(a, b), "hi": F.greatest(a, b), "is_lo": a == F.least(a, b)}
+
+
+def with_flow_key(packets: DataFrame) -> DataFrame:
+    """O2: canonical endpoint pair (lexicographic on (ip, port)) and the packet's side."""
+    return packets.withColumns(_key_columns())
 
 
 def _proto_code() -> Column:
@@ -100,16 +102,19 @@ def aggregate_flows(packets: DataFrame, window: str | None = None,
     event-time metadata lets a stream chain a second windowed aggregation.
     """
     p = packets if prepared else normalize_packets(filter_packets(packets))
-    p = with_flow_key(p).withColumn("ts_s", seconds_of(p, "ts"))
+    extra = dict(_key_columns())
+    extra["ts_s"] = seconds_of(p, "ts")
+    extra["data"] = F.col("payload_len") > 0
+    extra["proto_code"] = _proto_code()
+    if window and "event_time" not in p.columns:
+        extra["event_time"] = event_time_of(p, "ts")
+    p = p.withColumns(extra)
     keys: list[Column] = []
     if window:
-        if "event_time" not in p.columns:
-            p = p.withColumn("event_time", event_time_of(p, "ts"))
         keys.append(F.window("event_time", window).alias("window"))
     keys += [F.col("lo"), F.col("hi")]
     if key_includes_proto:
         keys.append(F.col("proto").alias("key_proto"))
-    p = p.withColumn("data", F.col("payload_len") > 0).withColumn("proto_code", _proto_code())
 
     if history_plan == "auto":
         history_plan = "collect" if p.isStreaming else "rank"

@@ -183,3 +183,23 @@ def ablation_report(fm_fit, train: DataFrame, test: DataFrame, shuffled: tuple[D
         scored = scored.unionByName(p)
     card = scorecard(scored, ["model"])
     return metric_delta(card, "model", "baseline").withColumnRenamed("model", "experiment")
+
+
+def three_way_scorecard(fm: FeatureModel, model: PipelineModel, set_a: DataFrame,
+                        set_b: DataFrame, live_flows: DataFrame, attackers: list[str],
+                        order: list[str], key: str, t: float = 0.5,
+                        window_col: str = "window_start") -> DataFrame:
+    """K10 + K11: the final sequence model on set A, set B and live traffic (flows per window,
+    sequences per window in first-arrival order, labels by source), one grouped scorecard,
+    pivoted to metric rows x dataset columns (A18)."""
+    from flowlens.operators.labels import label_by_source
+    from flowlens.operators.metrics import scorecard_pivot
+
+    a = score(model, prepare_sequences(fm, set_a, order, keep=[key]), "final", "A", key, t=t)
+    b = score(model, prepare_sequences(fm, set_b, order, keep=[key]), "final", "B", key, t=t)
+    flows = label_by_source(live_flows, attackers).withColumn("flow_key", F.col("first_seq"))
+    lv = prepare_sequences(fm, flows, ["first_seq"], keep=["flow_key"],
+                           partition_by=[window_col])
+    lv = score(model, lv, "final", "live", "flow_key", t=t)
+    card = scorecard(a.unionByName(b).unionByName(lv), ["model", "dataset"])
+    return scorecard_pivot(card, ["A", "B", "live"], ids=["model"])

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.plans.materialize import materialize
 from flowlens.plans.ordering import (BUCKET, assign_segments, hash_bucket, hash_order,
                                      quantile_buckets)
 
@@ -57,10 +58,13 @@ def shuffled_split(df: DataFrame, key: str = "uid", seed: int = 42, train_frac:
 
 def chronological_split(df: DataFrame, order: list[str] = ("ts", "uid"),
                         boundaries: tuple = (0.70, 0.80), names=SPLIT_NAMES,
-                        n_buckets: int = 64, out: str = "split") -> DataFrame:
-    """Rows in (ts, uid) order; cuts at ``int(b * n)`` for each boundary (70/10/20)."""
+                        n_buckets: int = 64, out: str = "split",
+                        checkpoint: bool = True) -> DataFrame:
+    """Rows in (ts, uid) order; cuts at ``int(b * n)`` for each boundary (70/10/20).
+    The input is read by three passes (boundaries, bucket counts, cut), so its lineage is cut
+    once by a checkpoint."""
     order = list(order)
-    b = quantile_buckets(df, order[0], n_buckets)
+    b = quantile_buckets(materialize(df, checkpoint), order[0], n_buckets)
     seg = assign_segments(b, order=order, fractions=list(boundaries))
     name = F.element_at(F.array(*[F.lit(x) for x in names]), F.col("segment") + 1)
     return seg.withColumn(out, name).drop("segment", BUCKET)

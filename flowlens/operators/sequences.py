@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowlens.plans.materialize import materialize
 from flowlens.plans.ordering import BUCKET, dense_index, quantile_buckets
 from flowlens.schema import SEQ_LEN
 
@@ -29,7 +30,7 @@ def sequence_windows(df: DataFrame, order: list[str], values: list[str],
                      length: int = SEQ_LEN, pad: bool = False,
                      partition_by: list[str] | None = None, keep: list[str] | None = None,
                      member_cols: list[str] | None = None, block: int = 8192,
-                     n_buckets: int = 64) -> DataFrame:
+                     n_buckets: int = 64, checkpoint: bool = True) -> DataFrame:
     """W1 (``pad=False``: only full windows, n-L+1 of them) and W2 (``pad=True``: one window
     per row, missing history as zero vectors).  W3: the window carries its last row's
     ``keep`` columns (e.g. the label).
@@ -42,6 +43,9 @@ def sequence_windows(df: DataFrame, order: list[str], values: list[str],
         raise ValueError("block must be at least the window length")
     parts = list(partition_by or [])
     keep = list(keep or [])
+    # the input is read three times (boundaries, bucket counts, ranked pass): cut lineage once
+    cols = list(dict.fromkeys(parts + keep + list(member_cols or []) + list(order) + list(values)))
+    df = materialize(df.select(*cols), checkpoint)
     b = quantile_buckets(df, order[0], n_buckets)
     idx = dense_index(b, order, strata=parts, out="_i").drop(BUCKET)
     halo = length - 1

@@ -72,7 +72,21 @@ def q_ablation_report(spark, sf):
                                                                         "delta_fpr")])
 
 
+def q_three_way_scorecard(spark, sf):
+    from flowlens.plans import views
+    from flowlens.plans.conformance.live import ATTACKERS
+    from flowlens.streaming import live
+    sp = _splits(spark, sf)
+    fm = ft.fit_features(sp["train"])
+    seqs = md.prepare_sequences(fm, sp["train"], ORDER, keep=[KEY])
+    final = md.fit_timed("mlp_seq", md.mlp(md.SEQ_LEN * fm.width), seqs).model
+    flows = live.live_flows(views.packet_view(spark, sf), "1 day")
+    p = md.three_way_scorecard(fm, final, sp["test"], sp["cal"], flows, ATTACKERS, ORDER, KEY)
+    return p.select("model", "metric", *[F.round(c, 6).alias(c) for c in ("A", "B", "live")])
+
+
 QUERIES = {
+    "three_way_scorecard": q_three_way_scorecard,
     "candidate_gbt": q_candidate_gbt,
     "candidate_rf": q_candidate_rf,
     "candidate_mlp_seq": q_candidate_mlp_seq,
