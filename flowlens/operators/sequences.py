@@ -67,8 +67,11 @@ def sequence_windows(df: DataFrame, order: list[str], values: list[str],
     if not pad:
         out = out.where(F.col("n_real") == length)
     zero = F.array_repeat(F.lit(0.0), len(values))
-    seq = F.concat(F.array_repeat(zero, F.lit(length) - F.col("n_real")),
-                   F.transform("members", lambda m: m["vec"]))
+    # always exactly L rows (index-based, zero-filled): filters pushed through this projection
+    # may be evaluated under constraints such as size(members) = L, so the shape must not
+    # depend on how Catalyst folds the padding length
+    seq = F.transform(F.sequence(F.lit(0), F.lit(length - 1)), lambda k: F.coalesce(
+        F.get(F.col("members"), k - (F.lit(length) - F.size("members")))["vec"], zero))
     out = out.withColumn("seq", seq).withColumn(
         "members", F.transform("members", lambda m: m.dropFields("vec")))
     return out.select(*parts, *keep, F.col("_i").alias("seq_pos"), "n_real", "members", "seq")
