@@ -35,6 +35,7 @@ def exact_medians(df: DataFrame, cols: list[str] = NUMERIC_FEATURES) -> DataFram
     """(feature, median) ignoring nulls; mean of the two middle values for even counts."""
     counts = (_long(df, cols, "double").where(F.col("value").isNotNull())
               .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt")))
+    counts = materialize(counts)   # read by the boundaries, bucket totals, ranks and n
     cum = bucketed_cumsum(counts, ["feature"], "value", ["cnt"], descending=False)
     n = counts.groupBy("feature").agg(F.sum("cnt").alias("n"))
     j = cum.join(n, "feature").withColumn("before", F.col("cnt_cum") - F.col("cnt"))

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.functions.columns import safe_div
+from flowlens.plans.materialize import materialize
 from flowlens.plans.ordering import bucketed_cumsum
 
 METRICS = ["accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc", "fpr", "fnr"]
@@ -56,12 +57,20 @@ def error_rates(cm: DataFrame) -> DataFrame:
             .withColumn("fnr", safe_div(fn, fn + tp)))
 
 
+def score_counts(scored: DataFrame, groups: list[str], y: str = "y", score: str = "score",
+                 checkpoint: bool = True) -> DataFrame:
+    """Positives and negatives per (group, distinct score): a partial+final aggregate whose
+    result every curve pass re-reads, so its lineage is cut once."""
+    per = scored.groupBy(*groups, score).agg(
+        F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg"))
+    return materialize(per, checkpoint)
+
+
 def curve_points(scored: DataFrame, groups: list[str], y: str = "y", score: str = "score",
-                 n_buckets: int = 64) -> DataFrame:
+                 n_buckets: int | None = None, per: DataFrame | None = None) -> DataFrame:
     """One row per (group, distinct score) with counts at that score (pos, neg) and
     running totals over descending score (tp, fp) plus the group's totals (P, N)."""
-    per = scored.groupBy(*groups, score).agg(
-        F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg"))
+    per = per if per is not None else score_counts(scored, groups, y, score)
     cum = bucketed_cumsum(per, groups, score, ["pos", "neg"], descending=True,
                           n_buckets=n_buckets)
     tot = per.groupBy(*groups).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
@@ -69,6 +78,16 @@ def curve_points(scored: DataFrame, groups: list[str], y: str = "y", score: str
     return cum.join(tot, groups) if groups else attach_row(cum, tot)
 
 
+def confusion_at(per: DataFrame, groups: list[str], t: float, score: str = "score") -> DataFrame:
+    """A5 for ``pred = score >= t`` from per-score counts (no second scan of the rows)."""
+    hit = F.col(score) >= F.lit(float(t))
+    return per.groupBy(*groups).agg(
+        F.sum(F.when(hit, F.col("pos")).otherwise(0)).alias("tp"),
+        F.sum(F.when(hit, F.col("neg")).otherwise(0)).alias("fp"),
+        F.sum(F.when(hit, 0).otherwise(F.col("neg"))).alias("tn"),
+        F.sum(F.when(hit, 0).otherwise(F.col("pos"))).alias("fn"))
+
+
 def _pr_point(tp: Column, fp: Column) -> Column:
     return F.when(tp + fp == 0, F.lit(1.0)).otherwise(tp.cast("double") / (tp + fp).cast("double"))
 
@@ -99,11 +118,18 @@ def pr_auc(scored: DataFrame, groups: list[str], y: str = "y", score: str = "sco
 
 def scorecard(scored: DataFrame, groups: list[str], y: str = "y", score: str = "score",
               pred: str = "pred", threshold: float | None = None) -> DataFrame:
-    """A10: confusion counts and the 8 metrics per group in one table."""
+    """A10: confusion counts and the 8 metrics per group in one table.
+
+    With ``threshold`` the decision is ``score >= threshold`` and everything comes from the
+    per-score counts (one scan of the scored rows); otherwise ``pred`` is taken as given
+    (e.g. after warm-up fill and whitelist overrides) and counted in a second aggregate."""
+    per = score_counts(scored, groups, y, score)
     if threshold is not None:
-        scored = with_decision(scored, threshold, score, pred)
-    cm = error_rates(basic_rates(confusion(scored, groups, y, pred)))
-    areas = curve_areas(curve_points(scored, groups, y, score), groups)
+        cm = confusion_at(per, groups, threshold, score)
+    else:
+        cm = confusion(scored, groups, y, pred)
+    cm = error_rates(basic_rates(cm))
+    areas = curve_areas(curve_points(scored, groups, y, score, per=per), groups)
     return cm.join(areas, groups) if groups else attach_row(cm, areas)
 
 

@@ -36,8 +36,14 @@ def stratified_sample(df: DataFrame, stratum: str, n: dict, key: str = "uid",
             F.array(F.lit(int(k)).cast("bigint")))
         cuts = F.when(test, branch) if cuts is None else cuts.when(test, branch)
     cuts = cuts.otherwise(F.array(F.lit(0).cast("bigint")))
+    named = [v for v in n if v is not None]
+    keep = F.col(stratum).isin(*named) if named else F.lit(False)
+    if None in n:
+        keep = keep | F.col(stratum).isNull()
+    df = df.where(keep)
+    # strata are the values named in ``n``: a bounded cut table, broadcast
     seg = assign_segments(_hashed(df, key, seed), order=["_h", key], cuts=cuts,
-                          strata=[stratum])
+                          strata=[stratum], bounded_strata=True)
     return seg.where(F.col("segment") == 0).drop("segment", "_h", BUCKET)
 
 
@@ -58,7 +64,7 @@ def shuffled_split(df: DataFrame, key: str = "uid", seed: int = 42, train_frac:
 
 def chronological_split(df: DataFrame, order: list[str] = ("ts", "uid"),
                         boundaries: tuple = (0.70, 0.80), names=SPLIT_NAMES,
-                        n_buckets: int = 64, out: str = "split",
+                        n_buckets: int | None = None, out: str = "split",
                         checkpoint: bool = True) -> DataFrame:
     """Rows in (ts, uid) order; cuts at ``int(b * n)`` for each boundary (70/10/20).
     The input is read by three passes (boundaries, bucket counts, cut), so its lineage is cut

@@ -1,8 +1,9 @@
 """Sliding row windows of length L over an order (W1-W4) and batch scoring of them (K5).
 
 Global order (the reference mixes hosts in one stream of rows) is planned as *halo blocks*:
-  1. a dense 0-based position ``i`` in the order (``plans.ordering.dense_index``: bucket
-     counts + a prefix sum over the small count table + ranks inside balanced buckets);
+  1. a dense 0-based position ``i`` in the order (``plans.ordering.dense_index``: range
+     partitions on the composite order key, a checkpoint, in-partition positions and a
+     prefix sum over the small per-partition count table);
   2. block ``i div B``; the last L-1 rows of each block are also sent to the next block;
   3. a frame ``ROWS BETWEEN L-1 PRECEDING AND CURRENT ROW`` per block, keeping only rows that
      live in the block.
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlens.plans.materialize import materialize
-from flowlens.plans.ordering import BUCKET, dense_index, quantile_buckets
+from flowlens.plans.ordering import dense_index
 from flowlens.schema import SEQ_LEN
 
 
@@ -30,7 +31,7 @@ def sequence_windows(df: DataFrame, order: list[str], values: list[str],
                      length: int = SEQ_LEN, pad: bool = False,
                      partition_by: list[str] | None = None, keep: list[str] | None = None,
                      member_cols: list[str] | None = None, block: int = 8192,
-                     n_buckets: int = 64, checkpoint: bool = True) -> DataFrame:
+                     n_buckets: int | None = None, checkpoint: bool = True) -> DataFrame:
     """W1 (``pad=False``: only full windows, n-L+1 of them) and W2 (``pad=True``: one window
     per row, missing history as zero vectors).  W3: the window carries its last row's
     ``keep`` columns (e.g. the label).
@@ -46,8 +47,7 @@ def sequence_windows(df: DataFrame, order: list[str], values: list[str],
     # the input is read three times (boundaries, bucket counts, ranked pass): cut lineage once
     cols = list(dict.fromkeys(parts + keep + list(member_cols or []) + list(order) + list(values)))
     df = materialize(df.select(*cols), checkpoint)
-    b = quantile_buckets(df, order[0], n_buckets)
-    idx = dense_index(b, order, strata=parts, out="_i").drop(BUCKET)
+    idx = dense_index(df, order, strata=parts, out="_i")
     halo = length - 1
     blk = F.floor(F.col("_i") / block)
     tail = (F.col("_i") % block) >= (block - halo)

@@ -8,7 +8,7 @@ from flowlens.operators import labels as lb
 from flowlens.operators import profile as pf
 from flowlens.operators import sampling as sm
 from flowlens.plans import views
-from flowlens.plans.ordering import BUCKET, dense_index, quantile_buckets
+from flowlens.plans.ordering import dense_index
 from flowlens.schema import FEATURES
 
 STRAT_N = {True: 1500, False: 1000}      # the reference's 60:40 calibration draw
@@ -102,8 +102,8 @@ def q_split_leakage_audit(spark, sf):
 
 def q_restore_order(spark, sf):
     s = sm.stratified_sample(clean(spark, sf), "is_benign", STRAT_N)
-    idx = dense_index(quantile_buckets(s, "ts", 16), ["ts", "uid"], out="pos")
-    return idx.select("pos", "uid", "is_benign").drop(BUCKET)
+    idx = dense_index(s, ["ts", "uid"], out="pos")
+    return idx.select("pos", "uid", "is_benign")
 
 
 def q_union_all(spark, sf):

@@ -8,12 +8,15 @@ whole table into one task, so every plan here goes through *monotone buckets*:
    the leading order column, or a hash prefix when the order is a hash);
 2. rows are counted per (stratum, b): a table with at most strata x buckets rows;
 3. a prefix sum over that small table gives each bucket's first global position;
-4. the small table goes back to the rows by a broadcast join (its size is bounded by the
-   bucket count, fixed by the caller), and ranks are finished *inside* buckets only.
+4. the small table goes back to the rows by a join - a broadcast when its size is bounded
+   (bucket count x named strata) - and ranks are finished *inside* buckets only.
+
+Bucket counts follow the data size (``auto_buckets``: about 2M rows per bucket), so every
+sort is task-sized at any scale.
 
 ``assign_segments`` ranks only rows of buckets that straddle a cut (a handful of buckets), so a
-split or exact-n sample never sorts the table.  ``dense_index`` ranks every row, bucket by
-bucket in parallel.
+split or exact-n sample never sorts the table.  ``dense_index`` ranks rows through Spark's range
+partitioning on the full composite key, so ties on a hot leading value are split too.
 """
 
 from __future__ import annotations
@@ -38,13 +41,27 @@ def numeric_key(df: DataFrame, c: str) -> Column:
     return F.coalesce(x, F.lit(float("-inf")))
 
 
-def quantile_buckets(df: DataFrame, c: str, n_buckets: int, accuracy: int = 10000,
-                     out: str = BUCKET) -> DataFrame:
+TARGET_ROWS_PER_BUCKET = 2_000_000
+MAX_BUCKETS = 1 << 17
+
+
+def auto_buckets(df: DataFrame, target: int = TARGET_ROWS_PER_BUCKET, floor: int = 16) -> int:
+    """Bucket count so that one bucket (one sort task) holds about ``target`` rows."""
+    n = df.count()
+    return int(max(floor, min(MAX_BUCKETS, -(-n // target))))
+
+
+def quantile_buckets(df: DataFrame, c: str, n_buckets: int | None = None,
+                     accuracy: int | None = None, out: str = BUCKET) -> DataFrame:
     """Bucket id non-decreasing in column ``c``, balanced by approximate quantiles.
 
-    One aggregate job computes ``n_buckets - 1`` boundaries (a bounded literal); a binary
-    search (``Bucketizer``) assigns buckets without any join.
+    ``n_buckets=None`` sizes the buckets from the row count (one count job), so a bucket is a
+    task-sized sort at any scale.  One aggregate job computes ``n_buckets - 1`` boundaries (a
+    bounded literal); a binary search (``Bucketizer``) assigns buckets without any join.
     """
+    if n_buckets is None:
+        n_buckets = auto_buckets(df)
+    accuracy = accuracy or max(10000, 4 * n_buckets)
     tmp = "_qk"
     keyed = df.withColumn(tmp, numeric_key(df, c))
     if n_buckets <= 1:
@@ -69,6 +86,10 @@ def hash_bucket(h: Column, hex_digits: int = 4) -> Column:
     return F.conv(F.substring(h, 1, hex_digits), 16, 10).cast("int")
 
 
+def _maybe_broadcast(small: DataFrame, bounded: bool) -> DataFrame:
+    return F.broadcast(small) if bounded else small
+
+
 def _bucket_table(df: DataFrame, strata: list[str]) -> DataFrame:
     counts = df.groupBy(*strata, BUCKET).agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy(*strata).orderBy(BUCKET) if strata else Window.orderBy(BUCKET)
@@ -81,13 +102,16 @@ def _bucket_table(df: DataFrame, strata: list[str]) -> DataFrame:
 
 def assign_segments(df: DataFrame, order: list[str | Column], cuts: Column | None = None,
                     fractions: list[float] | None = None, strata: list[str] | None = None,
-                    out: str = "segment", rank_col: str | None = None) -> DataFrame:
+                    out: str = "segment", rank_col: str | None = None,
+                    bounded_strata: bool = False) -> DataFrame:
     """Segment index of each row's global rank r (0-based, within its stratum):
     ``segment = #{cut <= r}``.  ``df`` must carry a monotone bucket column ``_b``.
 
     ``fractions`` give cuts ``floor(f * total)`` per stratum (Python ``int(f * n)``);
     ``cuts`` is an ``ARRAY<BIGINT>`` expression that may use ``_total``.
     Only rows in buckets that straddle a cut are ranked (a window over those rows alone).
+    The bucket table is broadcast when its size is bounded: no strata, or strata the caller
+    names (``bounded_strata``); otherwise Spark joins it by its measured size.
     """
     strata = strata or []
     table = _bucket_table(df, strata)
@@ -99,16 +123,16 @@ def assign_segments(df: DataFrame, order: list[str | Column], cuts: Column | Non
              .withColumn("_seg_hi", F.size(F.filter(
                  "_cuts", lambda c: c <= F.col("_before") + F.col("_cnt") - 1))))
     keys = strata + [BUCKET]
-    # the bucket table has at most |strata| x |buckets| rows, both bounded by the caller
-    joined = df.join(F.broadcast(table.select(*keys, "_before", "_cuts", "_seg_lo", "_seg_hi",
-                                              "_total")), keys)
+    small = table.select(*keys, "_before", "_cuts", "_seg_lo", "_seg_hi", "_total")
+    joined = df.join(_maybe_broadcast(small, not strata or bounded_strata), keys)
     whole = (joined.where(F.col("_seg_lo") == F.col("_seg_hi"))
              .withColumn(out, F.col("_seg_lo")))
     mixed = joined.where(F.col("_seg_lo") != F.col("_seg_hi"))
-    w = Window.partitionBy(*keys).orderBy(*order)
-    r = F.col("_before") + F.row_number().over(w) - 1
-    mixed = mixed.withColumn("_r", r).withColumn(
-        out, F.size(F.filter("_cuts", lambda c: c <= F.col("_r"))))
+    # rows of straddling buckets only; ranked by range partitions, so a hot bucket (one order
+    # value holding a third of the rows) is still split across tasks
+    mixed = dense_index(mixed, order, strata=keys, out="_in_bucket")
+    mixed = mixed.withColumn("_r", F.col("_before") + F.col("_in_bucket")).drop("_in_bucket") \
+        .withColumn(out, F.size(F.filter("_cuts", lambda c: c <= F.col("_r"))))
     if rank_col:
         whole = whole.withColumn("_r", F.lit(None).cast("bigint"))
     else:
@@ -120,22 +144,39 @@ def assign_segments(df: DataFrame, order: list[str | Column], cuts: Column | Non
 
 
 def dense_index(df: DataFrame, order: list[str | Column], strata: list[str] | None = None,
-                out: str = "_i") -> DataFrame:
-    """0-based global position in ``order`` (within each stratum); needs bucket column ``_b``.
-
-    Each bucket is ranked by its own task; positions are exact and contiguous.
+                out: str = "_i", rows_per_partition: int = TARGET_ROWS_PER_BUCKET) -> DataFrame:
+    """0-based position in ``order`` within each stratum, exact and contiguous.
+
+    Plan: range-partition on the full composite key (strata, order) - Spark samples the key,
+    so even a single hot ``ts`` value is split by the tie-breaking columns - sort within
+    partitions, and cut lineage with a reliable checkpoint so every partition's content and
+    row order are fixed.  ``monotonically_increasing_id`` then gives each row its place inside
+    its partition (a narrow map); a small table of per-(partition, stratum) counts,
+    prefix-summed over partitions, turns that into the global position.  No task sorts more
+    than one range partition, whatever the skew.
     """
-    strata = strata or []
-    table = _bucket_table(df, strata)
-    keys = strata + [BUCKET]
-    joined = df.join(F.broadcast(table.select(*keys, "_before")), keys)
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return (joined.withColumn(out, F.col("_before") + F.row_number().over(w) - 1)
-            .drop("_before"))
+    from flowlens.plans.materialize import materialize
+
+    strata = list(strata or [])
+    keys = [F.col(c) if isinstance(c, str) else c for c in strata + list(order)]
+    n_parts = auto_buckets(df, rows_per_partition, floor=1)
+    ranged = materialize(df.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys))
+    local = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
+    tagged = ranged.withColumns({"_di_pid": F.spark_partition_id(), "_di_local": local})
+    counts = tagged.groupBy("_di_pid", *strata).agg(F.count(F.lit(1)).alias("_di_cnt"),
+                                                 F.min("_di_local").alias("_di_first"))
+    w = (Window.partitionBy(*strata) if strata else Window.partitionBy()).orderBy("_di_pid") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_di_pid", *strata, "_di_first", F.coalesce(
+        F.sum("_di_cnt").over(w), F.lit(0)).cast("bigint").alias("_di_before"))
+    # without strata the table has one row per range partition: a bounded broadcast
+    joined = tagged.join(_maybe_broadcast(offsets, not strata), ["_di_pid", *strata])
+    return (joined.withColumn(out, F.col("_di_before") + F.col("_di_local") - F.col("_di_first"))
+            .drop("_di_pid", "_di_local", "_di_first", "_di_before"))
 
 
 def bucketed_cumsum(df: DataFrame, groups: list[str], order_col: str, values: list[str],
-                    descending: bool = True, n_buckets: int = 64,
+                    descending: bool = True, n_buckets: int | None = None,
                     suffix: str = "_cum") -> DataFrame:
     """Inclusive running sums of ``values`` per group along ``order_col`` (distinct values
     expected, e.g. one row per distinct score), as a two-level prefix sum: per-bucket totals

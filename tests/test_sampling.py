@@ -39,12 +39,23 @@ def test_splits_cover_disjoint_ordered(spark):
 def test_dense_index_matches_row_number(spark):
     from pyspark.sql import Window
     df = _log(spark, 333)
-    got = {r["uid"]: r["_i"] for r in dense_index(quantile_buckets(df, "ts", 5), ["ts", "uid"]).collect()}
+    got = {r["uid"]: r["_i"] for r in dense_index(df, ["ts", "uid"], rows_per_partition=40).collect()}
     w = Window.orderBy("ts", "uid")
     want = {r["uid"]: r["i"] for r in df.withColumn("i", F.row_number().over(w) - 1).collect()}
     assert got == want
 
 
+def test_dense_index_hot_value_and_strata(spark):
+    from pyspark.sql import Window
+    # a third of the rows share one ts: still exact, spread over range partitions
+    rows = [(5.0 if i % 3 == 0 else float(i), f"C{i:04d}", f"s{i % 2}") for i in range(300)]
+    df = spark.createDataFrame(rows, "ts double, uid string, st string")
+    got = dense_index(df, ["ts", "uid"], strata=["st"], rows_per_partition=25)
+    w = Window.partitionBy("st").orderBy("ts", "uid")
+    want = {r["uid"]: r["i"] for r in df.withColumn("i", F.row_number().over(w) - 1).collect()}
+    assert {r["uid"]: r["_i"] for r in got.collect()} == want
+
+
 def test_ratio_split_and_union(spark):
     df = _log(spark)
     s = sm.ratio_split(df, "is_benign", 100, {True: 0.6, False: 0.4})
