@@ -6,13 +6,14 @@ event-time tumbling window (deterministic; a packet belongs to its own second),
 functions run on a static DataFrame (the *batch twin*, which also covers the final flush, J5)
 or on a stream.
 
-Stream plan (append mode, two stateful aggregations chained by the window's event time):
-  packets --withWatermark--> groupBy(window, flow key)            (A4, state per open window)
-          --> groupBy(window(window_time(window)))                (J3, flows of one window in
-              collect the window's flows, sorted by first arrival   first-arrival order)
-          --> posexplode -> left-padded 5-flow sequences -> score (mapInPandas) -> decisions
-The state of both aggregations is dropped once the watermark passes the window, so it is
-bounded by the packets of the open windows.
+Stream plan (append mode):
+  packets --withWatermark--> groupBy(window, flow key)     (A4; state per open window, dropped
+                                                            once the watermark passes it)
+          --foreachBatch--> the closed windows' flows       (append mode emits all flows of a
+              -> batch twin: halo 5-flow sequences per      window in one micro-batch)
+                 window -> score (mapInPandas) -> decisions
+              -> parquet folder of the batch id, overwritten on replay (idempotent sink)
+No window's flows are ever gathered into one row or one task.
 """
 
 from __future__ import annotations
@@ -101,24 +102,38 @@ def stream_flows(packets: DataFrame, window: str = "1 second",
     return aggregate_flows(p, window=window, history_plan="collect", keep_window=True)
 
 
-def stream_alerts(packets: DataFrame, model_fn: Callable[[np.ndarray], np.ndarray], t: float,
-                  values: list[str], window: str = "1 second", watermark: str = "0 seconds",
-                  whitelist=DEFAULT_WHITELIST, length: int = SEQ_LEN) -> DataFrame:
-    """J3/J4 on a stream: the second stateful aggregation gathers one window's flows (bounded
-    by the window) in first-arrival order, then sequences are cut from that array."""
-    flows = stream_flows(packets, window, watermark)
-    cols = ["first_seq"] + FLOW_ID + ["proto", "conn_state"] + values
-    per = (flows.groupBy(F.window(F.window_time("window"), window).alias("w"))
-           .agg(F.array_sort(F.collect_list(F.struct(*cols))).alias("flows")))
-    ex = per.select(F.col("w.start").alias("window_start"),
-                    F.posexplode("flows").alias("seq_pos", "f"), "flows")
-    lo = F.greatest(F.col("seq_pos") - (length - 1), F.lit(0))
-    members = F.slice("flows", lo + 1, F.col("seq_pos") - lo + 1)
-    vecs = F.transform(members, lambda m: F.array(*[m[v].cast("double") for v in values]))
-    zero = F.array_repeat(F.lit(0.0), len(values))
-    seq = F.concat(F.array_repeat(zero, F.lit(length) - F.size(vecs)), vecs)
-    seqs = ex.select("window_start", "seq_pos", *[F.col("f")[c].alias(c) for c in cols],
-                     seq.alias("seq"))
-    keep = ALERT_KEEP + ["seq_pos"]
-    scored = score_windows(seqs.select(*keep, "seq"), model_fn, keep=keep)
-    return decide_alerts(scored, t, whitelist, length)
+def alert_batch_writer(out_path: str, model_fn: Callable[[np.ndarray], np.ndarray], t: float,
+                       values: list[str], whitelist=DEFAULT_WHITELIST, length: int = SEQ_LEN):
+    """``foreachBatch`` handler: the flows of the windows closed in this micro-batch (append
+    mode emits every flow of a window in the same batch) go through the exact batch twin
+    (J3/J4 with halo windows, no per-window collect) and are written to the batch's own
+    folder with overwrite, so a replayed batch id replaces its output instead of duplicating."""
+    def handle(flows: DataFrame, batch_id: int) -> None:
+        if flows.isEmpty():
+            return
+        alerts = live_alerts(flows.drop("window"), model_fn, t, values, whitelist, length)
+        (alerts.withColumn("batch_id", F.lit(int(batch_id)))
+         .write.mode("overwrite").parquet(f"{out_path}/batch_id={int(batch_id)}"))
+    return handle
+
+
+def start_alert_stream(packets: DataFrame, out_path: str, model_fn: Callable[[np.ndarray], np.ndarray],
+                       t: float, values: list[str], window: str = "1 second",
+                       watermark: str = "0 seconds", whitelist=DEFAULT_WHITELIST,
+                       length: int = SEQ_LEN, checkpoint: str | None = None,
+                       trigger_once: bool = False):
+    """J1-J5/J7 + S8 on a stream: stateful flow aggregation per event-time window (state is
+    dropped once the watermark passes), then each micro-batch of closed windows is scored and
+    decided by ``alert_batch_writer``.  The checkpoint lives in the session's shared
+    ``spark.checkpoint.dir`` unless given."""
+    import os
+
+    from flowlens.session import checkpoint_dir
+    spark = packets.sparkSession
+    checkpoint = checkpoint or os.path.join(checkpoint_dir(spark), "live-" + os.path.basename(out_path))
+    w = (stream_flows(packets, window, watermark).writeStream.outputMode("append")
+         .option("checkpointLocation", checkpoint)
+         .foreachBatch(alert_batch_writer(out_path, model_fn, t, values, whitelist, length)))
+    if trigger_once:
+        w = w.trigger(availableNow=True)
+    return w.start()

@@ -48,9 +48,10 @@ def test_stream_alerts_late_row_and_restart(spark, tmp_path):
     model = sq.logistic_model([0.4, -0.3], -0.2)
 
     def run():
-        a = live.stream_alerts(sinks.packet_stream(spark, src), model, 0.5, ["orig_pkts", "resp_pkts"],
-                               "1 second", "0 seconds", whitelist=["10.0.0.3"])
-        q = sinks.alert_sink(a, out, checkpoint=str(tmp_path / "ck"), trigger_once=True)
+        q = live.start_alert_stream(sinks.packet_stream(spark, src), out, model, 0.5,
+                                    ["orig_pkts", "resp_pkts"], "1 second", "0 seconds",
+                                    whitelist=["10.0.0.3"], checkpoint=str(tmp_path / "ck"),
+                                    trigger_once=True)
         q.awaitTermination()
 
     run()
