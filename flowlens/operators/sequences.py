@@ -17,7 +17,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,25 +85,34 @@ def warmup_fill(pred: DataFrame, position: str, length: int = SEQ_LEN, out: str
 
 def score_windows(windows: DataFrame, model_fn: Callable[[np.ndarray], np.ndarray],
                   seq: str = "seq", out: str = "score", keep: list[str] | None = None) -> DataFrame:
-    """K5: score windows with a user function ``[n, L, d] float32 tensor -> [n] scores``.
+    """K5: score windows with a user function ``[n, L, d] float64 tensor -> [n] scores``.
+
+    Runs as ``mapInArrow``: each window is flattened in Spark to a fixed-length
+    ``ARRAY<DOUBLE>``, so an Arrow batch's list values reshape straight into the tensor
+    (no per-row Python); key columns pass through as Arrow arrays.  ``model_fn`` is shipped
+    once per task (load heavy models lazily inside it, once per Python worker)."""
+    import pyarrow as pa
 
-    Runs as ``mapInPandas``: Arrow batches, one call per batch; ``model_fn`` is shipped once
-    per task (load heavy models lazily inside it, once per Python worker)."""
     keep = list(keep or [c for c in windows.columns if c not in (seq, "members")])
     fields = [f for f in windows.schema.fields if f.name in keep]
     schema = T.StructType(fields + [T.StructField(out, T.DoubleType())])
+    flat = windows.select(*keep, F.flatten(seq).alias("_flat"), F.size(seq).alias("_L"))
 
     def run(batches):
-        for pdf in batches:
-            if len(pdf) == 0:
+        for rb in batches:
+            n = rb.num_rows
+            if n == 0:
                 continue
-            tensor = np.stack([np.stack(list(s)) for s in pdf[seq]]).astype(np.float64)
+            col = rb.column(rb.schema.get_field_index("_flat"))
+            length = rb.column(rb.schema.get_field_index("_L"))[0].as_py()
+            values = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+            tensor = values.reshape(n, length, -1)
             scores = np.asarray(model_fn(tensor), dtype=np.float64).reshape(-1)
-            res = pdf[keep].copy()
-            res[out] = scores
-            yield res
+            cols = [rb.column(rb.schema.get_field_index(k)) for k in keep]
+            yield pa.RecordBatch.from_arrays(cols + [pa.array(scores, pa.float64())],
+                                             names=keep + [out])
 
-    return windows.select(*keep, seq).mapInPandas(run, schema)
+    return flat.mapInArrow(run, schema)
 
 
 def logistic_model(weights: list[float], bias: float) -> Callable[[np.ndarray], np.ndarray]:
@@ -117,5 +125,3 @@ def logistic_model(weights: list[float], bias: float) -> Callable[[np.ndarray],
 
     return fn
 
-
-_ = pd  # pandas is the batch type of mapInPandas

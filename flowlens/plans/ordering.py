@@ -144,7 +144,8 @@ def assign_segments(df: DataFrame, order: list[str | Column], cuts: Column | Non
 
 
 def dense_index(df: DataFrame, order: list[str | Column], strata: list[str] | None = None,
-                out: str = "_i", rows_per_partition: int = TARGET_ROWS_PER_BUCKET) -> DataFrame:
+                out: str = "_i", n_partitions: int | None = None,
+                rows_per_partition: int | None = None) -> DataFrame:
     """0-based position in ``order`` within each stratum, exact and contiguous.
 
     Plan: range-partition on the full composite key (strata, order) - Spark samples the key,
@@ -159,7 +160,10 @@ def dense_index(df: DataFrame, order: list[str | Column], strata: list[str] | No
 
     strata = list(strata or [])
     keys = [F.col(c) if isinstance(c, str) else c for c in strata + list(order)]
-    n_parts = auto_buckets(df, rows_per_partition, floor=1)
+    if n_partitions is None and rows_per_partition is not None:
+        n_partitions = auto_buckets(df, rows_per_partition, floor=1)
+    # default: the session's shuffle parallelism, which a cluster sizes for its data
+    n_parts = n_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = materialize(df.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys))
     local = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
     tagged = ranged.withColumns({"_di_pid": F.spark_partition_id(), "_di_local": local})
