@@ -43,7 +43,7 @@ def stratified_sample(df: DataFrame, stratum: str, n: dict, key: str = "uid",
     df = df.where(keep)
     # strata are the values named in ``n``: a bounded cut table, broadcast
     seg = assign_segments(_hashed(df, key, seed), order=["_h", key], cuts=cuts,
-                          strata=[stratum], bounded_strata=True)
+                          strata=[stratum], bounded_strata=True, rank_plan="window")
     return seg.where(F.col("segment") == 0).drop("segment", "_h", BUCKET)
 
 
@@ -57,7 +57,9 @@ def ratio_split(df: DataFrame, stratum: str, total: int, shares: dict, key: str
 def shuffled_split(df: DataFrame, key: str = "uid", seed: int = 42, train_frac: float = 0.70,
                    out: str = "split") -> DataFrame:
     """D3 + D4: seeded full shuffle, first ``int(train_frac * n)`` rows are train, rest test."""
-    seg = assign_segments(_hashed(df, key, seed), order=["_h", key], fractions=[train_frac])
+    # md5 buckets of distinct keys are uniform: a window per straddling bucket is task-sized
+    seg = assign_segments(_hashed(df, key, seed), order=["_h", key], fractions=[train_frac],
+                          rank_plan="window")
     return (seg.withColumn(out, F.when(F.col("segment") == 0, "train").otherwise("test"))
             .drop("segment", "_h", BUCKET))
 

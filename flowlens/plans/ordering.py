@@ -103,7 +103,7 @@ def _bucket_table(df: DataFrame, strata: list[str]) -> DataFrame:
 def assign_segments(df: DataFrame, order: list[str | Column], cuts: Column | None = None,
                     fractions: list[float] | None = None, strata: list[str] | None = None,
                     out: str = "segment", rank_col: str | None = None,
-                    bounded_strata: bool = False) -> DataFrame:
+                    bounded_strata: bool = False, rank_plan: str = "range") -> DataFrame:
     """Segment index of each row's global rank r (0-based, within its stratum):
     ``segment = #{cut <= r}``.  ``df`` must carry a monotone bucket column ``_b``.
 
@@ -112,6 +112,9 @@ def assign_segments(df: DataFrame, order: list[str | Column], cuts: Column | Non
     Only rows in buckets that straddle a cut are ranked (a window over those rows alone).
     The bucket table is broadcast when its size is bounded: no strata, or strata the caller
     names (``bounded_strata``); otherwise Spark joins it by its measured size.
+    ``rank_plan``: ``range`` ranks straddling buckets through range partitions on the full
+    order key (a hot leading value is split by the tie-breakers); ``window`` ranks each such
+    bucket in one task - right for hash orders, whose buckets are uniform by construction.
     """
     strata = strata or []
     table = _bucket_table(df, strata)
@@ -130,7 +133,11 @@ def assign_segments(df: DataFrame, order: list[str | Column], cuts: Column | Non
     mixed = joined.where(F.col("_seg_lo") != F.col("_seg_hi"))
     # rows of straddling buckets only; ranked by range partitions, so a hot bucket (one order
     # value holding a third of the rows) is still split across tasks
-    mixed = dense_index(mixed, order, strata=keys, out="_in_bucket")
+    if rank_plan == "range":
+        mixed = dense_index(mixed, order, strata=keys, out="_in_bucket")
+    else:
+        mixed = mixed.withColumn("_in_bucket", F.row_number().over(
+            Window.partitionBy(*keys).orderBy(*order)) - 1)
     mixed = mixed.withColumn("_r", F.col("_before") + F.col("_in_bucket")).drop("_in_bucket") \
         .withColumn(out, F.size(F.filter("_cuts", lambda c: c <= F.col("_r"))))
     if rank_col:
