@@ -1,9 +1,10 @@
 """Feature preparation.
 
 Fit = three small aggregate jobs over the training rows:
-  * exact medians of the 8 numeric columns: values are counted per (column, distinct value),
-    prefix-summed with the bucketed two-level plan, and the two middle ranks picked - exact
-    like the reference's median imputer, yet no task ever holds a whole column;
+  * exact medians of the 8 numeric columns: a ``percentile_approx`` bracket with a bounded
+    rank error, then only the rows inside it are counted per distinct value and prefix-summed
+    to read the two middle ranks - exact like the reference's median imputer, yet no column
+    is ever shuffled whole;
   * mean and *population* std of the imputed columns (one partial+final aggregate; Spark ML's
     ``StandardScaler`` uses the sample std and is not used);
   * sorted vocabulary per categorical column after 'unknown' imputation (distinct, shuffled).
@@ -31,23 +32,49 @@ def _long(df: DataFrame, cols: list[str], dtype: str) -> DataFrame:
             .unpivot([], cols, "feature", "value"))
 
 
-def exact_medians(df: DataFrame, cols: list[str] = NUMERIC_FEATURES) -> DataFrame:
-    """(feature, median) ignoring nulls; mean of the two middle values for even counts."""
-    counts = (_long(df, cols, "double").where(F.col("value").isNotNull())
+def exact_medians(df: DataFrame, cols: list[str] = NUMERIC_FEATURES,
+                  accuracy: int = 100_000) -> DataFrame:
+    """(feature, median) ignoring nulls; mean of the two middle values for even counts.
+
+    Exact, in two passes that never move a whole column:
+      1. one aggregate per column: the count ``n`` and a ``percentile_approx`` bracket
+         ``[lo, hi]`` around the median (its rank error is at most ``n / accuracy``, and the
+         bracket is three such errors wide on each side);
+      2. rows below the bracket are only counted; rows inside it (about ``6 n / accuracy``
+         per column) are counted per distinct value, prefix-summed, and the two middle ranks
+         read off.
+    Should the bracket miss the middle ranks, the job raises instead of returning a wrong
+    value.
+    """
+    eps = 3.0 / accuracy
+    long = _long(df, cols, "double").where(F.col("value").isNotNull())
+    stats = long.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.percentile_approx("value", [max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)], accuracy)
+        .alias("q"))
+    # one row per column: a bounded broadcast
+    stats = F.broadcast(stats.select("feature", "n", F.col("q")[0].alias("lo"),
+                                     F.col("q")[1].alias("hi")))
+    j = long.join(stats, "feature")
+    below = j.groupBy("feature").agg(F.count_if(F.col("value") < F.col("lo")).alias("c_lo"))
+    inside = (j.where((F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
               .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt")))
-    counts = materialize(counts)   # read by the boundaries, bucket totals, ranks and n
-    cum = bucketed_cumsum(counts, ["feature"], "value", ["cnt"], descending=False)
-    n = counts.groupBy("feature").agg(F.sum("cnt").alias("n"))
-    j = cum.join(n, "feature").withColumn("before", F.col("cnt_cum") - F.col("cnt"))
-    k1 = F.floor((F.col("n") - 1) / 2)
-    k2 = F.floor(F.col("n") / 2)
+    inside = materialize(inside)   # read by the boundaries, bucket totals and ranks
+    cum = bucketed_cumsum(inside, ["feature"], "value", ["cnt"], descending=False)
+    meta = stats.join(below, "feature")
+    k1 = F.floor((F.col("n") - 1) / 2) - F.col("c_lo")
+    k2 = F.floor(F.col("n") / 2) - F.col("c_lo")
+    j2 = cum.join(meta, "feature").withColumn("before", F.col("cnt_cum") - F.col("cnt"))
 
     def hit(k):
         return (F.col("before") <= k) & (k < F.col("cnt_cum"))
 
-    mid = j.groupBy("feature").agg(F.max(F.when(hit(k1), F.col("value"))).alias("v1"),
-                                   F.max(F.when(hit(k2), F.col("value"))).alias("v2"))
-    return mid.select("feature", ((F.col("v1") + F.col("v2")) / 2).alias("median"))
+    mid = j2.groupBy("feature").agg(F.max(F.when(hit(k1), F.col("value"))).alias("v1"),
+                                    F.max(F.when(hit(k2), F.col("value"))).alias("v2"))
+    checked = F.when(F.col("v1").isNull() | F.col("v2").isNull(), F.raise_error(F.lit(
+        "median bracket missed the middle ranks; raise the accuracy"))).otherwise(
+        (F.col("v1") + F.col("v2")) / 2)
+    return mid.select("feature", checked.cast("double").alias("median"))
 
 
 def category_vocab(df: DataFrame, cols: list[str] = CATEGORICAL_FEATURES,
@@ -127,17 +154,19 @@ def fit_features(train: DataFrame, numeric: list[str] = NUMERIC_FEATURES,
     are read by every statistic, so their lineage is cut once."""
     cols = list(dict.fromkeys(list(numeric) + list(categorical)))
     train = materialize(train.select(*cols))
-    med = {r["feature"]: r["median"] for r in exact_medians(train, numeric).collect()}
+    med = ({r["feature"]: r["median"] for r in exact_medians(train, numeric).collect()}
+           if numeric else {})
     # sklearn drops an all-null column; we keep the width and impute 0.0 there
     med = {c: (med.get(c) if med.get(c) is not None else 0.0) for c in numeric}
     imputed = train.select(*[F.coalesce(F.col(c).cast("double"), F.lit(med[c])).alias(c)
                              for c in numeric])
-    row = imputed.agg(*[F.avg(c).alias(f"m_{c}") for c in numeric],
-                      *[F.stddev_pop(c).alias(f"s_{c}") for c in numeric]).first()
+    row = (imputed.agg(*[F.avg(c).alias(f"m_{c}") for c in numeric],
+                       *[F.stddev_pop(c).alias(f"s_{c}") for c in numeric]).first()
+           if numeric else {})
     means = {c: float(row[f"m_{c}"] or 0.0) for c in numeric}
     stds = {c: (float(row[f"s_{c}"]) if row[f"s_{c}"] else 1.0) for c in numeric}
     vocab: dict = {c: [] for c in categorical}
-    for r in category_vocab(train, categorical, fill).collect():
+    for r in (category_vocab(train, categorical, fill).collect() if categorical else []):
         vocab[r["feature"]].append(r["value"])
     vocab = {c: sorted(v) for c, v in vocab.items()}
     return FeatureModel(med, means, stds, vocab, list(numeric), list(categorical), fill)
