@@ -103,7 +103,7 @@ def _bucket_table(df: DataFrame, strata: list[str]) -> DataFrame:
 def assign_segments(df: DataFrame, order: list[str | Column], cuts: Column | None = None,
                     fractions: list[float] | None = None, strata: list[str] | None = None,
                     out: str = "segment", rank_col: str | None = None,
-                    bounded_strata: bool = False, rank_plan: str = "range") -> DataFrame:
+                    bounded_strata: bool = False, rank_plan: str = "auto") -> DataFrame:
     """Segment index of each row's global rank r (0-based, within its stratum):
     ``segment = #{cut <= r}``.  ``df`` must carry a monotone bucket column ``_b``.
 
@@ -114,7 +114,9 @@ def assign_segments(df: DataFrame, order: list[str | Column], cuts: Column | Non
     names (``bounded_strata``); otherwise Spark joins it by its measured size.
     ``rank_plan``: ``range`` ranks straddling buckets through range partitions on the full
     order key (a hot leading value is split by the tie-breakers); ``window`` ranks each such
-    bucket in one task - right for hash orders, whose buckets are uniform by construction.
+    bucket in one task - right for hash orders, whose buckets are uniform by construction;
+    ``auto`` reads the largest straddling bucket's size from the small bucket table and
+    uses ``window`` when it is task-sized, ``range`` otherwise.
     """
     strata = strata or []
     table = _bucket_table(df, strata)
@@ -133,6 +135,10 @@ def assign_segments(df: DataFrame, order: list[str | Column], cuts: Column | Non
     mixed = joined.where(F.col("_seg_lo") != F.col("_seg_hi"))
     # rows of straddling buckets only; ranked by range partitions, so a hot bucket (one order
     # value holding a third of the rows) is still split across tasks
+    if rank_plan == "auto":
+        biggest = (table.where(F.col("_seg_lo") != F.col("_seg_hi"))
+                   .agg(F.max("_cnt").alias("m")).first()["m"] or 0)
+        rank_plan = "window" if biggest <= TARGET_ROWS_PER_BUCKET else "range"
     if rank_plan == "range":
         mixed = dense_index(mixed, order, strata=keys, out="_in_bucket")
     else:

@@ -64,3 +64,14 @@ def test_ratio_split_and_union(spark):
     assert u.count() == 500
     first = sm.restore_order(s).first()
     assert first["ts"] == min(r["ts"] for r in s.collect())
+
+
+def test_segments_range_plan_matches_window_plan(spark):
+    from flowlens.plans.ordering import assign_segments, quantile_buckets
+    rows = [(5.0 if i % 3 == 0 else float(i), f"C{i:04d}") for i in range(400)]
+    df = quantile_buckets(spark.createDataFrame(rows, "ts double, uid string"), "ts", 4)
+    a = assign_segments(df, ["ts", "uid"], fractions=[0.3, 0.8], rank_plan="range")
+    b = assign_segments(df, ["ts", "uid"], fractions=[0.3, 0.8], rank_plan="window")
+    ga = {r["uid"]: r["segment"] for r in a.collect()}
+    assert ga == {r["uid"]: r["segment"] for r in b.collect()}
+    assert sorted(ga.values()).count(0) == 120 and sorted(ga.values()).count(1) == 200
