@@ -19,10 +19,11 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.operators.decisions import decide, positive_score
 from flowlens.operators.features import FeatureModel
 from flowlens.operators.metrics import metric_delta, scorecard, select_model
 from flowlens.operators.profile import with_class_weight
@@ -76,11 +77,10 @@ def prepare_sequences(fm: FeatureModel, df: DataFrame, order: list[str], keep: l
 def score(model: PipelineModel, df: DataFrame, name: str, dataset: str, key: str,
           y: str = "y", t: float = 0.5) -> DataFrame:
     """K4 (+ P18, P13): SCORED rows (model, dataset, key, y, score, pred)."""
-    out = model.transform(df)
-    return out.select(F.lit(name).alias("model"), F.lit(dataset).alias("dataset"),
-                      F.col(key).alias("key"), F.col(y).cast("int").alias("y"),
-                      vector_to_array("probability")[1].alias("score")) \
-        .withColumn("pred", (F.col("score") >= F.lit(float(t))).cast("int"))
+    out = positive_score(model.transform(df), out="_score")
+    return decide(out.select(F.lit(name).alias("model"), F.lit(dataset).alias("dataset"),
+                             F.col(key).alias("key"), F.col(y).cast("int").alias("y"),
+                             F.col("_score").alias("score")), t)
 
 
 @dataclass

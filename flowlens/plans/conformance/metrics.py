@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flowlens.functions.columns import threshold
 from flowlens.operators import metrics as mt
+from flowlens.operators.decisions import score_pair
 from flowlens.plans import views
 
 G = ["model", "dataset"]
@@ -33,7 +34,7 @@ def q_threshold_decision(spark, sf):
 
 
 def q_score_pair(spark, sf):
-    s = views.score_view(spark, sf).withColumn("pair", F.array(1 - F.col("score"), F.col("score")))
+    s = score_pair(views.score_view(spark, sf))
     return s.select("key", F.round(F.col("pair")[0], 6).alias("p0"),
                     F.round(F.col("pair")[1], 6).alias("p1"))
 

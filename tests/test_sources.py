@@ -70,3 +70,16 @@ def test_pipeline_persistence(spark, tmp_path):
     unseen = spark.createDataFrame([(1.0, 1.0, "icmp", 0)], df.schema)
     v = fm.transform(unseen).first()["features"].toArray()
     assert list(v[2:]) == [0.0, 0.0]
+
+
+def test_csv_split_and_scorecard_sink(spark, tmp_path):
+    p = tmp_path / "val.csv"
+    p.write_text(HEADER.replace("\t", ",") + "\n" + "\n".join(r.replace("\t", ",") for r in ROWS) + "\n")
+    df = connlog.read_csv_split(spark, str(p))
+    assert df.count() == 3 and df.orderBy("ts").first()["orig_bytes"] == 48.0
+    from flowlens.operators.metrics import scorecard
+    scored = spark.createDataFrame([("m", 0.9, 1), ("m", 0.2, 0)], "model string, score double, y int")
+    out = str(tmp_path / "card")
+    sinks.write_scorecard(scorecard(scored, ["model"], threshold=0.5), out)
+    back = spark.read.parquet(out).first()
+    assert (back["tp"], back["tn"], back["f1"]) == (1, 1, 1.0)
