@@ -51,25 +51,41 @@ def auto_buckets(df: DataFrame, target: int = TARGET_ROWS_PER_BUCKET, floor: int
     return int(max(floor, min(MAX_BUCKETS, -(-n // target))))
 
 
+GRID = 1024
+
+
 def quantile_buckets(df: DataFrame, c: str, n_buckets: int | None = None,
                      accuracy: int | None = None, out: str = BUCKET) -> DataFrame:
     """Bucket id non-decreasing in column ``c``, balanced by approximate quantiles.
 
-    ``n_buckets=None`` sizes the buckets from the row count (one count job), so a bucket is a
-    task-sized sort at any scale.  One aggregate job computes ``n_buckets - 1`` boundaries (a
-    bounded literal); a binary search (``Bucketizer``) assigns buckets without any join.
+    ``n_buckets=None`` sizes the buckets from the row count (about 2M rows per bucket), so a
+    bucket is a task-sized sort at any scale.  One aggregate pass returns the count and a
+    grid of 1,024 quantiles; the boundaries are taken from that grid (a second, finer pass is
+    needed only beyond ~2 billion rows).  A binary search (``Bucketizer``) assigns buckets
+    without any join; the boundaries are a bounded literal.
     """
-    if n_buckets is None:
-        n_buckets = auto_buckets(df)
-    accuracy = accuracy or max(10000, 4 * n_buckets)
     tmp = "_qk"
     keyed = df.withColumn(tmp, numeric_key(df, c))
-    if n_buckets <= 1:
+    if n_buckets is not None and n_buckets <= 1:
         return keyed.drop(tmp).withColumn(out, F.lit(0))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    row = keyed.agg(F.percentile_approx(tmp, probs, accuracy).alias("q")).first()
-    qs = sorted({float(v) for v in (row["q"] or []) if v is not None})
-    splits = [float("-inf")] + [q for q in qs if q != float("-inf")] + [float("inf")]
+    grid_n = n_buckets if n_buckets is not None else GRID
+    acc = accuracy or max(10000, 4 * grid_n)
+    row = keyed.agg(F.count(F.lit(1)).alias("n"),
+                    F.percentile_approx(tmp, [i / grid_n for i in range(1, grid_n)], acc)
+                    .alias("q")).first()
+    grid = [float(v) for v in (row["q"] or []) if v is not None]
+    if n_buckets is None:
+        want = int(max(16, min(MAX_BUCKETS, -(-int(row["n"]) // TARGET_ROWS_PER_BUCKET))))
+        if want <= GRID:
+            step = GRID / want
+            grid = [grid[min(len(grid) - 1, int(round(i * step)) - 1)]
+                    for i in range(1, want)] if grid else []
+        else:
+            probs = [i / want for i in range(1, want)]
+            q = keyed.agg(F.percentile_approx(tmp, probs, max(10000, 4 * want))).first()[0]
+            grid = [float(v) for v in (q or []) if v is not None]
+    qs = sorted(set(grid))
+    splits = [float("-inf")] + [x for x in qs if x != float("-inf")] + [float("inf")]
     if len(splits) < 3:
         return keyed.drop(tmp).withColumn(out, F.lit(0))
     b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
