@@ -61,7 +61,7 @@ def sequence_windows(df: DataFrame, order: list[str], values: list[str],
          .rowsBetween(-halo, Window.currentRow))
     framed = (exploded.withColumn("members", F.collect_list(member).over(w))
               .where(F.col("_blk") == F.col("_home")))
-    n_real = F.size("members")
+    n_real = F.size("members").cast("bigint")
     out = framed.withColumn("n_real", n_real)
     if not pad:
         out = out.where(F.col("n_real") == length)

@@ -67,7 +67,7 @@ def q_one_hot(spark, sf):
     m = model(spark, sf)
     p = m.transform(clean(spark, sf))
     e = p.select("uid", F.posexplode(F.array(*m.onehot_cols)).alias("slot", "v"))
-    return e.where(F.col("v") == 1.0).select("uid", "slot")
+    return e.where(F.col("v") == 1.0).select("uid", F.col("slot").cast("bigint").alias("slot"))
 
 
 def _ablated(spark, sf, **kw):
