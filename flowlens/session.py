@@ -39,9 +39,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder of the session; a scratch folder is made only when unset."""
-    jsc = spark.sparkContext._jsc.sc()
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """Shared checkpoint folder of the session; a scratch folder is made only when unset.
+    Under Spark Connect there is no driver context here: the server's own
+    ``spark.checkpoint.dir`` applies and is only read."""
+    try:
+        jsc = spark.sparkContext._jsc.sc()
+    except Exception:  # noqa: BLE001 - Spark Connect session
+        try:
+            return spark.conf.get(_CKPT_KEY, None)
+        except Exception:  # noqa: BLE001
+            return None
     if jsc.getCheckpointDir().isDefined():
         return jsc.getCheckpointDir().get()
     configured = spark.sparkContext.getConf().get(_CKPT_KEY, None)

@@ -81,3 +81,14 @@ def test_totals_and_shuffle_invariance(spark, pkts, rnd):
     shuffled = list(rows)
     rnd.shuffle(shuffled)
     assert _flows(spark, shuffled) == _flows(spark, rows)
+
+
+def test_flags_proto_key_and_missing_service(spark):
+    rows = [(1, 1.0, "10.0.0.1", "10.0.0.2", "tcp", 1000, 2000, 0, 60),
+            (2, 1.1, "10.0.0.1", "10.0.0.2", "udp", 1000, 2000, 5, 65),
+            (3, 1.2, "10.0.0.2", "10.0.0.1", "tcp", 2000, 1000, 0, 60)]
+    assert len(_flows(spark, rows)) == 1                      # endpoint pair only (reference)
+    f = _flows(spark, rows, key_includes_proto=True)
+    assert sorted(f) == [1, 2]
+    assert (f[1]["history"], f[1]["conn_state"]) == ("sa", "SF") and f[2]["history"] == "d"
+    assert all(v["service"] == "unknown" for v in _flows(spark, rows, missing_service="unknown").values())
