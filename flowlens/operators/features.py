@@ -33,7 +33,7 @@ def _long(df: DataFrame, cols: list[str], dtype: str) -> DataFrame:
 
 
 def exact_medians(df: DataFrame, cols: list[str] = NUMERIC_FEATURES,
-                  accuracy: int = 100_000) -> DataFrame:
+                  accuracy: int = 100_000, checkpoint: bool = True) -> DataFrame:
     """(feature, median) ignoring nulls; mean of the two middle values for even counts.
 
     Exact, in two passes that never move a whole column:
@@ -47,6 +47,8 @@ def exact_medians(df: DataFrame, cols: list[str] = NUMERIC_FEATURES,
     value.
     """
     eps = 3.0 / accuracy
+    # the columns are read by three passes (bracket, below-count, inside): cut lineage once
+    df = materialize(df.select(*cols), checkpoint)
     long = _long(df, cols, "double").where(F.col("value").isNotNull())
     stats = long.groupBy("feature").agg(
         F.count(F.lit(1)).alias("n"),
@@ -154,7 +156,7 @@ def fit_features(train: DataFrame, numeric: list[str] = NUMERIC_FEATURES,
     are read by every statistic, so their lineage is cut once."""
     cols = list(dict.fromkeys(list(numeric) + list(categorical)))
     train = materialize(train.select(*cols))
-    med = ({r["feature"]: r["median"] for r in exact_medians(train, numeric).collect()}
+    med = ({r["feature"]: r["median"] for r in exact_medians(train, numeric, checkpoint=False).collect()}
            if numeric else {})
     # sklearn drops an all-null column; we keep the width and impute 0.0 there
     med = {c: (med.get(c) if med.get(c) is not None else 0.0) for c in numeric}
