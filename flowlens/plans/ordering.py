@@ -102,8 +102,15 @@ def hash_bucket(h: Column, hex_digits: int = 4) -> Column:
     return F.conv(F.substring(h, 1, hex_digits), 16, 10).cast("int")
 
 
-def _maybe_broadcast(small: DataFrame, bounded: bool) -> DataFrame:
-    return F.broadcast(small) if bounded else small
+def _join_null_safe(big: DataFrame, small: DataFrame, keys: list[str],
+                    broadcast: bool = False) -> DataFrame:
+    """Equi-join on ``keys`` where NULL matches NULL (a NULL stratum is still a stratum);
+    ``broadcast`` only for a small side whose size is bounded."""
+    ren = small.select(*[F.col(c).alias(f"_k_{c}") if c in keys else F.col(c)
+                         for c in small.columns])
+    ren = F.broadcast(ren) if broadcast else ren
+    cond = [big[k].eqNullSafe(ren[f"_k_{k}"]) for k in keys]
+    return big.join(ren, cond).drop(*[f"_k_{k}" for k in keys])
 
 
 def _bucket_table(df: DataFrame, strata: list[str]) -> DataFrame:
@@ -145,7 +152,7 @@ def assign_segments(df: DataFrame, order: list[str | Column], cuts: Column | Non
                  "_cuts", lambda c: c <= F.col("_before") + F.col("_cnt") - 1))))
     keys = strata + [BUCKET]
     small = table.select(*keys, "_before", "_cuts", "_seg_lo", "_seg_hi", "_total")
-    joined = df.join(_maybe_broadcast(small, not strata or bounded_strata), keys)
+    joined = _join_null_safe(df, small, keys, broadcast=not strata or bounded_strata)
     whole = (joined.where(F.col("_seg_lo") == F.col("_seg_hi"))
              .withColumn(out, F.col("_seg_lo")))
     mixed = joined.where(F.col("_seg_lo") != F.col("_seg_hi"))
@@ -203,7 +210,7 @@ def dense_index(df: DataFrame, order: list[str | Column], strata: list[str] | No
     offsets = counts.select("_di_pid", *strata, "_di_first", F.coalesce(
         F.sum("_di_cnt").over(w), F.lit(0)).cast("bigint").alias("_di_before"))
     # without strata the table has one row per range partition: a bounded broadcast
-    joined = tagged.join(_maybe_broadcast(offsets, not strata), ["_di_pid", *strata])
+    joined = _join_null_safe(tagged, offsets, ["_di_pid", *strata], broadcast=not strata)
     return (joined.withColumn(out, F.col("_di_before") + F.col("_di_local") - F.col("_di_first"))
             .drop("_di_pid", "_di_local", "_di_first", "_di_before"))
 

@@ -75,3 +75,13 @@ def test_segments_range_plan_matches_window_plan(spark):
     ga = {r["uid"]: r["segment"] for r in a.collect()}
     assert ga == {r["uid"]: r["segment"] for r in b.collect()}
     assert sorted(ga.values()).count(0) == 120 and sorted(ga.values()).count(1) == 200
+
+
+def test_null_stratum_is_a_stratum(spark):
+    rows = [(float(i), f"C{i:03d}", None if i % 4 == 0 else (i % 2 == 0)) for i in range(200)]
+    df = spark.createDataFrame(rows, "ts double, uid string, grp boolean")
+    s = sm.stratified_sample(df, "grp", {None: 10, True: 20, False: 30})
+    c = {r["grp"]: r["count"] for r in s.groupBy("grp").count().collect()}
+    assert c == {None: 10, True: 20, False: 30}
+    idx = dense_index(df, ["ts", "uid"], strata=["grp"], n_partitions=3)
+    assert idx.where("grp is null").agg(F.max("_i")).first()[0] == 49
