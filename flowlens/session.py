@@ -31,7 +31,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .config("spark.checkpoint.compress", "true")
         .config("spark.driver.memory", os.environ.get("FLOWLENS_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()
