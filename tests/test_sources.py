@@ -1,4 +1,3 @@
-import os
 
 from flowlens.operators import features as ft
 from flowlens.operators import models as md
