@@ -82,3 +82,21 @@ def test_csv_split_and_scorecard_sink(spark, tmp_path):
     sinks.write_scorecard(scorecard(scored, ["model"], threshold=0.5), out)
     back = spark.read.parquet(out).first()
     assert (back["tp"], back["tn"], back["f1"]) == (1, 1, 1.0)
+
+
+def test_entrypoints_profile_and_calibration(spark, tmp_path):
+    from flowlens.plans import entrypoints as ep
+    body = []
+    for i in range(60):
+        lab = "Benign" if i % 3 else "Malicious"
+        body.append(f"{1545403550 + i}.5\tC{i:03d}\t192.168.1.1\t{1000 + i}\t10.0.0.1\t23\ttcp\t\t1.0\t1.0\t0.0\t"
+                    f"S0\t\t\t0\tS\t1\t60\t0\t0\t\t{lab}\t")
+    p = tmp_path / "log.tsv"
+    p.write_text(HEADER + "\n" + "\n".join(body) + "\n")
+    prof = {r["split"]: r for r in ep.profile_splits(spark, {"cal": str(p)}).collect()}
+    assert (prof["cal"]["benign"], prof["cal"]["attack"], prof["cal"]["class_ratio"]) == (40, 20, "1:2.00")
+    assert prof["cal"]["severity"] == "Moderate Imbalance" and prof["cal"]["mb"] > 0
+    out = str(tmp_path / "cal")
+    ep.draw_calibration_set(spark, str(p), out, n_benign=12, n_attack=8)
+    back = connlog.read_conn_log(spark, out)
+    assert back.count() == 20 and "is_benign" not in back.columns
