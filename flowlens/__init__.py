@@ -2,7 +2,7 @@
 
 Every public operator is a function ``DataFrame -> DataFrame`` built from Spark's own
 expressions (Catalyst plans, whole-stage codegen); the few places that need Python run
-as Arrow-batched ``mapInPandas``.
+as Arrow-batched ``mapInArrow``.
 """
 
 from flowlens.session import get_session, checkpoint_dir

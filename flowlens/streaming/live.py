@@ -11,7 +11,7 @@ Stream plan (append mode):
                                                             once the watermark passes it)
           --foreachBatch--> the closed windows' flows       (append mode emits all flows of a
               -> batch twin: halo 5-flow sequences per      window in one micro-batch)
-                 window -> score (mapInPandas) -> decisions
+                 window -> score (mapInArrow) -> decisions
               -> parquet folder of the batch id, overwritten on replay (idempotent sink)
 No window's flows are ever gathered into one row or one task.
 """
