@@ -78,3 +78,19 @@ def imbalance_severity(benign: Column, attack: Column) -> Column:
             .when(ratio > F.lit(4.0), F.lit("Severe Imbalance"))
             .when(ratio > F.lit(1.5), F.lit("Moderate Imbalance"))
             .otherwise(F.lit("Low Imbalance")))
+
+
+def ntz_micros(c: str | Column) -> Column:
+    """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ, independent of the session time
+    zone (a cast to TIMESTAMP would read the wall time in the session's zone)."""
+    epoch = F.make_timestamp_ntz(F.lit(1970), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    return F.timestamp_diff("MICROSECOND", epoch, col(c))
+
+
+def epoch_micros(c: str | Column, dtype) -> Column:
+    """Microseconds since the epoch of a TIMESTAMP (an instant) or TIMESTAMP_NTZ (read as
+    UTC wall time, like Zeek and DuckDB do)."""
+    from pyspark.sql import types as T
+    if isinstance(dtype, T.TimestampNTZType):
+        return ntz_micros(c)
+    return F.unix_micros(col(c))

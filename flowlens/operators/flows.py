@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowlens.functions.columns import conn_state, service_from_ports
+from flowlens.functions.columns import conn_state, epoch_micros, service_from_ports
 from flowlens.schema import HISTORY_LEN, PACKET_PROTOCOLS
 
 
@@ -30,15 +30,17 @@ def seconds_of(df: DataFrame, c: str = "ts") -> Column:
     """Event time as DOUBLE seconds (timestamps via microseconds; doubles kept as they are)."""
     dt = df.schema[c].dataType
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(c).cast("timestamp")).cast("double") / F.lit(1_000_000.0)
+        return epoch_micros(c, dt).cast("double") / F.lit(1_000_000.0)
     return F.col(c).cast("double")
 
 
 def event_time_of(df: DataFrame, c: str = "ts") -> Column:
     """Event time as TIMESTAMP (for windows and watermarks)."""
     dt = df.schema[c].dataType
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return F.col(c).cast("timestamp")
+    if isinstance(dt, T.TimestampType):
+        return F.col(c)
+    if isinstance(dt, T.TimestampNTZType):
+        return F.timestamp_micros(epoch_micros(c, dt))
     return F.timestamp_seconds(F.col(c))
 
 

@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowlens.functions.columns import epoch_micros
+
 BUCKET = "_b"
 
 
@@ -33,7 +35,7 @@ def numeric_key(df: DataFrame, c: str) -> Column:
     """An order-preserving DOUBLE for a numeric or timestamp column (nulls first)."""
     dt = df.schema[c].dataType
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        x = F.unix_micros(F.col(c).cast("timestamp")).cast("double")
+        x = epoch_micros(c, dt).cast("double")
     elif isinstance(dt, T.DateType):
         x = F.unix_date(F.col(c)).cast("double")
     else:

@@ -11,14 +11,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowlens.functions.columns import ntz_micros
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _epoch_seconds(ts) -> "F.Column":
-    # NTZ -> TIMESTAMP under a UTC session keeps the wall time; micros / 1e6 as DOUBLE
-    return F.unix_micros(ts.cast("timestamp")).cast("double") / F.lit(1_000_000.0)
+    # NTZ wall time read as UTC, whatever the session time zone; micros / 1e6 as DOUBLE
+    return ntz_micros(ts).cast("double") / F.lit(1_000_000.0)
 
 
 def conn_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +103,7 @@ def packet_view(spark: SparkSession, sf_dir: str, filtered: bool = True) -> Data
     payload = F.when(eid % 4 == 0, 0).otherwise((eid * 37) % 900)
     out = e.select(
         eid.alias("arrival_seq"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        F.timestamp_micros(ntz_micros(F.col("ts"))).alias("ts"),
         F.when(server_sends, sip).otherwise(cip).alias("src_ip"),
         F.when(server_sends, cip).otherwise(sip).alias("dst_ip"),
         proto.alias("proto"),
