@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from flowlens.session import checkpoint_dir
 
@@ -36,29 +37,20 @@ def map_rows(df: DataFrame, ddl: str, make: Callable[[], Callable], budget: int
     characters of text at a time, or with one longer text, which bounds a task's memory.
     """
     schema = output_schema(df, ddl)
+    names, types = schema.names, [to_arrow_type(f.dataType) for f in schema.fields[1:]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = None
         work = make()
         for batch in batches:
-            if types is None:
-                types = [batch.schema.field(0).type, *arrow_types(ddl)]
             ids, column = batch.column(0), batch.column(1)
             for start, stop, part in text_runs(column, budget):
                 cols = work(part)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(start, stop - start), *(pa.array(c, t) for c, t in zip(cols, types[1:]))],
-                    names=[f.name for f in schema.fields])
+                    [ids.slice(start, stop - start), *(pa.array(c, t) for c, t in zip(cols, types))], names=names)
 
     return df.mapInArrow(run, schema)
 
 
-def arrow_types(ddl: str) -> list[pa.DataType]:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return [to_arrow_type(f.dataType) for f in T.StructType.fromDDL(ddl).fields]
-
-
 def text_runs(column: pa.Array, budget: int) -> Iterator[tuple[int, int, list[str]]]:
     """Consecutive runs (start, stop, texts) of a string column of some ``budget`` characters."""
     start, size, part = 0, 0, []

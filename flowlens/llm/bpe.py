@@ -114,10 +114,11 @@ def decode(tokens: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", *, r
     columns of ``tokens`` that go along."""
     spark = tokens.sparkSession
     shared = spark.sparkContext.broadcast(load_ranks(rank_path or public_tokenizers.path(RANK_FILE)))
-    rows = tokens.select(tokens[id_col].alias("doc_id"), tokens[ids_col].alias("ids"), *(tokens[c] for c in keep))
+    rows = tokens.select(tokens[id_col].alias("doc_id"), tokens[ids_col].alias("_coded"), *(tokens[c] for c in keep))
     schema = output_schema(rows, "decoded binary")
     for c in keep:
         schema.add(tokens.schema[c])
+    names = schema.names
 
     def run(batches):
         split, _ = encoders(shared.value, pattern)
@@ -127,7 +128,7 @@ def decode(tokens: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", *, r
                 x = x.as_py() or []
                 out.append(split.decode_bytes(np.frombuffer(x, "<u4").tolist() if isinstance(x, bytes) else x))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary()), *batch.columns[2:]],
-                                             names=schema.names)
+                                             names=names)
 
     return rows.mapInArrow(run, schema)
 

@@ -6,10 +6,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowlens.llm import bpe, token_counts
+from flowlens.llm import bpe, decontamination, sharding, token_counts
 from flowlens.llm.base import read_table
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assignment(read_table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"))
 
@@ -18,5 +26,5 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_token_counts, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op3_decontamination, op4_sharding, op5_token_counts, op10_byte_bpe)}
 ORACLE: dict[str, str] = {}
