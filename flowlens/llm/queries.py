@@ -6,8 +6,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowlens.llm import bpe, decontamination, sharding, token_counts
-from flowlens.llm.base import read_table
+from flowlens.llm import bpe, decontamination, sharding, token_counts, warc
+from flowlens.llm.base import read_table, scratch
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.pages_read_back(read_table(spark, sf_dir, "pages"), scratch(spark, "warc"))
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,5 +30,5 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_decontamination, op4_sharding, op5_token_counts, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op2_warc, op3_decontamination, op4_sharding, op5_token_counts, op10_byte_bpe)}
 ORACLE: dict[str, str] = {}
