@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowlens.llm import bpe, decontamination, sharding, token_counts, warc
+from flowlens.llm import bpe, decontamination, sharding, simhash, token_counts, warc
 from flowlens.llm.base import read_table, scratch
 
 
@@ -26,9 +26,13 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_warc, op3_decontamination, op4_sharding, op5_token_counts, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op2_warc, op3_decontamination, op4_sharding, op5_token_counts, op7_simhash, op10_byte_bpe)}
 ORACLE: dict[str, str] = {}
