@@ -6,10 +6,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowlens.llm import bpe, decontamination, sharding, simhash, token_counts, warc
+from flowlens.llm import bpe, decontamination, quality, sharding, simhash, token_counts, toxicity, warc
 from flowlens.llm.base import read_table, scratch
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.pages_read_back(read_table(spark, sf_dir, "pages"), scratch(spark, "warc"))
 
@@ -26,6 +30,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -34,5 +42,6 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_warc, op3_decontamination, op4_sharding, op5_token_counts, op7_simhash, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_warc, op3_decontamination, op4_sharding, op5_token_counts, op6_quality,
+                                   op7_simhash, op10_byte_bpe)}
 ORACLE: dict[str, str] = {}
