@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowlens.llm import bpe, decontamination, quality, secret_scan, sharding, simhash, token_counts, toxicity, warc
+from flowlens.llm import bpe, decontamination, edit_embedding, quality, secret_scan, sharding, simhash, token_counts, toxicity, warc
 from flowlens.llm.base import read_table, scratch
 
 
@@ -38,6 +38,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op8_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_embedding.with_edits(read_table(spark, sf_dir, "documents"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(read_table(spark, sf_dir, "documents"))
 
@@ -47,5 +51,5 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_warc, op3_decontamination, op4_sharding, op5_token_counts, op6_quality,
-                                   op7_simhash, op9_secret_scan, op10_byte_bpe)}
+                                   op7_simhash, op8_edit_fingerprints, op9_secret_scan, op10_byte_bpe)}
 ORACLE: dict[str, str] = {}
