@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flowlens.llm import bpe, decontamination, edit_embedding, quality, secret_scan, sharding, simhash, token_counts, toxicity, warc
 from flowlens.llm.base import read_table, scratch
+from flowlens.llm.oracle import ORACLE  # noqa: F401
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,4 +53,3 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_warc, op3_decontamination, op4_sharding, op5_token_counts, op6_quality,
                                    op7_simhash, op8_edit_fingerprints, op9_secret_scan, op10_byte_bpe)}
-ORACLE: dict[str, str] = {}
