@@ -35,7 +35,7 @@ from flowlens.llm.base import map_rows, settle, texts
 from flowlens.llm.components import components, forest
 
 SHINGLE, RADIUS, HASH_SEED = 3, 2, 42
-TILE = 2048
+TILE = 32_768
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
