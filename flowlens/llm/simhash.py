@@ -173,9 +173,10 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     ident = F.struct(docs[id_col].isNull().alias("none"), docs[id_col].alias("id"), row_key.alias("key"))
     found = classes(fingerprints(docs.select(ident.alias("doc_id"), text.alias("text")), shingle=shingle), radius, tile)
     kept = settle(found.where(F.col("doc_id.key") == F.col("component_id.key"))
-                  .groupBy(F.col("doc_id.key").alias("_kept_key")).agg(F.count(F.lit(1)).alias("_copies")))
-    rows = docs.join(kept, row_key == F.col("_kept_key"))
-    out = rows.where(F.col("_copies") == 1)
-    if not kept.where(F.col("_copies") > 1).isEmpty():
-        out = out.unionByName(rows.where(F.col("_copies") > 1).dropDuplicates(["_kept_key"]))
-    return out.select(*docs.columns)
+                  .groupBy(F.col("doc_id.key").alias("kept_key")).agg(F.count(F.lit(1)).alias("copies")))
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), row_key.alias("key"))
+    rows = whole.join(kept, F.col("key") == F.col("kept_key"))
+    out = rows.where(F.col("copies") == 1)
+    if not kept.where(F.col("copies") > 1).isEmpty():
+        out = out.unionByName(rows.where(F.col("copies") > 1).dropDuplicates(["key"]))
+    return out.select("row.*")
