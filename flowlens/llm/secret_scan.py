@@ -53,25 +53,32 @@ def least_pattern(pattern: str, group: int, least: int) -> str:
     return f"{pattern[:-1]}{{{least - fixed},}}"
 
 
+def once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is worked out once, however often f or a function inside names it."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def located(text: Column, pattern: str, matches: Column) -> Column:
     """Array of (start, end) of a pattern's matches in a text, given the matched strings."""
-    pieces = F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
+
+    def found(pieces: Column) -> Column:
+        def step(acc: Column, i: Column) -> Column:
+            begin = acc["at"] + F.char_length(F.element_at(pieces, i))
+            end = begin + F.char_length(F.element_at(matches, i))
+            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(begin.alias("start"), end.alias("end")))).alias("out"))
 
-    def step(acc: Column, i: Column) -> Column:
-        begin = acc["at"] + F.char_length(F.element_at(pieces, i))
-        end = begin + F.char_length(F.element_at(matches, i))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(begin.alias("start"), end.alias("end")))).alias("out"))
+        return F.aggregate(F.sequence(F.lit(1), F.size(matches)), zero, step, lambda acc: acc["out"])
 
-    found = F.aggregate(F.sequence(F.lit(1), F.size(matches)), start, step, lambda acc: acc["out"])
-    return F.when(F.size(matches) > 0, found).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+    return F.when(F.size(matches) > 0, once(F.split(text, pattern, -1), found)).otherwise(
+        F.array().cast("array<struct<start:int,end:int>>"))
 
 
 def window_spans(candidate: Column) -> Column:
     """Array of (start, end) of the joined windows of one candidate that reach their threshold."""
     weigh = F.array(*[F.lit(round(c * math.log2(c) * UNIT) if c else 0).cast("bigint") for c in range(WINDOW + 1)])
     most = {k: math.floor(WINDOW * UNIT * (math.log2(WINDOW) - t)) for k, t in THRESHOLDS.items()}
-    symbols = F.transform(F.split(candidate, ""), lambda ch: F.instr(F.lit(ALPHABET), ch))
+    every_symbol = F.transform(F.split(candidate, ""), lambda ch: F.instr(F.lit(ALPHABET), ch))
     zero = F.struct(F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"), F.lit(0).cast("bigint").alias("s"),
                     F.lit(0).alias("others"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
 
@@ -84,11 +91,11 @@ def window_spans(candidate: Column) -> Column:
     def named(parts: tuple[Column, Column, Column], out: Column) -> Column:
         return F.struct(parts[0].alias("counts"), parts[1].alias("s"), parts[2].alias("others"), out.alias("out"))
 
-    def leave(acc: Column, i: Column) -> Column:
+    def leave(acc: Column, i: Column, symbols: Column) -> Column:
         gone = change(acc["counts"], acc["s"], acc["others"], F.element_at(symbols, F.greatest(i - WINDOW, F.lit(1))), -1)
         return F.when(i > WINDOW, named(gone, acc["out"])).otherwise(acc)
 
-    def enter(acc: Column, i: Column) -> Column:
+    def enter(acc: Column, i: Column, symbols: Column) -> Column:
         return named(change(acc["counts"], acc["s"], acc["others"], F.element_at(symbols, i), 1), acc["out"])
 
     def judge(acc: Column, i: Column) -> Column:
@@ -100,14 +107,13 @@ def window_spans(candidate: Column) -> Column:
         out = F.when((i < WINDOW) | (acc["s"] > limit), acc["out"]).when(last["end"] >= begin, joined).otherwise(added)
         return named((acc["counts"], acc["s"], acc["others"]), out)
 
-    def once(value: Column, f: Callable[[Column], Column]) -> Column:
-        """f of a value that is worked out once, however often f names it."""
-        return F.element_at(F.transform(F.array(value), f), 1)
+    def over(symbols: Column) -> Column:
+        def step(acc: Column, i: Column) -> Column:
+            return once(once(leave(acc, i, symbols), lambda a: enter(a, i, symbols)), lambda a: judge(a, i))
 
-    def step(acc: Column, i: Column) -> Column:
-        return once(once(leave(acc, i), lambda a: enter(a, i)), lambda a: judge(a, i))
+        return F.aggregate(F.sequence(F.lit(1), F.size(symbols)), zero, step, lambda acc: acc["out"])
 
-    return F.aggregate(F.sequence(F.lit(1), F.char_length(candidate)), zero, step, lambda acc: acc["out"])
+    return once(every_symbol, over)
 
 
 def _long_enough(ranges: Column, parts: Column, least: int) -> Column:
@@ -119,34 +125,34 @@ def _spans(kind: str, rank: int, ranges: Column) -> Column:
                                                   F.lit(kind).alias("kind")))
 
 
-def with_spans(rows: DataFrame, text: str = "text", prefix: str = "_") -> DataFrame:
-    """Adds ``{prefix}base`` and ``{prefix}entropy`` to rows: arrays of (start, rank, end, kind)
-    in order of start and then of the kinds as listed."""
-    whole = F.coalesce(F.col(text), F.lit(""))
+def with_spans(rows: DataFrame) -> DataFrame:
+    """Adds ``base`` and ``entropy`` to rows that have a ``text``: arrays of (start, rank, end,
+    kind) in order of start and then of the kinds as listed."""
+    whole = F.coalesce(F.col("text"), F.lit(""))
     found, ranges = {}, {}
     for kind, pattern, group, least in BASE:
         used = least_pattern(pattern, group, least)
-        found[f"{prefix}{kind}"] = F.regexp_extract_all(whole, F.lit(used), F.lit(0))
+        found[kind] = F.regexp_extract_all(whole, F.lit(used), F.lit(0))
         if group:
-            found[f"{prefix}{kind}_group"] = F.regexp_extract_all(whole, F.lit(used), F.lit(group))
+            found[f"{kind}_group"] = F.regexp_extract_all(whole, F.lit(used), F.lit(group))
     candidate = f"{CANDIDATE}{{{WINDOW},}}"
-    found[f"{prefix}candidates"] = F.regexp_extract_all(whole, F.lit(candidate), F.lit(0))
+    found["candidates"] = F.regexp_extract_all(whole, F.lit(candidate), F.lit(0))
     rows = rows.withColumns(found)
     for rank, (kind, pattern, group, least) in enumerate(BASE):
-        at = located(whole, least_pattern(pattern, group, least), F.col(f"{prefix}{kind}"))
+        at = located(whole, least_pattern(pattern, group, least), F.col(kind))
         if group:
-            at = _long_enough(at, F.col(f"{prefix}{kind}_group"), least)
-        ranges[f"{prefix}{kind}_at"] = _spans(kind, rank, at)
-    texts_of = F.col(f"{prefix}candidates")
+            at = _long_enough(at, F.col(f"{kind}_group"), least)
+        ranges[f"{kind}_at"] = _spans(kind, rank, at)
+    texts_of = F.col("candidates")
     inside = F.zip_with(located(whole, candidate, texts_of), texts_of, lambda at, t: F.transform(
         F.filter(window_spans(t), lambda s: ~_allowed(F.substring(t, s["start"] + 1, s["end"] - s["start"]))),
         lambda s: F.struct((at["start"] + s["start"]).alias("start"), (at["start"] + s["end"]).alias("end"))))
-    ranges[f"{prefix}entropy"] = F.when(F.size(texts_of) > 0, _spans("entropy", len(BASE), F.flatten(inside))).otherwise(
+    ranges["entropy"] = F.when(F.size(texts_of) > 0, _spans("entropy", len(BASE), F.flatten(inside))).otherwise(
         F.array().cast(NO_SPANS))
     rows = rows.withColumns(ranges)
-    base = F.array_sort(F.concat(*[F.col(f"{prefix}{kind}_at") for kind, *_ in BASE]))
-    extra = [c for c in {**found, **ranges} if c != f"{prefix}entropy"]
-    return rows.withColumn(f"{prefix}base", base).drop(*extra)
+    base = F.array_sort(F.concat(*[F.col(f"{kind}_at") for kind, *_ in BASE]))
+    extra = [c for c in {**found, **ranges} if c != "entropy"]
+    return rows.withColumn("base", base).drop(*extra)
 
 
 def _allowed(text: Column) -> Column:
@@ -158,7 +164,7 @@ def _allowed(text: Column) -> Column:
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, base, entropy): spans (start, rank, end, kind) of every row's whole text."""
-    return with_spans(texts(docs, id_col, text_col), prefix="").select("doc_id", "base", "entropy")
+    return with_spans(texts(docs, id_col, text_col)).select("doc_id", "base", "entropy")
 
 
 def joined(spans: Column) -> Column:
@@ -178,11 +184,10 @@ def report(docs: DataFrame, **options) -> DataFrame:
 def redact(docs: DataFrame, text_col: str = "text", mark: str = MARK) -> DataFrame:
     """``docs`` with all of its columns, every secret's characters replaced by ``mark``; spans
     that overlap or touch are one.  A text without secrets stays as it is."""
-    prefix = "_secret_"
-    rows = with_spans(docs, text_col, prefix)
-    spans = F.array_sort(F.concat(f"{prefix}base", f"{prefix}entropy"))
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    rows = with_spans(docs.select(row, docs[text_col].cast("string").alias("text")))
+    spans, text = F.array_sort(F.concat("base", "entropy")), F.col("text")
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    text = F.col(text_col)
 
     def step(acc: Column, s: Column) -> Column:
         before = F.when(s["start"] > acc["at"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"])).otherwise("")
@@ -191,4 +196,5 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = MARK) -> DataFra
                         F.when(new, F.concat(acc["out"], before, F.lit(mark))).otherwise(acc["out"]).alias("out"))
 
     clean = F.aggregate(spans, zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
-    return rows.withColumn(text_col, F.when(F.size(spans) > 0, clean).otherwise(text)).select(*docs.columns)
+    masked = F.when(F.size(spans) > 0, clean).otherwise(text)
+    return rows.select(*[masked.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
