@@ -1,10 +1,8 @@
 """Feature preparation.
 
 Fit = three small aggregate jobs over the training rows:
-  * exact medians of the 8 numeric columns: a ``percentile_approx`` bracket with a bounded
-    rank error, then only the rows inside it are counted per distinct value and prefix-summed
-    to read the two middle ranks - exact like the reference's median imputer, yet no column
-    is ever shuffled whole;
+  * exact medians of the 8 numeric columns by counting buckets and refining the middle ones,
+    exact like the reference's median imputer, yet no column is ever shuffled whole;
   * mean and *population* std of the imputed columns (one partial+final aggregate; Spark ML's
     ``StandardScaler`` uses the sample std and is not used);
   * sorted vocabulary per categorical column after 'unknown' imputation (distinct, shuffled).
@@ -19,11 +17,11 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlens.plans.materialize import materialize
-from flowlens.plans.ordering import bucketed_cumsum
+from flowlens.plans.ordering import TARGET_ROWS_PER_BUCKET, bucket_count, bucket_of, sampled_bounds
 from flowlens.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES, UNKNOWN_CATEGORY
 
 
@@ -33,50 +31,59 @@ def _long(df: DataFrame, cols: list[str], dtype: str) -> DataFrame:
 
 
 def exact_medians(df: DataFrame, cols: list[str] = NUMERIC_FEATURES,
-                  accuracy: int = 100_000, checkpoint: bool = True) -> DataFrame:
-    """(feature, median) ignoring nulls; mean of the two middle values for even counts.
-
-    Exact, in two passes that never move a whole column:
-      1. one aggregate per column: the count ``n`` and a ``percentile_approx`` bracket
-         ``[lo, hi]`` around the median (its rank error is at most ``n / accuracy``, and the
-         bracket is three such errors wide on each side);
-      2. rows below the bracket are only counted; rows inside it (about ``6 n / accuracy``
-         per column) are counted per distinct value, prefix-summed, and the two middle ranks
-         read off.
-    Should the bracket miss the middle ranks, the job raises instead of returning a wrong
-    value.
+                  rows_per_bucket: int = TARGET_ROWS_PER_BUCKET) -> DataFrame:
+    """(feature, median) ignoring nulls and NaN; mean of the two middle values for even
+    counts, NULL for a column without values.
+
+    Exact by count and refine, at any boundaries:
+      1. count each column's values and cut it into buckets of about ``rows_per_bucket``;
+      2. count the buckets (a partial and final aggregate) and find those of the two middle
+         ranks;
+      3. count the distinct values inside these buckets only, and read the ranks off running
+         sums over at most about two buckets' values a column.
     """
-    eps = 3.0 / accuracy
-    # the columns are read by three passes (bracket, below-count, inside): cut lineage once
-    df = materialize(df.select(*cols), checkpoint)
-    long = _long(df, cols, "double").where(F.col("value").isNotNull())
-    stats = long.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("value", [max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)], accuracy)
-        .alias("q"))
-    # one row per column: a bounded broadcast
-    stats = F.broadcast(stats.select("feature", "n", F.col("q")[0].alias("lo"),
-                                     F.col("q")[1].alias("hi")))
-    j = long.join(stats, "feature")
-    below = j.groupBy("feature").agg(F.count_if(F.col("value") < F.col("lo")).alias("c_lo"))
-    inside = (j.where((F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
+    missing = F.lit(None).cast("double")
+    wide = df.select(*[F.nanvl(F.col(c).cast("double"), missing).alias(c) for c in cols])
+    sizes = wide.agg(*[F.count(c).alias(c) for c in cols]).first().asDict()
+    most = max(sizes.values(), default=0)
+    bounds = sampled_bounds(wide, cols, most, bucket_count(most, rows_per_bucket, floor=1))
+    names = {c: f"_b_{c}" for c in cols}
+    held = bucket_of(wide, bounds, names)
+    counts: dict[str, dict[int, int]] = {c: {0: sizes[c]} for c in cols}
+    if any(bounds.values()):
+        per = held.select(*[F.when(F.col(c).isNotNull(), F.col(names[c])).alias(c) for c in cols]).unpivot(
+            [], cols, "feature", "bucket").where(F.col("bucket").isNotNull())
+        counts = {c: {} for c in cols}
+        for r in per.groupBy("feature", "bucket").agg(F.count(F.lit(1)).alias("n")).collect():
+            counts[r["feature"]][r["bucket"]] = r["n"]
+    inside, before = [], {}
+    for c in cols:
+        below, middle, first = 0, {(sizes[c] - 1) // 2, sizes[c] // 2}, None
+        picked = []
+        for bucket in sorted(counts[c]):
+            n = counts[c][bucket]
+            if any(below <= k < below + n for k in middle):
+                picked.append(bucket)
+                first = below if first is None else first
+            below += n
+        before[c] = first or 0
+        inside.append(F.when(F.col(names[c]).isin(picked), F.col(c)).alias(c) if picked else missing.alias(c))
+    values = (held.select(*inside).unpivot([], cols, "feature", "value").where(F.col("value").isNotNull())
               .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt")))
-    inside = materialize(inside)   # read by the boundaries, bucket totals and ranks
-    cum = bucketed_cumsum(inside, ["feature"], "value", ["cnt"], descending=False)
-    meta = stats.join(below, "feature")
-    k1 = F.floor((F.col("n") - 1) / 2) - F.col("c_lo")
-    k2 = F.floor(F.col("n") / 2) - F.col("c_lo")
-    j2 = cum.join(meta, "feature").withColumn("before", F.col("cnt_cum") - F.col("cnt"))
+    offset = F.element_at(F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(before[c]))]), F.col("feature"))
+    total = F.element_at(F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(sizes[c]))]), F.col("feature"))
+    up_to = offset + F.sum("cnt").over(Window.partitionBy("feature").orderBy("value"))
+    ranked = values.withColumns({"_to": up_to, "_n": total}).withColumn("_from", F.col("_to") - F.col("cnt"))
 
-    def hit(k):
-        return (F.col("before") <= k) & (k < F.col("cnt_cum"))
+    def at(k: Column) -> Column:
+        return F.max(F.when((F.col("_from") <= k) & (k < F.col("_to")), F.col("value")))
 
-    mid = j2.groupBy("feature").agg(F.max(F.when(hit(k1), F.col("value"))).alias("v1"),
-                                    F.max(F.when(hit(k2), F.col("value"))).alias("v2"))
-    checked = F.when(F.col("v1").isNull() | F.col("v2").isNull(), F.raise_error(F.lit(
-        "median bracket missed the middle ranks; raise the accuracy"))).otherwise(
-        (F.col("v1") + F.col("v2")) / 2)
-    return mid.select("feature", checked.cast("double").alias("median"))
+    found = ranked.groupBy("feature").agg(((at(F.floor((F.col("_n") - 1) / 2)) + at(F.floor(F.col("_n") / 2))) / 2)
+                                          .cast("double").alias("median"))
+    empty = [c for c in cols if not sizes[c]]
+    if not empty:
+        return found
+    return found.unionByName(df.sparkSession.createDataFrame([(c, None) for c in empty], "feature string, median double"))
 
 
 def category_vocab(df: DataFrame, cols: list[str] = CATEGORICAL_FEATURES,
@@ -156,7 +163,7 @@ def fit_features(train: DataFrame, numeric: list[str] = NUMERIC_FEATURES,
     are read by every statistic, so their lineage is cut once."""
     cols = list(dict.fromkeys(list(numeric) + list(categorical)))
     train = materialize(train.select(*cols))
-    med = ({r["feature"]: r["median"] for r in exact_medians(train, numeric, checkpoint=False).collect()}
+    med = ({r["feature"]: r["median"] for r in exact_medians(train, numeric).collect()}
            if numeric else {})
     # sklearn drops an all-null column; we keep the width and impute 0.0 there
     med = {c: (med.get(c) if med.get(c) is not None else 0.0) for c in numeric}

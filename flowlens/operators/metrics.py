@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from flowlens.functions.columns import safe_div
 from flowlens.plans.materialize import materialize
-from flowlens.plans.ordering import bucketed_cumsum
+from flowlens.plans.ordering import bucketed_cumsum, join_null_safe
 
 METRICS = ["accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc", "fpr", "fnr"]
 
@@ -75,7 +75,7 @@ def curve_points(scored: DataFrame, groups: list[str], y: str = "y", score: str
                           n_buckets=n_buckets)
     tot = per.groupBy(*groups).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     cum = cum.withColumnRenamed("pos_cum", "tp").withColumnRenamed("neg_cum", "fp")
-    return cum.join(tot, groups) if groups else attach_row(cum, tot)
+    return join_null_safe(cum, tot, groups) if groups else attach_row(cum, tot)
 
 
 def confusion_at(per: DataFrame, groups: list[str], t: float, score: str = "score") -> DataFrame:
@@ -130,7 +130,7 @@ def scorecard(scored: DataFrame, groups: list[str], y: str = "y", score: str = "
         cm = confusion(scored, groups, y, pred)
     cm = error_rates(basic_rates(cm))
     areas = curve_areas(curve_points(scored, groups, y, score, per=per), groups)
-    return cm.join(areas, groups) if groups else attach_row(cm, areas)
+    return join_null_safe(cm, areas, groups) if groups else attach_row(cm, areas)
 
 
 def select_model(card: DataFrame, by: list[str] | None = None, metric: str = "f1",
@@ -150,20 +150,25 @@ def select_model(card: DataFrame, by: list[str] | None = None, metric: str = "f1
 
 
 def attach_row(df: DataFrame, row: DataFrame) -> DataFrame:
-    """Append the columns of a one-row table to every row (a broadcast equi-join on a constant,
-    not a cartesian product)."""
+    """Append the columns of a one-row table (an aggregate without groups) to every row: a
+    broadcast equi-join on a constant, not a cartesian product."""
     return (df.withColumn("_one", F.lit(1))
-            .join(F.broadcast(row.limit(1).withColumn("_one", F.lit(1))), "_one").drop("_one"))
+            .join(F.broadcast(row.withColumn("_one", F.lit(1))), "_one").drop("_one"))
 
 
-def metric_delta(card: DataFrame, key: str, baseline: str,
-                 metrics: tuple = ("f1", "fpr")) -> DataFrame:
-    """Each row's metric minus the baseline row's; NULL on the baseline itself.
-    The baseline is a single row (a bounded broadcast)."""
-    base = card.where(F.col(key) == baseline).select(
-        *[F.col(m).alias(f"_base_{m}") for m in metrics]).limit(1)
-    out = (card.withColumn("_one", F.lit(1))
-           .join(F.broadcast(base.withColumn("_one", F.lit(1))), "_one", "left"))
+def metric_delta(card: DataFrame, key: str, baseline: str, metrics: tuple = ("f1", "fpr"),
+                 by: list[str] | None = None) -> DataFrame:
+    """Each row's metric minus that of the baseline row with the same ``by`` columns
+    (default: ``dataset`` where the card has one; NULL matches NULL).  NULL on the baseline
+    itself and where a group has no baseline; two baseline rows of one group raise."""
+    by = by if by is not None else [c for c in ("dataset",) if c in card.columns and c != key]
+
+    def only(m: str) -> Column:
+        return F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit(f"several rows with {key} = {baseline}"))) \
+            .otherwise(F.max(m)).alias(f"_base_{m}")
+
+    base = card.where(F.col(key) == baseline).groupBy(*by, F.lit(1).alias("_one")).agg(*[only(m) for m in metrics])
+    out = join_null_safe(card.withColumn("_one", F.lit(1)), base, [*by, "_one"], how="left")
     for m in metrics:
         out = out.withColumn(f"delta_{m}", F.when(F.col(key) == baseline, F.lit(None))
                              .otherwise(F.col(m) - F.col(f"_base_{m}")))

@@ -8,32 +8,31 @@ buckets that straddle a cut are ranked (``plans.ordering.assign_segments``).  Sp
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.plans.materialize import materialize
-from flowlens.plans.ordering import (BUCKET, assign_segments, hash_bucket, hash_order,
-                                     quantile_buckets)
+from flowlens.plans.ordering import (BUCKET, assign_segments, hash_bucket, hash_digits,
+                                     hash_order, quantile_buckets)
 
 SPLIT_NAMES = ("train", "cal", "test")
 
 
-def _hashed(df: DataFrame, key: str, seed: int) -> DataFrame:
+def _hashed(df: DataFrame, key: str, seed: int, n_rows: int) -> DataFrame:
     return (df.withColumn("_h", hash_order(F.col(key), seed))
-            .withColumn(BUCKET, hash_bucket(F.col("_h"))))
+            .withColumn(BUCKET, hash_bucket(F.col("_h"), hash_digits(n_rows))))
 
 
 def stratified_sample(df: DataFrame, stratum: str, n: dict, key: str = "uid",
                       seed: int = 42) -> DataFrame:
     """Exactly ``n[v]`` rows of each stratum value ``v`` without replacement, chosen by the
-    seeded hash order of ``key``.  A stratum smaller than its ``n`` raises at run time (as the
-    reference does); strata not named in ``n`` are dropped."""
+    seeded hash order of ``key``.  A stratum that is absent or smaller than its ``n`` raises
+    ``ValueError`` (as the reference does); strata not named in ``n`` are dropped."""
     cuts = None
     for value, k in n.items():
         test = F.col(stratum).isNull() if value is None else (F.col(stratum) == F.lit(value))
-        branch = F.when(F.col("_total") < F.lit(int(k)), F.raise_error(F.lit(
-            f"stratum {value!r} has fewer rows than the {int(k)} requested"))).otherwise(
-            F.array(F.lit(int(k)).cast("bigint")))
+        branch = F.array(F.lit(int(k)).cast("bigint"))
         cuts = F.when(test, branch) if cuts is None else cuts.when(test, branch)
     cuts = cuts.otherwise(F.array(F.lit(0).cast("bigint")))
     named = [v for v in n if v is not None]
@@ -41,24 +40,38 @@ def stratified_sample(df: DataFrame, stratum: str, n: dict, key: str = "uid",
     if None in n:
         keep = keep | F.col(stratum).isNull()
     df = df.where(keep)
-    # strata are the values named in ``n``: a bounded cut table, broadcast
-    seg = assign_segments(_hashed(df, key, seed), order=["_h", key], cuts=cuts,
+    found = {r[0]: r[1] for r in df.groupBy(stratum).agg(F.count(F.lit(1))).collect()}
+    for value, k in n.items():
+        if found.get(value, 0) < int(k):
+            raise ValueError(f"stratum {value!r} has {found.get(value, 0)} rows, {int(k)} requested")
+    # strata are the values named in ``n``, buckets 2M rows each: a bounded cut table, broadcast
+    seg = assign_segments(_hashed(df, key, seed, sum(found.values())), order=["_h", key], cuts=cuts,
                           strata=[stratum], bounded_strata=True, rank_plan="window")
     return seg.where(F.col("segment") == 0).drop("segment", "_h", BUCKET)
 
 
 def ratio_split(df: DataFrame, stratum: str, total: int, shares: dict, key: str = "uid",
                 seed: int = 42) -> DataFrame:
-    """Stratified sample of ``total`` rows with per-stratum shares (e.g. 60:40)."""
-    return stratified_sample(df, stratum, {v: int(total * s) for v, s in shares.items()},
-                             key=key, seed=seed)
+    """Stratified sample of ``total`` rows with per-stratum shares (e.g. 60:40).  The sizes
+    add up to the total: rows left over by rounding down go to the largest remainders."""
+    return stratified_sample(df, stratum, share_sizes(total, shares), key=key, seed=seed)
+
+
+def share_sizes(total: int, shares: dict) -> dict:
+    if abs(sum(shares.values()) - 1) > 1e-9:
+        raise ValueError("the shares do not add up to 1")
+    exact = {v: Fraction(str(s)) * total for v, s in shares.items()}
+    sizes = {v: int(x) for v, x in exact.items()}
+    for v in sorted(exact, key=lambda v: sizes[v] - exact[v])[:total - sum(sizes.values())]:
+        sizes[v] += 1
+    return sizes
 
 
 def shuffled_split(df: DataFrame, key: str = "uid", seed: int = 42, train_frac: float = 0.70,
                    out: str = "split") -> DataFrame:
     """D3 + D4: seeded full shuffle, first ``int(train_frac * n)`` rows are train, rest test."""
     # md5 buckets of distinct keys are uniform: a window per straddling bucket is task-sized
-    seg = assign_segments(_hashed(df, key, seed), order=["_h", key], fractions=[train_frac],
+    seg = assign_segments(_hashed(df, key, seed, df.count()), order=["_h", key], fractions=[train_frac],
                           rank_plan="window")
     return (seg.withColumn(out, F.when(F.col("segment") == 0, "train").otherwise("test"))
             .drop("segment", "_h", BUCKET))
@@ -66,13 +79,12 @@ def shuffled_split(df: DataFrame, key: str = "uid", seed: int = 42, train_frac:
 
 def chronological_split(df: DataFrame, order: list[str] = ("ts", "uid"),
                         boundaries: tuple = (0.70, 0.80), names=SPLIT_NAMES,
-                        n_buckets: int | None = None, out: str = "split",
-                        checkpoint: bool = True) -> DataFrame:
+                        n_buckets: int | None = None, out: str = "split") -> DataFrame:
     """Rows in (ts, uid) order; cuts at ``int(b * n)`` for each boundary (70/10/20).
-    The input is read by three passes (boundaries, bucket counts, cut), so its lineage is cut
-    once by a checkpoint."""
+    The passes before the cut (row count, boundaries, bucket counts) read only the order
+    columns; nothing is written.  Materialize a costly input beforehand."""
     order = list(order)
-    b = quantile_buckets(materialize(df, checkpoint), order[0], n_buckets)
+    b = quantile_buckets(df, order[0], n_buckets)
     seg = assign_segments(b, order=order, fractions=list(boundaries))
     name = F.element_at(F.array(*[F.lit(x) for x in names]), F.col("segment") + 1)
     return seg.withColumn(out, name).drop("segment", BUCKET)

@@ -83,9 +83,8 @@ def q_model_select(spark, sf):
 
 
 def q_metric_delta(spark, sf):
-    c = card(spark, sf, 0.10).where(F.col("dataset") == "A")
-    d = mt.metric_delta(c, "model", "m0")
-    return _r(d.select("model", "f1", "fpr", "delta_f1", "delta_fpr"),
+    d = mt.metric_delta(card(spark, sf, 0.10), "model", "m0")
+    return _r(d.select("dataset", "model", "f1", "fpr", "delta_f1", "delta_fpr"),
               ["f1", "fpr", "delta_f1", "delta_fpr"])
 
 
@@ -164,11 +163,11 @@ ORACLE = {
     "scorecard_full": f"SELECT model, dataset, tp, fp, tn, fn, {_M} FROM ({FULL_09}) f",
     "model_select": f"""SELECT dataset, model, round(f1, 6) AS f1 FROM (SELECT *, row_number() OVER
   (PARTITION BY dataset ORDER BY f1 DESC, model) AS rn FROM ({FULL_01}) f) x WHERE rn = 1""",
-    "metric_delta": f"""WITH c AS (SELECT * FROM ({FULL_01}) f WHERE dataset = 'A'),
-b AS (SELECT f1 AS bf1, fpr AS bfpr FROM c WHERE model = 'm0')
-SELECT model, round(f1, 6) AS f1, round(fpr, 6) AS fpr,
+    "metric_delta": f"""WITH c AS (SELECT * FROM ({FULL_01}) f),
+b AS (SELECT dataset, f1 AS bf1, fpr AS bfpr FROM c WHERE model = 'm0')
+SELECT dataset, model, round(f1, 6) AS f1, round(fpr, 6) AS fpr,
   CASE WHEN model = 'm0' THEN NULL ELSE round(f1 - bf1, 6) END AS delta_f1,
-  CASE WHEN model = 'm0' THEN NULL ELSE round(fpr - bfpr, 6) END AS delta_fpr FROM c, b""",
+  CASE WHEN model = 'm0' THEN NULL ELSE round(fpr - bfpr, 6) END AS delta_fpr FROM c LEFT JOIN b USING (dataset)""",
     "scorecard_pivot": f"""WITH f AS ({FULL_01}),
 l AS (UNPIVOT (SELECT model, dataset, {', '.join(mt.METRICS)} FROM f) ON {', '.join(mt.METRICS)}
       INTO NAME metric VALUE value)

@@ -4,7 +4,7 @@ A global position (row i of a table in some total order) is what splits, exact-n
 curves and sequence windows need.  ``Window.orderBy`` without a partition would pull the
 whole table into one task, so every plan here goes through *monotone buckets*:
 
-1. each row gets a bucket ``b`` that is non-decreasing in the order (quantile boundaries of
+1. each row gets a bucket ``b`` that is non-decreasing in the order (sampled boundaries of
    the leading order column, or a hash prefix when the order is a hash);
 2. rows are counted per (stratum, b): a table with at most strata x buckets rows;
 3. a prefix sum over that small table gives each bucket's first global position;
@@ -21,6 +21,8 @@ partitioning on the full composite key, so ties on a hot leading value are split
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,54 +46,58 @@ def numeric_key(df: DataFrame, c: str) -> Column:
 
 
 TARGET_ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 1 << 17
+SAMPLED_PER_BUCKET = 16
 
 
 def auto_buckets(df: DataFrame, target: int = TARGET_ROWS_PER_BUCKET, floor: int = 16) -> int:
     """Bucket count so that one bucket (one sort task) holds about ``target`` rows."""
-    n = df.count()
-    return int(max(floor, min(MAX_BUCKETS, -(-n // target))))
-
-
-GRID = 1024
-
-
-def quantile_buckets(df: DataFrame, c: str, n_buckets: int | None = None,
-                     accuracy: int | None = None, out: str = BUCKET) -> DataFrame:
-    """Bucket id non-decreasing in column ``c``, balanced by approximate quantiles.
-
-    ``n_buckets=None`` sizes the buckets from the row count (about 2M rows per bucket), so a
-    bucket is a task-sized sort at any scale.  One aggregate pass returns the count and a
-    grid of 1,024 quantiles; the boundaries are taken from that grid (a second, finer pass is
-    needed only beyond ~2 billion rows).  A binary search (``Bucketizer``) assigns buckets
-    without any join; the boundaries are a bounded literal.
-    """
+    return bucket_count(df.count(), target, floor)
+
+
+def bucket_count(n_rows: int, target: int = TARGET_ROWS_PER_BUCKET, floor: int = 16) -> int:
+    return max(floor, -(-n_rows // target))
+
+
+def sampled_bounds(df: DataFrame, cols: list[str], n_rows: int, n_buckets: int) -> dict[str, list[float]]:
+    """Finite, ascending boundaries that cut each numeric column into about ``n_buckets`` even
+    buckets, from ``SAMPLED_PER_BUCKET`` rows for each bucket.  The boundaries only balance
+    the buckets: whatever they are, a row's bucket is non-decreasing in its value, and
+    every result below is exact."""
+    if n_buckets <= 1 or not n_rows:
+        return {c: [] for c in cols}
+    share = min(1.0, SAMPLED_PER_BUCKET * n_buckets / n_rows)
+    picked = df.select(*cols)
+    rows = (picked if share == 1.0 else picked.sample(False, share, 17)).collect()
+    out = {}
+    for c in cols:
+        seen = sorted(r[c] for r in rows if r[c] is not None and math.isfinite(r[c]))
+        out[c] = sorted({seen[len(seen) * i // n_buckets] for i in range(1, n_buckets)}) if seen else []
+    return out
+
+
+def bucket_of(df: DataFrame, cols: dict[str, list[float]], outs: dict[str, str]) -> DataFrame:
+    """Adds the bucket of each column ``c`` as ``outs[c]``: a binary search, no join.  Null
+    stays null; infinities fall into the outer buckets."""
+    df = df.withColumns({outs[c]: F.lit(0) for c, cut in cols.items() if not cut})
+    cols = {c: cut for c, cut in cols.items() if cut}
+    if not cols:
+        return df
+    splits = [[float("-inf"), *cut, float("inf")] for cut in cols.values()]
+    b = Bucketizer(splitsArray=splits, inputCols=list(cols), outputCols=[outs[c] for c in cols], handleInvalid="keep")
+    out = b.transform(df)
+    return out.withColumns({outs[c]: F.when(F.col(c).isNotNull(), F.col(outs[c]).cast("int")) for c in cols})
+
+
+def quantile_buckets(df: DataFrame, c: str, n_buckets: int | None = None, out: str = BUCKET) -> DataFrame:
+    """Bucket id non-decreasing in column ``c``, about balanced.  ``n_buckets=None`` follows the
+    row count (2M rows a bucket), so a bucket is a task-sized sort at any scale.  Nulls come
+    first; NaN and +inf, which sort last, share the last bucket."""
     tmp = "_qk"
-    keyed = df.withColumn(tmp, numeric_key(df, c))
-    if n_buckets is not None and n_buckets <= 1:
-        return keyed.drop(tmp).withColumn(out, F.lit(0))
-    grid_n = n_buckets if n_buckets is not None else GRID
-    acc = accuracy or max(10000, 4 * grid_n)
-    row = keyed.agg(F.count(F.lit(1)).alias("n"),
-                    F.percentile_approx(tmp, [i / grid_n for i in range(1, grid_n)], acc)
-                    .alias("q")).first()
-    grid = [float(v) for v in (row["q"] or []) if v is not None]
-    if n_buckets is None:
-        want = int(max(16, min(MAX_BUCKETS, -(-int(row["n"]) // TARGET_ROWS_PER_BUCKET))))
-        if want <= GRID:
-            step = GRID / want
-            grid = [grid[min(len(grid) - 1, int(round(i * step)) - 1)]
-                    for i in range(1, want)] if grid else []
-        else:
-            probs = [i / want for i in range(1, want)]
-            q = keyed.agg(F.percentile_approx(tmp, probs, max(10000, 4 * want))).first()[0]
-            grid = [float(v) for v in (q or []) if v is not None]
-    qs = sorted(set(grid))
-    splits = [float("-inf")] + [x for x in qs if x != float("-inf")] + [float("inf")]
-    if len(splits) < 3:
-        return keyed.drop(tmp).withColumn(out, F.lit(0))
-    b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
-    return b.transform(keyed).withColumn(out, F.col(out).cast("int")).drop(tmp)
+    x = numeric_key(df, c)
+    keyed = df.withColumn(tmp, F.when(F.isnan(x), F.lit(float("inf"))).otherwise(x))
+    n_rows = df.count()
+    n = n_buckets if n_buckets is not None else bucket_count(n_rows)
+    return bucket_of(keyed, sampled_bounds(keyed, [tmp], n_rows, n), {tmp: out}).drop(tmp)
 
 
 def hash_order(key: Column, seed: int = 42) -> Column:
@@ -99,20 +105,28 @@ def hash_order(key: Column, seed: int = 42) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
 
 
+def hash_digits(n_rows: int, target: int = TARGET_ROWS_PER_BUCKET) -> int:
+    """Leading hex digits of a hash that make buckets of about ``target`` rows or fewer."""
+    digits = 1
+    while n_rows > target * 16**digits:
+        digits += 1
+    return digits
+
+
 def hash_bucket(h: Column, hex_digits: int = 4) -> Column:
-    """Monotone bucket of an md5 hex order key: its leading hex digits as an int."""
-    return F.conv(F.substring(h, 1, hex_digits), 16, 10).cast("int")
+    """Monotone bucket of an md5 hex order key: its leading hex digits as a number."""
+    return F.conv(F.substring(h, 1, hex_digits), 16, 10).cast("bigint")
 
 
-def _join_null_safe(big: DataFrame, small: DataFrame, keys: list[str],
-                    broadcast: bool = False) -> DataFrame:
-    """Equi-join on ``keys`` where NULL matches NULL (a NULL stratum is still a stratum);
+def join_null_safe(big: DataFrame, small: DataFrame, keys: list[str],
+                   broadcast: bool = False, how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where NULL matches NULL (a NULL stratum is still a stratum);
     ``broadcast`` only for a small side whose size is bounded."""
     ren = small.select(*[F.col(c).alias(f"_k_{c}") if c in keys else F.col(c)
                          for c in small.columns])
     ren = F.broadcast(ren) if broadcast else ren
     cond = [big[k].eqNullSafe(ren[f"_k_{k}"]) for k in keys]
-    return big.join(ren, cond).drop(*[f"_k_{k}" for k in keys])
+    return big.join(ren, cond, how).drop(*[f"_k_{k}" for k in keys])
 
 
 def _bucket_table(df: DataFrame, strata: list[str]) -> DataFrame:
@@ -128,7 +142,7 @@ def _bucket_table(df: DataFrame, strata: list[str]) -> DataFrame:
 def assign_segments(df: DataFrame, order: list[str | Column], cuts: Column | None = None,
                     fractions: list[float] | None = None, strata: list[str] | None = None,
                     out: str = "segment", rank_col: str | None = None,
-                    bounded_strata: bool = False, rank_plan: str = "auto") -> DataFrame:
+                    bounded_strata: bool = False, rank_plan: str = "range") -> DataFrame:
     """Segment index of each row's global rank r (0-based, within its stratum):
     ``segment = #{cut <= r}``.  ``df`` must carry a monotone bucket column ``_b``.
 
@@ -139,9 +153,7 @@ def assign_segments(df: DataFrame, order: list[str | Column], cuts: Column | Non
     names (``bounded_strata``); otherwise Spark joins it by its measured size.
     ``rank_plan``: ``range`` ranks straddling buckets through range partitions on the full
     order key (a hot leading value is split by the tie-breakers); ``window`` ranks each such
-    bucket in one task - right for hash orders, whose buckets are uniform by construction;
-    ``auto`` reads the largest straddling bucket's size from the small bucket table and
-    uses ``window`` when it is task-sized, ``range`` otherwise.
+    bucket in one task - for hash orders, whose buckets are uniform by construction.
     """
     strata = strata or []
     table = _bucket_table(df, strata)
@@ -154,16 +166,12 @@ def assign_segments(df: DataFrame, order: list[str | Column], cuts: Column | Non
                  "_cuts", lambda c: c <= F.col("_before") + F.col("_cnt") - 1))))
     keys = strata + [BUCKET]
     small = table.select(*keys, "_before", "_cuts", "_seg_lo", "_seg_hi", "_total")
-    joined = _join_null_safe(df, small, keys, broadcast=not strata or bounded_strata)
+    joined = join_null_safe(df, small, keys, broadcast=not strata or bounded_strata)
     whole = (joined.where(F.col("_seg_lo") == F.col("_seg_hi"))
              .withColumn(out, F.col("_seg_lo")))
     mixed = joined.where(F.col("_seg_lo") != F.col("_seg_hi"))
     # rows of straddling buckets only; ranked by range partitions, so a hot bucket (one order
     # value holding a third of the rows) is still split across tasks
-    if rank_plan == "auto":
-        biggest = (table.where(F.col("_seg_lo") != F.col("_seg_hi"))
-                   .agg(F.max("_cnt").alias("m")).first()["m"] or 0)
-        rank_plan = "window" if biggest <= TARGET_ROWS_PER_BUCKET else "range"
     if rank_plan == "range":
         mixed = dense_index(mixed, order, strata=keys, out="_in_bucket")
     else:
@@ -212,7 +220,7 @@ def dense_index(df: DataFrame, order: list[str | Column], strata: list[str] | No
     offsets = counts.select("_di_pid", *strata, "_di_first", F.coalesce(
         F.sum("_di_cnt").over(w), F.lit(0)).cast("bigint").alias("_di_before"))
     # without strata the table has one row per range partition: a bounded broadcast
-    joined = _join_null_safe(tagged, offsets, ["_di_pid", *strata], broadcast=not strata)
+    joined = join_null_safe(tagged, offsets, ["_di_pid", *strata], broadcast=not strata)
     return (joined.withColumn(out, F.col("_di_before") + F.col("_di_local") - F.col("_di_first"))
             .drop("_di_pid", "_di_local", "_di_first", "_di_before"))
 
@@ -231,7 +239,7 @@ def bucketed_cumsum(df: DataFrame, groups: list[str], order_col: str, values: li
     for v in values:
         tot = tot.withColumn(f"_o_{v}", F.coalesce(F.sum(f"_t_{v}").over(w_small), F.lit(0)))
     tot = tot.select(*groups, BUCKET, *[f"_o_{v}" for v in values])
-    joined = keyed.join(tot, groups + [BUCKET])
+    joined = join_null_safe(keyed, tot, groups + [BUCKET])
     w = Window.partitionBy(*groups, BUCKET).orderBy("_ord").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     for v in values:
