@@ -13,11 +13,12 @@ Spark ML ``PipelineModel`` that can be saved and loaded (S9) and runs as codegen
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowlens.plans.materialize import materialize
@@ -111,6 +112,15 @@ class FeatureModel:
     categorical: list = field(default_factory=lambda: list(CATEGORICAL_FEATURES))
     fill: str = UNKNOWN_CATEGORY
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """The fitted statistics as one JSON row, in any store that Spark writes to."""
+        text = json.dumps(asdict(self))
+        spark.createDataFrame([(text,)], "model string").coalesce(1).write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> FeatureModel:
+        return cls(**json.loads(spark.read.parquet(path).first()["model"]))
+
     @property
     def width(self) -> int:
         return len(self.numeric) + sum(len(self.vocab[c]) for c in self.categorical)

@@ -95,15 +95,20 @@ def _letters(init_lo: Column, arr: Column) -> Column:
 def aggregate_flows(packets: DataFrame, window: str | None = None,
                     history_len: int = HISTORY_LEN, key_includes_proto: bool = False,
                     missing_service: str = "-", history_plan: str = "auto",
-                    prepared: bool = False, keep_window: bool = False) -> DataFrame:
+                    prepared: bool = False, keep_window: bool = False,
+                    history: bool = True) -> DataFrame:
     """A4: packets -> one row per flow (per event-time window when ``window`` is given).
 
+    Packets without a time belong to no flow, with or without windows.  ``history=False``
+    leaves the history letters and their top-k branch out.
+
     ``history_plan``: ``rank`` (bounded top-k before the shuffle, batch default) or
     ``collect`` (letters collected in the same aggregate; used for streams, whose state is
     bounded by the window).  ``keep_window`` also returns the ``window`` struct, whose
     event-time metadata lets a stream chain a second windowed aggregation.
     """
     p = packets if prepared else normalize_packets(filter_packets(packets))
+    p = p.where(F.col("ts").isNotNull())
     extra = dict(_key_columns())
     extra["ts_s"] = seconds_of(p, "ts")
     extra["data"] = F.col("payload_len") > 0
@@ -138,11 +143,11 @@ def aggregate_flows(packets: DataFrame, window: str | None = None,
         F.count_if(~side & ~F.col("data")).alias("hi_zero"),
     ]
     step = F.struct(F.col("arrival_seq").alias("seq"), F.col("is_lo"), F.col("data"))
-    if history_plan == "collect":
+    if history and history_plan == "collect":
         aggs.append(F.slice(F.array_sort(F.collect_list(step)), 1, history_len).alias("h"))
     flows = p.groupBy(*keys).agg(*aggs)
     key_names = [c for c in flows.columns if c in ("window", "lo", "hi", "key_proto")]
-    if history_plan == "rank":
+    if history and history_plan == "rank":
         part = [F.col(c) for c in key_names]
         ranked = (p.select(*keys, "arrival_seq", "is_lo", "data")
                   .withColumn("rn", F.row_number().over(
@@ -176,7 +181,7 @@ def aggregate_flows(packets: DataFrame, window: str | None = None,
         pick("lo_ip_bytes", "hi_ip_bytes", False).cast("bigint").alias("resp_ip_bytes"),
         conn_state(pick("lo_zero", "hi_zero") > 0, pick("lo_zero", "hi_zero", False) > 0)
         .alias("conn_state"),
-        _letters(init, F.col("h")).alias("history"),
+        *([_letters(init, F.col("h")).alias("history")] if history else []),
         F.col("first_seq"), F.col("start_time"), F.col("end_time"),
     )
     return out.withColumn("service", service_from_ports("sport", "dport", missing_service))

@@ -23,14 +23,29 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.operators.decisions import decide, positive_score
+from flowlens.operators.decisions import decide, positive_score, whitelist_override
 from flowlens.operators.features import FeatureModel
 from flowlens.operators.metrics import metric_delta, scorecard, select_model
 from flowlens.operators.profile import with_class_weight
 from flowlens.operators.sequences import sequence_windows
-from flowlens.schema import SEQ_LEN
+from flowlens.plans.ordering import hash_order
+from flowlens.schema import DEFAULT_WHITELIST, SEQ_LEN
 
 CANDIDATE_ORDER = ["gbt", "rf", "mlp_seq"]
+#: Decision thresholds: the sequence model has its own, trees the library's default; live
+#: traffic has a lower one.
+SEQUENCE_T, TREE_T, LIVE_T = 0.90, 0.50, 0.05
+
+
+def threshold_of(name: str, dataset: str, thresholds: dict | float | None = None) -> float:
+    """The threshold of a (model, dataset) pair.  ``thresholds`` is one number for
+    all, or a dictionary by (model, dataset), model or dataset, looked up in that order."""
+    if isinstance(thresholds, (int, float)):
+        return float(thresholds)
+    for k in ((name, dataset), name, dataset):
+        if thresholds and k in thresholds:
+            return float(thresholds[k])
+    return LIVE_T if dataset == "live" else TREE_T if name in ("gbt", "rf") else SEQUENCE_T
 
 
 def gbt(weight_col: str | None = "w", max_iter: int = 100, depth: int = 6, seed: int = 42):
@@ -75,12 +90,13 @@ def prepare_sequences(fm: FeatureModel, df: DataFrame, order: list[str], keep: l
 
 
 def score(model: PipelineModel, df: DataFrame, name: str, dataset: str, key: str,
-          y: str = "y", t: float = 0.5) -> DataFrame:
-    """K4 (+ P18, P13): SCORED rows (model, dataset, key, y, score, pred)."""
+          y: str = "y", t: float = 0.5, keep: tuple = ()) -> DataFrame:
+    """K4 (+ P18, P13): SCORED rows (model, dataset, key, y, score, pred); keys as text, so
+    that datasets with keys of different types can be put together."""
     out = positive_score(model.transform(df), out="_score")
     return decide(out.select(F.lit(name).alias("model"), F.lit(dataset).alias("dataset"),
-                             F.col(key).alias("key"), F.col(y).cast("int").alias("y"),
-                             F.col("_score").alias("score")), t)
+                             F.col(key).cast("string").alias("key"), F.col(y).cast("int").alias("y"),
+                             F.col("_score").alias("score"), *keep), t)
 
 
 @dataclass
@@ -112,8 +128,9 @@ def train_candidates(fm: FeatureModel, train: DataFrame, pos_weight: float, orde
 
 
 def candidate_scores(fm: FeatureModel, trained: dict, datasets: dict, order: list[str],
-                     key: str, t: float = 0.5) -> DataFrame:
-    """K4 + K6: every candidate on every dataset, one SCORED union."""
+                     key: str, t: dict | float | None = None) -> DataFrame:
+    """K4 + K6: every candidate on every dataset, one SCORED union; each (model, dataset)
+    pair decides by its own threshold (``threshold_of``)."""
     parts = []
     for ds, df in datasets.items():
         rows = prepare_rows(fm, df)
@@ -121,9 +138,9 @@ def candidate_scores(fm: FeatureModel, trained: dict, datasets: dict, order: lis
         for name, tr in trained.items():
             if name == "mlp_seq":
                 seqs = seqs if seqs is not None else prepare_sequences(fm, df, order, keep=[key])
-                parts.append(score(tr.model, seqs, name, ds, key, t=t))
+                parts.append(score(tr.model, seqs, name, ds, key, t=threshold_of(name, ds, t)))
             else:
-                parts.append(score(tr.model, rows, name, ds, key, t=t))
+                parts.append(score(tr.model, rows, name, ds, key, t=threshold_of(name, ds, t)))
     res = parts[0]
     for p in parts[1:]:
         res = res.unionByName(p)
@@ -155,19 +172,21 @@ def load_model(path: str) -> PipelineModel:
 
 
 def ablation_report(fm_fit, train: DataFrame, test: DataFrame, shuffled: tuple[DataFrame, DataFrame],
-                    order: list[str], key: str, t: float = 0.5) -> DataFrame:
+                    order: list[str], key: str, t: float = SEQUENCE_T, seed: int = 42) -> DataFrame:
     """K9 (with K8, F6, F7, D6): baseline; numeric block zeroed at test time; categorical
     block zeroed at test time; capacity-limited model; shuffled split with refitted
-    preprocessing.  F1 and FPR per experiment, deltas against the baseline (A15)."""
+    preprocessing, whose windows are cut over the seeded shuffled order, not over time.
+    F1 and FPR per experiment, deltas against the baseline (A15)."""
     fm = fm_fit(train)
     width = SEQ_LEN * fm.width
     base_train = prepare_sequences(fm, train, order, keep=[key]).cache()
     base = fit_timed("baseline", mlp(width), base_train).model
     cap = fit_timed("capacity", mlp(width, hidden=1), base_train).model
-    sh_train, sh_test = shuffled
+    sh_train, sh_test = (d.withColumn("_shuffled", hash_order(F.col(key), seed)) for d in shuffled)
+    mixed = ["_shuffled", key]
     fm_sh = fm_fit(sh_train)
     sh_model = fit_timed("shuffled", mlp(SEQ_LEN * fm_sh.width),
-                         prepare_sequences(fm_sh, sh_train, order, keep=[key])).model
+                         prepare_sequences(fm_sh, sh_train, mixed, keep=[key])).model
     parts = [
         score(base, prepare_sequences(fm, test, order, keep=[key]), "baseline", "test", key, t=t),
         score(base, prepare_sequences(fm, test, order, keep=[key], zero_numeric=True),
@@ -175,7 +194,7 @@ def ablation_report(fm_fit, train: DataFrame, test: DataFrame, shuffled: tuple[D
         score(base, prepare_sequences(fm, test, order, keep=[key], zero_categorical=True),
               "no_categorical", "test", key, t=t),
         score(cap, prepare_sequences(fm, test, order, keep=[key]), "capacity", "test", key, t=t),
-        score(sh_model, prepare_sequences(fm_sh, sh_test, order, keep=[key]), "shuffled",
+        score(sh_model, prepare_sequences(fm_sh, sh_test, mixed, keep=[key]), "shuffled",
               "test", key, t=t),
     ]
     scored = parts[0]
@@ -187,19 +206,21 @@ def ablation_report(fm_fit, train: DataFrame, test: DataFrame, shuffled: tuple[D
 
 def three_way_scorecard(fm: FeatureModel, model: PipelineModel, set_a: DataFrame,
                         set_b: DataFrame, live_flows: DataFrame, attackers: list[str],
-                        order: list[str], key: str, t: float = 0.5,
-                        window_col: str = "window_start") -> DataFrame:
+                        order: list[str], key: str, t: dict | float | None = None,
+                        window_col: str = "window_start", whitelist=DEFAULT_WHITELIST) -> DataFrame:
     """K10 + K11: the final sequence model on set A, set B and live traffic (flows per window,
     sequences per window in first-arrival order, labels by source), one grouped scorecard,
-    pivoted to metric rows x dataset columns (A18)."""
+    pivoted to metric rows x dataset columns (A18).  Each dataset has its threshold
+    (``threshold_of``); trusted sources' live predictions are forced to 0 (P14)."""
     from flowlens.operators.labels import label_by_source
     from flowlens.operators.metrics import scorecard_pivot
 
-    a = score(model, prepare_sequences(fm, set_a, order, keep=[key]), "final", "A", key, t=t)
-    b = score(model, prepare_sequences(fm, set_b, order, keep=[key]), "final", "B", key, t=t)
+    a = score(model, prepare_sequences(fm, set_a, order, keep=[key]), "final", "A", key, t=threshold_of("final", "A", t))
+    b = score(model, prepare_sequences(fm, set_b, order, keep=[key]), "final", "B", key, t=threshold_of("final", "B", t))
     flows = label_by_source(live_flows, attackers).withColumn("flow_key", F.col("first_seq"))
-    lv = prepare_sequences(fm, flows, ["first_seq"], keep=["flow_key"],
+    lv = prepare_sequences(fm, flows, ["first_seq"], keep=["flow_key", "src_ip"],
                            partition_by=[window_col])
-    lv = score(model, lv, "final", "live", "flow_key", t=t)
+    lv = score(model, lv, "final", "live", "flow_key", t=threshold_of("final", "live", t), keep=("src_ip",))
+    lv = whitelist_override(lv, whitelist).drop("src_ip")
     card = scorecard(a.unionByName(b).unionByName(lv), ["model", "dataset"])
     return scorecard_pivot(card, ["A", "B", "live"], ids=["model"])

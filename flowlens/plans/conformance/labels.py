@@ -9,7 +9,8 @@ from flowlens.operators import profile as pf
 from flowlens.operators import sampling as sm
 from flowlens.plans import views
 from flowlens.plans.ordering import dense_index
-from flowlens.schema import FEATURES
+from flowlens.schema import CONN, FEATURES
+from flowlens.sources import connlog
 
 STRAT_N = {True: 1500, False: 1000}      # the reference's 60:40 calibration draw
 RATIO_TOTAL, RATIO_SHARES = 2500, {True: 0.9, False: 0.1}
@@ -24,11 +25,18 @@ def chrono(spark, sf):
 
 
 def q_conn_scan(spark, sf):
-    return views.conn_view(spark, sf)
+    """V1 written out as tab-separated lines under dotted names in another order, and parsed."""
+    view = views.conn_view(spark, sf)
+    order = sorted(view.columns, reverse=True)
+    line = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in order])
+    names = [f"id.{c}" if c in ("orig_h", "orig_p", "resp_h", "resp_p") else c.replace("detailed_", "detailed-") for c in order]
+    headers = spark.createDataFrame([("v1", names)], "file string, names array<string>")
+    lines = view.select(F.lit("v1").alias("file"), line.alias("value"))
+    return connlog.typed(connlog.parse_table(lines, headers), CONN)
 
 
 def q_scan_limit(spark, sf):
-    return views.conn_view(spark, sf).orderBy("ts", "uid").limit(100).select("uid", "ts", "label")
+    return connlog.row_cap(views.conn_view(spark, sf), 100, ["ts", "uid"]).select("uid", "ts", "label")
 
 
 def q_split_manifest(spark, sf):

@@ -35,13 +35,13 @@ def _ws(c="window_start"):
 
 def q_window_throughput(spark, sf):
     p = views.packet_view(spark, sf)
-    w = live.window_throughput(p, flows(spark, sf), WINDOW)
+    w = live.window_throughput(p, WINDOW)
     return w.select(_ws(), "packets", "flows", F.round("pkts_per_s", 6).alias("pkts_per_s"))
 
 
 def q_batch_means(spark, sf):
     p = views.packet_view(spark, sf)
-    w = live.window_throughput(p, flows(spark, sf), WINDOW)
+    w = live.window_throughput(p, WINDOW)
     m = mt.batch_means(w, ["packets", "flows", "pkts_per_s"])
     return m.select(*[F.round(c, 6).alias(c) for c in m.columns])
 

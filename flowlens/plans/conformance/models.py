@@ -51,8 +51,7 @@ def q_candidate_mlp_seq(spark, sf):
 
 def q_batch_scores(spark, sf):
     scored, _ = _candidates(spark, sf, ("gbt",))
-    return scored.where(F.col("dataset") == "A").select("key", "y", F.round("score", 6).alias("score"),
-                                                       "pred")
+    return scored.select("model", "dataset", "key", "y", F.round("score", 6).alias("score"), "pred")
 
 
 def q_candidate_scorecards(spark, sf):

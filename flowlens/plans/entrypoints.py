@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,37 +58,49 @@ def draw_calibration_set(spark: SparkSession, source: str, out: str, n_benign: i
 def train_and_select(spark: SparkSession, train_path: str, set_a_path: str, set_b_path: str,
                      model_dir: str | None = None, order: tuple = ("ts", "uid"),
                      key: str = "uid") -> tuple[DataFrame, ft.FeatureModel, dict]:
-    """Fit preprocessing on train, train the candidates, score sets A
-    and B in one grouped scorecard, select on set B, optionally save the winner."""
+    """Fit preprocessing on train, train the candidates, score the
+    training set and sets A and B in one grouped scorecard, select on set B, optionally save
+    the fitted preprocessing, every candidate and the winner's name (``load_winner``)."""
     train = _load(spark, train_path)
     fm = ft.fit_features(train)
     weight = pf.class_weight(train).first()["pos_weight"]
     trained = md.train_candidates(fm, train, weight, list(order), key)
-    scored = md.candidate_scores(fm, trained, {"A": _load(spark, set_a_path),
+    scored = md.candidate_scores(fm, trained, {"train": train, "A": _load(spark, set_a_path),
                                                "B": _load(spark, set_b_path)}, list(order), key)
     card = md.candidate_scorecards(scored, trained)
     winner = md.pick_winner(card, "B").first()["model"]
     if model_dir:
-        md.save_model(fm.pipeline(), f"{model_dir}/preprocessing")
-        md.save_model(trained[winner].model, f"{model_dir}/model")
+        fm.save(spark, f"{model_dir}/preprocessing")
+        for name, tr in trained.items():
+            md.save_model(tr.model, f"{model_dir}/models/{name}")
+        spark.createDataFrame([(winner,)], "model string").coalesce(1).write.mode("overwrite") \
+            .parquet(f"{model_dir}/winner")
     return card.withColumn("selected", F.col("model") == F.lit(winner)), fm, trained
 
 
+def load_winner(spark: SparkSession, model_dir: str) -> tuple[ft.FeatureModel, str, PipelineModel]:
+    """K7 / S9 in a later session: preprocessing, name and model of the saved winner."""
+    name = spark.read.parquet(f"{model_dir}/winner").first()["model"]
+    return (ft.FeatureModel.load(spark, f"{model_dir}/preprocessing"), name,
+            md.load_model(f"{model_dir}/models/{name}"))
+
+
 def evaluate_model(spark: SparkSession, fm: ft.FeatureModel, model, set_a: str, set_b: str,
                    live_flows: DataFrame | None = None, attackers: list[str] | None = None,
-                   order: tuple = ("ts", "uid"), key: str = "uid", t: float = 0.5) -> DataFrame:
+                   order: tuple = ("ts", "uid"), key: str = "uid",
+                   t: dict | float | None = None) -> DataFrame:
     """K10 + K11 (+ A18): the final sequence model on sets A and B (and live traffic)."""
     if live_flows is not None:
         return md.three_way_scorecard(fm, model, _load(spark, set_a), _load(spark, set_b),
                                       live_flows, attackers or [], list(order), key, t=t)
     parts = [md.score(model, md.prepare_sequences(fm, _load(spark, p), list(order), keep=[key]),
-                      "final", name, key, t=t) for name, p in (("A", set_a), ("B", set_b))]
+                      "final", name, key, t=md.threshold_of("final", name, t)) for name, p in (("A", set_a), ("B", set_b))]
     from flowlens.operators.metrics import scorecard
     return scorecard(parts[0].unionByName(parts[1]), ["model", "dataset"])
 
 
 def ablation_study(spark: SparkSession, train_path: str, test_path: str,
-                   order: tuple = ("ts", "uid"), key: str = "uid", t: float = 0.5) -> DataFrame:
+                   order: tuple = ("ts", "uid"), key: str = "uid", t: float = md.SEQUENCE_T) -> DataFrame:
     """K9: baseline, no numeric, no categorical, capacity limit, shuffled split."""
     train, test = _load(spark, train_path), _load(spark, test_path)
     sh = sm.shuffled_split(train.unionByName(test))

@@ -2,8 +2,8 @@
 
 Library code never creates its own session; it takes the caller's.  ``get_session`` is for
 tests, the bench and the entry point.  ``checkpoint_dir`` reads ``spark.checkpoint.dir`` from
-the session (the cluster's shared folder) and only falls back to a fresh scratch folder when
-the setting is unset, which is the local-test case.
+the session (the cluster's shared folder).  Where it is unset it makes a fresh scratch folder
+under a local master, which is the test case, and raises under any other.
 """
 
 from __future__ import annotations
@@ -54,7 +54,8 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         return jsc.getCheckpointDir().get()
     configured = spark.sparkContext.getConf().get(_CKPT_KEY, None)
     if not configured:
-        # unset: the local-test case only (a cluster names a shared folder)
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {_CKPT_KEY} to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="flowlens-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return jsc.getCheckpointDir().get()

@@ -1,43 +1,121 @@
 """Connection-log sources.
 
-* S1 tab-separated log with a header line (dotted header names are replaced by the schema's
-  clean names, positionally);
-* S2 comma CSV splits with a header;
-* S3 raw Zeek text: field names from the first ``#fields`` line, whitespace-separated values,
-  ``#`` starts a comment anywhere in a line, ``-`` and ``(empty)`` are null;
+* S1 tab-separated log with a header line;
+* S2 comma-separated splits with a header line;
+* S3 raw Zeek text: field names from a ``#fields`` line, whitespace-separated values, ``#``
+  starts a comment anywhere in a line;
 * S4 a row cap.
-Every reader scans as text and normalises null markers before a ``try_cast`` to the declared
-types (ANSI casts would raise on ``-``).  Nothing is inferred by a pass over the data.
+
+Columns go by the names in each file's own header (``clean_name`` of them), so the files of a
+folder may order their columns differently.  A header that lacks a column of the schema is an
+error.  Reading gives lines, and parsing is a projection over lines, so any source of lines can
+be parsed.  Each reader has its own null markers; then values are ``try_cast`` to the declared
+types (ANSI casts would raise), and ``rejected_values`` counts what did not fit.  Nothing is
+inferred by a pass over the data.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlens.functions.columns import null_if_marker
-from flowlens.schema import CONN, raw_string_schema
+from flowlens.schema import CONN
+
+# fixed values: what the reference's table reader takes as missing
+TABLE_NULLS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+               "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+# fixed values: what its raw log reader adds to them
+RAW_NULLS = (*TABLE_NULLS, "-", "(empty)")
+
+
+def clean_name(name: str) -> str:
+    """``id.orig_h`` -> ``orig_h``; ``detailed-label`` -> ``detailed_label``."""
+    name = name[3:] if name.startswith("id.") else name
+    return re.sub(r"[^0-9A-Za-z_]", "_", name)
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, value, first, at): every line, its file, whether it may be the file's first line,
+    and a number that grows along the lines of a split."""
+    return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value",
+                                        (F.col("_metadata.file_block_start") == 0).alias("first"),
+                                        F.monotonically_increasing_id().alias("at"))
+
+
+def _first_lines(lines: DataFrame) -> DataFrame:
+    return lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+
+
+def _split_header(header: Column, sep: str) -> Column:
+    return F.split(F.regexp_replace(header, "\r$", ""), re.escape(sep), -1)
+
+
+def by_name(lines: DataFrame, headers: DataFrame, values: Column, required: list[str] | None) -> DataFrame:
+    """Text columns by name from lines (file, value) and headers (file, names): ``values`` is the
+    array of a line's fields.  ``required`` are the columns wanted; without it, all names of
+    all headers in order of first sight.  Distinct headers are few, files need not be."""
+    found = [r["names"] for r in headers.select("names").distinct().collect()]
+    cleaned = [[clean_name(n) for n in names] for names in found]
+    for names in cleaned:
+        if missing := [c for c in required or [] if c not in names]:
+            raise ValueError(f"a header has no column {', '.join(missing)}: {names}")
+    wanted = required or list(dict.fromkeys(n for names in sorted(cleaned, key=lambda x: (-len(x), x)) for n in names))
+    raw = {clean: [n for names in found for n in names if clean_name(n) == clean] for clean in wanted}
+    joined = lines.join(headers, "file", "left").withColumn("_v", values)
+    known = F.when(F.col("names").isNull(), F.raise_error(F.concat(F.lit("no header in "), F.col("file")))).otherwise(F.col("names"))
+    joined = joined.withColumn("_n", known)
 
+    def field(clean: str) -> Column:
+        at = F.coalesce(*[F.nullif(F.array_position(F.col("_n"), n), F.lit(0).cast("bigint")) for n in dict.fromkeys(raw[clean])])
+        return F.when(at.isNotNull(), F.get(F.col("_v"), (at - 1).cast("int"))).alias(clean)
 
-def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    return joined.select(*[field(c) for c in wanted])
+
+
+def parse_table(lines: DataFrame, headers: DataFrame, schema: T.StructType = CONN, sep: str = "\t") -> DataFrame:
+    """Delimited lines (file, value) as the schema's columns, still text."""
+    width = headers.agg(F.max(F.size("names"))).first()[0] or 0
+    struct = F.from_csv("value", F.lit(", ".join(f"c{i} string" for i in range(max(1, width)))), {"sep": sep})
+    values = F.array(*[struct[f"c{i}"] for i in range(max(1, width))])
+    body = lines.select("file", F.regexp_replace("value", "\r$", "").alias("value")).where(F.col("value") != "")
+    return by_name(body, headers, values, schema.fieldNames())
+
+
+def typed(df: DataFrame, schema: T.StructType, nulls: tuple = TABLE_NULLS) -> DataFrame:
     """Null markers -> NULL, then ``try_cast`` each column to the schema's type."""
     cols = []
     for f in schema.fields:
-        c = null_if_marker(F.col(f.name))
+        c = null_if_marker(F.col(f.name), nulls)
         cols.append(c.alias(f.name) if isinstance(f.dataType, T.StringType)
                     else c.try_cast(f.dataType).alias(f.name))
     return df.select(*cols)
 
 
+def rejected_values(df: DataFrame, schema: T.StructType, nulls: tuple = TABLE_NULLS) -> DataFrame:
+    """(column, rejected): how many text values are no null marker and do not fit their type."""
+    cast = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    counts = df.agg(*[F.count_if(null_if_marker(F.col(f.name), nulls).isNotNull() & null_if_marker(
+        F.col(f.name), nulls).try_cast(f.dataType).isNull()).alias(f.name) for f in cast])
+    return counts.unpivot([], [f.name for f in cast], "column", "rejected")
+
+
+def read_table_text(spark: SparkSession, path: str, schema: T.StructType = CONN, sep: str = "\t") -> DataFrame:
+    """S1 / S2 before typing: the schema's columns as text, found by each file's header."""
+    lines = read_lines(spark, path)
+    first = _first_lines(lines.where("first"))
+    headers = first.select("file", _split_header(F.col("header"), sep).alias("names"))
+    body = lines.join(first, "file").where(F.col("value") != F.col("header")).select("file", "value")
+    return parse_table(body, headers, schema, sep)
+
+
 def read_conn_log(spark: SparkSession, path: str, schema: T.StructType = CONN,
                   sep: str = "\t") -> DataFrame:
-    """Header line skipped, columns named by ``schema`` in file order."""
-    raw = (spark.read.schema(raw_string_schema(schema)).option("sep", sep)
-           .option("header", True).option("mode", "PERMISSIVE").csv(path))
-    return typed(raw, schema)
+    """A log with a header line, columns by name."""
+    return typed(read_table_text(spark, path, schema, sep), schema)
 
 
 def read_csv_split(spark: SparkSession, path: str, schema: T.StructType = CONN) -> DataFrame:
@@ -45,44 +123,30 @@ def read_csv_split(spark: SparkSession, path: str, schema: T.StructType = CONN)
     return read_conn_log(spark, path, schema, sep=",")
 
 
-def clean_name(name: str) -> str:
-    """``id.orig_h`` -> ``orig_h``; ``detailed-label`` -> ``detailed_label``."""
-    name = name[3:] if name.startswith("id.") else name
-    return re.sub(r"[^0-9A-Za-z_]", "_", name)
-
-
-def zeek_fields(spark: SparkSession, path: str) -> list[str] | None:
-    """The names on the first ``#fields`` line (a filter + first(): the scan stops early)."""
-    lines = spark.read.text(path)
-    row = lines.where(F.col("value").startswith("#fields")).select("value").first()
-    if row is None:
-        return None
-    return re.sub(r"^#fields\s*", "", row["value"].strip()).split()
-
-
 def read_zeek(spark: SparkSession, path: str, schema: T.StructType | None = None,
               max_rows: int | None = None) -> DataFrame:
     """S3 (+ S4): raw Zeek log as a DataFrame.
 
-    Without a ``#fields`` line, columns are named ``c0, c1, ...`` (width = longest row).
-    With ``schema``, columns are matched by clean name and cast; otherwise text is kept.
+    Each file's ``#fields`` line names its columns; files with different fields are put
+    together by name.  Without any ``#fields`` line, columns are named ``c0, c1, ...`` (width =
+    longest row).  With ``schema``, columns are matched by clean name and cast; otherwise text
+    is kept.
     """
-    fields = zeek_fields(spark, path)
-    text = spark.read.text(path)
+    lines = read_lines(spark, path)
+    headers = _first_lines(lines.where(F.col("value").startswith("#fields"))).select(
+        "file", F.split(F.trim(F.regexp_replace("header", r"^#fields\s*", "")), r"\s+").alias("names"))
     body = F.trim(F.regexp_replace("value", "#.*$", ""))
-    parts = (text.select(body.alias("line")).where(F.col("line") != "")
-             .select(F.split("line", r"\s+").alias("v")))
-    if fields is None:
-        width = parts.agg(F.max(F.size("v"))).first()[0] or 0
-        fields = [f"c{i}" for i in range(width)]
-    names = [clean_name(x) for x in fields]
-    df = parts.select(*[F.get(F.col("v"), i).alias(n) for i, n in enumerate(names)])
-    df = df.select(*[null_if_marker(F.col(n)).alias(n) for n in names])
-    if schema is not None:
-        known = {f.name: f.dataType for f in schema.fields}
-        df = df.select(*[(F.col(n).try_cast(known[n]) if n in known
-                          and not isinstance(known[n], T.StringType) else F.col(n)).alias(n)
-                         for n in names])
+    rows = lines.select("file", body.alias("value")).where(F.col("value") != "")
+    values = F.split("value", r"\s+")
+    if headers.isEmpty():
+        width = rows.agg(F.max(F.size(values))).first()[0] or 0
+        df = rows.select(values.alias("v")).select(*[F.get(F.col("v"), i).alias(f"c{i}") for i in range(width)])
+    else:
+        df = by_name(rows, headers, values, None)
+    known = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
+    df = df.select(*[(null_if_marker(F.col(n), RAW_NULLS).try_cast(known[n]) if n in known
+                      and not isinstance(known[n], T.StringType) else null_if_marker(F.col(n), RAW_NULLS)).alias(n)
+                     for n in df.columns])
     return df.limit(max_rows) if max_rows is not None else df
 
 

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flowlens.schema import PACKET
-from flowlens.session import checkpoint_dir
 
 
 def write_split(df: DataFrame, path: str, fmt: str = "tsv", helper: str = "is_benign") -> None:
@@ -57,10 +54,9 @@ def packet_stream(spark: SparkSession, path: str, max_files_per_trigger: int | N
 
 def alert_sink(alerts: DataFrame, path: str, checkpoint: str | None = None,
                trigger_once: bool = False) -> StreamingQuery:
-    """Append alerts to parquet; the checkpoint (in the session's shared checkpoint folder
-    unless given) makes a restart resume without duplicates."""
-    spark = alerts.sparkSession
-    checkpoint = checkpoint or os.path.join(checkpoint_dir(spark), "alerts-" + os.path.basename(path))
+    """Append alerts to parquet; the checkpoint (beside the output unless given) makes a
+    restart, in this session or a later one, resume without duplicates."""
+    checkpoint = checkpoint or f"{path.rstrip('/')}/_checkpoint"
     w = (alerts.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint))
     if trigger_once:

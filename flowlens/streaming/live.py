@@ -18,26 +18,31 @@ No window's flows are ever gathered into one row or one task.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import numpy as np
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.operators.decisions import alert_record, whitelist_override
-from flowlens.operators.flows import aggregate_flows, event_time_of
+from flowlens.operators.decisions import alert_record, decide, positive_score, whitelist_override
+from flowlens.operators.features import FeatureModel
+from flowlens.operators.flows import (aggregate_flows, event_time_of, filter_packets,
+                                      normalize_packets, with_flow_key)
 from flowlens.operators.metrics import scorecard
 from flowlens.operators.labels import label_by_source
-from flowlens.operators.sequences import score_windows, sequence_windows
+from flowlens.operators.sequences import score_windows, sequence_windows, warmup_fill
 from flowlens.schema import DEFAULT_ATTACKERS, DEFAULT_WHITELIST, SEQ_LEN
 
 FLOW_ID = ["src_ip", "sport", "dst_ip", "dport"]
 ALERT_KEEP = ["window_start"] + FLOW_ID + ["proto", "conn_state", "first_seq"]
 
 
-def live_flows(packets: DataFrame, window: str = "1 second") -> DataFrame:
+def live_flows(packets: DataFrame, window: str = "1 second", history: bool = True) -> DataFrame:
     """J1 + J2: flows per event-time window (state never crosses windows)."""
-    return aggregate_flows(packets, window=window)
+    return aggregate_flows(packets, window=window, history=history)
 
 
 def live_sequences(flows: DataFrame, values: list[str], length: int = SEQ_LEN,
@@ -53,9 +58,8 @@ def live_sequences(flows: DataFrame, values: list[str], length: int = SEQ_LEN,
 def decide_alerts(scored: DataFrame, t: float, whitelist=DEFAULT_WHITELIST,
                   length: int = SEQ_LEN, position: str = "seq_pos") -> DataFrame:
     """J4 after scoring: threshold (P13) -> warm-up fill (W4) -> whitelist (P14) -> record."""
-    d = scored.withColumn("pred", F.when(F.col(position) < length - 1, F.lit(0))
-                          .otherwise((F.col("score") >= F.lit(float(t))).cast("int")))
-    return alert_record(whitelist_override(d, whitelist))
+    d = decide(scored, t).withColumn("_row", F.col(position) + 1)
+    return alert_record(whitelist_override(warmup_fill(d, "_row", length).drop("_row"), whitelist))
 
 
 def live_alerts(flows: DataFrame, model_fn: Callable[[np.ndarray], np.ndarray], t: float,
@@ -67,13 +71,33 @@ def live_alerts(flows: DataFrame, model_fn: Callable[[np.ndarray], np.ndarray],
     return decide_alerts(scored, t, whitelist, length)
 
 
-def window_throughput(packets: DataFrame, flows: DataFrame, window: str = "1 second") -> DataFrame:
-    """Packets, flows and packets per second of each window."""
+def fitted_live_alerts(flows: DataFrame, fm: FeatureModel, model: PipelineModel, t: float,
+                       whitelist=DEFAULT_WHITELIST, length: int = SEQ_LEN, rows: bool = False) -> DataFrame:
+    """J4 with fitted preprocessing and a fitted model: a sequence model scores padded windows
+    of prepared flows (the first ``length - 1`` of a window are warm-up); with ``rows`` a row
+    model scores each prepared flow by itself, without warm-up."""
+    prepared = fm.transform(flows)
+    if rows:
+        scored = decide(positive_score(model.transform(prepared)).select(*ALERT_KEEP, "score"), t)
+        return alert_record(whitelist_override(scored, whitelist))
+    seqs = live_sequences(prepared, [f"f_{c}" for c in fm.numeric] + fm.onehot_cols, length=length, pad=True)
+    keep = ALERT_KEEP + ["seq_pos"]
+    vectors = seqs.select(*keep, array_to_vector(F.flatten("seq")).alias("features"))
+    scored = positive_score(model.transform(vectors)).select(*keep, "score")
+    return decide_alerts(scored, t, whitelist, length)
+
+
+def window_throughput(packets: DataFrame, window: str = "1 second") -> DataFrame:
+    """Packets, flows and packets per second of each window.  Flows are counted as
+    distinct keys; no flow is built."""
     seconds = F.lit(float(_seconds(window)))
     p = (packets.withColumn("event_time", event_time_of(packets, "ts"))
          .groupBy(F.window("event_time", window).start.alias("window_start"))
          .agg(F.count(F.lit(1)).alias("packets")))
-    f = flows.groupBy("window_start").agg(F.count(F.lit(1)).alias("flows"))
+    kept = with_flow_key(normalize_packets(filter_packets(packets)))
+    f = (kept.withColumn("event_time", event_time_of(kept, "ts"))
+         .groupBy(F.window("event_time", window).start.alias("window_start"), "lo", "hi").agg()
+         .groupBy("window_start").agg(F.count(F.lit(1)).alias("flows")))
     return (p.join(f, "window_start", "left").fillna(0, ["flows"])
             .withColumn("pkts_per_s", F.col("packets") / seconds))
 
@@ -102,38 +126,40 @@ def stream_flows(packets: DataFrame, window: str = "1 second",
     return aggregate_flows(p, window=window, history_plan="collect", keep_window=True)
 
 
-def alert_batch_writer(out_path: str, model_fn: Callable[[np.ndarray], np.ndarray], t: float,
-                       values: list[str], whitelist=DEFAULT_WHITELIST, length: int = SEQ_LEN):
+def alert_batch_writer(out_path: str, alerts_of: Callable[[DataFrame], DataFrame]):
     """``foreachBatch`` handler: the flows of the windows closed in this micro-batch (append
     mode emits every flow of a window in the same batch) go through the exact batch twin
     (J3/J4 with halo windows, no per-window collect) and are written to the batch's own
     folder with overwrite, so a replayed batch id replaces its output instead of duplicating."""
     def handle(flows: DataFrame, batch_id: int) -> None:
-        if flows.isEmpty():
-            return
-        alerts = live_alerts(flows.drop("window"), model_fn, t, values, whitelist, length)
-        (alerts.withColumn("batch_id", F.lit(int(batch_id)))
-         .write.mode("overwrite").parquet(f"{out_path}/batch_id={int(batch_id)}"))
+        flows = flows.drop("window").persist()   # else each action runs the aggregation again
+        try:
+            if flows.isEmpty():
+                return
+            (alerts_of(flows).withColumn("batch_id", F.lit(int(batch_id)))
+             .write.mode("overwrite").parquet(f"{out_path}/batch_id={int(batch_id)}"))
+        finally:
+            flows.unpersist()
     return handle
 
 
-def start_alert_stream(packets: DataFrame, out_path: str, model_fn: Callable[[np.ndarray], np.ndarray],
-                       t: float, values: list[str], window: str = "1 second",
+def start_alert_stream(packets: DataFrame, out_path: str,
+                       model_fn: Callable[[np.ndarray], np.ndarray] | None = None,
+                       t: float = 0.5, values: list[str] | None = None, window: str = "1 second",
                        watermark: str = "0 seconds", whitelist=DEFAULT_WHITELIST,
                        length: int = SEQ_LEN, checkpoint: str | None = None,
-                       trigger_once: bool = False):
+                       trigger_once: bool = False,
+                       alerts_of: Callable[[DataFrame], DataFrame] | None = None):
     """J1-J5/J7 + S8 on a stream: stateful flow aggregation per event-time window (state is
     dropped once the watermark passes), then each micro-batch of closed windows is scored and
-    decided by ``alert_batch_writer``.  The checkpoint lives in the session's shared
-    ``spark.checkpoint.dir`` unless given."""
-    import os
-
-    from flowlens.session import checkpoint_dir
-    spark = packets.sparkSession
-    checkpoint = checkpoint or os.path.join(checkpoint_dir(spark), "live-" + os.path.basename(out_path))
+    decided by ``alert_batch_writer``: by ``model_fn`` over the ``values`` columns, or by
+    ``alerts_of`` (flows -> alerts), e.g. ``fitted_live_alerts`` with a saved model.  The checkpoint lives beside the output unless given,
+    so streams to different outputs never share one and a later session finds it again."""
+    checkpoint = checkpoint or f"{out_path.rstrip('/')}/_checkpoint"
     w = (stream_flows(packets, window, watermark).writeStream.outputMode("append")
          .option("checkpointLocation", checkpoint)
-         .foreachBatch(alert_batch_writer(out_path, model_fn, t, values, whitelist, length)))
+         .foreachBatch(alert_batch_writer(out_path, alerts_of or functools.partial(
+             live_alerts, model_fn=model_fn, t=t, values=values, whitelist=whitelist, length=length))))
     if trigger_once:
         w = w.trigger(availableNow=True)
     return w.start()

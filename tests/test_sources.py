@@ -1,3 +1,6 @@
+import pytest
+from pyspark.sql import types as T
+
 
 from flowlens.operators import features as ft
 from flowlens.operators import models as md
@@ -100,3 +103,36 @@ def test_entrypoints_profile_and_calibration(spark, tmp_path):
     ep.draw_calibration_set(spark, str(p), out, n_benign=12, n_attack=8)
     back = connlog.read_conn_log(spark, out)
     assert back.count() == 20 and "is_benign" not in back.columns
+
+
+def test_columns_go_by_each_files_own_header(spark, tmp_path):
+    folder = tmp_path / "logs"
+    folder.mkdir()
+    names = HEADER.split("\t")
+    (folder / "a.log").write_text(HEADER + "\n" + ROWS[0] + "\n")
+    order = list(range(len(names)))[::-1]
+    (folder / "b.log").write_text("\t".join(names[i] for i in order) + "\r\n" + "\t".join(ROWS[1].split("\t")[i] for i in order) + "\r\n")
+    rows = connlog.read_conn_log(spark, str(folder)).orderBy("ts").collect()
+    assert [r["uid"] for r in rows] == ["Ca", "Cb"] and [r["resp_p"] for r in rows] == [23, 80]
+    (folder / "c.log").write_text("ts\tuid\n1\tCc\n")
+    with pytest.raises(ValueError, match="no column"):
+        connlog.read_conn_log(spark, str(folder))
+
+
+def test_null_markers_of_each_reader_and_rejects(spark, tmp_path):
+    p = tmp_path / "x.csv"
+    p.write_text("ts,uid,label\n1.5,nan,NA\nx,-,\"a,b\"\n-,NULL,-\n")
+    schema = T.StructType([T.StructField("ts", T.DoubleType()), T.StructField("uid", T.StringType()), T.StructField("label", T.StringType())])
+    got = sorted(map(tuple, connlog.read_csv_split(spark, str(p), schema).collect()), key=repr)
+    assert got == sorted([(1.5, None, None), (None, "-", "a,b"), (None, None, "-")], key=repr)
+    text = connlog.read_table_text(spark, str(p), schema, sep=",")
+    assert {r["column"]: r["rejected"] for r in connlog.rejected_values(text, schema).collect()} == {"ts": 2}
+
+
+def test_raw_logs_with_different_fields(spark, tmp_path):
+    folder = tmp_path / "zeek"
+    folder.mkdir()
+    (folder / "a.log").write_text("#fields\tts\tuid\n1\tCa\n")
+    (folder / "b.log").write_text("#fields\tuid\tid.orig_h\tts\nCb\t10.0.0.1\t2\nCc\t-\t3\n")
+    got = connlog.read_zeek(spark, str(folder)).orderBy("ts").select("ts", "uid", "orig_h").collect()
+    assert [tuple(r) for r in got] == [("1", "Ca", None), ("2", "Cb", "10.0.0.1"), ("3", "Cc", None)]
