@@ -96,7 +96,7 @@ def window_throughput(packets: DataFrame, window: str = "1 second") -> DataFrame
          .agg(F.count(F.lit(1)).alias("packets")))
     kept = with_flow_key(normalize_packets(filter_packets(packets)))
     f = (kept.withColumn("event_time", event_time_of(kept, "ts"))
-         .groupBy(F.window("event_time", window).start.alias("window_start"), "lo", "hi").agg()
+         .select(F.window("event_time", window).start.alias("window_start"), "lo", "hi").distinct()
          .groupBy("window_start").agg(F.count(F.lit(1)).alias("flows")))
     return (p.join(f, "window_start", "left").fillna(0, ["flows"])
             .withColumn("pkts_per_s", F.col("packets") / seconds))
