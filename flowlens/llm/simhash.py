@@ -140,7 +140,9 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFr
         a, b = compare(np.unique(fp[is_left]), np.unique(fp[~is_left]), radius)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return dealt.groupBy("pair").applyInPandas(work, "a bigint, b bigint")
+    # few bytes but much work: as many tasks as the session deals out, not as its bytes ask for
+    tasks = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(tasks, "pair").groupBy("pair").applyInPandas(work, "a bigint, b bigint")
 
 
 def classes(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
