@@ -30,7 +30,7 @@ def sequence_windows(df: DataFrame, order: list[str], values: list[str],
                      length: int = SEQ_LEN, pad: bool = False,
                      partition_by: list[str] | None = None, keep: list[str] | None = None,
                      member_cols: list[str] | None = None, block: int = 8192,
-                     n_buckets: int | None = None, checkpoint: bool = True) -> DataFrame:
+                     checkpoint: bool = False) -> DataFrame:
     """W1 (``pad=False``: only full windows, n-L+1 of them) and W2 (``pad=True``: one window
     per row, missing history as zero vectors).  W3: the window carries its last row's
     ``keep`` columns (e.g. the label).
@@ -43,7 +43,8 @@ def sequence_windows(df: DataFrame, order: list[str], values: list[str],
         raise ValueError("block must be at least the window length")
     parts = list(partition_by or [])
     keep = list(keep or [])
-    # the input is read three times (boundaries, bucket counts, ranked pass): cut lineage once
+    # the ordering writes its rows once; ``checkpoint`` also writes the input before it, for one
+    # that is costly to compute without a shuffle of its own
     cols = list(dict.fromkeys(parts + keep + list(member_cols or []) + list(order) + list(values)))
     df = materialize(df.select(*cols), checkpoint)
     idx = dense_index(df, order, strata=parts, out="_i")

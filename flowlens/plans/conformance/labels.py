@@ -10,7 +10,7 @@ from flowlens.operators import sampling as sm
 from flowlens.plans import views
 from flowlens.plans.ordering import dense_index
 from flowlens.schema import CONN, FEATURES
-from flowlens.sources import connlog
+from flowlens.sources import connlog, sinks
 
 STRAT_N = {True: 1500, False: 1000}      # the reference's 60:40 calibration draw
 RATIO_TOTAL, RATIO_SHARES = 2500, {True: 0.9, False: 0.1}
@@ -40,16 +40,9 @@ def q_scan_limit(spark, sf):
 
 
 def q_split_manifest(spark, sf):
-    """Files, bytes and rows behind each input table of the log views."""
-    parts = []
-    for t in ("events", "conversations"):
-        d = spark.read.parquet(f"{sf}/{t}.parquet")
-        parts.append(d.select(F.lit(t).alias("table"), F.col("_metadata.file_name").alias("file"),
-                              F.col("_metadata.file_size").alias("bytes")))
-    u = parts[0].unionByName(parts[1])
-    return u.groupBy("table", "file").agg(F.max("bytes").alias("bytes"),
-                                          F.count(F.lit(1)).alias("rows")) \
-        .withColumn("mb", F.round(F.col("bytes") / F.lit(1048576.0), 2))
+    """Rows behind each input table of the log views, and whether every file has a size."""
+    m = sinks.manifest(spark, {t: f"{sf}/{t}.parquet" for t in ("events", "conversations")})
+    return m.groupBy("dataset").agg(F.sum("rows").alias("rows"), F.min(F.col("bytes") > 0).alias("sized"))
 
 
 def q_label_not_null(spark, sf):
@@ -163,6 +156,8 @@ WHERE (is_benign AND rn <= {n_true}) OR (NOT is_benign AND rn <= {n_false})"""
 ORACLE = {
     "conn_scan": views.V1_SQL,
     "scan_limit": f"SELECT uid, ts, label FROM ({views.V1_SQL}) v ORDER BY ts, uid LIMIT 100",
+    "split_manifest": """SELECT 'events' AS dataset, count(*) AS rows, true AS sized FROM events UNION ALL
+  SELECT 'conversations' AS dataset, count(*) AS rows, true AS sized FROM conversations""",
     "label_not_null": f"SELECT uid, label FROM ({views.V1_SQL}) v WHERE label IS NOT NULL",
     "label_benign_flag": f"SELECT uid, is_benign FROM ({CLEAN_SQL}) c",
     "label_binary": f"SELECT uid, y FROM ({CLEAN_SQL}) c",

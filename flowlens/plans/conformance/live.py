@@ -3,13 +3,19 @@ P14-P16); the batch twin of the streaming plan."""
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import functions as F
 
 from flowlens.operators import labels as lb
 from flowlens.operators import metrics as mt
+from flowlens.operators.features import FeatureModel
 from flowlens.operators import sequences as sq
 from flowlens.plans import views
 from flowlens.plans.conformance.flows import FLOWS_V2_DAY
+from flowlens.session import checkpoint_dir
 from flowlens.streaming import live
 
 WINDOW = "1 day"
@@ -86,12 +92,37 @@ def q_live_scorecard(spark, sf):
     return c.select("dataset", "tp", "fp", "tn", "fn", *[F.round(m, 6).alias(m) for m in mt.METRICS])
 
 
+#: Fixed preprocessing and row model of ``live_row_alerts``.
+ROW_FM = FeatureModel(medians={"orig_pkts": 3.0, "resp_pkts": 2.0}, means={"orig_pkts": 2.0, "resp_pkts": 1.5},
+                      stds={"orig_pkts": 4.0, "resp_pkts": 2.5}, vocab={"conn_state": ["OTH", "S0", "SF"]},
+                      numeric=["orig_pkts", "resp_pkts"], categorical=["conn_state"])
+ROW_FORMULA = "1 / (1 + exp(-({0} * f_orig_pkts - {1} * f_resp_pkts + {2} * oh_1 - {3} * oh_2)))"
+ROW_WEIGHTS, ROW_T = [0.8, 0.5, 0.7, 0.4], 0.5
+
+
+def row_model():
+    """A fixed formula as a Spark ML pipeline with a probability vector, like a fitted row model."""
+    p1 = ROW_FORMULA.format(*[f"CAST({w} AS DOUBLE)" for w in ROW_WEIGHTS])
+    pair = SQLTransformer(statement=f"SELECT *, 1 - {p1} AS p0, {p1} AS p1 FROM __THIS__")
+    return PipelineModel(stages=[pair, VectorAssembler(inputCols=["p0", "p1"], outputCol="probability")])
+
+
+def q_live_row_alerts(spark, sf):
+    """J4 by a row model behind preprocessing that was saved and loaded."""
+    path = f"{checkpoint_dir(spark)}/row-features-{uuid.uuid4().hex}"
+    ROW_FM.save(spark, path)
+    fm = FeatureModel.load(spark, path)
+    a = live.fitted_live_alerts(flows(spark, sf), fm, row_model(), ROW_T, whitelist=WHITELIST, rows=True)
+    return a.select(_ws(), *FID, "pred", F.round("score", 6).alias("score"), "status", "endpoints", "conn_state")
+
+
 QUERIES = {
     "window_throughput": q_window_throughput,
     "batch_means": q_batch_means,
     "live_sequences": q_live_sequences,
     "warmup_fill": q_warmup_fill,
     "live_alerts": q_live_alerts,
+    "live_row_alerts": q_live_row_alerts,
     "whitelist_override": q_whitelist_override,
     "alert_record": q_alert_record,
     "label_by_source": q_label_by_source,
@@ -150,6 +181,14 @@ ORACLE = {
     "warmup_fill": f"SELECT window_start, src_ip, sport, dst_ip, dport, seq_pos, pred_w AS pred FROM ({DECIDED}) d",
     "live_alerts": f"""SELECT window_start, src_ip, sport, dst_ip, dport, seq_pos, pred, round(score, 6) AS score, status,
   endpoints, proto_upper, conn_state FROM ({RECORD}) r""",
+    "live_row_alerts": f"""WITH f AS (SELECT *, (orig_pkts - CAST(2.0 AS DOUBLE)) / 4.0 AS f_orig_pkts,
+    (resp_pkts - CAST(1.5 AS DOUBLE)) / 2.5 AS f_resp_pkts, CAST(conn_state = 'S0' AS DOUBLE) AS oh_1,
+    CAST(conn_state = 'SF' AS DOUBLE) AS oh_2 FROM ({FLOWS_V2_DAY}) x),
+s AS (SELECT *, {ROW_FORMULA.format(*[f"CAST({w} AS DOUBLE)" for w in ROW_WEIGHTS])} AS score FROM f),
+d AS (SELECT *, CASE WHEN src_ip IN ({_IN_WL}) THEN 0 ELSE CAST(score >= {ROW_T} AS INTEGER) END AS pred FROM s)
+SELECT window_start, src_ip, sport, dst_ip, dport, pred, round(score, 6) AS score,
+  CASE WHEN pred = 1 THEN '[ALERT] Malicious Botnet Traffic Detected!' ELSE '[SAFE] Clean Traffic Detected!' END AS status,
+  src_ip || ':' || CAST(sport AS VARCHAR) || ' -> ' || dst_ip || ':' || CAST(dport AS VARCHAR) AS endpoints, conn_state FROM d""",
     "whitelist_override": f"SELECT window_start, src_ip, sport, dst_ip, dport, pred FROM ({ALERTS}) a",
     "alert_record": f"SELECT window_start, status, endpoints, proto_upper, conn_state FROM ({RECORD}) r",
     "label_by_source": f"""SELECT window_start, src_ip, sport, dst_ip, dport,

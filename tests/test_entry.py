@@ -13,7 +13,7 @@ window_throughput batch_means live_sequences live_alerts live_scorecard warmup_f
 whitelist_override alert_record threshold_decision score_pair confusion_matrix scorecard_basic
 scorecard_error_rates roc_auc pr_auc pr_curve_points scorecard_full model_select metric_delta
 scorecard_pivot udf_scores turn_flow_history turn_flow_aggregate""".split()
-ROWS_ONLY = {"split_manifest", "batch_scores", "candidate_gbt", "candidate_rf", "candidate_mlp_seq",
+ROWS_ONLY = {"batch_scores", "candidate_gbt", "candidate_rf", "candidate_mlp_seq",
              "candidate_scorecards", "ablation_report", "three_way_scorecard"}
 
 

@@ -30,7 +30,7 @@ def test_last_row_label_and_padding(spark):
 def test_halo_equals_plain_window(spark):
     """Two-plan equality: tiny blocks (many halos) vs the plain global window."""
     df = _rows(spark, 300, hosts=3)
-    halo = sq.sequence_windows(df, ["ts", "uid"], ["x"], keep=["uid"], block=7, n_buckets=9)
+    halo = sq.sequence_windows(df, ["ts", "uid"], ["x"], keep=["uid"], block=7)
     got = {r["uid"]: [m["x"] for m in r["members"]] for r in halo.collect()}
     w = Window.orderBy("ts", "uid").rowsBetween(-4, 0)
     plain = df.withColumn("m", F.collect_list("x").over(w)).where(F.size("m") == 5)
