@@ -35,7 +35,7 @@ from flowlens.llm.base import id_crc, labelled_texts, map_rows, sample_labels, t
 SHORTEST, LONGEST = 3, 5
 BITS = 18
 MAX_TRAIN_ROWS = 16_384
-MIN_TEXTS, CHI_SQUARE = 3, 30.0
+MIN_TEXTS, CHI_SQUARE = 3, 40.0
 SMOOTHING, L2 = 0.5, 1e-3
 THRESHOLD = 0.7
 PART = 1 << 20
