@@ -57,14 +57,15 @@ def draw_calibration_set(spark: SparkSession, source: str, out: str, n_benign: i
 
 def train_and_select(spark: SparkSession, train_path: str, set_a_path: str, set_b_path: str,
                      model_dir: str | None = None, order: tuple = ("ts", "uid"),
-                     key: str = "uid") -> tuple[DataFrame, ft.FeatureModel, dict]:
+                     key: str = "uid", which: tuple = tuple(md.CANDIDATE_ORDER)
+                     ) -> tuple[DataFrame, ft.FeatureModel, dict]:
     """Fit preprocessing on train, train the candidates, score the
     training set and sets A and B in one grouped scorecard, select on set B, optionally save
     the fitted preprocessing, every candidate and the winner's name (``load_winner``)."""
     train = _load(spark, train_path)
     fm = ft.fit_features(train)
     weight = pf.class_weight(train).first()["pos_weight"]
-    trained = md.train_candidates(fm, train, weight, list(order), key)
+    trained = md.train_candidates(fm, train, weight, list(order), key, which=which)
     scored = md.candidate_scores(fm, trained, {"train": train, "A": _load(spark, set_a_path),
                                                "B": _load(spark, set_b_path)}, list(order), key)
     card = md.candidate_scorecards(scored, trained)
