@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -64,16 +65,19 @@ def load_ranks(path: str) -> bytes:
         return f.read()
 
 
-@functools.lru_cache(maxsize=2)
-def encoders(rank_lines: bytes, pattern: str) -> tuple[tiktoken.Encoding, tiktoken.Encoding]:
-    """The encoder by ``pattern``, and one that takes a whole string as a single match."""
+#: Takes a whole string as a single match.
+WHOLE = r"(?s:.+)"
+
+
+@functools.lru_cache(maxsize=3)
+def encoder(rank_lines: bytes, pattern: str) -> tiktoken.Encoding:
+    """The library's encoder by ``pattern``, made once in a worker."""
     ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, rank_lines.splitlines())}
-    make = functools.partial(tiktoken.Encoding, mergeable_ranks=ranks, special_tokens={})
-    return make("split", pat_str=pattern), make("whole", pat_str=r"(?s:.+)")
+    return tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
 def encode_text(text: str, rank_lines: bytes, pattern: str, limit: int = PIECE) -> list[int]:
-    split, whole = encoders(rank_lines, pattern)
+    split = encoder(rank_lines, pattern)
     if len(text) <= limit:
         return split.encode_ordinary(text)
     ids: list[int] = []
@@ -81,14 +85,16 @@ def encode_text(text: str, rank_lines: bytes, pattern: str, limit: int = PIECE)
         if len(piece) <= 2 * limit:
             ids += split.encode_ordinary(piece)
         else:
+            whole = encoder(rank_lines, WHOLE)
             for match in regex.finditer(pattern, piece):
                 ids += whole.encode_ordinary(match.group())
     return ids
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, rank_path: str | None = None,
-           pattern: str = public_tokenizers.PATTERN, packed: bool = False) -> DataFrame:
-    """(doc_id, n_tokens, ids) of each row.  ``ids`` is an array of ints, or with ``packed`` the
+           pattern: str = public_tokenizers.PATTERN, packed: bool = False, verify: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids) of each row.  ``verify`` decodes the ids in the same task, raises
+    where the bytes are not the text's, and adds their ``decoded_sha256``.  ``ids`` is an array of ints, or with ``packed`` the
     ids as little-endian unsigned 32-bit integers, the usual form of token shards.  The rank
     file is read on the driver and broadcast: its size does not depend on the data."""
     spark = docs.sparkSession
@@ -98,13 +104,23 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, r
         lines = shared.value
 
         def work(part):
-            ids = [np.array(encode_text(t, lines, pattern), dtype="<u4") for t in part]
-            return [[len(x) for x in ids], [x.tobytes() if packed else x.astype("i4") for x in ids]]
+            ids, digests = [], []
+            for t in part:
+                own = encode_text(t, lines, pattern)
+                if verify:
+                    raw = encoder(lines, pattern).decode_bytes(own)
+                    if raw != t.encode():
+                        raise ValueError(f"ids do not decode to the text that begins {t[:50]!r}")
+                    digests.append(hashlib.sha256(raw).hexdigest())
+                ids.append(np.array(own, dtype="<u4"))
+            cols = [[len(x) for x in ids], [x.tobytes() if packed else x.astype("i4") for x in ids]]
+            return [*cols, digests] if verify else cols
 
         return work
 
     kind = "binary" if packed else "array<int>"
-    return map_rows(texts(docs, id_col, text_col), f"n_tokens bigint, ids {kind}", make)
+    checked = ", decoded_sha256 string" if verify else ""
+    return map_rows(texts(docs, id_col, text_col), f"n_tokens bigint, ids {kind}{checked}", make)
 
 
 def decode(tokens: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", *, rank_path: str | None = None,
@@ -121,7 +137,7 @@ def decode(tokens: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", *, r
     names = schema.names
 
     def run(batches):
-        split, _ = encoders(shared.value, pattern)
+        split = encoder(shared.value, pattern)
         for batch in batches:
             out = []
             for x in batch.column(1):

@@ -40,7 +40,7 @@ def test_counts_equal_the_library(library):
 
 
 def test_encoding_in_pieces_equals_the_library(lines):
-    whole, _ = bpe.encoders(lines, public_tokenizers.PATTERN)
+    whole = bpe.encoder(lines, public_tokenizers.PATTERN)
     for t in odd_texts(400, 2):
         assert bpe.encode_text(t, lines, public_tokenizers.PATTERN, limit=5) == whole.encode_ordinary(t)
         assert "".join(bpe.safe_pieces(t, 3)) == t
@@ -52,7 +52,7 @@ def test_long_white_space_is_encoded(lines):
 
 
 def whole_bytes(lines, ids):
-    return bpe.encoders(lines, public_tokenizers.PATTERN)[0].decode_bytes(ids)
+    return bpe.encoder(lines, public_tokenizers.PATTERN).decode_bytes(ids)
 
 
 def test_operators_on_edge_rows(spark, edge_docs, edge_rows, library, lines):
@@ -76,14 +76,20 @@ def test_array_ids_decode_too(spark):
     assert rows_of(bpe.decode(coded)) == [(1, bytearray(b"Some text, twice.")), (2, bytearray(b""))]
 
 
+def test_verified_ids(spark, edge_docs):
+    plain, checked = bpe.encode(edge_docs), bpe.encode(edge_docs, verify=True)
+    assert rows_of(checked.drop("decoded_sha256")) == rows_of(plain)
+    assert rows_of(checked.select("doc_id", "decoded_sha256")) == rows_of(bpe.round_trip(edge_docs).select("doc_id", "decoded_sha256"))
+
+
 def test_empty_table(no_docs):
     assert token_counts.count_tokens(no_docs).count() == 0
     assert bpe.round_trip(no_docs).count() == 0
 
 
 def test_queries(spark):
-    whole = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.encoders(
-        bpe.load_ranks(public_tokenizers.path(bpe.RANK_FILE)), public_tokenizers.PATTERN)[0]._mergeable_ranks, special_tokens={})
+    whole = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.encoder(
+        bpe.load_ranks(public_tokenizers.path(bpe.RANK_FILE)), public_tokenizers.PATTERN)._mergeable_ranks, special_tokens={})
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     got = {r["doc_id"]: r for r in queries.op10_byte_bpe(spark, SF).collect()}
     assert got.keys() == docs.keys()
