@@ -46,12 +46,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    own = F.sha2(F.coalesce("text", F.lit("")), 256)
-    coded = bpe.encode(docs.select(F.struct("doc_id", own.alias("sha256")).alias("doc_id"), "text"))
-    both = bpe.decode(coded, keep=("n_tokens", "ids")).withColumn("decoded_sha256", F.sha2("decoded", 256))
-    checked = F.when(F.col("decoded_sha256") == F.col("doc_id.sha256"), F.col("decoded_sha256")).otherwise(
-        F.raise_error(F.concat(F.lit("ids do not decode to the text of "), F.col("doc_id.doc_id").cast("string"))))
-    return both.select("doc_id.doc_id", "n_tokens", "ids", checked.alias("decoded_sha256"))
+    return bpe.encode(docs, verify=True)
 
 
 STAGES = [("toxicity", drop_toxic), ("near_duplicates", drop_near_duplicates), ("decontamination", drop_contaminated),
