@@ -70,6 +70,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``scratch`` named, in whatever store it lies."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     checkpoint_dir(df.sparkSession)

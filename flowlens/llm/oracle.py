@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from flowlens.llm import decontamination, secret_scan, sharding
+from flowlens.llm import decontamination, hard_negatives, lexical_search, secret_scan, sharding
 
 LOWERED = f"translate(coalesce(text, ''), '{decontamination.UPPER}', '{decontamination.LOWER}')"
 WORDS = f"regexp_extract_all({LOWERED}, '{decontamination.WORD}')"
@@ -103,4 +103,41 @@ def op9_secret_scan() -> str:
     FROM d LEFT JOIN b USING (doc_id) LEFT JOIN e USING (doc_id)"""
 
 
-ORACLE = {f.__name__: f() for f in (op2_warc, op3_decontamination, op4_sharding, op9_secret_scan)}
+def op11_lexical_search(k: int = lexical_search.TOP) -> str:
+    words = f"regexp_extract_all({LOWERED}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+    return f"""
+    WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {words} AS ws FROM documents),
+    items AS (SELECT row_number() OVER () AS i, item_id, {words} AS ws FROM benchmark),
+    size AS (SELECT count(*)::BIGINT AS N, sum(len(ws))::BIGINT AS L FROM docs WHERE len(ws) > 0),
+    tf AS (SELECT r, t, count(*)::BIGINT AS tf FROM (SELECT r, unnest(ws) AS t FROM docs) GROUP BY ALL),
+    df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+    asked AS (SELECT i, t, count(*)::BIGINT AS q FROM (SELECT i, unnest(ws) AS t FROM items) GROUP BY ALL),
+    weighed AS (SELECT i, t, q * floor(1000 * ln((2 * N + 2) / (2 * df + 1)))::BIGINT AS w FROM asked JOIN df USING (t), size),
+    norm AS (SELECT r, doc_id, 100 - 75 + (75 * len(ws)::BIGINT * N) // L AS m FROM docs, size WHERE len(ws) > 0),
+    scored AS (SELECT i, r, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+               FROM weighed JOIN tf USING (t) JOIN norm USING (r) GROUP BY i, r),
+    ranked AS (SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score
+               FROM scored JOIN norm USING (r) JOIN items USING (i) WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= {k}"""
+
+
+def op13_hard_negatives() -> str:
+    h = hard_negatives
+    return f"""
+    WITH own AS (SELECT row_number() OVER () AS r, vec_id,
+        CASE WHEN vec_id % {h.RELABEL_STEP} = 0 THEN (label + 1) % {h.LABELS} ELSE label END AS label,
+        list_transform(embedding, lambda x: floor({h.SCALE} * x::DOUBLE)) AS q FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (SELECT a.r AS a, a.vec_id AS anchor_id, b.r AS b, b.vec_id AS vec_id, a.label = b.label AS same,
+        list_dot_product(a.q, b.q)::BIGINT AS score
+      FROM own a JOIN own b ON a.vec_id IS DISTINCT FROM b.vec_id OR a.label <> b.label WHERE a.vec_id % {h.ANCHOR_STEP} = 0),
+    positives AS (SELECT a, anchor_id, b, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+      QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id NULLS LAST) <= {h.POSITIVES})
+    SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.vec_id NULLS LAST)::INT AS rank,
+      s.vec_id AS negative_id, positive_score, s.score AS negative_score
+    FROM positives p JOIN scored s ON p.a = s.a AND NOT s.same
+      AND {h.LOW} * positive_score <= 100 * s.score AND 100 * s.score <= {h.HIGH} * positive_score
+    QUALIFY rank <= {h.NEGATIVES}"""
+
+
+ORACLE = {f.__name__: f() for f in (op2_warc, op3_decontamination, op4_sharding, op9_secret_scan, op11_lexical_search, op13_hard_negatives)}

@@ -6,7 +6,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowlens.llm import bpe, decontamination, edit_embedding, quality, secret_scan, sharding, simhash, token_counts, toxicity, warc
+from flowlens.llm import (bpe, decontamination, edit_embedding, hard_negatives, language_id, lexical_search, quality, secret_scan, sharding,
+                          simhash, token_counts, toxicity, warc)
 from flowlens.llm.base import read_table, scratch
 from flowlens.llm.oracle import ORACLE  # noqa: F401
 
@@ -51,5 +52,18 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read_table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_warc, op3_decontamination, op4_sharding, op5_token_counts, op6_quality,
-                                   op7_simhash, op8_edit_fingerprints, op9_secret_scan, op10_byte_bpe)}
+                                   op7_simhash, op8_edit_fingerprints, op9_secret_scan, op10_byte_bpe, op11_lexical_search,
+                                   op12_language_id, op13_hard_negatives)}
