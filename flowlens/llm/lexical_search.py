@@ -8,7 +8,7 @@ number that follows its length) and the term's frequency tf in it.  The index is
 * so the impact w * (10^9 tf div (1000 tf + 8 m)) is computed once for each tf of a term and not
   for each posting, and the first tf of every term bounds what the stratum can give any query.
 
-A search reads strata in the descending order of their bounds and leaves out every query whose
+A search takes the strata it has read in the descending order of their bounds and leaves out every query whose
 bound is below its k-th best score so far; scores inside a stratum are exact: the table of
 impacts (terms x documents) times the counts of the terms in the queries.
 
@@ -44,7 +44,8 @@ from flowlens.llm.base import discard, scratch
 
 TOP = 10
 STRATUM_DOCS = 512
-CHUNK_POSTINGS = 1 << 20
+CHUNK_POSTINGS = 1 << 19
+READ_POSTINGS = 1 << 18
 BLOCK_ITEMS, BLOCK_TERMS = 256, 1 << 14
 INDEX_DDL = ("m bigint, doc_ids array<bigint>, terms array<binary>, groups array<int>, tfs array<int>, "
              "sizes array<int>, members array<int>")
@@ -268,8 +269,9 @@ def _searcher(block: _Block, weights: np.ndarray, k: int) -> Callable:
                 table[place[t], i] = n
         best = _Best(len(counts), k)
         for batch in batches:
-            for stratum in _strata(batch, wanted, weights, table):
-                _visit(stratum, table, best)
+            for part in _parts(batch):
+                for stratum in _strata(part, wanted, weights, table):
+                    _visit(stratum, table, best)
         item, score, doc_id, no_id = best.prune()
         yield pa.RecordBatch.from_arrays([pa.array(item, pa.int32()), pa.array(doc_id, pa.int64(), mask=no_id),
                                           pa.array(score, pa.int64())], names=["item", "doc_id", "score"])
@@ -277,8 +279,16 @@ def _searcher(block: _Block, weights: np.ndarray, k: int) -> Callable:
     return run
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Consecutive strata of about ``READ_POSTINGS`` postings, which bounds a task's arrays."""
+    part = np.cumsum(pc.list_value_length(batch.column("members")).to_numpy(zero_copy_only=False)) // READ_POSTINGS
+    starts = _runs(part) if len(part) else []
+    for start, stop in zip(starts, [*starts[1:], len(part)]):
+        yield batch.slice(start, stop - start)
+
+
 def _strata(batch: pa.RecordBatch, wanted: pa.Array, weights: np.ndarray, table: np.ndarray) -> list[dict]:
-    """The strata of a batch that hold a query term, the highest bound first."""
+    """The strata of some that hold a query term, the highest bound first."""
     query, n_terms, groups, sizes = _found(batch, wanted)
     kept = query >= 0
     m = np.repeat(np.asarray(batch.column("m")), n_terms)
