@@ -12,10 +12,9 @@ name) and its score the posterior.
 
 Fitting counts all teaching rows: tasks count words by language and flush bounded tables, Spark
 sums them (partial and final), and n-grams are counted from the summed words with DataFrame
-functions.  The model keeps the most frequent words and n-grams (ties by name): at most
+functions.  The model keeps the most frequent words and n-grams, all from a count on: at most
 ``MODEL_ENTRIES`` of either and at most ``MODEL_CELLS`` entry-language pairs, so what is
 collected and broadcast is bounded whatever the corpus.  Prediction is a map over whole texts.
-A task remembers the scores of up to ``REMEMBERED`` unseen words (speed only).
 
 Cases: a null text, or one without a letter, is ``und`` with score 0, as is every text where
 nothing was learned; a text whose words say nothing gets the most frequent language; rows
@@ -26,11 +25,12 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,7 +41,8 @@ LONGEST_WORD, LONGEST_GRAM = 64, 5
 MARK = " "
 SMOOTHING = 0.5
 MODEL_ENTRIES, MODEL_CELLS = 1 << 17, 1 << 21
-FLUSH, REMEMBERED = 1 << 18, 1 << 18
+FLUSH = 1 << 18
+NONE = np.zeros(0, int)
 FOLDS, FOLD = 4, 2
 
 _ASCII = bytes(b | 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A else 0x20 for b in range(256))
@@ -97,18 +98,29 @@ def count_grams(words: DataFrame) -> DataFrame:
             .where(F.col("gram") != MARK).groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
 
-def most_frequent(counts: DataFrame, key: str, languages: dict[str, int], entries: int) -> tuple[list[str], np.ndarray]:
-    """The ``entries`` most frequent keys, and their counts by language."""
-    top = (counts.groupBy(key).agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
-           .orderBy(F.col("total").desc(), key).limit(entries).select(key, "by"))
-    keys, table = [], []
-    for r in top.collect():
-        row = np.zeros(len(languages))
-        for lang, n in r["by"].items():
-            row[languages[lang]] = n
-        keys.append(r[key])
-        table.append(row)
-    return keys, np.array(table).reshape(len(keys), len(languages))
+def most_frequent(counts: DataFrame, key: str, languages: list[str], entries: int) -> tuple[list[str], np.ndarray]:
+    """Keys of the highest totals, and their counts by language: all those from a total on, as
+    low a one as leaves at most ``entries`` keys.  Totals are compared by their first ten bits,
+    so that the table of totals is small at any size and nothing is sorted."""
+    by = counts.groupBy(key).agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by"))
+    cut = F.greatest(F.length(F.bin("total")) - 10, F.lit(0))
+    rounded = F.call_function("shiftleft", F.call_function("shiftright", F.col("total"), cut), cut)
+    sizes = {r["t"]: r["count"] for r in by.groupBy(rounded.alias("t")).count().collect()}
+    least, kept = None, 0
+    for t in sorted(sizes, reverse=True):
+        kept += sizes[t]
+        if kept > entries:
+            break
+        least = t
+    if least is None:
+        return [], np.zeros((0, len(languages)))
+    found = by.where(F.col("total") >= least).select(key, "by").toArrow().sort_by(key)
+    lists = found["by"].combine_chunks()
+    out = np.zeros((len(found), len(languages)))
+    row = np.repeat(np.arange(len(found)), pc.list_value_length(lists).to_numpy())
+    pairs = lists.flatten()
+    out[row, pc.index_in(pairs.field("lang"), value_set=pa.array(languages)).to_numpy()] = pairs.field("n").to_numpy()
+    return found[key].to_pylist(), out
 
 
 @dataclass
@@ -120,38 +132,31 @@ class Model:
     word_scores: np.ndarray
     gram_scores: np.ndarray
 
-    def unseen(self, word: str) -> np.ndarray:
-        """Scores of a word that the model does not know."""
+    def known_grams(self, word: str) -> list[int]:
+        """Places of the longest known n-grams of a word."""
         marked = MARK + word + MARK
         for n in range(LONGEST_GRAM, 0, -1):
-            known = [g for g in (self.grams.get(marked[i:i + n]) for i in range(len(marked) - n + 1)) if g is not None]
+            known = [g for g in map(self.grams.get, [marked[i:i + n] for i in range(len(marked) - n + 1)]) if g is not None]
             if known:
-                return self.gram_scores[known].mean(axis=0)
-        return np.zeros(len(self.languages))
-
-    def predictor(self) -> Callable[[str], tuple[str, float]]:
-        known = self.words.get
-        remembered: dict[str, np.ndarray] = {}
-
-        def predict(text: str) -> tuple[str, float]:
-            found = Counter(words_of(text))
-            if not found or not self.languages:
-                return UNKNOWN, 0.0
-            places = list(map(known, found))
-            n = np.fromiter(found.values(), np.float64, len(found))
-            at = np.array([-1 if p is None else p for p in places])
-            z = self.prior + n[at >= 0] @ self.word_scores[at[at >= 0]]
-            for word, p in zip(found, places):
-                if p is None:
-                    if word not in remembered:
-                        if len(remembered) >= REMEMBERED:
-                            remembered.clear()
-                        remembered[word] = self.unseen(word)
-                    z = z + found[word] * remembered[word]
-            best = int(np.argmax(z))
-            return self.languages[best], float(1 / np.exp(z - z[best]).sum())
-
-        return predict
+                return known
+        return []
+
+    def predict(self, text: str) -> tuple[str, float]:
+        found = Counter(words_of(text))
+        if not found or not self.languages:
+            return UNKNOWN, 0.0
+        words, n, grams, shares = [], [], [], []
+        for word, times in found.items():
+            at = self.words.get(word)
+            if at is not None:
+                words.append(at)
+                n.append(times)
+            elif known := self.known_grams(word):
+                grams += known
+                shares += [times / len(known)] * len(known)
+        z = self.prior + np.array(n, float) @ self.word_scores[words or NONE] + np.array(shares, float) @ self.gram_scores[grams or NONE]
+        best = int(np.argmax(z))
+        return self.languages[best], float(1 / np.exp(z - z[best]).sum())
 
 
 def log_shares(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
@@ -172,8 +177,8 @@ def fit(docs: DataFrame, teaches: Column, *, id_col: str = "doc_id", text_col: s
     totals = np.zeros(len(names))
     for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect():
         totals[languages[r["lang"]]] = r["n"]
-    known, counts = most_frequent(words, "word", languages, entries)
-    grams, gram_counts = most_frequent(count_grams(words), "gram", languages, entries)
+    known, counts = most_frequent(words, "word", names, entries)
+    grams, gram_counts = most_frequent(count_grams(words), "gram", names, entries)
     size = np.array([len(g) for g in grams], int)
     gram_scores = np.zeros(gram_counts.shape)
     for n in range(1, LONGEST_GRAM + 1):
@@ -189,7 +194,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        one = shared.value.predictor()
+        one = shared.value.predict
         return lambda part: list(zip(*map(one, part)))
 
     return map_rows(texts(docs, id_col, text_col), "lang_pred string, score double", make)
