@@ -6,14 +6,11 @@ Plan (batch):
     Every counter is kept per canonical side; ``min_by(is_lo, arrival_seq)`` says which side
     initiated, and a projection swaps sides afterwards.  A hot flow costs one partial row per
     map task, whatever its size.
-  * the 10-letter history needs only the 10 earliest packets of a flow:
-    ``row_number() <= 10`` over (flow key, arrival_seq) is planned as a WindowGroupLimit that
-    also runs before the shuffle, so at most 10 rows per flow and map task are shipped; the
-    letters are collected from that bounded set.  Both sides are hash-partitioned on the same
-    key, so the join that puts them together adds no exchange.
+  * the 10-letter history is kept in the same aggregate by ``first_k``, a buffer of 10 slots that
+    merges with others of its kind: a map task ships, and streaming state holds, 10 packets of
+    a flow at most, whatever the flow sends.  One scan, one exchange.
   * the connection state is decided from counters over the *untruncated* history.
-Streaming uses the same aggregate per event-time window; history letters come from the
-window's own packets (state is bounded by the window).
+Streaming uses the same aggregate per event-time window.
 """
 
 from __future__ import annotations
@@ -21,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.internal import InternalFunction
 
 from flowlens.functions.columns import conn_state, epoch_micros, service_from_ports
 from flowlens.schema import HISTORY_LEN, PACKET_PROTOCOLS
@@ -92,9 +90,15 @@ def _letters(init_lo: Column, arr: Column) -> Column:
     ).otherwise(F.when(x["data"], F.lit("D")).otherwise(F.lit("a")))), "")
 
 
+def first_k(value: Column, k: int) -> Column:
+    """Aggregate: the ``k`` smallest values of a group, ascending.  The buffer holds ``k`` values on
+    either side of a shuffle and in streaming state."""
+    return F.array_sort(InternalFunction.collect_top_k(value, k, True))
+
+
 def aggregate_flows(packets: DataFrame, window: str | None = None,
                     history_len: int = HISTORY_LEN, key_includes_proto: bool = False,
-                    missing_service: str = "-", history_plan: str = "auto",
+                    missing_service: str = "-", history_plan: str = "slots",
                     prepared: bool = False, keep_window: bool = False,
                     history: bool = True) -> DataFrame:
     """A4: packets -> one row per flow (per event-time window when ``window`` is given).
@@ -102,9 +106,8 @@ def aggregate_flows(packets: DataFrame, window: str | None = None,
     Packets without a time belong to no flow, with or without windows.  ``history=False``
     leaves the history letters and their top-k branch out.
 
-    ``history_plan``: ``rank`` (bounded top-k before the shuffle, batch default) or
-    ``collect`` (letters collected in the same aggregate; used for streams, whose state is
-    bounded by the window).  ``keep_window`` also returns the ``window`` struct, whose
+    ``history_plan``: ``slots`` (letters in the same aggregate) or ``rank`` (batch only: a bounded
+    top-k before a second exchange, joined to the counters).  ``keep_window`` also returns the ``window`` struct, whose
     event-time metadata lets a stream chain a second windowed aggregation.
     """
     p = packets if prepared else normalize_packets(filter_packets(packets))
@@ -123,8 +126,6 @@ def aggregate_flows(packets: DataFrame, window: str | None = None,
     if key_includes_proto:
         keys.append(F.col("proto").alias("key_proto"))
 
-    if history_plan == "auto":
-        history_plan = "collect" if p.isStreaming else "rank"
     side = F.col("is_lo")
     aggs = [
         F.min("arrival_seq").alias("first_seq"),
@@ -143,8 +144,8 @@ def aggregate_flows(packets: DataFrame, window: str | None = None,
         F.count_if(~side & ~F.col("data")).alias("hi_zero"),
     ]
     step = F.struct(F.col("arrival_seq").alias("seq"), F.col("is_lo"), F.col("data"))
-    if history and history_plan == "collect":
-        aggs.append(F.slice(F.array_sort(F.collect_list(step)), 1, history_len).alias("h"))
+    if history and history_plan == "slots":
+        aggs.append(first_k(step, history_len).alias("h"))
     flows = p.groupBy(*keys).agg(*aggs)
     key_names = [c for c in flows.columns if c in ("window", "lo", "hi", "key_proto")]
     if history and history_plan == "rank":

@@ -123,7 +123,7 @@ def stream_flows(packets: DataFrame, window: str = "1 second",
     dropped; a window's flows are emitted once the watermark passes its end."""
     p = packets.withColumn("event_time", event_time_of(packets, "ts")) \
         .withWatermark("event_time", watermark)
-    return aggregate_flows(p, window=window, history_plan="collect", keep_window=True)
+    return aggregate_flows(p, window=window, keep_window=True)
 
 
 def alert_batch_writer(out_path: str, alerts_of: Callable[[DataFrame], DataFrame]):

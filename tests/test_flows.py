@@ -49,7 +49,7 @@ def test_history_cut_after_state(spark):
     assert f["conn_state"] == "SF"
 
 
-def test_rank_and_collect_plans_agree(spark):
+def test_rank_and_slot_plans_agree(spark):
     random.seed(7)
     rows = []
     for i in range(400):
@@ -59,7 +59,7 @@ def test_rank_and_collect_plans_agree(spark):
                      random.choice([0, 0, 10]), 60))
     random.shuffle(rows)
     r = _flows(spark, rows, history_plan="rank")
-    c = _flows(spark, rows, history_plan="collect")
+    c = _flows(spark, rows, history_plan="slots")
     assert r == c
 
 

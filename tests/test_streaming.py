@@ -68,3 +68,33 @@ def test_stream_alerts_late_row_and_restart(spark, tmp_path):
     again = spark.read.parquet(out)
     assert again.count() == 14 and again.where("first_seq = 999").count() == 0
     assert len(os.listdir(str(tmp_path / "ck"))) > 0
+
+
+def test_state_of_a_flow_is_ten_letters_whatever_it_sends(spark, tmp_path):
+    """Two closed windows and an open one, the flow of the last two with 100,000 packets."""
+    def many(second, base, n):
+        return spark.range(n).select(
+            (F.lit(base) + F.col("id")).alias("arrival_seq"), F.timestamp_seconds(F.lit(second) + F.col("id") / (2 * n)).alias("ts"),
+            F.when(F.col("id") % 3 == 0, "10.0.0.1").otherwise("10.0.1.1").alias("src_ip"),
+            F.when(F.col("id") % 3 == 0, "10.0.1.1").otherwise("10.0.0.1").alias("dst_ip"), F.lit("tcp").alias("proto"),
+            F.when(F.col("id") % 3 == 0, 4000).otherwise(80).cast("int").alias("sport"),
+            F.when(F.col("id") % 3 == 0, 80).otherwise(4000).cast("int").alias("dport"),
+            (F.col("id") % 4).cast("int").alias("payload_len"), F.lit(60).alias("pkt_len"))
+
+    src, sizes = str(tmp_path / "pk"), {}
+    for k, (second, n) in enumerate(((100, 20), (101, 100_000), (102, 100_000))):
+        many(second, 10**6 * k, n).repartition(3).write.mode("append").parquet(src)
+        q = (live.stream_flows(sinks.packet_stream(spark, src), "1 second", "0 seconds").drop("window").writeStream
+             .format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck"))
+             .outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination()
+        state = spark.read.format("statestore").load(str(tmp_path / "ck"))
+        held = [f.name for f in state.schema["value"].dataType.fields if f.dataType.simpleString() == "binary"]
+        assert len(held) == 1
+        sizes[n, k] = [r[0] for r in state.select(F.octet_length(f"value.{held[0]}")).collect()]
+    assert [len(x) for x in sizes.values()] == [1, 1, 1]
+    assert len({x[0] for x in sizes.values()}) == 1 and sizes[100_000, 2][0] < 1000
+    got = {tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).select("first_seq", "history", "orig_pkts", "resp_pkts").collect()}
+    batch = live.live_flows(spark.read.parquet(src), "1 second").where(F.col("window_start") < F.timestamp_seconds(F.lit(102)))
+    assert got == {tuple(r) for r in batch.select("first_seq", "history", "orig_pkts", "resp_pkts").collect()} and len(got) == 2
+    assert all(len(r[1]) == 10 for r in got)
