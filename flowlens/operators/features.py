@@ -1,90 +1,55 @@
 """Feature preparation.
 
-Fit = three small aggregate jobs over the training rows:
-  * exact medians of the 8 numeric columns by counting buckets and refining the middle ones,
-    exact like the reference's median imputer, yet no column is ever shuffled whole;
+Fit = a few aggregate jobs over the training rows:
+  * exact medians of the numeric columns by order statistics (counting, ``plans.selection``), like
+    the reference's median imputer, yet no column is ever shuffled, sorted or sampled;
   * mean and *population* std of the imputed columns (one partial+final aggregate; Spark ML's
     ``StandardScaler`` uses the sample std and is not used);
-  * sorted vocabulary per categorical column after 'unknown' imputation (distinct, shuffled).
-The fitted statistics (one number per column, one list per categorical) become literals of a
-``SQLTransformer`` statement (one column per one-hot slot) and a ``VectorAssembler``: a plain
-Spark ML ``PipelineModel`` that can be saved and loaded (S9) and runs as codegen'd SQL.
+  * the vocabulary of the categorical columns after 'unknown' imputation, as an indexed table
+    (feature, value, slot): a distributed distinct, numbered in the order of the values.
+
+A fitted model is two numbers a numeric column, the vocabulary table, and its measured size by
+column.  Numeric columns become scaled columns (codegen'd arithmetic); a categorical column
+becomes its value's slot by a join with the vocabulary, which is broadcast up to
+``BROADCAST_BYTES`` and joined by Spark's own choice beyond.  Slots become sparse vectors through
+Spark ML's ``OneHotEncoder`` and ``VectorAssembler``, so the work and the plan do not grow with the
+number of values.  A row travels as its scaled numbers and slots (``row_values``); vectors are made
+where a model needs them.
 """
 
 from __future__ import annotations
 
 import json
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass, field
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowlens.plans.materialize import materialize
-from flowlens.plans.ordering import TARGET_ROWS_PER_BUCKET, bucket_count, bucket_of, sampled_bounds
+from flowlens.plans.ordering import TASK_ROWS, dense_index
+from flowlens.plans.selection import BINS, order_statistics
 from flowlens.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES, UNKNOWN_CATEGORY
 
+#: Vocabulary bytes of a column up to which its lookup is broadcast.
+BROADCAST_BYTES = 32 << 20
+VOCABULARY = "feature string, value string, slot bigint"
+
 
 def _long(df: DataFrame, cols: list[str], dtype: str) -> DataFrame:
     return (df.select(*[F.col(c).cast(dtype).alias(c) for c in cols])
             .unpivot([], cols, "feature", "value"))
 
 
-def exact_medians(df: DataFrame, cols: list[str] = NUMERIC_FEATURES,
-                  rows_per_bucket: int = TARGET_ROWS_PER_BUCKET) -> DataFrame:
+def exact_medians(df: DataFrame, cols: list[str] = NUMERIC_FEATURES, bins: int = BINS) -> DataFrame:
     """(feature, median) ignoring nulls and NaN; mean of the two middle values for even
-    counts, NULL for a column without values.
-
-    Exact by count and refine, at any boundaries:
-      1. count each column's values and cut it into buckets of about ``rows_per_bucket``;
-      2. count the buckets (a partial and final aggregate) and find those of the two middle
-         ranks;
-      3. count the distinct values inside these buckets only, and read the ranks off running
-         sums over at most about two buckets' values a column.
-    """
+    counts, NULL for a column without values."""
     missing = F.lit(None).cast("double")
     wide = df.select(*[F.nanvl(F.col(c).cast("double"), missing).alias(c) for c in cols])
-    sizes = wide.agg(*[F.count(c).alias(c) for c in cols]).first().asDict()
-    most = max(sizes.values(), default=0)
-    bounds = sampled_bounds(wide, cols, most, bucket_count(most, rows_per_bucket, floor=1))
-    names = {c: f"_b_{c}" for c in cols}
-    held = bucket_of(wide, bounds, names)
-    counts: dict[str, dict[int, int]] = {c: {0: sizes[c]} for c in cols}
-    if any(bounds.values()):
-        per = held.select(*[F.when(F.col(c).isNotNull(), F.col(names[c])).alias(c) for c in cols]).unpivot(
-            [], cols, "feature", "bucket").where(F.col("bucket").isNotNull())
-        counts = {c: {} for c in cols}
-        for r in per.groupBy("feature", "bucket").agg(F.count(F.lit(1)).alias("n")).collect():
-            counts[r["feature"]][r["bucket"]] = r["n"]
-    inside, before = [], {}
-    for c in cols:
-        below, middle, first = 0, {(sizes[c] - 1) // 2, sizes[c] // 2}, None
-        picked = []
-        for bucket in sorted(counts[c]):
-            n = counts[c][bucket]
-            if any(below <= k < below + n for k in middle):
-                picked.append(bucket)
-                first = below if first is None else first
-            below += n
-        before[c] = first or 0
-        inside.append(F.when(F.col(names[c]).isin(picked), F.col(c)).alias(c) if picked else missing.alias(c))
-    values = (held.select(*inside).unpivot([], cols, "feature", "value").where(F.col("value").isNotNull())
-              .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt")))
-    offset = F.element_at(F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(before[c]))]), F.col("feature"))
-    total = F.element_at(F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(sizes[c]))]), F.col("feature"))
-    up_to = offset + F.sum("cnt").over(Window.partitionBy("feature").orderBy("value"))
-    ranked = values.withColumns({"_to": up_to, "_n": total}).withColumn("_from", F.col("_to") - F.col("cnt"))
-
-    def at(k: Column) -> Column:
-        return F.max(F.when((F.col("_from") <= k) & (k < F.col("_to")), F.col("value")))
-
-    found = ranked.groupBy("feature").agg(((at(F.floor((F.col("_n") - 1) / 2)) + at(F.floor(F.col("_n") / 2))) / 2)
-                                          .cast("double").alias("median"))
-    empty = [c for c in cols if not sizes[c]]
-    if not empty:
-        return found
-    return found.unionByName(df.sparkSession.createDataFrame([(c, None) for c in empty], "feature string, median double"))
+    long = wide.unpivot([], cols, "feature", "value").where(F.col("value").isNotNull())
+    found = order_statistics(long, lambda _, n: [(n - 1) // 2, n // 2], "feature", "value", bins)
+    rows = [(c, (found[c][1][0].value + found[c][1][-1].value) / 2 if c in found else None) for c in cols]
+    return df.sparkSession.createDataFrame(rows, "feature string, median double").coalesce(1)
 
 
 def category_vocab(df: DataFrame, cols: list[str] = CATEGORICAL_FEATURES,
@@ -94,6 +59,20 @@ def category_vocab(df: DataFrame, cols: list[str] = CATEGORICAL_FEATURES,
     return _long(filled, cols, "string").distinct()
 
 
+def indexed_vocabulary(vocab: DataFrame, task_rows: int = TASK_ROWS) -> tuple[DataFrame, dict[str, int], dict[str, int]]:
+    """(feature, value, slot), slots from 0 in the order of the values of a feature; and the number
+    of values and of bytes of each feature."""
+    vocab = materialize(vocab)
+    sizes = {r["feature"]: (r["n"], r["b"]) for r in vocab.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value") + 16).alias("b")).collect()}
+    if max((n for n, _ in sizes.values()), default=0) <= task_rows:
+        slot = F.row_number().over(Window.partitionBy("feature").orderBy("value")) - 1
+        indexed = materialize(vocab.select("feature", "value", slot.cast("bigint").alias("slot")))
+    else:
+        indexed = dense_index(vocab, ["value"], strata=["feature"], out="slot").select("feature", "value", "slot")
+    return indexed, {c: n for c, (n, _) in sizes.items()}, {c: b for c, (_, b) in sizes.items()}
+
+
 def _sql_double(v: float) -> str:
     return f"CAST('{float(v)!r}' AS DOUBLE)"
 
@@ -107,23 +86,43 @@ class FeatureModel:
     medians: dict
     means: dict
     stds: dict
-    vocab: dict
+    vocabulary: DataFrame = field(compare=False)
+    sizes: dict                     # values of each categorical column
+    bytes: dict
     numeric: list = field(default_factory=lambda: list(NUMERIC_FEATURES))
     categorical: list = field(default_factory=lambda: list(CATEGORICAL_FEATURES))
     fill: str = UNKNOWN_CATEGORY
 
+    @classmethod
+    def of(cls, spark: SparkSession, medians: dict, means: dict, stds: dict, values: dict, fill: str = UNKNOWN_CATEGORY) -> FeatureModel:
+        """A model from given statistics and lists of values, in the order of their slots."""
+        rows = [(c, v, k) for c, own in values.items() for k, v in enumerate(own)]
+        return cls(medians, means, stds, spark.createDataFrame(rows, VOCABULARY), {c: len(v) for c, v in values.items()},
+                   {c: sum(len(x.encode()) + 16 for x in v) for c, v in values.items()}, list(medians), list(values), fill)
+
     def save(self, spark: SparkSession, path: str) -> None:
-        """The fitted statistics as one JSON row, in any store that Spark writes to."""
-        text = json.dumps(asdict(self))
-        spark.createDataFrame([(text,)], "model string").coalesce(1).write.mode("overwrite").parquet(path)
+        """The statistics as one JSON row and the vocabulary as a table, in any store that Spark
+        writes to."""
+        text = json.dumps({k: v for k, v in vars(self).items() if k != "vocabulary"})
+        spark.createDataFrame([(text,)], "model string").coalesce(1).write.mode("overwrite").parquet(f"{path}/statistics")
+        self.vocabulary.write.mode("overwrite").parquet(f"{path}/vocabulary")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> FeatureModel:
-        return cls(**json.loads(spark.read.parquet(path).first()["model"]))
+        own = json.loads(spark.read.parquet(f"{path}/statistics").first()["model"])
+        return cls(vocabulary=spark.read.schema(VOCABULARY).parquet(f"{path}/vocabulary"), **own)
+
+    def size(self, c: str) -> int:
+        return self.sizes.get(c, 0)
 
     @property
     def width(self) -> int:
-        return len(self.numeric) + sum(len(self.vocab[c]) for c in self.categorical)
+        return len(self.numeric) + sum(self.size(c) for c in self.categorical)
+
+    @property
+    def row_values(self) -> list[str]:
+        """Columns that hold a prepared row: scaled numbers, then slots."""
+        return [f"f_{c}" for c in self.numeric] + [f"s_{c}" for c in self.categorical]
 
     # -- SQL text of the fitted transform --------------------------------------------------
     def imputed_sql(self, c: str) -> str:
@@ -135,42 +134,68 @@ class FeatureModel:
     def category_sql(self, c: str) -> str:
         return f"coalesce(CAST(`{c}` AS STRING), {_sql_str(self.fill)})"
 
-    def onehot_slots(self) -> list[str]:
-        return [f"CAST({self.category_sql(c)} = {_sql_str(v)} AS DOUBLE)"
-                for c in self.categorical for v in self.vocab[c]]
-
-    @property
-    def onehot_cols(self) -> list[str]:
-        return [f"oh_{k}" for k in range(self.width - len(self.numeric))]
-
-    def statement(self, zero_numeric: bool = False, zero_categorical: bool = False) -> str:
-        num = [("CAST(0.0 AS DOUBLE)" if zero_numeric else self.scaled_sql(c)) + f" AS `f_{c}`"
-               for c in self.numeric]
-        cat = [f"{self.category_sql(c)} AS `c_{c}`" for c in self.categorical]
-        oh = [("CAST(0.0 AS DOUBLE)" if zero_categorical else e) + f" AS `{n}`"
-              for e, n in zip(self.onehot_slots(), self.onehot_cols)]
-        return "SELECT *, " + ", ".join(num + cat + oh) + " FROM __THIS__"
-
-    def pipeline(self, zero_numeric: bool = False, zero_categorical: bool = False,
-                 out: str = "features") -> PipelineModel:
-        """F1-F5 (F6 with the zero flags) as a persistable Spark ML pipeline; the assembled
-        vector has the numeric block first (positions 0-7), then the one-hot block."""
-        sql = SQLTransformer(statement=self.statement(zero_numeric, zero_categorical))
-        asm = VectorAssembler(inputCols=[f"f_{c}" for c in self.numeric] + self.onehot_cols,
-                              outputCol=out)
-        return PipelineModel(stages=[sql, asm])
-
-    def transform(self, df: DataFrame, zero_numeric: bool = False,
-                  zero_categorical: bool = False) -> DataFrame:
-        return self.pipeline(zero_numeric, zero_categorical).transform(df)
+    def scale(self, df: DataFrame, zero: bool = False) -> DataFrame:
+        """F1 + F3: adds ``f_<column>`` for each numeric column (F6: zeros)."""
+        return df.withColumns({f"f_{c}": F.lit(0.0) if zero else F.expr(self.scaled_sql(c)) for c in self.numeric})
+
+    def slots(self, df: DataFrame, zero: bool = False) -> DataFrame:
+        """F2 + F4: adds ``s_<column>`` for each categorical column, the slot of its value, or the
+        column's number of values where it is unseen (F6: for all rows)."""
+        for c in self.categorical:
+            if zero or not self.size(c):
+                df = df.withColumn(f"s_{c}", F.lit(self.size(c)).cast("bigint"))
+                continue
+            own = self.vocabulary.where(F.col("feature") == c).select(F.col("value").alias("_value"), F.col("slot").alias("_slot"))
+            own = F.broadcast(own) if self.bytes[c] <= BROADCAST_BYTES else own
+            df = (df.join(own, F.expr(self.category_sql(c)) == F.col("_value"), "left")
+                  .withColumn(f"s_{c}", F.coalesce("_slot", F.lit(self.size(c)).cast("bigint"))).drop("_value", "_slot"))
+        return df
+
+    def prepare(self, df: DataFrame, zero_numeric: bool = False, zero_categorical: bool = False) -> DataFrame:
+        """F1-F4 (F6 with the zero flags): adds ``row_values``."""
+        return self.slots(self.scale(df, zero_numeric), zero_categorical)
+
+    def assemble(self, df: DataFrame, rows: list[tuple[list[Column], list[Column]]], out: str = "features") -> DataFrame:
+        """one vector of several prepared rows, each (scaled numbers, slots): its numbers, then
+        its one-hot block.  Sparse where that is smaller."""
+        numbers = {f"_n{i}_{j}": x for i, (own, _) in enumerate(rows) for j, x in enumerate(own)}
+        usable = [j for j, c in enumerate(self.categorical) if self.size(c)]
+        slots = {f"_s{i}_{j}": own[j].cast("double") for i, (_, own) in enumerate(rows) for j in usable}
+        wide = df.withColumns(numbers | slots)
+        encoded = []
+        if slots:
+            sizes = [float(self.size(self.categorical[j])) for _ in rows for j in usable]
+            made = df.sparkSession.createDataFrame([tuple(sizes)], list(slots))
+            encoded = [f"_v{n}" for n in slots]
+            wide = OneHotEncoder(inputCols=list(slots), outputCols=encoded, dropLast=True).fit(made).transform(wide)
+        cols = [c for i in range(len(rows)) for c in (
+            [n for n in numbers if n.startswith(f"_n{i}_")] + [n for n in encoded if n.startswith(f"_v_s{i}_")])]
+        return VectorAssembler(inputCols=cols, outputCol=out).transform(wide).drop(*numbers, *slots, *encoded)
+
+    def transform(self, df: DataFrame, zero_numeric: bool = False, zero_categorical: bool = False, out: str = "features") -> DataFrame:
+        """Prepared rows with their vector; the numeric block has positions 0-7."""
+        rows = self.prepare(df, zero_numeric, zero_categorical)
+        own = [F.col(f"f_{c}") for c in self.numeric], [F.col(f"s_{c}") for c in self.categorical]
+        return self.assemble(rows, [own], out)
+
+    def window_vectors(self, windows: DataFrame, length: int, out: str = "features") -> DataFrame:
+        """The vector of a whole window from ``seq`` (its rows of ``row_values``) and ``n_real``: rows
+        before the first real one are zero."""
+        n = len(self.numeric)
+        rows = []
+        for k in range(length):
+            row = F.get("seq", F.lit(k))
+            real = F.lit(k) >= F.lit(length) - F.col("n_real")
+            rows.append(([F.get(row, F.lit(i)) for i in range(n)],
+                         [F.when(real, F.get(row, F.lit(n + j))).otherwise(float(self.size(c))) for j, c in enumerate(self.categorical)]))
+        return self.assemble(windows, rows, out)
 
 
 def fit_features(train: DataFrame, numeric: list[str] = NUMERIC_FEATURES,
                  categorical: list[str] = CATEGORICAL_FEATURES,
                  fill: str = UNKNOWN_CATEGORY) -> FeatureModel:
-    """F1-F5 fit on the training rows only (three aggregate jobs; results are one value per
-    column plus the vocabularies, which the one-hot encoding needs anyway).  The training rows
-    are read by every statistic, so their lineage is cut once."""
+    """F1-F5 fit on the training rows only.  The driver gets a few numbers per column; the vocabulary
+    stays a table.  The training rows are read by every statistic, so their lineage is cut once."""
     cols = list(dict.fromkeys(list(numeric) + list(categorical)))
     train = materialize(train.select(*cols))
     med = ({r["feature"]: r["median"] for r in exact_medians(train, numeric).collect()}
@@ -184,11 +209,9 @@ def fit_features(train: DataFrame, numeric: list[str] = NUMERIC_FEATURES,
            if numeric else {})
     means = {c: float(row[f"m_{c}"] or 0.0) for c in numeric}
     stds = {c: (float(row[f"s_{c}"]) if row[f"s_{c}"] else 1.0) for c in numeric}
-    vocab: dict = {c: [] for c in categorical}
-    for r in (category_vocab(train, categorical, fill).collect() if categorical else []):
-        vocab[r["feature"]].append(r["value"])
-    vocab = {c: sorted(v) for c, v in vocab.items()}
-    return FeatureModel(med, means, stds, vocab, list(numeric), list(categorical), fill)
+    vocabulary, sizes, size_bytes = (indexed_vocabulary(category_vocab(train, categorical, fill)) if categorical
+                                     else (train.sparkSession.createDataFrame([], VOCABULARY), {}, {}))
+    return FeatureModel(med, means, stds, vocabulary, sizes, size_bytes, list(numeric), list(categorical), fill)
 
 
 def feature_moments(train: DataFrame, medians: dict, numeric: list[str] = NUMERIC_FEATURES) -> DataFrame:

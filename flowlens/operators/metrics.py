@@ -7,8 +7,8 @@ scored in one job.
 Curves (ROC-AUC, PR-AUC) follow the usual definitions: one curve point per distinct score,
 taken in descending order, with ties merged.  The plan:
   1. count positives and negatives per (group, distinct score): a partial+final aggregate;
-  2. running totals along descending score: a two-level prefix sum (per-bucket totals of a
-     small table, then within buckets), never one task per group;
+  2. running totals along descending score: one range exchange, totals of the partitions
+     before, and a sum inside each partition (``running_sums``), never one task per group;
   3. the previous point's totals are ``cum - this``, so every trapezoid is a row-local
      expression, and the areas are one more grouped sum.
 PR-AUC is the trapezoid over the precision/recall points anchored at (recall 0, precision 1).
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from flowlens.functions.columns import safe_div
 from flowlens.plans.materialize import materialize
-from flowlens.plans.ordering import bucketed_cumsum, join_null_safe
+from flowlens.plans.ordering import join_null_safe, running_sums
 
 METRICS = ["accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc", "fpr", "fnr"]
 
@@ -67,12 +67,11 @@ def score_counts(scored: DataFrame, groups: list[str], y: str = "y", score: str
 
 
 def curve_points(scored: DataFrame, groups: list[str], y: str = "y", score: str = "score",
-                 n_buckets: int | None = None, per: DataFrame | None = None) -> DataFrame:
+                 n_partitions: int | None = None, per: DataFrame | None = None) -> DataFrame:
     """One row per (group, distinct score) with counts at that score (pos, neg) and
     running totals over descending score (tp, fp) plus the group's totals (P, N)."""
     per = per if per is not None else score_counts(scored, groups, y, score)
-    cum = bucketed_cumsum(per, groups, score, ["pos", "neg"], descending=True,
-                          n_buckets=n_buckets)
+    cum = running_sums(per, groups, score, ["pos", "neg"], descending=True, n_partitions=n_partitions)
     tot = per.groupBy(*groups).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     cum = cum.withColumnRenamed("pos_cum", "tp").withColumnRenamed("neg_cum", "fp")
     return join_null_safe(cum, tot, groups) if groups else attach_row(cum, tot)

@@ -19,7 +19,6 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,12 +80,9 @@ def prepare_sequences(fm: FeatureModel, df: DataFrame, order: list[str], keep: l
                       length: int = SEQ_LEN, **zero) -> DataFrame:
     """W1 + W3 over prepared rows: one flattened window vector per full window, label of the
     last row."""
-    prep = fm.transform(df, **zero)
-    values = [f"f_{c}" for c in fm.numeric] + fm.onehot_cols
-    w = sequence_windows(prep, order, values, length=length, pad=False,
+    w = sequence_windows(fm.prepare(df, **zero), order, fm.row_values, length=length, pad=False,
                          partition_by=partition_by, keep=list(dict.fromkeys(keep + [y])))
-    return (w.withColumn("features", array_to_vector(F.flatten("seq")))
-            .withColumn("label", F.col(y).cast("double")).drop("seq", "members"))
+    return fm.window_vectors(w, length).withColumn("label", F.col(y).cast("double")).drop("seq", "members")
 
 
 def score(model: PipelineModel, df: DataFrame, name: str, dataset: str, key: str,

@@ -1,9 +1,9 @@
 """Sampling and splitting.
 
-Every plan here is exact and deterministic and none sorts the whole table: order keys are
-bucketed monotonically (hash prefix or quantiles), buckets are counted, and only the few
-buckets that straddle a cut are ranked (``plans.ordering.assign_segments``).  Spark's
-``sampleBy`` / ``randomSplit`` are approximate and partition-dependent, so they are not used.
+Every plan here is exact and deterministic and none sorts or shuffles the table: the order keys at
+the cuts are found by counting (``plans.ordering.segments``), and rows are compared with them.
+Rows are ranked only where a cut falls inside a run of equal keys.  Spark's ``sampleBy`` /
+``randomSplit`` are approximate and partition-dependent, so they are not used.
 """
 
 from __future__ import annotations
@@ -13,41 +13,33 @@ from fractions import Fraction
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.plans.ordering import (BUCKET, assign_segments, hash_bucket, hash_digits,
-                                     hash_order, quantile_buckets)
+from flowlens.plans.ordering import TASK_ROWS, hash_number, hash_order, numeric_key, segments
 
 SPLIT_NAMES = ("train", "cal", "test")
 
 
-def _hashed(df: DataFrame, key: str, seed: int, n_rows: int) -> DataFrame:
-    return (df.withColumn("_h", hash_order(F.col(key), seed))
-            .withColumn(BUCKET, hash_bucket(F.col("_h"), hash_digits(n_rows))))
-
-
-def stratified_sample(df: DataFrame, stratum: str, n: dict, key: str = "uid",
-                      seed: int = 42) -> DataFrame:
+def stratified_sample(df: DataFrame, stratum: str, n: dict, key: str = "uid", seed: int = 42,
+                      task_rows: int = TASK_ROWS) -> DataFrame:
     """Exactly ``n[v]`` rows of each stratum value ``v`` without replacement, chosen by the
-    seeded hash order of ``key``.  A stratum that is absent or smaller than its ``n`` raises
-    ``ValueError`` (as the reference does); strata not named in ``n`` are dropped."""
-    cuts = None
-    for value, k in n.items():
-        test = F.col(stratum).isNull() if value is None else (F.col(stratum) == F.lit(value))
-        branch = F.array(F.lit(int(k)).cast("bigint"))
-        cuts = F.when(test, branch) if cuts is None else cuts.when(test, branch)
-    cuts = cuts.otherwise(F.array(F.lit(0).cast("bigint")))
+    seeded hash order of ``key`` (rows that repeat a key are taken in any order).  A stratum that
+    is absent or smaller than its ``n`` raises ``ValueError`` (as the reference does); strata not
+    named in ``n`` are dropped."""
     named = [v for v in n if v is not None]
     keep = F.col(stratum).isin(*named) if named else F.lit(False)
     if None in n:
         keep = keep | F.col(stratum).isNull()
-    df = df.where(keep)
-    found = {r[0]: r[1] for r in df.groupBy(stratum).agg(F.count(F.lit(1))).collect()}
+    hashed = df.where(keep).withColumn("_h", hash_order(F.coalesce(F.col(key).cast("string"), F.lit("")), seed))
+    found: dict = {}
+
+    def cut(value, total: int) -> list[int]:
+        found[value] = total
+        return [int(n[value])]
+
+    seg = segments(hashed, hash_number(F.col("_h")), ["_h", key], cut, stratum, task_rows=task_rows)
     for value, k in n.items():
         if found.get(value, 0) < int(k):
             raise ValueError(f"stratum {value!r} has {found.get(value, 0)} rows, {int(k)} requested")
-    # strata are the values named in ``n``, buckets 2M rows each: a bounded cut table, broadcast
-    seg = assign_segments(_hashed(df, key, seed, sum(found.values())), order=["_h", key], cuts=cuts,
-                          strata=[stratum], bounded_strata=True, rank_plan="window")
-    return seg.where(F.col("segment") == 0).drop("segment", "_h", BUCKET)
+    return seg.where(F.col("segment") == 0).drop("segment", "_h")
 
 
 def ratio_split(df: DataFrame, stratum: str, total: int, shares: dict, key: str = "uid",
@@ -68,26 +60,23 @@ def share_sizes(total: int, shares: dict) -> dict:
 
 
 def shuffled_split(df: DataFrame, key: str = "uid", seed: int = 42, train_frac: float = 0.70,
-                   out: str = "split") -> DataFrame:
+                   out: str = "split", task_rows: int = TASK_ROWS) -> DataFrame:
     """D3 + D4: seeded full shuffle, first ``int(train_frac * n)`` rows are train, rest test."""
-    # md5 buckets of distinct keys are uniform: a window per straddling bucket is task-sized
-    seg = assign_segments(_hashed(df, key, seed, df.count()), order=["_h", key], fractions=[train_frac],
-                          rank_plan="window")
-    return (seg.withColumn(out, F.when(F.col("segment") == 0, "train").otherwise("test"))
-            .drop("segment", "_h", BUCKET))
+    hashed = df.withColumn("_h", hash_order(F.coalesce(F.col(key).cast("string"), F.lit("")), seed))
+    seg = segments(hashed, hash_number(F.col("_h")), ["_h", key], lambda _, n: [int(train_frac * n)], task_rows=task_rows)
+    return seg.withColumn(out, F.when(F.col("segment") == 0, "train").otherwise("test")).drop("segment", "_h")
 
 
 def chronological_split(df: DataFrame, order: list[str] = ("ts", "uid"),
-                        boundaries: tuple = (0.70, 0.80), names=SPLIT_NAMES,
-                        n_buckets: int | None = None, out: str = "split") -> DataFrame:
-    """Rows in (ts, uid) order; cuts at ``int(b * n)`` for each boundary (70/10/20).
-    The passes before the cut (row count, boundaries, bucket counts) read only the order
-    columns; nothing is written.  Materialize a costly input beforehand."""
+                        boundaries: tuple = (0.70, 0.80), names=SPLIT_NAMES, out: str = "split",
+                        task_rows: int = TASK_ROWS) -> DataFrame:
+    """Rows in (ts, uid) order; cuts at ``int(b * n)`` for each boundary (70/10/20).  Null times
+    come first, NaN last.  The passes before the cut read only the time; nothing is written.
+    Materialize a costly input beforehand."""
     order = list(order)
-    b = quantile_buckets(df, order[0], n_buckets)
-    seg = assign_segments(b, order=order, fractions=list(boundaries))
+    seg = segments(df, numeric_key(df, order[0]), order, lambda _, n: [int(b * n) for b in boundaries], task_rows=task_rows)
     name = F.element_at(F.array(*[F.lit(x) for x in names]), F.col("segment") + 1)
-    return seg.withColumn(out, name).drop("segment", BUCKET)
+    return seg.withColumn(out, name).drop("segment")
 
 
 def leakage_audit(splits: DataFrame, split: str = "split", ts: str = "ts",

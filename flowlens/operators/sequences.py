@@ -1,36 +1,131 @@
 """Sliding row windows of length L over an order (W1-W4) and batch scoring of them (K5).
 
-Global order (the reference mixes hosts in one stream of rows) is planned as *halo blocks*:
-  1. a dense 0-based position ``i`` in the order (``plans.ordering.dense_index``: range
-     partitions on the composite order key, a checkpoint, in-partition positions and a
-     prefix sum over the small per-partition count table);
-  2. block ``i div B``; the last L-1 rows of each block are also sent to the next block;
-  3. a frame ``ROWS BETWEEN L-1 PRECEDING AND CURRENT ROW`` per block, keeping only rows that
-     live in the block.
-Every block holds B + L - 1 rows, so the work is balanced whatever the data's skew, and the
-result equals the plain global window exactly.  ``partition_by`` gives per-key windows (no
-mixing of hosts); the same halo plan runs inside each key.
+Rows are put in order once (``plans.ordering.fixed_order``: one range exchange on the whole order
+key, a sort inside partitions, fixed).  Partitions stay where they are; only the last L-1 rows of
+each move, to the task of the partition after it (a table of partitions x (L-1) rows, which is
+broadcast).  A task then slides along its rows as Arrow batches, keeping the last L-1 rows
+between batches: a strided view over the values is all windows at once, and no row is ever
+held L times.  The work of a task follows its rows alone, whatever the skew, and the result
+equals the plain global window exactly.  ``partition_by`` gives per-key windows (no mixing of
+hosts); keys are the leading part of the order, so a key of any size spans partitions.
+
+``sequence_windows`` returns windows as rows; ``score_sequences`` scores them where they are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from flowlens.plans.materialize import materialize
-from flowlens.plans.ordering import dense_index
+from flowlens.plans.ordering import carried, fixed_order, partition_edges, run_starts
 from flowlens.schema import SEQ_LEN
 
+Fix = Callable[[DataFrame], DataFrame]
+
+
+@dataclass
+class _Slide:
+    """Rows in order, and what each partition needs of those before it."""
+    rows: DataFrame
+    parts: list[str]
+    length: int
+    before: dict[int, int]          # rows of the partition's first key in earlier partitions
+    tails: dict[int, pa.Table]      # the last L-1 of them at most
+
+    @classmethod
+    def over(cls, df: DataFrame, parts: list[str], order: list[str], length: int, fix: Fix) -> _Slide:
+        rows = fixed_order(df, [*parts, *order], fix=fix)
+        edges = partition_edges(rows, parts)
+        before = {p: n for p, (n,) in carried(edges, parts, ["_n"]).items()}
+        if length == 1 or not edges:
+            return cls(rows, parts, length, before, {})
+        # one row for each partition: a bounded broadcast
+        sizes = df.sparkSession.createDataFrame([(r["_pid"], r["n"]) for r in edges], "_p int, _n bigint")
+        ends = (rows.join(F.broadcast(sizes), F.col("_pid") == F.col("_p")).where(F.col("_local") >= F.col("_n") - (length - 1))
+                .drop("_p", "_n").toArrow().sort_by([("_pid", "ascending"), ("_local", "ascending")]))
+        tails, carry, last = {}, ends.slice(0, 0), None
+        at = np.searchsorted(ends["_pid"].to_numpy(), [r["_pid"] for r in edges])
+        for r, start in zip(edges, at):
+            first, end = (tuple(r[e][c] for c in parts) for e in ("first", "last"))
+            carry = carry if last == first else ends.slice(0, 0)
+            if carry.num_rows:
+                tails[r["_pid"]] = carry.drop_columns(["_pid", "_local"])
+            held = min(r["n"], length - 1)
+            kept = min(r["last"]["_n"], held)
+            own = ends.slice(start + held - kept, kept)
+            carry = pa.concat_tables([carry, own]) if first == end else own
+            carry, last = carry.slice(max(0, carry.num_rows - (length - 1))), end
+        return cls(rows, parts, length, before, tails)
+
+    def run(self, emit: Callable[[pa.Table, np.ndarray, int], pa.RecordBatch], schema: T.StructType) -> DataFrame:
+        """``emit(rows, position, start)`` for each batch: the L-1 rows before it at most and then its
+        own, which begin at ``start``, and each own row's 0-based position in its key."""
+        parts, length, before, tails = self.parts, self.length, self.before, self.tails
+        shared = self.rows.sparkSession.sparkContext.broadcast((before, tails))
+
+        def slide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            carry, end, position = None, None, 0
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                if end is None:
+                    pid = batch.column("_pid")[0].as_py()
+                    position, carry = shared.value[0][pid], shared.value[1].get(pid)
+                new = run_starts(batch, parts, end)
+                at = np.arange(batch.num_rows) + position
+                starts = np.flatnonzero(new)
+                if len(starts):
+                    runs = np.cumsum(new)
+                    at = np.where(runs > 0, np.arange(batch.num_rows) - starts[np.maximum(runs - 1, 0)], at)
+                end, position = batch.slice(batch.num_rows - 1), int(at[-1]) + 1
+                own = pa.Table.from_batches([batch]).drop_columns(["_pid"])
+                rows = pa.concat_tables([carry.cast(own.schema), own]) if carry is not None else own
+                yield emit(rows.combine_chunks(), at, rows.num_rows - batch.num_rows)
+                carry = rows.slice(max(0, rows.num_rows - (length - 1))) if length > 1 else None
+
+        return self.rows.drop("_local").mapInArrow(slide, schema)
+
+
+def _matrix(rows: pa.Table, values: list[str], length: int, start: int) -> np.ndarray:
+    """Values as doubles (null: NaN), with exactly L-1 rows before the batch's own."""
+    own = [rows[v].cast(pa.float64()).to_numpy() for v in values]
+    x = np.column_stack(own) if own else np.zeros((rows.num_rows, 0))
+    short = length - 1 - start
+    return np.vstack([np.zeros((short, x.shape[1])), x]) if short > 0 else x[start - (length - 1):]
+
+
+def _tensor(rows: pa.Table, values: list[str], length: int, at: np.ndarray, start: int, pad: bool) -> tuple[np.ndarray, np.ndarray]:
+    """[n, L, d] windows of the rows that have one, and those rows; members that do not exist are 0."""
+    x = _matrix(rows, values, length, start)
+    view = np.lib.stride_tricks.sliding_window_view(x, length, axis=0).transpose(0, 2, 1)
+    if not pad:
+        chosen = np.flatnonzero(at >= length - 1)
+        return (view if len(chosen) == len(at) else view[chosen]), chosen
+    short = np.flatnonzero(at < length - 1)
+    if len(short):
+        view = view.copy()
+        view[short] = np.where((np.arange(length) >= length - 1 - at[short][:, None])[:, :, None], view[short], 0.0)
+    return view, np.arange(len(at))
+
+
+def _prepared(df: DataFrame, parts: list[str], keep: list[str], members: list[str], order: list[str], values: list[str],
+              checkpoint: bool) -> DataFrame:
+    cols = list(dict.fromkeys([*parts, *keep, *members, *order, *values]))
+    return materialize(df.select(*cols), checkpoint)
+
 
 def sequence_windows(df: DataFrame, order: list[str], values: list[str],
                      length: int = SEQ_LEN, pad: bool = False,
                      partition_by: list[str] | None = None, keep: list[str] | None = None,
-                     member_cols: list[str] | None = None, block: int = 8192,
-                     checkpoint: bool = False) -> DataFrame:
+                     member_cols: list[str] | None = None, checkpoint: bool = False, fix: Fix = materialize) -> DataFrame:
     """W1 (``pad=False``: only full windows, n-L+1 of them) and W2 (``pad=True``: one window
     per row, missing history as zero vectors).  W3: the window carries its last row's
     ``keep`` columns (e.g. the label).
@@ -38,43 +133,59 @@ def sequence_windows(df: DataFrame, order: list[str], values: list[str],
     Output: ``keep`` columns, ``seq_pos`` (position of the last row), ``n_real`` (rows that
     exist), ``members`` (ARRAY<STRUCT<pos, values...>> of the real rows, in order) and
     ``seq`` (ARRAY<ARRAY<DOUBLE>> of length L, zero-padded on the left when ``pad``).
+    ``checkpoint`` writes the input before it is ordered, for one that is costly to compute
+    without a shuffle of its own; ``fix`` holds the ordered rows.
     """
-    if block < length:
-        raise ValueError("block must be at least the window length")
-    parts = list(partition_by or [])
-    keep = list(keep or [])
-    # the ordering writes its rows once; ``checkpoint`` also writes the input before it, for one
-    # that is costly to compute without a shuffle of its own
-    cols = list(dict.fromkeys(parts + keep + list(member_cols or []) + list(order) + list(values)))
-    df = materialize(df.select(*cols), checkpoint)
-    idx = dense_index(df, order, strata=parts, out="_i")
-    halo = length - 1
-    blk = F.floor(F.col("_i") / block)
-    tail = (F.col("_i") % block) >= (block - halo)
-    homes = F.when(tail & F.lit(halo > 0), F.array(blk, blk + 1)).otherwise(F.array(blk))
-    exploded = (idx.withColumn("_home", blk)
-                .withColumn("_blk", F.explode(homes)))
-    vec = F.array(*[F.col(c).cast("double") for c in values])
+    parts, keep = list(partition_by or []), list(keep or [])
     extra = [c for c in (member_cols or []) if c not in values]
-    member = F.struct(F.col("_i").alias("pos"), *[F.col(c) for c in extra + values],
-                      vec.alias("vec"))
-    w = (Window.partitionBy(*parts, "_blk").orderBy("_i")
-         .rowsBetween(-halo, Window.currentRow))
-    framed = (exploded.withColumn("members", F.collect_list(member).over(w))
-              .where(F.col("_blk") == F.col("_home")))
-    n_real = F.size("members").cast("bigint")
-    out = framed.withColumn("n_real", n_real)
-    if not pad:
-        out = out.where(F.col("n_real") == length)
-    zero = F.array_repeat(F.lit(0.0), len(values))
-    # always exactly L rows (index-based, zero-filled): filters pushed through this projection
-    # may be evaluated under constraints such as size(members) = L, so the shape must not
-    # depend on how Catalyst folds the padding length
-    seq = F.transform(F.sequence(F.lit(0), F.lit(length - 1)), lambda k: F.coalesce(
-        F.get(F.col("members"), k - (F.lit(length) - F.size("members")))["vec"], zero))
-    out = out.withColumn("seq", seq).withColumn(
-        "members", F.transform("members", lambda m: m.dropFields("vec")))
-    return out.select(*parts, *keep, F.col("_i").alias("seq_pos"), "n_real", "members", "seq")
+    df = _prepared(df, parts, keep, extra, list(order), list(values), checkpoint)
+    kept = list(dict.fromkeys([*parts, *keep]))
+    member = T.StructType([T.StructField("pos", T.LongType()), *(df.schema[c] for c in [*extra, *values])])
+    schema = T.StructType([*(df.schema[c] for c in kept), T.StructField("seq_pos", T.LongType()), T.StructField("n_real", T.LongType()),
+                           T.StructField("members", T.ArrayType(member)), T.StructField("seq", T.ArrayType(T.ArrayType(T.DoubleType())))])
+    kind = to_arrow_type(member)
+
+    def emit(rows: pa.Table, at: np.ndarray, start: int) -> pa.RecordBatch:
+        tensor, chosen = _tensor(rows, values, length, at, start, pad)
+        n_real = np.minimum(at[chosen] + 1, length)
+        ends = np.cumsum(n_real)
+        flat = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - n_real, n_real)       # place in the window
+        index = np.repeat(chosen - n_real + 1, n_real) + flat + start
+        picked = rows.take(pa.array(index)).combine_chunks()
+        cols = [pa.array(np.repeat(at[chosen] - n_real + 1, n_real) + flat, pa.int64()),
+                *(picked[c].combine_chunks() if picked.num_rows else pa.array([], picked.schema.field(c).type) for c in [*extra, *values])]
+        structs = pa.StructArray.from_arrays([c.cast(f.type) for c, f in zip(cols, kind)], fields=list(kind))
+        offsets = pa.array(np.r_[0, ends].astype(np.int32))
+        n, d = len(chosen), tensor.shape[2]
+        inner = pa.ListArray.from_arrays(pa.array(np.arange(n * length + 1, dtype=np.int32) * d), pa.array(tensor.reshape(-1)))
+        seq = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * length), inner)
+        own = rows.slice(start).take(pa.array(chosen)).combine_chunks()
+        head = [own[c].combine_chunks() if n else pa.array([], own.schema.field(c).type) for c in kept]
+        return pa.RecordBatch.from_arrays([*head, pa.array(at[chosen], pa.int64()), pa.array(n_real, pa.int64()),
+                                           pa.ListArray.from_arrays(offsets, structs), seq], names=schema.names)
+
+    return _Slide.over(df, parts, list(order), length, fix).run(emit, schema)
+
+
+def score_sequences(df: DataFrame, order: list[str], values: list[str], model_fn: Callable[[np.ndarray], np.ndarray],
+                    length: int = SEQ_LEN, pad: bool = False, partition_by: list[str] | None = None,
+                    keep: list[str] | None = None, out: str = "score", checkpoint: bool = False, fix: Fix = materialize) -> DataFrame:
+    """W1-W3 and K5 in one: scores ``[n, L, d] float64 tensor -> [n] scores`` of the windows of
+    ordered rows, with the ``keep`` columns of their last rows and ``seq_pos``.  The tensor is a
+    strided view over the rows; ``model_fn`` is shipped once per task."""
+    parts, keep = list(partition_by or []), list(keep or [])
+    df = _prepared(df, parts, keep, [], list(order), list(values), checkpoint)
+    kept = list(dict.fromkeys([*parts, *keep]))
+    schema = T.StructType([*(df.schema[c] for c in kept), T.StructField("seq_pos", T.LongType()), T.StructField(out, T.DoubleType())])
+
+    def emit(rows: pa.Table, at: np.ndarray, start: int) -> pa.RecordBatch:
+        tensor, chosen = _tensor(rows, values, length, at, start, pad)
+        scores = np.asarray(model_fn(tensor), np.float64).reshape(-1) if len(chosen) else np.zeros(0)
+        own = rows.slice(start).take(pa.array(chosen)).combine_chunks()
+        head = [own[c].combine_chunks() if len(chosen) else pa.array([], own.schema.field(c).type) for c in kept]
+        return pa.RecordBatch.from_arrays([*head, pa.array(at[chosen], pa.int64()), pa.array(scores)], names=schema.names)
+
+    return _Slide.over(df, parts, list(order), length, fix).run(emit, schema)
 
 
 def warmup_fill(pred: DataFrame, position: str, length: int = SEQ_LEN, out: str = "pred") -> DataFrame:
@@ -92,8 +203,6 @@ def score_windows(windows: DataFrame, model_fn: Callable[[np.ndarray], np.ndarra
     ``ARRAY<DOUBLE>``, so an Arrow batch's list values reshape straight into the tensor
     (no per-row Python); key columns pass through as Arrow arrays.  ``model_fn`` is shipped
     once per task (load heavy models lazily inside it, once per Python worker)."""
-    import pyarrow as pa
-
     keep = list(keep or [c for c in windows.columns if c not in (seq, "members")])
     fields = [f for f in windows.schema.fields if f.name in keep]
     schema = T.StructType(fields + [T.StructField(out, T.DoubleType())])

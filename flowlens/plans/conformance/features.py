@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from flowlens.operators import features as ft
@@ -22,10 +23,6 @@ def model(spark, sf):
     return ft.fit_features(train(spark, sf))
 
 
-def prepared(spark, sf, **kw):
-    return model(spark, sf).transform(clean(spark, sf), **kw)
-
-
 def _r(cols):
     return [F.round(F.col(c), 6).alias(c) for c in cols]
 
@@ -59,22 +56,42 @@ def q_impute_constant(spark, sf):
 
 
 def q_standardize(spark, sf):
-    p = prepared(spark, sf)
+    p = ft.fit_features(train(spark, sf), categorical=[]).scale(clean(spark, sf))
     return p.select("uid", *_r([f"f_{c}" for c in NUMERIC_FEATURES]))
 
 
+def _hot(m):
+    """Where a prepared row's one-hot block has ones: the slots of its values, counted over all
+    categorical columns; null for a value that is unseen or zeroed."""
+    first, out = 0, []
+    for c in CATEGORICAL_FEATURES:
+        out.append(F.when(F.col(f"s_{c}") < m.size(c), F.col(f"s_{c}") + first))
+        first += m.size(c)
+    return F.filter(F.array(*out), lambda x: x.isNotNull())
+
+
 def q_one_hot(spark, sf):
     m = model(spark, sf)
-    p = m.transform(clean(spark, sf))
-    e = p.select("uid", F.posexplode(F.array(*m.onehot_cols)).alias("slot", "v"))
-    return e.where(F.col("v") == 1.0).select("uid", F.col("slot").cast("bigint").alias("slot"))
+    p = m.slots(clean(spark, sf))
+    return p.select("uid", F.explode(_hot(m)).alias("slot"))
+
+
+def q_assembled(spark, sf):
+    """the vector itself, as (position, value) of its entries beyond the numeric block and the
+    sum of the block."""
+    m = model(spark, sf)
+    v = vector_to_array("features")
+    p = m.transform(clean(spark, sf)).select("uid", v.alias("v"))
+    n = len(NUMERIC_FEATURES)
+    hot = F.filter(F.transform("v", lambda x, i: F.when((i >= n) & (x == 1.0), i)), lambda i: i.isNotNull())
+    numbers = [F.round(F.get("v", F.lit(i)), 6).alias(f"v{i}") for i in range(n)]
+    return p.select("uid", F.size("v").alias("width"), *numbers, F.array_join(hot.cast("array<string>"), ",").alias("hot"))
 
 
 def _ablated(spark, sf, **kw):
     m = model(spark, sf)
-    p = m.transform(clean(spark, sf), **kw)
-    n_hot = F.aggregate(F.array(*m.onehot_cols), F.lit(0.0), lambda a, x: a + x)
-    return p.select("uid", *_r([f"f_{c}" for c in NUMERIC_FEATURES]), n_hot.alias("n_hot"))
+    p = m.prepare(clean(spark, sf), **kw)
+    return p.select("uid", *_r([f"f_{c}" for c in NUMERIC_FEATURES]), F.size(_hot(m)).cast("double").alias("n_hot"))
 
 
 def q_ablate_numeric(spark, sf):
@@ -108,8 +125,7 @@ def q_seq_windows_padded(spark, sf):
 
 
 def q_udf_scores(spark, sf):
-    w = _windows(spark, sf, pad=False).select("uid", "y", "seq")
-    s = sq.score_windows(w, sq.logistic_model(UDF_WEIGHTS, UDF_BIAS), keep=["uid", "y"])
+    s = sq.score_sequences(clean(spark, sf), ["ts", "uid"], SEQ_VALUES, sq.logistic_model(UDF_WEIGHTS, UDF_BIAS), keep=["uid", "y"])
     return s.select("uid", "y", F.round("score", 6).alias("score"))
 
 
@@ -121,6 +137,7 @@ QUERIES = {
     "impute_constant": q_impute_constant,
     "standardize": q_standardize,
     "one_hot": q_one_hot,
+    "assembled_vector": q_assembled,
     "ablate_numeric": q_ablate_numeric,
     "ablate_categorical": q_ablate_categorical,
     "seq_windows_full": q_seq_windows_full,
@@ -169,6 +186,11 @@ SELECT uid, {', '.join(f"round(coalesce(CAST({c} AS DOUBLE), md_{c}), 6) AS {c}"
     "standardize": f"SELECT uid, {', '.join(f'round(f_{c}, 6) AS f_{c}' for c in _NUM)} FROM ({PREP}) p",
     "one_hot": f"""WITH p AS ({PREP}), s AS ({SLOTS})
 {' UNION ALL '.join(f"SELECT p.uid, s.slot FROM p JOIN s ON s.feature = '{c}' AND s.value = p.c_{c}" for c in _CAT)}""",
+    "assembled_vector": f"""WITH p AS ({PREP}), s AS ({SLOTS}),
+h AS ({' UNION ALL '.join(f"SELECT p.uid, s.slot FROM p JOIN s ON s.feature = '{c}' AND s.value = p.c_{c}" for c in _CAT)}),
+j AS (SELECT uid, string_agg(CAST(slot + {len(_NUM)} AS VARCHAR), ',' ORDER BY slot) AS hot FROM h GROUP BY uid)
+SELECT p.uid, CAST((SELECT count(*) FROM s) + {len(_NUM)} AS INTEGER) AS width, {', '.join(f'round(f_{c}, 6) AS v{i}' for i, c in enumerate(_NUM))},
+  coalesce(hot, '') AS hot FROM p LEFT JOIN j USING (uid)""",
     "ablate_numeric": f"""WITH p AS ({PREP}), s AS ({SLOTS})
 SELECT p.uid, {', '.join(f'CAST(0.0 AS DOUBLE) AS f_{c}' for c in _NUM)},
   CAST(({' + '.join(f"(SELECT count(*) FROM s WHERE s.feature = '{c}' AND s.value = p.c_{c})" for c in _CAT)}) AS DOUBLE) AS n_hot FROM p""",

@@ -8,7 +8,7 @@ from flowlens.operators import labels as lb
 from flowlens.operators import profile as pf
 from flowlens.operators import sampling as sm
 from flowlens.plans import views
-from flowlens.plans.ordering import dense_index
+from flowlens.plans.ordering import number_in_place
 from flowlens.schema import CONN, FEATURES
 from flowlens.sources import connlog, sinks
 
@@ -102,9 +102,9 @@ def q_split_leakage_audit(spark, sf):
 
 
 def q_restore_order(spark, sf):
-    s = sm.stratified_sample(clean(spark, sf), "is_benign", STRAT_N)
-    idx = dense_index(s, ["ts", "uid"], out="pos")
-    return idx.select("pos", "uid", "is_benign")
+    """O1: the sample's rows as they lie after the sort, numbered by their place."""
+    s = sm.restore_order(sm.stratified_sample(clean(spark, sf), "is_benign", STRAT_N))
+    return number_in_place(s, "pos").select("pos", "uid", "is_benign")
 
 
 def q_union_all(spark, sf):

@@ -62,7 +62,7 @@ def q_warmup_fill(spark, sf):
     f = flows(spark, sf)
     seqs = live.live_sequences(f, VALUES, pad=True)
     keep = live.ALERT_KEEP + ["seq_pos"]
-    scored = sq.score_windows(seqs.select(*keep, "seq"), sq.logistic_model(WEIGHTS, BIAS), keep=keep)
+    scored = sq.score_windows(seqs.select(*keep, "seq"), sq.logistic_model(WEIGHTS, BIAS), keep=keep)   # K5 over windows as rows
     raw = scored.withColumn("pred", (F.col("score") >= F.lit(T)).cast("int"))
     filled = sq.warmup_fill(raw.withColumn("position", F.col("seq_pos") + 1), "position")
     return filled.select(_ws(), *FID, "seq_pos", "pred")
@@ -92,10 +92,12 @@ def q_live_scorecard(spark, sf):
     return c.select("dataset", "tp", "fp", "tn", "fn", *[F.round(m, 6).alias(m) for m in mt.METRICS])
 
 
-#: Fixed preprocessing and row model of ``live_row_alerts``.
-ROW_FM = FeatureModel(medians={"orig_pkts": 3.0, "resp_pkts": 2.0}, means={"orig_pkts": 2.0, "resp_pkts": 1.5},
-                      stds={"orig_pkts": 4.0, "resp_pkts": 2.5}, vocab={"conn_state": ["OTH", "S0", "SF"]},
-                      numeric=["orig_pkts", "resp_pkts"], categorical=["conn_state"])
+def row_features(spark):
+    """Fixed preprocessing of ``live_row_alerts``."""
+    return FeatureModel.of(spark, medians={"orig_pkts": 3.0, "resp_pkts": 2.0}, means={"orig_pkts": 2.0, "resp_pkts": 1.5},
+                           stds={"orig_pkts": 4.0, "resp_pkts": 2.5}, values={"conn_state": ["OTH", "S0", "SF"]})
+
+
 ROW_FORMULA = "1 / (1 + exp(-({0} * f_orig_pkts - {1} * f_resp_pkts + {2} * oh_1 - {3} * oh_2)))"
 ROW_WEIGHTS, ROW_T = [0.8, 0.5, 0.7, 0.4], 0.5
 
@@ -103,6 +105,8 @@ ROW_WEIGHTS, ROW_T = [0.8, 0.5, 0.7, 0.4], 0.5
 def row_model():
     """A fixed formula as a Spark ML pipeline with a probability vector, like a fitted row model."""
     p1 = ROW_FORMULA.format(*[f"CAST({w} AS DOUBLE)" for w in ROW_WEIGHTS])
+    for slot in (1, 2):
+        p1 = p1.replace(f"oh_{slot}", f"CAST(s_conn_state = {slot} AS DOUBLE)")
     pair = SQLTransformer(statement=f"SELECT *, 1 - {p1} AS p0, {p1} AS p1 FROM __THIS__")
     return PipelineModel(stages=[pair, VectorAssembler(inputCols=["p0", "p1"], outputCol="probability")])
 
@@ -110,7 +114,7 @@ def row_model():
 def q_live_row_alerts(spark, sf):
     """J4 by a row model behind preprocessing that was saved and loaded."""
     path = f"{checkpoint_dir(spark)}/row-features-{uuid.uuid4().hex}"
-    ROW_FM.save(spark, path)
+    row_features(spark).save(spark, path)
     fm = FeatureModel.load(spark, path)
     a = live.fitted_live_alerts(flows(spark, sf), fm, row_model(), ROW_T, whitelist=WHITELIST, rows=True)
     return a.select(_ws(), *FID, "pred", F.round("score", 6).alias("score"), "status", "endpoints", "conn_state")

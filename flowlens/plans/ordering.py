@@ -2,35 +2,31 @@
 
 A global position (row i of a table in some total order) is what splits, exact-n samples,
 curves and sequence windows need.  ``Window.orderBy`` without a partition would pull the
-whole table into one task, so every plan here goes through *monotone buckets*:
-
-1. each row gets a bucket ``b`` that is non-decreasing in the order (sampled boundaries of
-   the leading order column, or a hash prefix when the order is a hash);
-2. rows are counted per (stratum, b): a table with at most strata x buckets rows;
-3. a prefix sum over that small table gives each bucket's first global position;
-4. the small table goes back to the rows by a join - a broadcast when its size is bounded
-   (bucket count x named strata) - and ranks are finished *inside* buckets only.
-
-Bucket counts follow the data size (``auto_buckets``: about 2M rows per bucket), so every
-sort is task-sized at any scale.
-
-``assign_segments`` ranks only rows of buckets that straddle a cut (a handful of buckets), so a
-split or exact-n sample never sorts the table.  ``dense_index`` ranks rows through Spark's range
-partitioning on the full composite key, so ties on a hot leading value are split too.
+whole table into one task, so no plan here uses one:
+
+* ``segments`` cuts a table at ranks: the values at the ranks are found by counting
+  (``plans.selection``), and a row's segment is a comparison with them.  Rows are ranked only
+  where a cut falls inside a run of equal values, and then only those of the run.
+* ``fixed_order`` range-partitions rows on a whole composite key, sorts inside partitions and
+  fixes the result.  The last key is the row's number in its input split, so that rows which
+  agree in every other key are spread over partitions too.
+* ``dense_index`` numbers the rows of ``fixed_order``, ``running_sums`` sums along them: a small
+  table with one row for each partition says what lies before it.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Callable, Iterator
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlens.functions.columns import epoch_micros
-
-BUCKET = "_b"
+from flowlens.plans.selection import order_statistics
 
 
 def numeric_key(df: DataFrame, c: str) -> Column:
@@ -45,59 +41,8 @@ def numeric_key(df: DataFrame, c: str) -> Column:
     return F.coalesce(x, F.lit(float("-inf")))
 
 
-TARGET_ROWS_PER_BUCKET = 2_000_000
-SAMPLED_PER_BUCKET = 16
-
-
-def auto_buckets(df: DataFrame, target: int = TARGET_ROWS_PER_BUCKET, floor: int = 16) -> int:
-    """Bucket count so that one bucket (one sort task) holds about ``target`` rows."""
-    return bucket_count(df.count(), target, floor)
-
-
-def bucket_count(n_rows: int, target: int = TARGET_ROWS_PER_BUCKET, floor: int = 16) -> int:
-    return max(floor, -(-n_rows // target))
-
-
-def sampled_bounds(df: DataFrame, cols: list[str], n_rows: int, n_buckets: int) -> dict[str, list[float]]:
-    """Finite, ascending boundaries that cut each numeric column into about ``n_buckets`` even
-    buckets, from ``SAMPLED_PER_BUCKET`` rows for each bucket.  The boundaries only balance
-    the buckets: whatever they are, a row's bucket is non-decreasing in its value, and
-    every result below is exact."""
-    if n_buckets <= 1 or not n_rows:
-        return {c: [] for c in cols}
-    share = min(1.0, SAMPLED_PER_BUCKET * n_buckets / n_rows)
-    picked = df.select(*cols)
-    rows = (picked if share == 1.0 else picked.sample(False, share, 17)).collect()
-    out = {}
-    for c in cols:
-        seen = sorted(r[c] for r in rows if r[c] is not None and math.isfinite(r[c]))
-        out[c] = sorted({seen[len(seen) * i // n_buckets] for i in range(1, n_buckets)}) if seen else []
-    return out
-
-
-def bucket_of(df: DataFrame, cols: dict[str, list[float]], outs: dict[str, str]) -> DataFrame:
-    """Adds the bucket of each column ``c`` as ``outs[c]``: a binary search, no join.  Null
-    stays null; infinities fall into the outer buckets."""
-    df = df.withColumns({outs[c]: F.lit(0) for c, cut in cols.items() if not cut})
-    cols = {c: cut for c, cut in cols.items() if cut}
-    if not cols:
-        return df
-    splits = [[float("-inf"), *cut, float("inf")] for cut in cols.values()]
-    b = Bucketizer(splitsArray=splits, inputCols=list(cols), outputCols=[outs[c] for c in cols], handleInvalid="keep")
-    out = b.transform(df)
-    return out.withColumns({outs[c]: F.when(F.col(c).isNotNull(), F.col(outs[c]).cast("int")) for c in cols})
-
-
-def quantile_buckets(df: DataFrame, c: str, n_buckets: int | None = None, out: str = BUCKET) -> DataFrame:
-    """Bucket id non-decreasing in column ``c``, about balanced.  ``n_buckets=None`` follows the
-    row count (2M rows a bucket), so a bucket is a task-sized sort at any scale.  Nulls come
-    first; NaN and +inf, which sort last, share the last bucket."""
-    tmp = "_qk"
-    x = numeric_key(df, c)
-    keyed = df.withColumn(tmp, F.when(F.isnan(x), F.lit(float("inf"))).otherwise(x))
-    n_rows = df.count()
-    n = n_buckets if n_buckets is not None else bucket_count(n_rows)
-    return bucket_of(keyed, sampled_bounds(keyed, [tmp], n_rows, n), {tmp: out}).drop(tmp)
+#: Rows of a run of equal values that one task ranks; more go through range partitions.
+TASK_ROWS = 2_000_000
 
 
 def hash_order(key: Column, seed: int = 42) -> Column:
@@ -105,17 +50,9 @@ def hash_order(key: Column, seed: int = 42) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
 
 
-def hash_digits(n_rows: int, target: int = TARGET_ROWS_PER_BUCKET) -> int:
-    """Leading hex digits of a hash that make buckets of about ``target`` rows or fewer."""
-    digits = 1
-    while n_rows > target * 16**digits:
-        digits += 1
-    return digits
-
-
-def hash_bucket(h: Column, hex_digits: int = 4) -> Column:
-    """Monotone bucket of an md5 hex order key: its leading hex digits as a number."""
-    return F.conv(F.substring(h, 1, hex_digits), 16, 10).cast("bigint")
+def hash_number(h: Column) -> Column:
+    """The first 13 hex digits of an md5 order key as a DOUBLE (exact, in the same order)."""
+    return F.conv(F.substring(h, 1, 13), 16, 10).cast("double")
 
 
 def join_null_safe(big: DataFrame, small: DataFrame, keys: list[str],
@@ -129,119 +66,164 @@ def join_null_safe(big: DataFrame, small: DataFrame, keys: list[str],
     return big.join(ren, cond, how).drop(*[f"_k_{k}" for k in keys])
 
 
-def _bucket_table(df: DataFrame, strata: list[str]) -> DataFrame:
-    counts = df.groupBy(*strata, BUCKET).agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.partitionBy(*strata).orderBy(BUCKET) if strata else Window.orderBy(BUCKET)
-    return (counts
-            .withColumn("_before", F.coalesce(F.sum("_cnt").over(
-                w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("bigint"))
-            .withColumn("_total", F.sum("_cnt").over(
-                (Window.partitionBy(*strata) if strata else Window.partitionBy())).cast("bigint")))
-
-
-def assign_segments(df: DataFrame, order: list[str | Column], cuts: Column | None = None,
-                    fractions: list[float] | None = None, strata: list[str] | None = None,
-                    out: str = "segment", rank_col: str | None = None,
-                    bounded_strata: bool = False, rank_plan: str = "range") -> DataFrame:
-    """Segment index of each row's global rank r (0-based, within its stratum):
-    ``segment = #{cut <= r}``.  ``df`` must carry a monotone bucket column ``_b``.
-
-    ``fractions`` give cuts ``floor(f * total)`` per stratum (Python ``int(f * n)``);
-    ``cuts`` is an ``ARRAY<BIGINT>`` expression that may use ``_total``.
-    Only rows in buckets that straddle a cut are ranked (a window over those rows alone).
-    The bucket table is broadcast when its size is bounded: no strata, or strata the caller
-    names (``bounded_strata``); otherwise Spark joins it by its measured size.
-    ``rank_plan``: ``range`` ranks straddling buckets through range partitions on the full
-    order key (a hot leading value is split by the tie-breakers); ``window`` ranks each such
-    bucket in one task - for hash orders, whose buckets are uniform by construction.
+def segments(df: DataFrame, value: Column, order: list[str], cuts: Callable[[object, int], list[int]],
+             stratum: str | None = None, out: str = "segment", task_rows: int = TASK_ROWS) -> DataFrame:
+    """Adds ``out``: how many of the ``cuts(stratum value, number of rows)`` are at most the row's
+    rank by ``order`` (0-based, inside its stratum).
+
+    ``value`` is a double that is non-decreasing in ``order`` and never null.  A row's segment
+    follows from comparing it with the values at the cuts.  Only where a cut falls inside a run
+    of equal values are rows ranked, and only those of the run: by a window while the run has
+    at most ``task_rows``, else through range partitions.  The passes that find the cuts read
+    ``value`` and ``stratum`` alone.
     """
-    strata = strata or []
-    table = _bucket_table(df, strata)
-    if fractions is not None:
-        cuts = F.array(*[F.floor(F.lit(float(f)) * F.col("_total")).cast("bigint")
-                         for f in fractions])
-    table = (table.withColumn("_cuts", cuts)
-             .withColumn("_seg_lo", F.size(F.filter("_cuts", lambda c: c <= F.col("_before"))))
-             .withColumn("_seg_hi", F.size(F.filter(
-                 "_cuts", lambda c: c <= F.col("_before") + F.col("_cnt") - 1))))
-    keys = strata + [BUCKET]
-    small = table.select(*keys, "_before", "_cuts", "_seg_lo", "_seg_hi", "_total")
-    joined = join_null_safe(df, small, keys, broadcast=not strata or bounded_strata)
-    whole = (joined.where(F.col("_seg_lo") == F.col("_seg_hi"))
-             .withColumn(out, F.col("_seg_lo")))
-    mixed = joined.where(F.col("_seg_lo") != F.col("_seg_hi"))
-    # rows of straddling buckets only; ranked by range partitions, so a hot bucket (one order
-    # value holding a third of the rows) is still split across tasks
-    if rank_plan == "range":
-        mixed = dense_index(mixed, order, strata=keys, out="_in_bucket")
+    one = F.col(stratum) if stratum else F.lit(0)
+    found = order_statistics(df.select(one.alias("_g"), value.alias("_x")), cuts, "_g", "_x")
+    keyed = df.withColumns({"_x": value, "_run": F.lit(None).cast("int")})
+    segment, run, runs = F.lit(0), F.lit(None).cast("int"), []      # runs: (rows, [(place in the run, cuts)])
+    for g, (total, stats) in found.items():
+        own, wanted = one.eqNullSafe(F.lit(g)), cuts(g, total)
+        step, ties = F.lit(sum(k <= 0 for k in wanted)), {}
+        for c in (c for c in stats if c.rank > 0):
+            n, inside = wanted.count(c.rank), F.col("_x").eqNullSafe(F.lit(c.value))
+            step = step + F.when((F.col("_x") > F.lit(c.value)) | (inside & F.lit(c.rank == c.below)), n).otherwise(0)
+            if c.rank > c.below:
+                if c.below not in ties:
+                    run = F.when(own & inside, len(runs)).otherwise(run)
+                    runs.append((c.equal, ties.setdefault(c.below, [])))
+                ties[c.below].append((c.rank - c.below, n))
+        segment = F.when(own, step).otherwise(segment)
+    if not runs:
+        return keyed.withColumn(out, segment).drop("_x", "_run")
+    keyed = keyed.withColumns({out: segment, "_run": run})
+    tied = keyed.where(F.col("_run").isNotNull())
+    if max(rows for rows, _ in runs) <= task_rows:
+        ranked = tied.withColumn("_r", F.row_number().over(Window.partitionBy("_run").orderBy(*order)) - 1)
     else:
-        mixed = mixed.withColumn("_in_bucket", F.row_number().over(
-            Window.partitionBy(*keys).orderBy(*order)) - 1)
-    mixed = mixed.withColumn("_r", F.col("_before") + F.col("_in_bucket")).drop("_in_bucket") \
-        .withColumn(out, F.size(F.filter("_cuts", lambda c: c <= F.col("_r"))))
-    if rank_col:
-        whole = whole.withColumn("_r", F.lit(None).cast("bigint"))
-    else:
-        mixed = mixed.drop("_r")
-    res = whole.unionByName(mixed)
-    if rank_col:
-        res = res.withColumnRenamed("_r", rank_col)
-    return res.drop("_before", "_cuts", "_seg_lo", "_seg_hi", "_total")
+        ranked = dense_index(tied, order, strata=["_run"], out="_r")
+    more = F.lit(0)
+    for i, (_, places) in enumerate(runs):
+        more = F.when(F.col("_run") == i, sum((F.when(F.col("_r") >= k, n).otherwise(0) for k, n in places), F.lit(0))).otherwise(more)
+    ranked = ranked.withColumn(out, F.col(out) + more).drop("_r")
+    return keyed.where(F.col("_run").isNull()).unionByName(ranked).drop("_x", "_run")
+
+
+def fixed_order(df: DataFrame, keys: list[str | Column], n_partitions: int | None = None,
+                fix: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Rows in the order of ``keys``, range-partitioned, sorted inside partitions and fixed (by a
+    reliable checkpoint, or ``fix``), with ``_pid`` and ``_local``, the place in the partition.
+
+    Spark samples the whole key, so a hot leading value is split by the keys after it, and rows
+    that agree in all keys by their number in the input: no partition is larger than its share
+    by much, whatever the skew.
+    """
+    from flowlens.plans.materialize import materialize
+
+    cols = [F.col(c) if isinstance(c, str) else c for c in keys] + [F.col("_tie")]
+    # default: the session's shuffle parallelism, which a cluster sizes for its data
+    n = n_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    local = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
+    return (fix or materialize)(ranged.drop("_tie")).withColumns({"_pid": F.spark_partition_id(), "_local": local})
+
+
+def partition_edges(rows: DataFrame, strata: list[str], sums: list[str] = ()) -> list[Row]:
+    """One row for each partition of ``fixed_order`` that has rows, by ``_pid``: its number of rows
+    ``n``, and ``first`` and ``last``, the struct of (strata, n, sums) of its first and last
+    stratum inside it."""
+    per = rows.groupBy("_pid", *strata).agg(F.count(F.lit(1)).alias("_n"), F.min("_local").alias("_at"),
+                                            *[F.sum(c).alias(f"_s_{c}") for c in sums])
+    whole = F.struct(*strata, "_n", *[f"_s_{c}" for c in sums])
+    return sorted(per.groupBy("_pid").agg(F.sum("_n").alias("n"), F.min_by(whole, "_at").alias("first"), F.max_by(whole, "_at").alias("last"))
+                  .collect(), key=lambda r: r["_pid"])
+
+
+def carried(edges: list[Row], strata: list[str], names: list[str]) -> dict[int, list]:
+    """For each partition, the totals of ``names`` over the rows of its first stratum that lie in
+    partitions before it."""
+    out, last = {}, None                    # last: (stratum, totals) at the end of the partitions so far
+    for r in edges:
+        first, end = (tuple(r[e][c] for c in strata) for e in ("first", "last"))
+        before = last[1] if last is not None and last[0] == first else [0] * len(names)
+        out[r["_pid"]] = before
+        own = [r["last"][c] for c in names]
+        last = end, ([a + b for a, b in zip(before, own)] if first == end else own)
+    return out
 
 
 def dense_index(df: DataFrame, order: list[str | Column], strata: list[str] | None = None,
-                out: str = "_i", n_partitions: int | None = None,
-                rows_per_partition: int | None = None) -> DataFrame:
-    """0-based position in ``order`` within each stratum, exact and contiguous.
-
-    Plan: range-partition on the full composite key (strata, order) - Spark samples the key,
-    so even a single hot ``ts`` value is split by the tie-breaking columns - sort within
-    partitions, and cut lineage with a reliable checkpoint so every partition's content and
-    row order are fixed.  ``monotonically_increasing_id`` then gives each row its place inside
-    its partition (a narrow map); a small table of per-(partition, stratum) counts,
-    prefix-summed over partitions, turns that into the global position.  No task sorts more
-    than one range partition, whatever the skew.
-    """
-    from flowlens.plans.materialize import materialize
+                out: str = "_i", n_partitions: int | None = None, rows_per_partition: int | None = None) -> DataFrame:
+    """0-based position in ``order`` within each stratum, exact and contiguous; rows that agree in
+    the whole order are numbered in any order.
 
+    ``fixed_order`` numbers rows inside partitions; a small table of per-(partition, stratum)
+    counts, prefix-summed over partitions, turns that into the global position.
+    """
     strata = list(strata or [])
-    keys = [F.col(c) if isinstance(c, str) else c for c in strata + list(order)]
     if n_partitions is None and rows_per_partition is not None:
-        n_partitions = auto_buckets(df, rows_per_partition, floor=1)
-    # default: the session's shuffle parallelism, which a cluster sizes for its data
-    n_parts = n_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialize(df.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys))
-    local = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
-    tagged = ranged.withColumns({"_di_pid": F.spark_partition_id(), "_di_local": local})
-    counts = tagged.groupBy("_di_pid", *strata).agg(F.count(F.lit(1)).alias("_di_cnt"),
-                                                 F.min("_di_local").alias("_di_first"))
-    w = (Window.partitionBy(*strata) if strata else Window.partitionBy()).orderBy("_di_pid") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_di_pid", *strata, "_di_first", F.coalesce(
-        F.sum("_di_cnt").over(w), F.lit(0)).cast("bigint").alias("_di_before"))
+        n_partitions = max(1, -(-df.count() // rows_per_partition))
+    tagged = fixed_order(df, strata + list(order), n_partitions)
+    counts = tagged.groupBy("_pid", *strata).agg(F.count(F.lit(1)).alias("_di_cnt"), F.min("_local").alias("_di_first"))
+    w = (Window.partitionBy(*strata) if strata else Window.partitionBy()).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", *strata, "_di_first", F.coalesce(F.sum("_di_cnt").over(w), F.lit(0)).cast("bigint").alias("_di_before"))
     # without strata the table has one row per range partition: a bounded broadcast
-    joined = join_null_safe(tagged, offsets, ["_di_pid", *strata], broadcast=not strata)
-    return (joined.withColumn(out, F.col("_di_before") + F.col("_di_local") - F.col("_di_first"))
-            .drop("_di_pid", "_di_local", "_di_first", "_di_before"))
-
-
-def bucketed_cumsum(df: DataFrame, groups: list[str], order_col: str, values: list[str],
-                    descending: bool = True, n_buckets: int | None = None,
-                    suffix: str = "_cum") -> DataFrame:
-    """Inclusive running sums of ``values`` per group along ``order_col`` (distinct values
-    expected, e.g. one row per distinct score), as a two-level prefix sum: per-bucket totals
-    (a small table, prefix-summed), then a running sum inside each (group, bucket)."""
-    keyed = df.withColumn("_ord", -F.col(order_col) if descending else F.col(order_col))
-    keyed = quantile_buckets(keyed, "_ord", n_buckets)
-    tot = keyed.groupBy(*groups, BUCKET).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
-    w_small = (Window.partitionBy(*groups) if groups else Window.partitionBy()).orderBy(BUCKET) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    for v in values:
-        tot = tot.withColumn(f"_o_{v}", F.coalesce(F.sum(f"_t_{v}").over(w_small), F.lit(0)))
-    tot = tot.select(*groups, BUCKET, *[f"_o_{v}" for v in values])
-    joined = join_null_safe(keyed, tot, groups + [BUCKET])
-    w = Window.partitionBy(*groups, BUCKET).orderBy("_ord").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    for v in values:
-        joined = joined.withColumn(f"{v}{suffix}", F.col(f"_o_{v}") + F.sum(v).over(w))
-    return joined.drop("_ord", BUCKET, *[f"_o_{v}" for v in values])
+    joined = join_null_safe(tagged, offsets, ["_pid", *strata], broadcast=not strata)
+    return (joined.withColumn(out, F.col("_di_before") + F.col("_local") - F.col("_di_first"))
+            .drop("_pid", "_local", "_di_first", "_di_before"))
+
+
+def number_in_place(df: DataFrame, out: str = "_i") -> DataFrame:
+    """Numbers rows from 0 as they lie: partition after partition, in the order inside them."""
+    from flowlens.plans.materialize import materialize
+
+    local = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
+    rows = materialize(df).withColumns({"_pid": F.spark_partition_id(), "_local": local})
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy().orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = rows.groupBy(F.col("_pid").alias("_p")).agg(F.count(F.lit(1)).alias("_n")).select("_p", before.cast("bigint").alias("_before"))
+    # one row for each partition: a bounded broadcast
+    joined = rows.join(F.broadcast(offsets), F.col("_pid") == F.col("_p"))
+    return joined.withColumn(out, F.col("_before") + F.col("_local")).drop("_pid", "_p", "_local", "_before")
+
+
+def running_sums(df: DataFrame, groups: list[str], order_col: str, values: list[str], descending: bool = True,
+                 suffix: str = "_cum", n_partitions: int | None = None) -> DataFrame:
+    """Inclusive running sums of the BIGINT ``values`` per group along ``order_col`` (distinct values
+    expected, e.g. one row per distinct score): one range exchange, then a sum inside each
+    partition that starts from what the partitions before it hold of its first group."""
+    key = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    rows = fixed_order(df, [*groups, key], n_partitions)
+    edges = partition_edges(rows, groups, values)
+    before = carried(edges, groups, [f"_s_{v}" for v in values])
+    own_columns = df.columns
+    schema = T.StructType(df.schema.fields + [T.StructField(f"{v}{suffix}", T.LongType()) for v in values])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals, end = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if totals is None:
+                totals = np.array(before[batch.column("_pid")[0].as_py()], np.int64)
+            new = run_starts(batch, groups, end)
+            own = np.column_stack([batch.column(v).to_numpy(zero_copy_only=False).astype(np.int64) for v in values])
+            cum = np.cumsum(own, axis=0)
+            at = np.flatnonzero(new)
+            base = np.vstack([-totals[None, :], (cum - own)[at]])
+            cum -= base[np.cumsum(new)]
+            totals, end = cum[-1], batch.slice(batch.num_rows - 1)
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in own_columns] + [pa.array(cum[:, i]) for i in range(len(values))],
+                                             names=schema.names)
+
+    return rows.drop("_local").mapInArrow(run, schema)
+
+
+def run_starts(batch: pa.RecordBatch, cols: list[str], before: pa.RecordBatch | None) -> np.ndarray:
+    """Which rows of a batch differ in ``cols`` from the row before them; ``before`` is the last row
+    of the batch before.  A partition's first row starts no run: it may continue one."""
+    new = np.zeros(batch.num_rows, bool)
+    for c in cols:
+        own = batch.column(c)
+        prior = pa.concat_arrays([(before.column(c) if before is not None else own.slice(0, 1)), own.slice(0, batch.num_rows - 1)])
+        same = pc.or_(pc.fill_null(pc.equal(own, prior), False), pc.and_(pc.is_null(own), pc.is_null(prior)))
+        new |= ~same.to_numpy(zero_copy_only=False)
+    return new

@@ -10,8 +10,8 @@ Stream plan (append mode):
   packets --withWatermark--> groupBy(window, flow key)     (A4; state per open window, dropped
                                                             once the watermark passes it)
           --foreachBatch--> the closed windows' flows       (append mode emits all flows of a
-              -> batch twin: halo 5-flow sequences per      window in one micro-batch)
-                 window -> score (mapInArrow) -> decisions
+              -> batch twin: 5-flow sequences per window    window in one micro-batch)
+                 -> score (mapInArrow) -> decisions
               -> parquet folder of the batch id, overwritten on replay (idempotent sink)
 No window's flows are ever gathered into one row or one task.
 """
@@ -19,11 +19,11 @@ No window's flows are ever gathered into one row or one task.
 from __future__ import annotations
 
 import functools
+import inspect
 from collections.abc import Callable
 
 import numpy as np
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +33,8 @@ from flowlens.operators.flows import (aggregate_flows, event_time_of, filter_pac
                                       normalize_packets, with_flow_key)
 from flowlens.operators.metrics import scorecard
 from flowlens.operators.labels import label_by_source
-from flowlens.operators.sequences import score_windows, sequence_windows, warmup_fill
+from flowlens.operators.sequences import Fix, score_sequences, sequence_windows, warmup_fill
+from flowlens.plans.materialize import materialize
 from flowlens.schema import DEFAULT_ATTACKERS, DEFAULT_WHITELIST, SEQ_LEN
 
 FLOW_ID = ["src_ip", "sport", "dst_ip", "dport"]
@@ -46,13 +47,13 @@ def live_flows(packets: DataFrame, window: str = "1 second", history: bool = Tru
 
 
 def live_sequences(flows: DataFrame, values: list[str], length: int = SEQ_LEN,
-                   pad: bool = True, keep: list[str] | None = None) -> DataFrame:
+                   pad: bool = True, keep: list[str] | None = None, fix: Fix = materialize) -> DataFrame:
     """Per window, flows in first-arrival order, windows of ``length`` flows.
     ``seq_pos`` is the 0-based position of the flow inside its window."""
     keep = [c for c in (keep or ALERT_KEEP) if c != "window_start"]
     return sequence_windows(flows, ["first_seq"], values, length=length, pad=pad,
                             partition_by=["window_start"], keep=keep,
-                            member_cols=["first_seq"])
+                            member_cols=["first_seq"], fix=fix)
 
 
 def decide_alerts(scored: DataFrame, t: float, whitelist=DEFAULT_WHITELIST,
@@ -63,27 +64,24 @@ def decide_alerts(scored: DataFrame, t: float, whitelist=DEFAULT_WHITELIST,
 
 
 def live_alerts(flows: DataFrame, model_fn: Callable[[np.ndarray], np.ndarray], t: float,
-                values: list[str], whitelist=DEFAULT_WHITELIST, length: int = SEQ_LEN) -> DataFrame:
+                values: list[str], whitelist=DEFAULT_WHITELIST, length: int = SEQ_LEN, fix: Fix = materialize) -> DataFrame:
     """J4 on a static flow table (batch twin)."""
-    seqs = live_sequences(flows, values, length=length, pad=True)
-    keep = ALERT_KEEP + ["seq_pos"]
-    scored = score_windows(seqs.select(*keep, "seq"), model_fn, keep=keep)
+    scored = score_sequences(flows, ["first_seq"], values, model_fn, length=length, pad=True, partition_by=["window_start"],
+                             keep=ALERT_KEEP, fix=fix)
     return decide_alerts(scored, t, whitelist, length)
 
 
 def fitted_live_alerts(flows: DataFrame, fm: FeatureModel, model: PipelineModel, t: float,
-                       whitelist=DEFAULT_WHITELIST, length: int = SEQ_LEN, rows: bool = False) -> DataFrame:
+                       whitelist=DEFAULT_WHITELIST, length: int = SEQ_LEN, rows: bool = False, fix: Fix = materialize) -> DataFrame:
     """J4 with fitted preprocessing and a fitted model: a sequence model scores padded windows
     of prepared flows (the first ``length - 1`` of a window are warm-up); with ``rows`` a row
     model scores each prepared flow by itself, without warm-up."""
-    prepared = fm.transform(flows)
     if rows:
-        scored = decide(positive_score(model.transform(prepared)).select(*ALERT_KEEP, "score"), t)
+        scored = decide(positive_score(model.transform(fm.transform(flows))).select(*ALERT_KEEP, "score"), t)
         return alert_record(whitelist_override(scored, whitelist))
-    seqs = live_sequences(prepared, [f"f_{c}" for c in fm.numeric] + fm.onehot_cols, length=length, pad=True)
-    keep = ALERT_KEEP + ["seq_pos"]
-    vectors = seqs.select(*keep, array_to_vector(F.flatten("seq")).alias("features"))
-    scored = positive_score(model.transform(vectors)).select(*keep, "score")
+    seqs = live_sequences(fm.prepare(flows), fm.row_values, length=length, pad=True, fix=fix)
+    vectors = fm.window_vectors(seqs, length)
+    scored = positive_score(model.transform(vectors)).select(*ALERT_KEEP, "seq_pos", "score")
     return decide_alerts(scored, t, whitelist, length)
 
 
@@ -129,17 +127,28 @@ def stream_flows(packets: DataFrame, window: str = "1 second",
 def alert_batch_writer(out_path: str, alerts_of: Callable[[DataFrame], DataFrame]):
     """``foreachBatch`` handler: the flows of the windows closed in this micro-batch (append
     mode emits every flow of a window in the same batch) go through the exact batch twin
-    (J3/J4 with halo windows, no per-window collect) and are written to the batch's own
-    folder with overwrite, so a replayed batch id replaces its output instead of duplicating."""
+    (J3/J4, no per-window collect) and are written to the batch's own folder with overwrite, so a
+    replayed batch id replaces its output instead of duplicating.
+
+    Flows, and their ordered form, are held in executor memory for the batch: no checkpoint is
+    written.  Their lineage stays, so blocks of a lost executor are made again."""
     def handle(flows: DataFrame, batch_id: int) -> None:
-        flows = flows.drop("window").persist()   # else each action runs the aggregation again
+        held: list[DataFrame] = []
+
+        def hold(df: DataFrame) -> DataFrame:
+            held.append(df.persist())
+            return held[-1]
+
+        flows = hold(flows.drop("window"))       # else each action runs the aggregation again
         try:
             if flows.isEmpty():
                 return
-            (alerts_of(flows).withColumn("batch_id", F.lit(int(batch_id)))
+            fixed = {"fix": hold} if "fix" in inspect.signature(alerts_of).parameters else {}
+            (alerts_of(flows, **fixed).withColumn("batch_id", F.lit(int(batch_id)))
              .write.mode("overwrite").parquet(f"{out_path}/batch_id={int(batch_id)}"))
         finally:
-            flows.unpersist()
+            for df in held:
+                df.unpersist()
     return handle
 
 

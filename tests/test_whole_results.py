@@ -6,13 +6,15 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from flowlens.operators import features as ft
 from flowlens.operators import metrics as mt
 from flowlens.operators import models as md
 from flowlens.operators import sampling as sm
 from flowlens.operators.flows import aggregate_flows
-from flowlens.plans.ordering import quantile_buckets
+from flowlens.plans import selection
+from flowlens.plans.selection import order_statistics
 from flowlens.sources import sinks
 
 from conftest import FIXTURE_PACKETS, PACKET_DDL
@@ -75,10 +77,10 @@ def test_flows_without_history_are_the_same_flows(spark):
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(values=st.lists(st.one_of(st.none(), st.just(float("nan")), st.just(float("inf")), st.just(float("-inf")),
-                                 st.floats(-50, 50), st.sampled_from([1.0, 2.0])), max_size=60), size=st.sampled_from([1, 5, 2_000_000]))
-def test_medians_are_exact_at_any_bucket_size(spark, values, size):
+                                 st.floats(-50, 50), st.sampled_from([1.0, 2.0])), max_size=60), size=st.sampled_from([2, 5, 4096]))
+def test_medians_are_exact_at_any_number_of_bins(spark, values, size):
     df = spark.createDataFrame([(v, 7.0 if i % 3 else None) for i, v in enumerate(values)], "a double, b double")
-    got = {r["feature"]: r["median"] for r in ft.exact_medians(df, ["a", "b"], rows_per_bucket=size).collect()}
+    got = {r["feature"]: r["median"] for r in ft.exact_medians(df, ["a", "b"], bins=size).collect()}
     for c, own in (("a", [v for v in values if v is not None and not math.isnan(v)]), ("b", [7.0 for i in range(len(values)) if i % 3])):
         own.sort()
         want = (own[(len(own) - 1) // 2] + own[len(own) // 2]) / 2 if own else None
@@ -86,13 +88,29 @@ def test_medians_are_exact_at_any_bucket_size(spark, values, size):
         assert want is None or got[c] == want or (math.isnan(want) and math.isnan(got[c]))
 
 
-def test_buckets_take_nan_and_infinity(spark):
+def test_ranks_and_cuts_take_nan_and_infinity(spark):
     values = [None, float("-inf"), -1.0, 0.0, 0.0, 5.0, float("inf"), float("nan")] * 5
     df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "x double, i int")
-    got = quantile_buckets(df, "x", 4).orderBy("x").collect()
-    assert len(got) == len(values) and all(a["_b"] <= b["_b"] for a, b in zip(got, got[1:]))
+    total, cuts = order_statistics(df.where("x is not null").withColumn("g", F.lit("a")), lambda _, n: [0, 4, 5, 12, 24, 29, 34], "g", "x")["a"]
+    assert total == 35
+    assert [(c.value, c.below, c.equal) for c in cuts[:-1]] == [(float("-inf"), 0, 5), (float("-inf"), 0, 5), (-1.0, 5, 5), (0.0, 10, 10), (5.0, 20, 5),
+                                                               (float("inf"), 25, 5)]
+    assert math.isnan(cuts[-1].value) and (cuts[-1].below, cuts[-1].equal) == (30, 5)
     split = sm.chronological_split(df.withColumnRenamed("x", "ts").withColumnRenamed("i", "uid"))
     assert {r["split"]: r["count"] for r in split.groupBy("split").count().collect()} == {"train": 28, "cal": 4, "test": 8}
+    assert {r["split"] for r in split.where("ts is null or ts = double('-inf')").collect()} == {"train"}
+
+
+def test_collected_rows_do_not_follow_the_row_count(spark, monkeypatch):
+    seen = []
+    real = selection._counted
+    monkeypatch.setattr(selection, "_counted", lambda *a: seen.append(len(out := real(*a))) or out)
+    for n in (20_000, 400_000):
+        df = spark.range(n).select((F.rand(3) * 1e6).alias("a"), F.exp(F.randn(5) * 20).alias("b"))
+        m = {r["feature"]: r["median"] for r in ft.exact_medians(df, ["a", "b"]).collect()}
+        want = df.agg(F.median("a").alias("a"), F.median("b").alias("b")).first().asDict()
+        assert m == want
+    assert max(seen) <= 2 * 4096
 
 
 def test_thresholds_by_model_and_dataset():
@@ -103,7 +121,7 @@ def test_thresholds_by_model_and_dataset():
 
 
 def test_feature_model_survives_a_session(spark, tmp_path):
-    fm = ft.FeatureModel({"a": 1.5}, {"a": 0.25}, {"a": 2.0}, {"c": ["é", "x'y", "unknown"]}, ["a"], ["c"])
+    fm = ft.FeatureModel.of(spark, {"a": 1.5}, {"a": 0.25}, {"a": 2.0}, {"c": ["é", "x'y", "unknown"]})
     fm.save(spark, f"{tmp_path}/fm")
     again = ft.FeatureModel.load(spark.newSession(), f"{tmp_path}/fm")
     assert again == fm
