@@ -44,8 +44,10 @@ def test_a_hundred_thousand_values_make_no_wider_plan(spark, tmp_path, monkeypat
     assert spark.read.parquet(str(tmp_path / "fm" / "vocabulary")).count() == n + 2
     few = df.where("id % 20000 = 7 OR history = 'h000009'").unionByName(
         spark.createDataFrame([(1.0, "unseen", "icmp")], "v double, history string, proto string"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     for limit in (ft.BROADCAST_BYTES, 0):
         monkeypatch.setattr(ft, "BROADCAST_BYTES", limit)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)      # else Spark broadcasts small tables itself
         got = again.transform(few)
         plan = got._jdf.queryExecution().executedPlan().toString()
         assert ("BroadcastExchange" in plan) == (limit > 0) and len(plan) < 40_000
@@ -55,3 +57,4 @@ def test_a_hundred_thousand_values_make_no_wider_plan(spark, tmp_path, monkeypat
             if r["history"] != "unseen":
                 hot = [1 + (0 if r["proto"] else 1), 3 + int(r["history"][1:])]
             assert [int(i) for i in v.indices if i > 0] == hot and set(v.values[1:]) <= {1.0}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
