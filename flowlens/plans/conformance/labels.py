@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from flowlens.operators import labels as lb
@@ -9,7 +11,8 @@ from flowlens.operators import profile as pf
 from flowlens.operators import sampling as sm
 from flowlens.plans import views
 from flowlens.plans.ordering import number_in_place
-from flowlens.schema import CONN, FEATURES
+from flowlens.schema import FEATURES
+from flowlens.session import checkpoint_dir
 from flowlens.sources import connlog, sinks
 
 STRAT_N = {True: 1500, False: 1000}      # the reference's 60:40 calibration draw
@@ -25,14 +28,15 @@ def chrono(spark, sf):
 
 
 def q_conn_scan(spark, sf):
-    """V1 written out as tab-separated lines under dotted names in another order, and parsed."""
-    view = views.conn_view(spark, sf)
-    order = sorted(view.columns, reverse=True)
-    line = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in order])
-    names = [f"id.{c}" if c in ("orig_h", "orig_p", "resp_h", "resp_p") else c.replace("detailed_", "detailed-") for c in order]
-    headers = spark.createDataFrame([("v1", names)], "file string, names array<string>")
-    lines = view.select(F.lit("v1").alias("file"), line.alias("value"))
-    return connlog.typed(connlog.parse_table(lines, headers), CONN)
+    """V1 written as tab-separated files under dotted names, one half with its columns in another
+    order, and read back by their headers."""
+    view, folder = views.conn_view(spark, sf), f"{checkpoint_dir(spark)}/conn-scan-{uuid.uuid4().hex}"
+    for half in (0, 1):
+        order = sorted(view.columns, reverse=bool(half))
+        names = {c: f"id.{c}" if c in ("orig_h", "orig_p", "resp_h", "resp_p") else c.replace("detailed_", "detailed-") for c in order}
+        part = view.where(F.crc32(F.col("uid").cast("binary")) % 2 == half)
+        sinks.write_split(part.select(*[F.col(c).alias(names[c]) for c in order]), f"{folder}/{half}")
+    return connlog.read_conn_log(spark, f"{folder}/*")
 
 
 def q_scan_limit(spark, sf):

@@ -8,17 +8,24 @@
 
 Columns go by the names in each file's own header (``clean_name`` of them), so the files of a
 folder may order their columns differently.  A header that lacks a column of the schema is an
-error.  Reading gives lines, and parsing is a projection over lines, so any source of lines can
-be parsed.  Each reader has its own null markers; then values are ``try_cast`` to the declared
-types (ANSI casts would raise), and ``rejected_values`` counts what did not fit.  Nothing is
-inferred by a pass over the data.
+error.  One scan of the text finds each file's header (a partial and a final aggregate: lines
+stay where they are, one row a file moves); then the files of each distinct header are read
+together by Spark's own reader.  Only a file's first line is its header: a later line that equals
+it is a row.  Values may be quoted, with doubled quotes inside.  A file in which a line has an odd
+number of quotes may hold quoted line breaks and is read whole by one task; all others are split.
+
+Each reader has its own null markers; then values are ``try_cast`` to the declared types (ANSI
+casts would raise), and ``rejected_values`` counts what did not fit.  No types are inferred.
 """
 
 from __future__ import annotations
 
+import csv
+import functools
 import re
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,50 +46,29 @@ def clean_name(name: str) -> str:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, value, first, at): every line, its file, whether it may be the file's first line,
-    and a number that grows along the lines of a split."""
+    """(file, value, block, at): every line, its file, where its split starts in the file, and a
+    number that grows along the lines of a split."""
     return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value",
-                                        (F.col("_metadata.file_block_start") == 0).alias("first"),
-                                        F.monotonically_increasing_id().alias("at"))
+                                        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
 
 
-def _first_lines(lines: DataFrame) -> DataFrame:
-    return lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+def _as_path(file: str) -> str:
+    """A file's metadata name as a path to read: not URL-encoded, without glob characters."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(file))
 
 
-def _split_header(header: Column, sep: str) -> Column:
-    return F.split(F.regexp_replace(header, "\r$", ""), re.escape(sep), -1)
+def files_by(per_file: DataFrame, *keys: str) -> list[tuple[Row, list[str] | None]]:
+    """Groups of files (file, keys) with equal keys and their paths; None for the paths where all
+    files are one group."""
+    groups = per_file.groupBy(*keys).agg(F.collect_list("file").alias("files")).collect()
+    return [(r, None if len(groups) == 1 else sorted(map(_as_path, r["files"]))) for r in sorted(groups, key=lambda r: repr(r[:-1]))]
 
 
-def by_name(lines: DataFrame, headers: DataFrame, values: Column, required: list[str] | None) -> DataFrame:
-    """Text columns by name from lines (file, value) and headers (file, names): ``values`` is the
-    array of a line's fields.  ``required`` are the columns wanted; without it, all names of
-    all headers in order of first sight.  Distinct headers are few, files need not be."""
-    found = [r["names"] for r in headers.select("names").distinct().collect()]
-    cleaned = [[clean_name(n) for n in names] for names in found]
-    for names in cleaned:
-        if missing := [c for c in required or [] if c not in names]:
-            raise ValueError(f"a header has no column {', '.join(missing)}: {names}")
-    wanted = required or list(dict.fromkeys(n for names in sorted(cleaned, key=lambda x: (-len(x), x)) for n in names))
-    raw = {clean: [n for names in found for n in names if clean_name(n) == clean] for clean in wanted}
-    joined = lines.join(headers, "file", "left").withColumn("_v", values)
-    known = F.when(F.col("names").isNull(), F.raise_error(F.concat(F.lit("no header in "), F.col("file")))).otherwise(F.col("names"))
-    joined = joined.withColumn("_n", known)
-
-    def field(clean: str) -> Column:
-        at = F.coalesce(*[F.nullif(F.array_position(F.col("_n"), n), F.lit(0).cast("bigint")) for n in dict.fromkeys(raw[clean])])
-        return F.when(at.isNotNull(), F.get(F.col("_v"), (at - 1).cast("int"))).alias(clean)
-
-    return joined.select(*[field(c) for c in wanted])
-
-
-def parse_table(lines: DataFrame, headers: DataFrame, schema: T.StructType = CONN, sep: str = "\t") -> DataFrame:
-    """Delimited lines (file, value) as the schema's columns, still text."""
-    width = headers.agg(F.max(F.size("names"))).first()[0] or 0
-    struct = F.from_csv("value", F.lit(", ".join(f"c{i} string" for i in range(max(1, width)))), {"sep": sep})
-    values = F.array(*[struct[f"c{i}"] for i in range(max(1, width))])
-    body = lines.select("file", F.regexp_replace("value", "\r$", "").alias("value")).where(F.col("value") != "")
-    return by_name(body, headers, values, schema.fieldNames())
+def table_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header, breaks): each file's first line, and whether it may hold quoted line breaks."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    first = F.when(F.col("block") == 0, F.col("at"))
+    return read_lines(spark, path).groupBy("file").agg(F.min_by("value", first).alias("header"), F.max(quotes % 2 == 1).alias("breaks"))
 
 
 def typed(df: DataFrame, schema: T.StructType, nulls: tuple = TABLE_NULLS) -> DataFrame:
@@ -103,13 +89,24 @@ def rejected_values(df: DataFrame, schema: T.StructType, nulls: tuple = TABLE_NU
     return counts.unpivot([], [f.name for f in cast], "column", "rejected")
 
 
-def read_table_text(spark: SparkSession, path: str, schema: T.StructType = CONN, sep: str = "\t") -> DataFrame:
-    """S1 / S2 before typing: the schema's columns as text, found by each file's header."""
-    lines = read_lines(spark, path)
-    first = _first_lines(lines.where("first"))
-    headers = first.select("file", _split_header(F.col("header"), sep).alias("names"))
-    body = lines.join(first, "file").where(F.col("value") != F.col("header")).select("file", "value")
-    return parse_table(body, headers, schema, sep)
+def read_table_text(spark: SparkSession, path: str, schema: T.StructType = CONN, sep: str = "\t",
+                    quoted_breaks: bool | None = None) -> DataFrame:
+    """S1 / S2 before typing: the schema's columns as text, found by each file's header.
+    ``quoted_breaks`` says whether values may hold line breaks; None looks at each file."""
+    found = table_files(spark, path)
+    if quoted_breaks is not None:
+        found = found.withColumn("breaks", F.lit(quoted_breaks))
+    parts = []
+    for r, files in files_by(found, "header", "breaks"):
+        names = [clean_name(n) for n in next(csv.reader([r["header"].rstrip("\r")], delimiter=sep), [])]
+        if missing := [c for c in schema.fieldNames() if c not in names]:
+            raise ValueError(f"a header has no column {', '.join(missing)}: {names}")
+        raw = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+        rows = spark.read.schema(raw).options(sep=sep, header=True, multiLine=r["breaks"], quote='"', escape='"').csv(files or path)
+        parts.append(rows.select(*[F.col(f"c{names.index(c)}").alias(c) for c in schema.fieldNames()]))
+    if not parts:
+        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in schema.fieldNames()]))
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def read_conn_log(spark: SparkSession, path: str, schema: T.StructType = CONN,
@@ -132,17 +129,23 @@ def read_zeek(spark: SparkSession, path: str, schema: T.StructType | None = None
     longest row).  With ``schema``, columns are matched by clean name and cast; otherwise text
     is kept.
     """
-    lines = read_lines(spark, path)
-    headers = _first_lines(lines.where(F.col("value").startswith("#fields"))).select(
-        "file", F.split(F.trim(F.regexp_replace("header", r"^#fields\s*", "")), r"\s+").alias("names"))
-    body = F.trim(F.regexp_replace("value", "#.*$", ""))
-    rows = lines.select("file", body.alias("value")).where(F.col("value") != "")
-    values = F.split("value", r"\s+")
-    if headers.isEmpty():
-        width = rows.agg(F.max(F.size(values))).first()[0] or 0
-        df = rows.select(values.alias("v")).select(*[F.get(F.col("v"), i).alias(f"c{i}") for i in range(width)])
-    else:
-        df = by_name(rows, headers, values, None)
+    fields = F.col("value").startswith("#fields")
+    found = read_lines(spark, path).groupBy("file").agg(
+        F.min_by("value", F.when(fields, F.struct("block", "at"))).alias("header"))
+    groups = files_by(found, "header")
+    headers = [r["header"] for r, _ in groups]
+    if any(headers) and not all(headers):
+        raise ValueError(f"no header in {', '.join(next(files for r, files in groups if not r['header']))}")
+    parts = []
+    for header, files in ((r["header"], files) for r, files in groups):
+        body = F.trim(F.regexp_replace("value", "#.*$", ""))
+        rows = spark.read.text(files or path).select(body.alias("value")).where(F.col("value") != "").select(
+            F.split("value", r"\s+").alias("v"))
+        names = ([clean_name(n) for n in re.sub(r"^#fields\s*", "", header).split()] if header
+                 else [f"c{i}" for i in range(rows.agg(F.max(F.size("v"))).first()[0] or 0)])
+        parts.append(rows.select(*[F.get("v", F.lit(names.index(n))).alias(n) for n in dict.fromkeys(names)]))
+    parts.sort(key=lambda p: (-len(p.columns), p.columns))
+    df = functools.reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts) if parts else spark.createDataFrame([], T.StructType([]))
     known = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
     df = df.select(*[(null_if_marker(F.col(n), RAW_NULLS).try_cast(known[n]) if n in known
                       and not isinstance(known[n], T.StringType) else null_if_marker(F.col(n), RAW_NULLS)).alias(n)

@@ -12,10 +12,12 @@ from flowlens.schema import PACKET
 def write_split(df: DataFrame, path: str, fmt: str = "tsv", helper: str = "is_benign") -> None:
     """S5 (+ P6): a split without its helper column, as TSV with header or parquet."""
     out = df.drop(helper).write.mode("overwrite")
+    if fmt != "parquet":            # values as they are, quotes doubled
+        out = out.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     if fmt == "tsv":
-        out.option("sep", "\t").option("header", True).csv(path)
+        out.option("sep", "\t").csv(path)
     elif fmt == "csv":
-        out.option("header", True).csv(path)
+        out.csv(path)
     else:
         out.parquet(path)
 

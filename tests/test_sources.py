@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -136,3 +137,34 @@ def test_raw_logs_with_different_fields(spark, tmp_path):
     (folder / "b.log").write_text("#fields\tuid\tid.orig_h\tts\nCb\t10.0.0.1\t2\nCc\t-\t3\n")
     got = connlog.read_zeek(spark, str(folder)).orderBy("ts").select("ts", "uid", "orig_h").collect()
     assert [tuple(r) for r in got] == [("1", "Ca", None), ("2", "Cb", "10.0.0.1"), ("3", "Cc", None)]
+
+
+def test_repeated_headers_and_quoted_breaks_are_rows(spark, tmp_path):
+    schema = T.StructType([T.StructField("ts", T.DoubleType()), T.StructField("uid", T.StringType()), T.StructField("label", T.StringType())])
+    (tmp_path / "a b.csv").write_text('ts,uid,label\n1,Ca,"Benign\nor, so"\nts,uid,label\n2,"say ""hi""",x\n')
+    (tmp_path / "c[1].csv").write_text("ts,uid,label\n3,Cc,y\n4,Cd\n")
+    (tmp_path / "d.csv").write_text("label,uid,ts\nz,Ce,5\n")
+    (tmp_path / "empty.csv").write_text("")
+    got = sorted(map(tuple, connlog.read_csv_split(spark, str(tmp_path), schema).collect()), key=repr)
+    assert got == sorted([(1.0, "Ca", "Benign\nor, so"), (None, "uid", "label"), (2.0, 'say "hi"', "x"), (3.0, "Cc", "y"), (4.0, "Cd", None),
+                          (5.0, "Ce", "z")], key=repr)
+    assert connlog.read_csv_split(spark, str(tmp_path / "empty.csv"), schema).count() == 0
+
+
+def test_no_exchange_of_lines_in_a_large_file(spark, tmp_path):
+    """The plan of a file beyond the broadcast limit, in many splits: a scan and a projection."""
+    path, limits = str(tmp_path / "big"), {"spark.sql.autoBroadcastJoinThreshold": "10k", "spark.sql.files.maxPartitionBytes": "64k"}
+    before = {k: spark.conf.get(k) for k in limits}
+    rows = spark.range(20_000, numPartitions=1).select(*[F.lit(None).cast("string").alias(c) if c not in ("ts", "uid") else F.col("id").alias(c)
+                                                         for c in HEADER.split("\t")])
+    sinks.write_split(rows, path)
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        df = connlog.read_conn_log(spark, path)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Join" not in plan and df.rdd.getNumPartitions() > 5
+        assert df.agg(F.count("uid"), F.sum("ts")).first()[:] == (20_000, 20_000 * 19_999 / 2)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
