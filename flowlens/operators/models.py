@@ -9,12 +9,17 @@ candidates are Spark ML estimators trained on executors:
                   ([5*d, 32, 2]; unweighted, like the reference's sequence model).
 Scoring is ``PipelineModel.transform`` + the positive-class probability; every candidate's
 scores on every dataset are unioned and summarised by ONE grouped scorecard job.
+
+A ``Scorer`` (preprocessing, candidate name, model) is what selection, evaluation, ablation and the
+live path work with: it knows whether its model takes prepared rows or windows of them.
 """
 
 from __future__ import annotations
 
+import functools
 import time
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassifier,
@@ -24,13 +29,17 @@ from pyspark.sql import functions as F
 
 from flowlens.operators.decisions import decide, positive_score, whitelist_override
 from flowlens.operators.features import FeatureModel
-from flowlens.operators.metrics import metric_delta, scorecard, select_model
-from flowlens.operators.profile import with_class_weight
+from flowlens.operators.labels import label_by_source
+from flowlens.operators.metrics import metric_delta, scorecard, scorecard_pivot, select_model
+from flowlens.operators.profile import class_weight, with_class_weight
 from flowlens.operators.sequences import sequence_windows
+from flowlens.plans.materialize import materialize
 from flowlens.plans.ordering import hash_order
 from flowlens.schema import DEFAULT_WHITELIST, SEQ_LEN
 
 CANDIDATE_ORDER = ["gbt", "rf", "mlp_seq"]
+#: Candidates that score single rows; all others score windows.
+ROW_MODELS = ("gbt", "rf")
 #: Decision thresholds: the sequence model has its own, trees the library's default; live
 #: traffic has a lower one.
 SEQUENCE_T, TREE_T, LIVE_T = 0.90, 0.50, 0.05
@@ -44,7 +53,7 @@ def threshold_of(name: str, dataset: str, thresholds: dict | float | None = None
     for k in ((name, dataset), name, dataset):
         if thresholds and k in thresholds:
             return float(thresholds[k])
-    return LIVE_T if dataset == "live" else TREE_T if name in ("gbt", "rf") else SEQUENCE_T
+    return TREE_T if name in ROW_MODELS else LIVE_T if dataset == "live" else SEQUENCE_T
 
 
 def gbt(weight_col: str | None = "w", max_iter: int = 100, depth: int = 6, seed: int = 42):
@@ -95,6 +104,42 @@ def score(model: PipelineModel, df: DataFrame, name: str, dataset: str, key: str
                              F.col("_score").alias("score"), *keep), t)
 
 
+class Scorer(NamedTuple):
+    """A fitted model with its preprocessing, for rows or windows, in batch or live."""
+    features: FeatureModel
+    name: str
+    model: PipelineModel
+
+    @property
+    def windows(self) -> bool:
+        return self.name not in ROW_MODELS
+
+    def inputs(self, df: DataFrame, order: list[str], keep: list[str], partition_by: list[str] | None = None, **zero) -> DataFrame:
+        return model_inputs(self.name, self.features, df, order, keep, partition_by, **zero)
+
+    def scores(self, df: DataFrame, dataset: str, order: list[str], key: str, t: dict | float | None = None, keep: tuple = (),
+               partition_by: list[str] | None = None, label: str | None = None) -> DataFrame:
+        """K4 / K5: SCORED rows under ``label`` (default: the candidate's name), each decided by the
+        threshold of the candidate and dataset."""
+        rows = self.inputs(df, order, [key, *keep], partition_by)
+        return score(self.model, rows, label or self.name, dataset, key, t=threshold_of(self.name, dataset, t), keep=keep)
+
+
+def model_inputs(name: str, fm: FeatureModel, df: DataFrame, order: list[str], keep: list[str],
+                 partition_by: list[str] | None = None, **zero) -> DataFrame:
+    """What candidate ``name`` takes: prepared rows, or full windows of them."""
+    return prepare_rows(fm, df, **zero) if name in ROW_MODELS else prepare_sequences(fm, df, order, keep, partition_by, **zero)
+
+
+def estimator(name: str, fm: FeatureModel, small: bool = False):
+    """K1-K3 by name; ``small`` is K8: one tree of depth 1, or one hidden unit."""
+    if name == "gbt":
+        return gbt(max_iter=1, depth=1) if small else gbt()
+    if name == "rf":
+        return rf(trees=1, depth=1) if small else rf()
+    return mlp(SEQ_LEN * fm.width, hidden=1 if small else 32)
+
+
 @dataclass
 class Trained:
     name: str
@@ -108,18 +153,23 @@ def fit_timed(name: str, estimator, df: DataFrame) -> Trained:
     return Trained(name, m, time.time() - t0)
 
 
+def training_inputs(name: str, fm: FeatureModel, train: DataFrame, pos_weight: float, order: list[str], key: str) -> DataFrame:
+    """Inputs of a candidate's fit, written once: vectors, labels and A3 weights (trees only).  Fits
+    read them many times."""
+    rows = with_class_weight(model_inputs(name, fm, train, order, [key]), pos_weight)
+    return materialize(rows.select("features", "label", "w"))
+
+
 def train_candidates(fm: FeatureModel, train: DataFrame, pos_weight: float, order: list[str],
                      key: str, which: tuple = tuple(CANDIDATE_ORDER)) -> dict:
     """K1-K3 on the training rows; rows get ``w`` = A3 for positives (trees only)."""
+    inputs: dict[bool, DataFrame] = {}
     out = {}
-    rows = with_class_weight(prepare_rows(fm, train), pos_weight).cache()
-    if "gbt" in which:
-        out["gbt"] = fit_timed("gbt", gbt(), rows)
-    if "rf" in which:
-        out["rf"] = fit_timed("rf", rf(), rows)
-    if "mlp_seq" in which:
-        seqs = prepare_sequences(fm, train, order, keep=[key]).cache()
-        out["mlp_seq"] = fit_timed("mlp_seq", mlp(SEQ_LEN * fm.width), seqs)
+    for name in (n for n in CANDIDATE_ORDER if n in which):
+        by_rows = name in ROW_MODELS
+        if by_rows not in inputs:
+            inputs[by_rows] = training_inputs(name, fm, train, pos_weight, order, key)
+        out[name] = fit_timed(name, estimator(name, fm), inputs[by_rows])
     return out
 
 
@@ -129,18 +179,13 @@ def candidate_scores(fm: FeatureModel, trained: dict, datasets: dict, order: lis
     pair decides by its own threshold (``threshold_of``)."""
     parts = []
     for ds, df in datasets.items():
-        rows = prepare_rows(fm, df)
-        seqs = None
+        inputs: dict[bool, DataFrame] = {}
         for name, tr in trained.items():
-            if name == "mlp_seq":
-                seqs = seqs if seqs is not None else prepare_sequences(fm, df, order, keep=[key])
-                parts.append(score(tr.model, seqs, name, ds, key, t=threshold_of(name, ds, t)))
-            else:
-                parts.append(score(tr.model, rows, name, ds, key, t=threshold_of(name, ds, t)))
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
-    return res
+            by_rows = name in ROW_MODELS
+            if by_rows not in inputs:
+                inputs[by_rows] = model_inputs(name, fm, df, order, [key])
+            parts.append(score(tr.model, inputs[by_rows], name, ds, key, t=threshold_of(name, ds, t)))
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def candidate_scorecards(scored: DataFrame, trained: dict | None = None) -> DataFrame:
@@ -167,56 +212,67 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+@dataclass(frozen=True)
+class Experiment:
+    """One row of an ablation: what is zeroed in the test inputs (F6), which split (D6), and whether
+    the model's capacity is limited (K8)."""
+    name: str
+    zero_numeric: bool = False
+    zero_categorical: bool = False
+    shuffled: bool = False
+    small: bool = False
+
+
+EXPERIMENTS = (Experiment("baseline"), Experiment("no_numeric", zero_numeric=True), Experiment("no_categorical", zero_categorical=True),
+               Experiment("capacity", small=True), Experiment("shuffled", shuffled=True))
+
+
 def ablation_report(fm_fit, train: DataFrame, test: DataFrame, shuffled: tuple[DataFrame, DataFrame],
-                    order: list[str], key: str, t: float = SEQUENCE_T, seed: int = 42) -> DataFrame:
-    """K9 (with K8, F6, F7, D6): baseline; numeric block zeroed at test time; categorical
-    block zeroed at test time; capacity-limited model; shuffled split with refitted
-    preprocessing, whose windows are cut over the seeded shuffled order, not over time.
-    F1 and FPR per experiment, deltas against the baseline (A15)."""
-    fm = fm_fit(train)
-    width = SEQ_LEN * fm.width
-    base_train = prepare_sequences(fm, train, order, keep=[key]).cache()
-    base = fit_timed("baseline", mlp(width), base_train).model
-    cap = fit_timed("capacity", mlp(width, hidden=1), base_train).model
-    sh_train, sh_test = (d.withColumn("_shuffled", hash_order(F.col(key), seed)) for d in shuffled)
-    mixed = ["_shuffled", key]
-    fm_sh = fm_fit(sh_train)
-    sh_model = fit_timed("shuffled", mlp(SEQ_LEN * fm_sh.width),
-                         prepare_sequences(fm_sh, sh_train, mixed, keep=[key])).model
-    parts = [
-        score(base, prepare_sequences(fm, test, order, keep=[key]), "baseline", "test", key, t=t),
-        score(base, prepare_sequences(fm, test, order, keep=[key], zero_numeric=True),
-              "no_numeric", "test", key, t=t),
-        score(base, prepare_sequences(fm, test, order, keep=[key], zero_categorical=True),
-              "no_categorical", "test", key, t=t),
-        score(cap, prepare_sequences(fm, test, order, keep=[key]), "capacity", "test", key, t=t),
-        score(sh_model, prepare_sequences(fm_sh, sh_test, mixed, keep=[key]), "shuffled",
-              "test", key, t=t),
-    ]
-    scored = parts[0]
-    for p in parts[1:]:
-        scored = scored.unionByName(p)
-    card = scorecard(scored, ["model"])
-    return metric_delta(card, "model", "baseline").withColumnRenamed("model", "experiment")
-
-
-def three_way_scorecard(fm: FeatureModel, model: PipelineModel, set_a: DataFrame,
-                        set_b: DataFrame, live_flows: DataFrame, attackers: list[str],
+                    order: list[str], key: str, t: float | None = None, seed: int = 42, family: str = "mlp_seq",
+                    experiments: tuple[Experiment, ...] = EXPERIMENTS) -> DataFrame:
+    """K9 (with K8, F6, F7, D6) for a winner of any ``family``: confusion counts, F1 and FPR per
+    experiment, deltas against the baseline (A15).
+
+    Experiments share what they have in common: preprocessing and training inputs by split, models
+    by split and capacity.  Preprocessing is refitted on the shuffled split, whose windows are cut
+    over the seeded shuffled order, not over time."""
+    t = threshold_of(family, "test", t)
+    data = {False: (train, test, order)}
+    if any(e.shuffled for e in experiments):
+        data[True] = (*(d.withColumn("_shuffled", hash_order(F.col(key), seed)) for d in shuffled), ["_shuffled", key])
+    fms, fitted, parts = {}, {}, []
+    for e in experiments:
+        own_train, own_test, by = data[e.shuffled]
+        if e.shuffled not in fms:
+            fm = fm_fit(own_train)
+            weight = class_weight(own_train).first()["pos_weight"]
+            fms[e.shuffled] = fm, training_inputs(family, fm, own_train, weight, by, key)
+        fm, inputs = fms[e.shuffled]
+        if (e.shuffled, e.small) not in fitted:
+            fitted[e.shuffled, e.small] = fit_timed(e.name, estimator(family, fm, e.small), inputs).model
+        rows = model_inputs(family, fm, own_test, by, [key], zero_numeric=e.zero_numeric, zero_categorical=e.zero_categorical)
+        parts.append(score(fitted[e.shuffled, e.small], rows, e.name, "test", key, t=t))
+    card = scorecard(functools.reduce(DataFrame.unionByName, parts), ["model"])
+    return metric_delta(card, "model", experiments[0].name).withColumnRenamed("model", "experiment")
+
+
+def live_scores(scorer: Scorer, live_flows: DataFrame, attackers: list[str], t: dict | float | None = None,
+                window_col: str = "window_start", whitelist=DEFAULT_WHITELIST) -> DataFrame:
+    """J6 with a fitted model: SCORED rows of live flows, labels by source.  Windows restart with
+    each event window, in first-arrival order, and trusted sources' predictions are forced to 0
+    (P14); a row model's predictions stay as they are, as in the reference."""
+    flows = label_by_source(live_flows, attackers).withColumn("flow_key", F.col("first_seq"))
+    scored = scorer.scores(flows, "live", ["first_seq"], "flow_key", t, keep=("src_ip",), partition_by=[window_col], label="final")
+    return (whitelist_override(scored, whitelist) if scorer.windows else scored).drop("src_ip")
+
+
+def three_way_scorecard(scorer: Scorer, set_a: DataFrame, set_b: DataFrame, live_flows: DataFrame, attackers: list[str],
                         order: list[str], key: str, t: dict | float | None = None,
                         window_col: str = "window_start", whitelist=DEFAULT_WHITELIST) -> DataFrame:
-    """K10 + K11: the final sequence model on set A, set B and live traffic (flows per window,
-    sequences per window in first-arrival order, labels by source), one grouped scorecard,
-    pivoted to metric rows x dataset columns (A18).  Each dataset has its threshold
-    (``threshold_of``); trusted sources' live predictions are forced to 0 (P14)."""
-    from flowlens.operators.labels import label_by_source
-    from flowlens.operators.metrics import scorecard_pivot
-
-    a = score(model, prepare_sequences(fm, set_a, order, keep=[key]), "final", "A", key, t=threshold_of("final", "A", t))
-    b = score(model, prepare_sequences(fm, set_b, order, keep=[key]), "final", "B", key, t=threshold_of("final", "B", t))
-    flows = label_by_source(live_flows, attackers).withColumn("flow_key", F.col("first_seq"))
-    lv = prepare_sequences(fm, flows, ["first_seq"], keep=["flow_key", "src_ip"],
-                           partition_by=[window_col])
-    lv = score(model, lv, "final", "live", "flow_key", t=threshold_of("final", "live", t), keep=("src_ip",))
-    lv = whitelist_override(lv, whitelist).drop("src_ip")
-    card = scorecard(a.unionByName(b).unionByName(lv), ["model", "dataset"])
+    """K10 + K11: a final model of any family on set A, set B and live traffic, one grouped
+    scorecard, pivoted to metric rows x dataset columns (A18).  Each dataset has its threshold
+    (``threshold_of``)."""
+    sets = [scorer.scores(df, name, order, key, t, label="final") for name, df in (("A", set_a), ("B", set_b))]
+    sets.append(live_scores(scorer, live_flows, attackers, t, window_col, whitelist))
+    card = scorecard(functools.reduce(DataFrame.unionByName, sets), ["model", "dataset"])
     return scorecard_pivot(card, ["A", "B", "live"], ids=["model"])

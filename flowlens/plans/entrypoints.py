@@ -16,7 +16,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +24,8 @@ from flowlens.operators import labels as lb
 from flowlens.operators import models as md
 from flowlens.operators import profile as pf
 from flowlens.operators import sampling as sm
+from flowlens.operators.metrics import scorecard
+from flowlens.plans.materialize import materialize
 from flowlens.sources import connlog, sinks
 from flowlens.streaming import live
 
@@ -79,44 +80,48 @@ def train_and_select(spark: SparkSession, train_path: str, set_a_path: str, set_
     return card.withColumn("selected", F.col("model") == F.lit(winner)), fm, trained
 
 
-def load_winner(spark: SparkSession, model_dir: str) -> tuple[ft.FeatureModel, str, PipelineModel]:
+def load_winner(spark: SparkSession, model_dir: str) -> md.Scorer:
     """K7 / S9 in a later session: preprocessing, name and model of the saved winner."""
     name = spark.read.parquet(f"{model_dir}/winner").first()["model"]
-    return (ft.FeatureModel.load(spark, f"{model_dir}/preprocessing"), name,
-            md.load_model(f"{model_dir}/models/{name}"))
+    return md.Scorer(ft.FeatureModel.load(spark, f"{model_dir}/preprocessing"), name, md.load_model(f"{model_dir}/models/{name}"))
 
 
-def evaluate_model(spark: SparkSession, fm: ft.FeatureModel, model, set_a: str, set_b: str,
+def evaluate_model(spark: SparkSession, winner: md.Scorer, set_a: str, set_b: str,
                    live_flows: DataFrame | None = None, attackers: list[str] | None = None,
                    order: tuple = ("ts", "uid"), key: str = "uid",
                    t: dict | float | None = None) -> DataFrame:
-    """K10 + K11 (+ A18): the final sequence model on sets A and B (and live traffic)."""
+    """K10 + K11 (+ A18): a final model of any family on sets A and B (and live traffic)."""
     if live_flows is not None:
-        return md.three_way_scorecard(fm, model, _load(spark, set_a), _load(spark, set_b),
-                                      live_flows, attackers or [], list(order), key, t=t)
-    parts = [md.score(model, md.prepare_sequences(fm, _load(spark, p), list(order), keep=[key]),
-                      "final", name, key, t=md.threshold_of("final", name, t)) for name, p in (("A", set_a), ("B", set_b))]
-    from flowlens.operators.metrics import scorecard
+        return md.three_way_scorecard(winner, _load(spark, set_a), _load(spark, set_b), live_flows, attackers or [],
+                                      list(order), key, t=t)
+    parts = [winner.scores(_load(spark, p), name, list(order), key, t, label="final") for name, p in (("A", set_a), ("B", set_b))]
     return scorecard(parts[0].unionByName(parts[1]), ["model", "dataset"])
 
 
-def ablation_study(spark: SparkSession, train_path: str, test_path: str,
-                   order: tuple = ("ts", "uid"), key: str = "uid", t: float = md.SEQUENCE_T) -> DataFrame:
-    """K9: baseline, no numeric, no categorical, capacity limit, shuffled split."""
+def ablation_study(spark: SparkSession, train_path: str, test_path: str, order: tuple = ("ts", "uid"), key: str = "uid",
+                   t: float | None = None, family: str = "mlp_seq") -> DataFrame:
+    """K9 for a winner's family: baseline, no numeric, no categorical, capacity limit, shuffled split."""
     train, test = _load(spark, train_path), _load(spark, test_path)
     sh = sm.shuffled_split(train.unionByName(test))
     return md.ablation_report(ft.fit_features, train, test,
                               (sh.where(F.col("split") == "train").drop("split"),
                                sh.where(F.col("split") == "test").drop("split")),
-                              list(order), key, t=t)
+                              list(order), key, t=t, family=family)
 
 
-def live_detection(spark: SparkSession, packet_dir: str, out_dir: str,
-                   model_fn: Callable[[np.ndarray], np.ndarray], t: float,
-                   values: list[str], window: str = "1 second", watermark: str = "0 seconds",
+def live_detection(spark: SparkSession, packet_dir: str, out_dir: str, model: md.Scorer | Callable[[np.ndarray], np.ndarray],
+                   t: float | None = None, values: list[str] | None = None, window: str = "1 second", watermark: str = "0 seconds",
                    whitelist: list[str] | None = None, once: bool = False):
-    """S7 -> J1-J5, J7 -> S8: stream packet files to per-batch alert folders."""
-    return live.start_alert_stream(sinks.packet_stream(spark, packet_dir), out_dir, model_fn, t,
-                                   values, window, watermark,
-                                   whitelist=whitelist if whitelist is not None
-                                   else live.DEFAULT_WHITELIST, trigger_once=once)
+    """S7 -> J1-J5, J7 -> S8: stream packet files to per-batch alert folders, scored by a saved
+    winner of any family (default threshold: that of the candidate on live traffic) or by a
+    function over windows of the ``values`` columns."""
+    trusted = whitelist if whitelist is not None else live.DEFAULT_WHITELIST
+    packets = sinks.packet_stream(spark, packet_dir)
+    if isinstance(model, md.Scorer):
+        def alerts_of(flows: DataFrame, fix=materialize) -> DataFrame:
+            own = md.threshold_of(model.name, "live", t)
+            return live.fitted_live_alerts(flows, model.features, model.model, own, trusted, rows=not model.windows, fix=fix)
+
+        return live.start_alert_stream(packets, out_dir, window=window, watermark=watermark, alerts_of=alerts_of, trigger_once=once)
+    return live.start_alert_stream(packets, out_dir, model, 0.5 if t is None else t, values, window, watermark,
+                                   whitelist=trusted, trigger_once=once)

@@ -31,9 +31,15 @@ def test_train_save_load_evaluate_and_stream(spark, tmp_path):
     packets = views.packet_view(spark, SF).select([f.name for f in PACKET.fields])
     flows = live.live_flows(packets, "1 day")
     sequence = trained["mlp_seq"].model
-    evaluated = ep.evaluate_model(spark, fm2, sequence, paths["a"], paths["b"], flows, ["10.0.0.7"])
-    assert {"A", "B", "live"} <= set(evaluated.columns) and evaluated.count() > 0
-    report = ep.ablation_study(spark, paths["train"], paths["a"])
+    for winner in (ep.md.Scorer(fm2, "mlp_seq", sequence), ep.md.Scorer(fm2, "rf", trained["rf"].model)):
+        evaluated = ep.evaluate_model(spark, winner, paths["a"], paths["b"], flows, ["10.0.0.7"])
+        assert {"A", "B", "live"} <= set(evaluated.columns) and evaluated.count() > 0
+        both = ep.evaluate_model(spark, winner, paths["a"], paths["b"])
+        assert {(r["model"], r["dataset"]) for r in both.collect()} == {("final", "A"), ("final", "B")}
+        t = ep.md.TREE_T if winner.name == "rf" else ep.md.SEQUENCE_T
+        rows = {r["metric"]: r["A"] for r in evaluated.collect()}
+        assert rows["recall"] == both.where("dataset = 'A'").first()["recall"] and t in (0.5, 0.9)
+    report = ep.ablation_study(spark, paths["train"], paths["a"], family="rf")
     assert report.count() == 5
 
     by_rows = live.fitted_live_alerts(flows, fm2, trained["rf"].model, 0.5, rows=True)
@@ -52,3 +58,10 @@ def test_train_save_load_evaluate_and_stream(spark, tmp_path):
     want = by_windows.where(F.col("window_start") < F.lit(last))
     cols = ["first_seq", "pred", "status"]
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
+
+    # the saved winner, loaded by a later session, detects live whatever its family
+    loaded = ep.load_winner(later, f"{tmp_path}/model")
+    ep.live_detection(later, f"{tmp_path}/packets", f"{tmp_path}/found", loaded, window="1 day", once=True).awaitTermination(120)
+    t = ep.md.threshold_of(loaded.name, "live")
+    want = live.fitted_live_alerts(flows, fm2, loaded.model, t, rows=not loaded.windows).where(F.col("window_start") < F.lit(last))
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/found").select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
