@@ -98,8 +98,11 @@ def sample_labels(labels: DataFrame, label: str, keep: Column, max_rows: int, id
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
     """(doc_id, text, label) of the documents named in ``labels``, which has at most
-    ``max_rows`` rows: they are broadcast, so the texts of other documents never move.  The
-    result is spread over a bounded number of tasks and written to the shared folder."""
+    ``max_rows`` rows: they are broadcast, so the texts of other documents never move.  Of rows
+    that repeat an id one stays, that with the smallest digest of its text, so there are at
+    most ``max_rows``.  The result is spread over a bounded number of tasks and written to the
+    shared folder."""
     named = F.broadcast(labels.limit(max_rows))
-    rows = docs.join(named, "doc_id").select("doc_id", "text", "label")
+    one = F.min_by("text", F.sha2("text", 256)).alias("text")       # partial: a repeated id sends one row from each task
+    rows = docs.join(named, "doc_id").groupBy("doc_id", "label").agg(one).select("doc_id", "text", "label")
     return settle(rows.repartition(12, "doc_id"))

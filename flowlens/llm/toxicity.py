@@ -6,8 +6,10 @@ smallest by md5 of the id):
 
 1. each of a bounded number of tasks counts in how many toxic and other texts each bucket
    occurs;
-2. buckets whose chi-square against the label reaches ``CHI_SQUARE`` stay, scaled by
-   r = log of the ratio of their smoothed shares in the two classes;
+2. buckets whose chi-square against the label reaches a bound stay, scaled by r = log of the
+   ratio of their smoothed shares in the two classes; of the bounds in ``CHI_SQUARES`` the one
+   is taken whose model, learned from two thirds of the teaching rows, has the least log loss
+   on the other third;
 3. a logistic regression with an L2 penalty is fitted to the scaled features by L-BFGS, toxic
    rows weighted by the square root of the class ratio.
 
@@ -35,7 +37,7 @@ from flowlens.llm.base import id_crc, labelled_texts, map_rows, sample_labels, t
 SHORTEST, LONGEST = 3, 5
 BITS = 18
 MAX_TRAIN_ROWS = 16_384
-MIN_TEXTS, CHI_SQUARE = 3, 40.0
+MIN_TEXTS, CHI_SQUARES = 3, (6.0, 15.0, 40.0)
 SMOOTHING, L2 = 0.5, 1e-3
 THRESHOLD = 0.7
 PART = 1 << 20
@@ -155,35 +157,75 @@ def _bucket_counts(rows: DataFrame) -> tuple[np.ndarray, int, int]:
     return out, n0, n1
 
 
+@dataclass
+class Features:
+    """Chi-square and log-count ratio of every bucket over some teaching rows."""
+    n0: int
+    n1: int
+    chi: np.ndarray
+    ratio: np.ndarray
+
+    @classmethod
+    def of(cls, rows: DataFrame) -> Features:
+        counts, n0, n1 = _bucket_counts(rows)
+        q, p = counts.astype(float)
+        n = n0 + n1
+        with np.errstate(divide="ignore", invalid="ignore"):
+            chi = np.nan_to_num(n * (p * (n0 - q) - q * (n1 - p)) ** 2 / ((p + q) * (n - p - q) * n0 * n1), posinf=0)
+        chi[p + q < MIN_TEXTS] = -1
+        return cls(n0, n1, chi, np.log((p + SMOOTHING) / (n1 + 2 * SMOOTHING)) - np.log((q + SMOOTHING) / (n0 + 2 * SMOOTHING)))
+
+    @property
+    def usable(self) -> bool:
+        return bool(self.n0 and self.n1)
+
+    def kept(self, bound: float) -> np.ndarray:
+        return np.flatnonzero(self.chi >= bound)
+
+    def fit(self, found: list[np.ndarray], y: np.ndarray, bound: float) -> Model:
+        """Weights from rows of present buckets, of which those that reach ``bound`` are features."""
+        kept = self.kept(bound)
+        place = np.full(1 << BITS, -1)
+        place[kept] = np.arange(len(kept))
+        w, bias = fit_weights([x[x >= 0] for x in (place[f] for f in found)], y, self.ratio[kept])
+        weights = np.zeros(1 << BITS, np.float32)
+        weights[kept] = w
+        return Model(weights, bias)
+
+    def best_bound(self, found: list[np.ndarray], y: np.ndarray, aside: np.ndarray) -> float:
+        """The bound whose model of the other rows has the least log loss on the rows set ``aside``."""
+        losses = []
+        for bound in CHI_SQUARES:
+            model = self.fit([f for f, a in zip(found, aside) if not a], y[~aside], bound)
+            z = np.array([model.weights[f].sum() + model.bias for f, a in zip(found, aside) if a])
+            losses.append(float(np.mean(np.logaddexp(0, z) - y[aside] * z)))
+        return CHI_SQUARES[int(np.argmin(losses))]
+
+
 def fit(docs: DataFrame, labels: DataFrame, keep: Column, *, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
         max_rows: int = MAX_TRAIN_ROWS) -> Model:
     """Fit on the documents whose labels satisfy ``keep`` (a condition on the label's doc_id)."""
     chosen = sample_labels(labels, label, keep, max_rows, id_col)
     rows = labelled_texts(texts(docs, id_col, text_col), chosen, max_rows)
-    counts, n0, n1 = _bucket_counts(rows)
-    if not n0 or not n1:
-        share = (n1 + 1) / (n0 + n1 + 2)
+    whole, part = Features.of(rows), Features.of(rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(3)) != 0))
+    if not whole.usable:
+        share = (whole.n1 + 1) / (whole.n0 + whole.n1 + 2)
         return Model(np.zeros(1 << BITS, np.float32), float(np.log(share / (1 - share))))
-    q, p = counts.astype(float)
-    n = n0 + n1
-    with np.errstate(divide="ignore", invalid="ignore"):
-        chi = np.nan_to_num(n * (p * (n0 - q) - q * (n1 - p)) ** 2 / ((p + q) * (n - p - q) * n0 * n1))
-    kept = np.flatnonzero((chi >= CHI_SQUARE) & (p + q >= MIN_TEXTS))
+    any_kept = np.union1d(whole.kept(min(CHI_SQUARES)), part.kept(min(CHI_SQUARES)) if part.usable else [])
     place = np.full(1 << BITS, -1)
-    place[kept] = np.arange(len(kept))
-    ratio = np.log((p[kept] + SMOOTHING) / (n1 + 2 * SMOOTHING)) - np.log((q[kept] + SMOOTHING) / (n0 + 2 * SMOOTHING))
+    place[any_kept] = np.arange(len(any_kept))
 
     def make():
         wanted = place >= 0
-        return lambda part: [[place[present(t, wanted)].astype("<i4").tobytes() for t in part]]
-
-    reduced = map_rows(rows.select(F.struct("doc_id", "label").alias("doc_id"), "text"), "found binary", make)
-    found = sorted((r["doc_id"]["doc_id"], r["doc_id"]["label"], r["found"]) for r in reduced.collect())
-    w, bias = fit_weights([np.frombuffer(f, "<i4").astype(np.int64) for _, _, f in found],
-                          np.array([int(x > 0) for _, x, _ in found]), ratio)
-    weights = np.zeros(1 << BITS, np.float32)
-    weights[kept] = w
-    return Model(weights, bias)
+        return lambda own: [[place[present(t, wanted)].astype("<i4").tobytes() for t in own]]
+
+    keyed = rows.select(F.struct("doc_id", "label", (F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0).alias("aside")).alias("doc_id"), "text")
+    reduced = sorted((r["doc_id"]["doc_id"], r["doc_id"]["label"], r["doc_id"]["aside"], r["found"])
+                     for r in map_rows(keyed, "found binary", make).collect())      # at most max_rows
+    found = [any_kept[np.frombuffer(f, "<i4")] for _, _, _, f in reduced]
+    y, aside = np.array([int(x > 0) for _, x, _, _ in reduced]), np.array([x for _, _, x, _ in reduced])
+    bound = part.best_bound(found, y, aside) if part.usable and aside.any() else CHI_SQUARES[len(CHI_SQUARES) // 2]
+    return whole.fit(found, y, bound)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

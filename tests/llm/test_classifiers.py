@@ -144,3 +144,59 @@ def test_held_out_accuracy(spark):
 def test_query_scores_every_document(spark):
     n = spark.read.parquet(f"{SF}/documents.parquet").count()
     assert queries.op1_toxicity(spark, SF).count() == queries.op6_quality(spark, SF).count() == n
+
+
+def plain_buckets(text):
+    """Buckets of the 3- to 5-grams of a padded, lower-cased text, one n-gram at a time."""
+    s, out = f" {text.lower()} ", set()
+    for n in (3, 4, 5):
+        for i in range(len(s) - n + 1):
+            h = ord(s[i])
+            for c in s[i + 1:i + n]:
+                h = (h * 0x01000193 + ord(c)) % 2**32
+            out.add(((h * 0x9E3779B1 + n) * 0x85EBCA6B % 2**32) >> (32 - 18))
+    return out
+
+
+def test_toxicity_equals_a_plain_version(spark, words, monkeypatch):
+    """Buckets, chi-square, log-count ratios, the optimum of the weights and the scores of a query."""
+    monkeypatch.setattr(toxicity, "CHI_SQUARES", (8.0,))
+    rows, labels = corpus(words, 150)
+    rows = [(i, t[:200] if i % 6 else t[:400]) for i, t in rows] + [(1000, None), (1001, ""), (1002, "ab")]
+    docs = make_docs(spark, rows)
+    known = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    model = toxicity.fit(docs, known, ~toxicity.held_out())
+    found = {i: plain_buckets(t or "") for i, t in rows}
+    teach = [(found[i], y) for i, _, y in labels if zlib.crc32(str(i).encode()) % 3 != 1]
+    n1, n0 = sum(y for _, y in teach), sum(1 - y for _, y in teach)
+    ratio = {}
+    for b in set().union(*(f for f, _ in teach)):
+        p, q = sum(b in f for f, y in teach if y), sum(b in f for f, y in teach if not y)
+        n, rest = n0 + n1, n0 + n1 - p - q
+        if p + q >= 3 and rest and n * (p * (n0 - q) - q * (n1 - p)) ** 2 / ((p + q) * rest * n0 * n1) >= 8:
+            ratio[b] = np.log((p + 0.5) / (n1 + 1)) - np.log((q + 0.5) / (n0 + 1))
+    assert ratio and set(np.flatnonzero(model.weights)) <= set(ratio)
+    w = {b: model.weights[b] / r for b, r in ratio.items()}
+    weight = [np.sqrt(n0 / n1) if y else 1.0 for _, y in teach]
+    pull = [k / sum(weight) * (1 / (1 + np.exp(-sum(w[b] * ratio[b] for b in f & w.keys()) - model.bias)) - y) for k, (f, y) in zip(weight, teach)]
+    gradient = [sum(g * ratio[b] for g, (f, _) in zip(pull, teach) if b in f) + 1e-3 * w[b] for b in w] + [sum(pull)]
+    assert np.abs(gradient).max() < 2e-3
+    scored = {r["doc_id"]: r for r in toxicity.score_documents(docs, known).collect()}
+    for i, f in found.items():
+        z = sum(float(model.weights[b]) for b in f if b in ratio) + model.bias
+        assert abs(scored[i]["score"] - 1 / (1 + np.exp(-z))) < 1e-5
+        assert scored[i]["predicted"] == (scored[i]["score"] >= 0.7)
+
+
+def test_repeated_ids_do_not_break_the_bound_on_teaching_rows(spark, labelled):
+    """100,000 rows of one labelled id under a bound of 10: at most 10 teaching rows, one for the id."""
+    docs, labels = labelled
+    many = spark.range(100_000).select(F.lit(2).cast("bigint").alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 7).alias("text"))
+    rows = toxicity.texts(many.unionByName(docs.select("doc_id", "text")), "doc_id", "text")
+    chosen = toxicity.sample_labels(labels, "toxic", F.col("doc_id") < 12, 10)
+    got = toxicity.labelled_texts(rows, chosen, 10).collect()
+    assert len(got) == 10 and len({r["doc_id"] for r in got}) == 10
+    assert toxicity.labelled_texts(rows, toxicity.sample_labels(labels, "toxic", F.col("doc_id") == 2, 10), 10).count() == 1
+    null = spark.createDataFrame([(1, None), (1, None)], "doc_id bigint, text string")
+    only = toxicity.labelled_texts(null, toxicity.sample_labels(labels, "toxic", F.col("doc_id") == 1, 10), 10).collect()
+    assert len(only) == 1 and only[0]["text"] is None
