@@ -13,7 +13,7 @@ bound is below its k-th best score so far; scores inside a stratum are exact: th
 impacts (terms x documents) times the counts of the terms in the queries.
 
 Jobs: one pass counts documents and terms (both fix m); one pass turns each input split into
-strata, written as Parquet, with no shuffle; for each block of queries (at most ``BLOCK_ITEMS``
+strata, written as Parquet (a row holds the strata of some documents, compressed), with no shuffle; for each block of queries (at most ``BLOCK_ITEMS``
 queries and about ``BLOCK_TERMS`` terms, which bounds what tasks are sent) one pass over the
 index's term lists sums document frequencies and one searches.  A task emits k rows for a query
 at most.  Blocks come one after another from an iterator over the queries.
@@ -47,8 +47,7 @@ STRATUM_DOCS = 512
 CHUNK_POSTINGS = 1 << 19
 READ_POSTINGS = 1 << 18
 BLOCK_ITEMS, BLOCK_TERMS = 256, 1 << 14
-INDEX_DDL = ("m bigint, doc_ids array<bigint>, terms array<binary>, groups array<int>, tfs array<int>, "
-             "sizes array<int>, members array<int>")
+INDEX_DDL = "strata int, packed binary"
 
 #: Bytes of a term stay (A-Z lower-cased), all others become a space.
 _TERM_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20
@@ -68,6 +67,22 @@ def weight(df: int, documents: int) -> int:
     return math.floor(1000 * math.log((2 * documents + 2) / (2 * df + 1)))
 
 
+def packed(strata: pa.RecordBatch) -> bytes:
+    """Strata as one compressed value: (m, doc_ids, terms, groups, tfs, sizes, members) each, where a
+    term has some tf groups, and a group some members, which are places in doc_ids."""
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, strata.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(strata)
+    return out.getvalue().to_pybytes()
+
+
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The strata of index rows, in parts that bound a task's arrays."""
+    for batch in batches:
+        for value in batch.column("packed"):
+            yield from _parts(pa.ipc.open_stream(value.as_buffer()).read_next_batch())
+
+
 @dataclass
 class Index:
     """A written index: its folder, the number of documents with a term, and of their terms."""
@@ -160,6 +175,10 @@ def build_index(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
     """Write the index of all rows to ``path``.  A task holds about ``chunk`` postings at a time."""
     documents, terms = corpus_size(docs, text_col)
 
+    def row(strata: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([strata.num_rows], pa.int32()), pa.array([packed(strata)], pa.binary())],
+                                          names=["strata", "packed"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _Chunk()
         for batch in batches:
@@ -168,10 +187,10 @@ def build_index(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
                 if found:
                     own.add(doc_id.as_py(), normaliser(len(found), documents, terms), Counter(found))
                 if len(own.term) >= chunk:
-                    yield own.strata()
+                    yield row(own.strata())
                     own = _Chunk()
         if own.ids:
-            yield own.strata()
+            yield row(own.strata())
 
     _bytes(docs, id_col, text_col).mapInArrow(run, INDEX_DDL).write.parquet(path)
     return Index(path, documents, terms)
@@ -211,15 +230,15 @@ def document_frequencies(index: DataFrame, terms: list[bytes]) -> np.ndarray:
     """In how many documents each of some terms occurs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, total = pa.array(terms, pa.binary()), np.zeros(len(terms), np.int64)
-        for batch in batches:
-            query, _, groups, sizes = _found(batch, wanted)
+        for part in unpacked(batches):
+            query, _, groups, sizes = _found(part, wanted)
             if len(query):
                 df = np.add.reduceat(sizes, np.cumsum(groups) - groups)
                 np.add.at(total, query[query >= 0], df[query >= 0])
         own = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"term": pa.array(own, pa.int32()), "df": pa.array(total[own], pa.int64())})
 
-    counted = index.select("terms", "groups", "sizes").mapInArrow(run, "term int, df bigint")
+    counted = index.select("packed").mapInArrow(run, "term int, df bigint")
     out = np.zeros(len(terms), np.int64)
     for r in counted.groupBy("term").agg(F.sum("df").alias("df")).collect():
         out[r["term"]] = r["df"]
@@ -268,10 +287,9 @@ def _searcher(block: _Block, weights: np.ndarray, k: int) -> Callable:
             for t, n in c.items():
                 table[place[t], i] = n
         best = _Best(len(counts), k)
-        for batch in batches:
-            for part in _parts(batch):
-                for stratum in _strata(part, wanted, weights, table):
-                    _visit(stratum, table, best)
+        for part in unpacked(batches):
+            for stratum in _strata(part, wanted, weights, table):
+                _visit(stratum, table, best)
         item, score, doc_id, no_id = best.prune()
         yield pa.RecordBatch.from_arrays([pa.array(item, pa.int32()), pa.array(doc_id, pa.int64(), mask=no_id),
                                           pa.array(score, pa.int64())], names=["item", "doc_id", "score"])
@@ -346,7 +364,7 @@ def search(index: Index, items: DataFrame, k: int = TOP, id_col: str = "item_id"
         strata = index.read(spark)
         df = document_frequencies(strata, list(block.terms))
         weights = np.array([weight(int(x), index.documents) for x in df], np.int64)
-        hits = strata.mapInArrow(_searcher(block, weights, k), "item int, doc_id bigint, score bigint")
+        hits = strata.select("packed").mapInArrow(_searcher(block, weights, k), "item int, doc_id bigint, score bigint")
         order = Window.partitionBy("item").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
         best = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
         names = spark.createDataFrame(list(enumerate(block.ids)), T.StructType([T.StructField("item", T.IntegerType()), out["item_id"]]))

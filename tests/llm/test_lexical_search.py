@@ -70,7 +70,7 @@ def test_strata_hold_every_posting_once(spark, edge_docs, edge_rows):
     index = ls.build_index(edge_docs, scratch(spark, "index"))
     texts = [plain_terms(t) for _, t in edge_rows]
     assert (index.documents, index.terms) == (sum(map(bool, texts)), sum(map(len, texts)))
-    strata = index.read(spark).collect()
+    strata = [s for part in ls.unpacked(index.read(spark).toArrow().to_batches()) for s in part.to_pylist()]
     assert sum(len(s["members"]) for s in strata) == sum(len(set(t)) for t in texts)
     assert sum(len(s["doc_ids"]) for s in strata) == index.documents
     for s in strata:
