@@ -37,7 +37,7 @@ from flowlens.llm.base import id_crc, labelled_texts, map_rows, sample_labels, t
 SHORTEST, LONGEST = 3, 5
 BITS = 18
 MAX_TRAIN_ROWS = 16_384
-MIN_TEXTS, CHI_SQUARES = 3, (6.0, 15.0, 40.0)
+MIN_TEXTS, CHI_SQUARES = 3, (15.0, 25.0, 40.0)
 SMOOTHING, L2 = 0.5, 1e-3
 THRESHOLD = 0.7
 PART = 1 << 20
@@ -118,8 +118,8 @@ def minimise(f: Callable, x: np.ndarray, rounds: int = 200, memory: int = 8, tol
 
 def fit_weights(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, float]:
     """Logistic regression on features present[j] * ratio[j]; weights are those of presence."""
-    n, flat = len(y), np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    row = np.repeat(np.arange(n), [len(x) for x in rows])
+    n, flat = len(y), np.concatenate(rows) if rows else np.zeros(0, np.int32)
+    row = np.repeat(np.arange(n, dtype=np.int32), [len(x) for x in rows])
     weight = np.where(y == 1, np.sqrt((y == 0).sum() / (y == 1).sum()), 1.0)
     weight /= weight.sum()
 
@@ -185,7 +185,7 @@ class Features:
     def fit(self, found: list[np.ndarray], y: np.ndarray, bound: float) -> Model:
         """Weights from rows of present buckets, of which those that reach ``bound`` are features."""
         kept = self.kept(bound)
-        place = np.full(1 << BITS, -1)
+        place = np.full(1 << BITS, -1, np.int32)
         place[kept] = np.arange(len(kept))
         w, bias = fit_weights([x[x >= 0] for x in (place[f] for f in found)], y, self.ratio[kept])
         weights = np.zeros(1 << BITS, np.float32)
@@ -211,8 +211,8 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, *, label: str = "toxic
     if not whole.usable:
         share = (whole.n1 + 1) / (whole.n0 + whole.n1 + 2)
         return Model(np.zeros(1 << BITS, np.float32), float(np.log(share / (1 - share))))
-    any_kept = np.union1d(whole.kept(min(CHI_SQUARES)), part.kept(min(CHI_SQUARES)) if part.usable else [])
-    place = np.full(1 << BITS, -1)
+    any_kept = np.union1d(whole.kept(min(CHI_SQUARES)), part.kept(min(CHI_SQUARES)) if part.usable else []).astype(np.int32)
+    place = np.full(1 << BITS, -1, np.int32)
     place[any_kept] = np.arange(len(any_kept))
 
     def make():
@@ -224,6 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, *, label: str = "toxic
                      for r in map_rows(keyed, "found binary", make).collect())      # at most max_rows
     found = [any_kept[np.frombuffer(f, "<i4")] for _, _, _, f in reduced]
     y, aside = np.array([int(x > 0) for _, x, _, _ in reduced]), np.array([x for _, _, x, _ in reduced])
+    del reduced
     bound = part.best_bound(found, y, aside) if part.usable and aside.any() else CHI_SQUARES[len(CHI_SQUARES) // 2]
     return whole.fit(found, y, bound)
 
