@@ -14,7 +14,7 @@ whitelist_override alert_record threshold_decision score_pair confusion_matrix s
 scorecard_error_rates roc_auc pr_auc pr_curve_points scorecard_full model_select metric_delta
 scorecard_pivot udf_scores turn_flow_history turn_flow_aggregate""".split()
 ROWS_ONLY = {"batch_scores", "candidate_gbt", "candidate_rf", "candidate_mlp_seq",
-             "candidate_scorecards", "ablation_report", "three_way_scorecard"}
+             "candidate_scorecards", "ablation_report", "ablation_report_tree", "three_way_scorecard"}
 
 
 def test_registry_covers_survey():
