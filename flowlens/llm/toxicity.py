@@ -123,12 +123,18 @@ def fit_weights(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray) -> tup
     weight = np.where(y == 1, np.sqrt((y == 0).sum() / (y == 1).sum()), 1.0)
     weight /= weight.sum()
 
+    def sums(at, of, values, size):
+        out = np.zeros(size)
+        for i in range(0, len(flat), PART):
+            out += np.bincount(at[i:i + PART], weights=values[of[i:i + PART]], minlength=size)
+        return out
+
     def f(v):
         w, b = v[:-1], v[-1]
-        z = np.bincount(row, weights=(ratio * w)[flat], minlength=n) + b
+        z = sums(row, flat, ratio * w, n) + b
         g = weight * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y)
         value = weight @ (np.logaddexp(0, z) - y * z) + L2 / 2 * (w @ w)
-        return value, np.r_[np.bincount(flat, weights=g[row], minlength=len(ratio)) * ratio + L2 * w, g.sum()]
+        return value, np.r_[sums(flat, row, g, len(ratio)) * ratio + L2 * w, g.sum()]
 
     v = minimise(f, np.r_[np.zeros(len(ratio)), np.log((y == 1).sum() / (y == 0).sum())])
     return ratio * v[:-1], float(v[-1])
