@@ -42,11 +42,15 @@ def event_time_of(df: DataFrame, c: str = "ts") -> Column:
     return F.timestamp_seconds(F.col(c))
 
 
+def in_a_flow() -> Column:
+    """P7 as a condition: an IP packet (both addresses present) of tcp, udp or icmp."""
+    proto = F.lower(F.trim(F.col("proto")))
+    return proto.isin(*PACKET_PROTOCOLS) & F.col("src_ip").isNotNull() & F.col("dst_ip").isNotNull()
+
+
 def filter_packets(packets: DataFrame) -> DataFrame:
     """Keep IP packets (both addresses present) of tcp, udp or icmp."""
-    proto = F.lower(F.trim(F.col("proto")))
-    return packets.where(proto.isin(*PACKET_PROTOCOLS)
-                         & F.col("src_ip").isNotNull() & F.col("dst_ip").isNotNull())
+    return packets.where(in_a_flow())
 
 
 def normalize_packets(packets: DataFrame) -> DataFrame:

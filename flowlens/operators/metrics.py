@@ -132,6 +132,32 @@ def scorecard(scored: DataFrame, groups: list[str], y: str = "y", score: str = "
     return join_null_safe(cm, areas, groups) if groups else attach_row(cm, areas)
 
 
+def tally(scored: DataFrame, groups: list[str], y: str = "y", score: str = "score", pred: str = "pred") -> DataFrame:
+    """Rows per (group, truth, score, decision): what a scorecard needs of them.  Tallies of parts
+    add up (``merge_tallies``), so a scorecard can be kept while rows arrive."""
+    return scored.groupBy(*groups, (F.col(y) == 1).alias("y"), F.col(score).alias("score"),
+                          (F.col(pred) == 1).alias("pred")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def merge_tallies(parts: DataFrame, groups: list[str]) -> DataFrame:
+    return parts.groupBy(*groups, "y", "score", "pred").agg(F.sum("n").alias("n"))
+
+
+def scorecard_of_tally(t: DataFrame, groups: list[str]) -> DataFrame:
+    """A10 from a tally: equal to ``scorecard`` of the rows tallied."""
+    yy, pp = F.col("y"), F.col("pred")
+
+    def total(hit: Column) -> Column:
+        return F.sum(F.when(hit, F.col("n")).otherwise(F.lit(0)))
+
+    cm = t.groupBy(*groups).agg(total(yy & pp).alias("tp"), total(~yy & pp).alias("fp"),
+                                total(~yy & ~pp).alias("tn"), total(yy & ~pp).alias("fn"))
+    per = materialize(t.groupBy(*groups, "score").agg(total(yy).alias("pos"), total(~yy).alias("neg")))
+    areas = curve_areas(curve_points(t, groups, per=per), groups)
+    cm = error_rates(basic_rates(cm))
+    return join_null_safe(cm, areas, groups) if groups else attach_row(cm, areas)
+
+
 def select_model(card: DataFrame, by: list[str] | None = None, metric: str = "f1",
                  model: str = "model", order: list[str] | None = None) -> DataFrame:
     """The best model per ``by`` group on ``metric``, strict ``>`` so the earlier model in

@@ -111,10 +111,11 @@ def ablation_study(spark: SparkSession, train_path: str, test_path: str, order:
 
 def live_detection(spark: SparkSession, packet_dir: str, out_dir: str, model: md.Scorer | Callable[[np.ndarray], np.ndarray],
                    t: float | None = None, values: list[str] | None = None, window: str = "1 second", watermark: str = "0 seconds",
-                   whitelist: list[str] | None = None, once: bool = False):
+                   whitelist: list[str] | None = None, once: bool = False, attackers=None):
     """S7 -> J1-J5, J7 -> S8: stream packet files to per-batch alert folders, scored by a saved
     winner of any family (default threshold: that of the candidate on live traffic) or by a
-    function over windows of the ``values`` columns."""
+    function over windows of the ``values`` columns.  With ``attackers`` the alerts are evaluated as
+    they come: ``streaming.live.running_scorecard(spark, out_dir)``."""
     trusted = whitelist if whitelist is not None else live.DEFAULT_WHITELIST
     packets = sinks.packet_stream(spark, packet_dir)
     if isinstance(model, md.Scorer):
@@ -122,6 +123,7 @@ def live_detection(spark: SparkSession, packet_dir: str, out_dir: str, model: md
             own = md.threshold_of(model.name, "live", t)
             return live.fitted_live_alerts(flows, model.features, model.model, own, trusted, rows=not model.windows, fix=fix)
 
-        return live.start_alert_stream(packets, out_dir, window=window, watermark=watermark, alerts_of=alerts_of, trigger_once=once)
+        return live.start_alert_stream(packets, out_dir, window=window, watermark=watermark, alerts_of=alerts_of, trigger_once=once,
+                                       attackers=attackers)
     return live.start_alert_stream(packets, out_dir, model, 0.5 if t is None else t, values, window, watermark,
-                                   whitelist=trusted, trigger_once=once)
+                                   whitelist=trusted, trigger_once=once, attackers=attackers)

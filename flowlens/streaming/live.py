@@ -13,6 +13,8 @@ Stream plan (append mode):
               -> batch twin: 5-flow sequences per window    window in one micro-batch)
                  -> score (mapInArrow) -> decisions
               -> parquet folder of the batch id, overwritten on replay (idempotent sink)
+              -> with ``attackers``: totals of truth, score and decision over all batches so
+                 far, from which ``running_scorecard`` gives the scorecard at any time
 No window's flows are ever gathered into one row or one task.
 """
 
@@ -23,15 +25,16 @@ import inspect
 from collections.abc import Callable
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.operators.decisions import alert_record, decide, positive_score, whitelist_override
 from flowlens.operators.features import FeatureModel
-from flowlens.operators.flows import (aggregate_flows, event_time_of, filter_packets,
+from flowlens.operators.flows import (aggregate_flows, event_time_of, filter_packets, in_a_flow,
                                       normalize_packets, with_flow_key)
-from flowlens.operators.metrics import scorecard
+from flowlens.operators.metrics import attach_row, merge_tallies, scorecard, scorecard_of_tally, tally
 from flowlens.operators.labels import label_by_source
 from flowlens.operators.sequences import Fix, score_sequences, sequence_windows, warmup_fill
 from flowlens.plans.materialize import materialize
@@ -102,8 +105,11 @@ def window_throughput(packets: DataFrame, window: str = "1 second") -> DataFrame
 
 def live_scorecard(alerts: DataFrame, attackers=DEFAULT_ATTACKERS) -> DataFrame:
     """Ground truth by source (P15), accumulated predictions, one scorecard (A10)."""
-    labelled = label_by_source(alerts, attackers).withColumn("dataset", F.lit("live"))
-    return scorecard(labelled, ["dataset"], y="y", score="score", pred="pred")
+    return scorecard(_with_truth(alerts, attackers), ["dataset"], y="y", score="score", pred="pred")
+
+
+def _with_truth(alerts: DataFrame, attackers) -> DataFrame:
+    return label_by_source(alerts, attackers).withColumn("dataset", F.lit("live"))
 
 
 def _seconds(window: str) -> float:
@@ -124,11 +130,62 @@ def stream_flows(packets: DataFrame, window: str = "1 second",
     return aggregate_flows(p, window=window, keep_window=True)
 
 
-def alert_batch_writer(out_path: str, alerts_of: Callable[[DataFrame], DataFrame]):
+def stream_throughput(packets: DataFrame, window: str = "1 second", watermark: str = "0 seconds") -> DataFrame:
+    """A17 on a stream: the rows of ``window_throughput`` for each window the watermark has
+    passed.  Packets are counted per flow key (none for a packet outside every flow), then per
+    window; state holds one row per flow of an open window."""
+    p = packets.withColumn("event_time", event_time_of(packets, "ts")).withWatermark("event_time", watermark)
+    keyed = with_flow_key(normalize_packets(p.withColumn("_kept", in_a_flow())))
+    flows = keyed.groupBy(F.window("event_time", window), F.when(F.col("_kept"), F.col("lo")).alias("lo"),
+                          F.when(F.col("_kept"), F.col("hi")).alias("hi")).agg(F.count(F.lit(1)).alias("packets"))
+    return (flows.groupBy("window").agg(F.sum("packets").alias("packets"), F.count("lo").alias("flows"))
+            .select(F.col("window.start").alias("window_start"), "packets", "flows",
+                    (F.col("packets") / F.lit(float(_seconds(window)))).alias("pkts_per_s")))
+
+
+TALLY = "dataset string, y boolean, score double, pred boolean, n bigint, through bigint"
+
+
+def _totals_path(out_path: str, batch_id: int) -> str:
+    return f"{out_path.rstrip('/')}/_totals/slot={batch_id % 2}"
+
+
+def _totals(spark: SparkSession, path: str) -> DataFrame:
+    """Totals saved at ``path``, none where nothing has been saved."""
+    try:
+        return spark.read.schema(TALLY).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], TALLY)
+
+
+def add_to_totals(out_path: str, batch_id: int, alerts: DataFrame | None, spark: SparkSession, attackers=DEFAULT_ATTACKERS) -> None:
+    """Totals through ``batch_id``: those through the batch before plus this batch's alerts.
+    Two slots take turns, so the slot read is never the one written: a batch that is run again
+    counts once.  Batches before evaluation began, or before a break in it, are not counted."""
+    parts = _totals(spark, _totals_path(out_path, batch_id - 1)).where(F.col("through") == batch_id - 1).drop("through")
+    if alerts is not None:
+        parts = parts.unionByName(tally(_with_truth(alerts, attackers), ["dataset"]))
+    (merge_tallies(parts, ["dataset"]).withColumn("through", F.lit(batch_id).cast("bigint"))
+     .write.mode("overwrite").parquet(_totals_path(out_path, batch_id)))
+
+
+def running_scorecard(spark: SparkSession, out_path: str) -> DataFrame:
+    """J6 while the stream runs: the scorecard of all alerts through the last finished batch, equal
+    to ``live_scorecard`` of the alerts written.  Reads the totals, not the alerts; no row before
+    the first alert."""
+    both = _totals(spark, _totals_path(out_path, 0)).unionByName(_totals(spark, _totals_path(out_path, 1)))
+    last = attach_row(both, both.agg(F.max("through").alias("_last"))).where(F.col("through") == F.col("_last"))
+    return scorecard_of_tally(last.drop("through", "_last"), ["dataset"])
+
+
+def alert_batch_writer(out_path: str, alerts_of: Callable[[DataFrame], DataFrame], attackers=None):
     """``foreachBatch`` handler: the flows of the windows closed in this micro-batch (append
     mode emits every flow of a window in the same batch) go through the exact batch twin
     (J3/J4, no per-window collect) and are written to the batch's own folder with overwrite, so a
-    replayed batch id replaces its output instead of duplicating.
+    replayed batch id replaces its output instead of duplicating.  With ``attackers`` the alerts
+    written are added to the totals of ``running_scorecard``.
 
     Flows, and their ordered form, are held in executor memory for the batch: no checkpoint is
     written.  Their lineage stays, so blocks of a lost executor are made again."""
@@ -139,13 +196,18 @@ def alert_batch_writer(out_path: str, alerts_of: Callable[[DataFrame], DataFrame
             held.append(df.persist())
             return held[-1]
 
+        batch_id, spark = int(batch_id), flows.sparkSession
         flows = hold(flows.drop("window"))       # else each action runs the aggregation again
         try:
             if flows.isEmpty():
+                if attackers is not None:
+                    add_to_totals(out_path, batch_id, None, spark, attackers)
                 return
             fixed = {"fix": hold} if "fix" in inspect.signature(alerts_of).parameters else {}
-            (alerts_of(flows, **fixed).withColumn("batch_id", F.lit(int(batch_id)))
-             .write.mode("overwrite").parquet(f"{out_path}/batch_id={int(batch_id)}"))
+            (alerts_of(flows, **fixed).withColumn("batch_id", F.lit(batch_id))
+             .write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}"))
+            if attackers is not None:
+                add_to_totals(out_path, batch_id, spark.read.parquet(f"{out_path}/batch_id={batch_id}"), spark, attackers)
         finally:
             for df in held:
                 df.unpersist()
@@ -158,17 +220,20 @@ def start_alert_stream(packets: DataFrame, out_path: str,
                        watermark: str = "0 seconds", whitelist=DEFAULT_WHITELIST,
                        length: int = SEQ_LEN, checkpoint: str | None = None,
                        trigger_once: bool = False,
-                       alerts_of: Callable[[DataFrame], DataFrame] | None = None):
+                       alerts_of: Callable[[DataFrame], DataFrame] | None = None,
+                       attackers=None):
     """J1-J5/J7 + S8 on a stream: stateful flow aggregation per event-time window (state is
     dropped once the watermark passes), then each micro-batch of closed windows is scored and
     decided by ``alert_batch_writer``: by ``model_fn`` over the ``values`` columns, or by
     ``alerts_of`` (flows -> alerts), e.g. ``fitted_live_alerts`` with a saved model.  The checkpoint lives beside the output unless given,
-    so streams to different outputs never share one and a later session finds it again."""
+    so streams to different outputs never share one and a later session finds it again.
+    ``attackers`` (a list or a table of addresses) turns accumulated evaluation on, see
+    ``running_scorecard``."""
     checkpoint = checkpoint or f"{out_path.rstrip('/')}/_checkpoint"
     w = (stream_flows(packets, window, watermark).writeStream.outputMode("append")
          .option("checkpointLocation", checkpoint)
          .foreachBatch(alert_batch_writer(out_path, alerts_of or functools.partial(
-             live_alerts, model_fn=model_fn, t=t, values=values, whitelist=whitelist, length=length))))
+             live_alerts, model_fn=model_fn, t=t, values=values, whitelist=whitelist, length=length), attackers)))
     if trigger_once:
         w = w.trigger(availableNow=True)
     return w.start()

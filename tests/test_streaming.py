@@ -98,3 +98,48 @@ def test_state_of_a_flow_is_ten_letters_whatever_it_sends(spark, tmp_path):
     batch = live.live_flows(spark.read.parquet(src), "1 second").where(F.col("window_start") < F.timestamp_seconds(F.lit(102)))
     assert got == {tuple(r) for r in batch.select("first_seq", "history", "orig_pkts", "resp_pkts").collect()} and len(got) == 2
     assert all(len(r[1]) == 10 for r in got)
+
+
+def test_streamed_throughput_equals_batch_minus_open_window(spark, tmp_path):
+    src = str(tmp_path / "pk")
+    odd = [(900, 100.2, "10.0.0.1", "10.0.1.1", "arp", 0, 0, 0, 60), (901, 100.3, None, "10.0.1.1", "tcp", 1, 2, 0, 60),
+           (902, 101.5, "10.0.0.1", "10.0.1.1", None, 0, 0, 0, 60), (903, 103.5, "10.0.0.1", "10.0.1.1", "arp", 0, 0, 0, 60)]
+    _write(spark, _rows(100, 0) + _rows(101, 100) + _rows(102, 200) + odd + _rows(104, 300), src)
+    q = (live.stream_throughput(sinks.packet_stream(spark, src)).writeStream.format("memory").queryName("throughput_s")
+         .outputMode("append").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    batch = live.window_throughput(spark.read.parquet(src)).where(F.col("window_start") < F.timestamp_seconds(F.lit(104)))
+    cols = ["window_start", "packets", "flows", "pkts_per_s"]
+    got = sorted(tuple(r) for r in spark.table("throughput_s").select(cols).collect())
+    assert got == sorted(tuple(r) for r in batch.select(cols).collect())
+    assert [r[1:3] for r in got] == [(16, 7), (15, 7), (14, 7), (1, 0)]
+
+
+def test_running_scorecard_equals_that_of_the_alerts_written(spark, tmp_path):
+    src, out, bad = str(tmp_path / "pk"), str(tmp_path / "alerts"), ["10.0.0.2", "10.0.0.5"]
+    model = sq.logistic_model([0.4, -0.3], -0.2)
+    assert live.running_scorecard(spark, out).count() == 0
+    for k, second in enumerate((100, 102, 104)):
+        _write(spark, _rows(second, 200 * k) + _rows(second + 1, 200 * k + 100), src)
+        live.start_alert_stream(sinks.packet_stream(spark, src), out, model, 0.5, ["orig_pkts", "resp_pkts"], trigger_once=True,
+                                whitelist=["10.0.0.3"], attackers=bad).awaitTermination()
+        written = spark.read.parquet(out)
+        want = live.live_scorecard(written, bad).collect()
+        card = live.running_scorecard(spark, out)
+        assert [r.asDict() for r in card.collect()] == [r.asDict() for r in want]
+        assert sum(want[0][c] for c in ("tp", "fp", "tn", "fn")) == written.count() == 14 * k + 7
+    assert len(os.listdir(f"{out}/_totals")) == 2
+
+
+def test_a_batch_run_again_counts_once(spark, tmp_path):
+    out, bad = str(tmp_path / "alerts"), ["10.0.0.2"]
+
+    def alerts(flows):
+        return flows.select("src_ip", F.lit(0.5).alias("score"), F.lit(1).alias("pred"))
+
+    write = live.alert_batch_writer(out, alerts, bad)
+    one = spark.createDataFrame([("10.0.0.2", 1), ("10.0.0.3", 1)], "src_ip string, window int")
+    for batch in (0, 0, 1, 1, 2):
+        write(one if batch != 1 else one.limit(0), batch)
+    r = live.running_scorecard(spark, out).collect()
+    assert [(x["tp"], x["fp"], x["tn"], x["fn"]) for x in r] == [(2, 2, 0, 0)]
