@@ -9,8 +9,11 @@ candidate, so a hash that agrees by chance is no hit.
 
 The (window, item) pairs are counted first.  Up to ``BLOCK_PAIRS`` of them are one broadcast and
 the scan is a map without a shuffle.  Beyond that they are dealt by hash into blocks of about
-that size; each block scans all documents, and the hits (not the texts) of the blocks meet in
-an aggregation by document.
+that size, taken one after another: a block is broadcast, scans all documents, its hits (not the
+texts) are written to the shared folder, and it is released before the next is built.  So the
+driver and every executor hold one block at any size of the benchmark; documents are read once
+a block, and the hits of all blocks meet in an aggregation by document.  A long item's words are cut
+into overlapping pieces of ``PIECE_WORDS`` windows before its windows are spelled out.
 
 Cases: null and empty texts have no words and no hits; items without words have no window; an
 item's windows that repeat count once, and an item_id that repeats is one item; a null item_id
@@ -31,6 +34,7 @@ from flowlens.llm.base import map_rows, settle, texts
 
 WINDOW = 10
 BLOCK_PAIRS = 1_000_000
+PIECE_WORDS = 4096
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 CASED_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -48,9 +52,11 @@ def windows(bench: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
     items = (bench.select(F.coalesce(bench[id_col].cast("string"), F.lit("")).alias("item"),
                           bench[text_col].cast("string").alias("text"))
              .select("item", all_words.alias("words")).where(F.size("words") > 0))
-    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - n, F.lit(0)))
-    one = F.transform(starts, lambda i: F.concat_ws(" ", F.slice(F.col("words"), i + 1, n)))
-    return items.select(F.explode(one).alias("win"), "item").distinct()
+    last = F.greatest(F.size("words") - n, F.lit(0))
+    cut = F.transform(F.sequence(F.lit(0), last, F.lit(PIECE_WORDS)), lambda i: F.slice(F.col("words"), i + 1, PIECE_WORDS + n - 1))
+    pieces = items.select("item", F.explode(cut).alias("words"))
+    one = F.transform(F.sequence(F.lit(0), last), lambda i: F.concat_ws(" ", F.slice(F.col("words"), i + 1, n)))
+    return pieces.select(F.explode(one).alias("win"), "item").distinct()
 
 
 class WindowSet:
@@ -116,14 +122,17 @@ class WindowSet:
         return list(zip(turn[::2].tolist(), turn[1::2].tolist())), sorted(items)
 
 
-def window_blocks(bench: DataFrame, id_col: str, text_col: str, n: int, block_pairs: int) -> list:
-    """Broadcast WindowSets, one for each block of about ``block_pairs`` (window, item) pairs."""
-    pairs = settle(windows(bench, id_col, text_col, n))
-    blocks = max(1, -(-pairs.count() // block_pairs))
-    dealt = pairs.withColumn("block", F.pmod(F.xxhash64("win", "item"), F.lit(blocks)))
-    sc = bench.sparkSession.sparkContext
-    return [sc.broadcast(WindowSet([tuple(r) for r in dealt.where(F.col("block") == b).select("win", "item").collect()]))
-            for b in range(blocks)]
+class WindowBlocks:
+    """The windows of a benchmark in ``count`` blocks of about ``block_pairs`` (window, item) pairs."""
+
+    def __init__(self, bench: DataFrame, id_col: str, text_col: str, n: int, block_pairs: int):
+        pairs = settle(windows(bench, id_col, text_col, n))
+        self.count = max(1, -(-pairs.count() // block_pairs))
+        self.dealt = pairs.withColumn("block", F.pmod(F.xxhash64("win", "item"), F.lit(self.count)))
+
+    def broadcast(self, b: int):
+        rows = self.dealt.where(F.col("block") == b).select("win", "item").collect()
+        return self.dealt.sparkSession.sparkContext.broadcast(WindowSet([tuple(r) for r in rows]))
 
 
 SPANS = "array<struct<start:int,end:int>>"
@@ -152,14 +161,17 @@ def _text_key() -> Column:
     return F.concat_ws(":", F.xxhash64("text").cast("string"), F.md5(F.coalesce(F.col("text"), F.lit(""))))
 
 
-def _block_hits(rows: DataFrame, blocks: list) -> DataFrame:
+def _block_hits(rows: DataFrame, blocks: WindowBlocks) -> DataFrame:
     """(key, doc_id, spans, items) of the documents that some block hits; equal texts of one
-    doc_id are one document here.  Hits move, texts don't."""
+    doc_id are one document here.  Hits move, texts don't.  A block's hits are written before the
+    next block is built, so one block at a time is held."""
     keyed = rows.select(F.struct("doc_id", _text_key().alias("key")).alias("doc_id"), "text")
-    parts = [_scan(keyed, b).where(F.size("spans") > 0).dropDuplicates(["doc_id"]) for b in blocks]
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p)
+    union = None
+    for b in range(blocks.count):
+        block = blocks.broadcast(b)
+        hits = settle(_scan(keyed, block).where(F.size("spans") > 0).dropDuplicates(["doc_id"]))
+        block.destroy()
+        union = hits if union is None else union.unionByName(hits)
     return union.groupBy("doc_id").agg(F.flatten(F.collect_list("spans")).alias("spans"),
                                        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
 
@@ -180,9 +192,9 @@ def scan(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: st
          item_text_col: str = "text", n: int = WINDOW, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
     """(doc_id, n_words, spans, items) of every row: hit word ranges and the items that occur."""
     rows = texts(docs, id_col, text_col)
-    blocks = window_blocks(bench, item_col, item_text_col, n, block_pairs)
-    if len(blocks) == 1:
-        return _scan(rows, blocks[0])
+    blocks = WindowBlocks(bench, item_col, item_text_col, n, block_pairs)
+    if blocks.count == 1:
+        return _scan(rows, blocks.broadcast(0))
     hits = _block_hits(rows, blocks).select(F.col("doc_id").alias("hit"), "spans", "items")
     counted = _scan(rows.select(F.struct("doc_id", _text_key().alias("key")).alias("doc_id"), "text"),
                     rows.sparkSession.sparkContext.broadcast(WindowSet([]))).select("doc_id", "n_words")
@@ -209,8 +221,8 @@ def decontaminate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
     with ``remove="spans"`` without those words.  A null text stays null."""
     if remove not in ("documents", "spans"):
         raise ValueError("remove is documents or spans")
-    blocks = window_blocks(bench, item_col, item_text_col, n, block_pairs)
-    if len(blocks) > 1:
+    blocks = WindowBlocks(bench, item_col, item_text_col, n, block_pairs)
+    if blocks.count > 1:
         rows = texts(docs, id_col, text_col)
         hits = _block_hits(rows, blocks).select(F.col("doc_id.doc_id").alias("_hit_id"), F.col("doc_id.key").alias("_hit_key"),
                                                 "spans")
@@ -223,7 +235,7 @@ def decontaminate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
                                                   for a, b in zip(t, s)]), "string")
         found = docs.join(hits, same, "left")
         return found.select(*[cut(docs[text_col], hits["spans"]).alias(c) if c == text_col else docs[c] for c in docs.columns])
-    block = blocks[0]
+    block = blocks.broadcast(0)
     if remove == "documents":
         clean = F.pandas_udf(lambda t: pd.Series([not x or not block.value.find(words(x))[0] for x in t], dtype=bool), "boolean")
         return docs.where(clean(docs[text_col]))

@@ -70,6 +70,38 @@ def test_removal(spark, rows, items, bench, block_pairs):
     assert texts == {100: None, 200: "Before. ; after", 202: "a , a ", 204: ""}
 
 
+@pytest.mark.parametrize("piece", [1, 7, 4096])
+def test_windows_of_long_items(spark, words, monkeypatch, piece):
+    monkeypatch.setattr(d, "PIECE_WORDS", piece)
+    texts = {"a": words[:200], "b": words[:10], "c": words[:9], "d": words[:11], "e": words[:17]}
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in texts.items()], "item_id string, text string")
+    got = {(r["win"], r["item"]) for r in d.windows(bench, "item_id", "text", 10).collect()}
+    assert got == {(" ".join(w[k:k + 10]).translate(TABLE), i) for i, w in texts.items() for k in range(max(len(w) - 9, 1))}
+
+
+def test_one_block_is_held_at_a_time(spark, rows, items, bench, monkeypatch):
+    held, most = set(), []
+    make = d.WindowBlocks.broadcast
+
+    def counted(self, b):
+        block = make(self, b)
+        held.add(b)
+        most.append(len(held))
+        destroy = block.destroy
+
+        def drop(*a, **k):
+            held.discard(b)
+            destroy(*a, **k)
+
+        block.destroy = drop
+        return block
+
+    monkeypatch.setattr(d.WindowBlocks, "broadcast", counted)
+    got = d.report(make_docs(spark, rows), bench, block_pairs=9)
+    assert len(most) > 2 and max(most) == 1 and not held
+    assert rows_of(got) == brute(rows, items)
+
+
 def test_empty_tables(spark, no_docs, bench):
     assert d.report(no_docs, bench).count() == 0
     docs = make_docs(spark, [(1, "some words"), (2, None)])
