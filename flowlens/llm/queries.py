@@ -17,7 +17,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.pages_read_back(read_table(spark, sf_dir, "pages"), scratch(spark, "warc"))
+    return warc.pages_read_back(read_table(spark, sf_dir, "pages"), scratch(spark, "warc"), keep=False)
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

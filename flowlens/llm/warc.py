@@ -2,9 +2,11 @@
 
 An archive starts with a skippable frame (magic 0x184D2A5D) whose content is the dictionary;
 then each WARC record is a Zstandard frame of its own, so a reader can start at any record.
-Each writer task trains the dictionary on the first records of its own archive, up to
-``SAMPLE_BYTES`` (the bound of the sample; it affects size alone), and holds no more than those
-in memory; records after them are compressed as they come.
+A writer task takes its records in the order of their payload digests, so the order does not
+depend on which block of a shuffle arrives first, and the first records are a random sample of
+the archive.  It trains the dictionary on those, up to ``SAMPLE_BYTES`` (the bound of the sample;
+it affects size alone), and holds no more than those in memory; records after them are
+compressed as they come.
 
 Equal payloads are stored once: the page with the smallest id is a ``response`` record and the
 others are ``revisit`` records that name it.  Digests are computed in the scan; the smallest id
@@ -37,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm.base import settle
+from flowlens.llm.base import discard, settle
 
 SKIPPABLE = 0x184D2A5D
 SAMPLE_BYTES = 4 << 20
@@ -196,6 +198,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     ready = rows.join(first, same, "left").select(
         F.col("page_id").cast("string").alias("page_id"), "url", "digest", "size",
         F.when(revisit, F.col("first_id")).cast("string").alias("first"), F.when(~revisit, F.col("payload")).alias("payload"))
+    ready = ready.sortWithinPartitions("digest", "page_id", "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def records():
@@ -254,14 +257,20 @@ def read_archives(spark: SparkSession, archives: DataFrame, payloads: bool = Tru
     return files.repartition(tasks, "archive").mapInArrow(run, RECORD)
 
 
-def pages_read_back(pages: DataFrame, path: str) -> DataFrame:
+def pages_read_back(pages: DataFrame, path: str, keep: bool = True) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) as the archives written
-    from ``pages`` hold them; a response whose payload does not match its digest is an error."""
+    from ``pages`` hold them; a response whose payload does not match its digest is an error.
+    With ``keep=False`` the rows (no payloads) are written and the archives removed."""
     spark = pages.sparkSession
     records = read_archives(spark, write_archives(pages, path), payloads=False)
     kind = pages.schema["page_id"].dataType
     checked = F.when(F.col("digest_ok").isNull() | F.col("digest_ok"), F.col("payload_digest")).otherwise(
         F.raise_error(F.concat(F.lit("payload differs from its digest in "), "record_id")))
-    return records.select(page_of(F.col("record_id")).cast(kind).alias("page_id"), "payload_bytes",
-                          checked.alias("payload_digest"), "record_type",
-                          page_of(F.col("refers_to")).cast(kind).alias("refers_to"))
+    found = records.select(page_of(F.col("record_id")).cast(kind).alias("page_id"), "payload_bytes",
+                           checked.alias("payload_digest"), "record_type",
+                           page_of(F.col("refers_to")).cast(kind).alias("refers_to"))
+    if keep:
+        return found
+    found = settle(found)
+    discard(spark, path)
+    return found

@@ -71,6 +71,22 @@ def test_archive_layout(spark, tmp_path):
     assert frames == len(many)
 
 
+def test_equal_pages_give_equal_archives(spark, tmp_path):
+    many = [(i, f"http://h/{i}", f"<p>{i % 90}</p>" * (1 + i % 40)) for i in range(500)] + [(7, "again", "x"), (None, None, "x")]
+    found = []
+    for k, rows in enumerate((many, many[::-1])):
+        m = warc.write_archives(pages(spark, rows).coalesce(1), f"{tmp_path}/{k}", sample_bytes=2000).collect()
+        found.append(sorted(open(x["archive"].removeprefix("file:"), "rb").read() for x in m))
+    assert found[0] == found[1] and found[0]
+
+
+def test_archives_are_removed_when_not_kept(spark, tmp_path):
+    path = tmp_path / "w"
+    got = warc.pages_read_back(pages(spark, ROWS), f"file:{path}", keep=False)
+    assert not path.exists()
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == expected(ROWS)
+
+
 def test_a_damaged_payload_is_noticed(spark, tmp_path):
     path = f"{tmp_path}/x{warc.SUFFIX}"
     bad = warc.build_record("1", "u", "A" * 32, 4, None, b"text", "1970-01-01T00:00:00Z")
