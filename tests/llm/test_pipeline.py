@@ -63,7 +63,7 @@ def test_lengths_follow_masked_texts(spark):
 
 def test_registration():
     names = [k for k in entry.queries() if k.startswith("op") and k[2].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries() and "pipeline" not in entry.oracle_sql()
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "decontamination", "secrets", "encoding"]
     assert zlib.crc32(b"1") >= 0
