@@ -11,6 +11,8 @@ All but the last return the columns of ``docs``; rows and texts change as follow
 5. encoding: (doc_id, n_tokens, ids, decoded_sha256) of each row.  Ids that do not decode to the
    row's text are an error.
 
+A stage's copy of the corpus is removed once the next stage's is written; the last one stays.
+
 Null texts count as empty and stay null until the last stage, where they have no ids; rows that
 repeat id and text are one document to stage 2; an empty table passes through all stages.
 """
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.llm import bpe, decontamination, secret_scan, simhash, toxicity
-from flowlens.llm.base import read_table, scratch
+from flowlens.llm.base import discard, read_table, scratch
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,9 +60,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    folder = scratch(spark, "pipeline")
+    folder, before = scratch(spark, "pipeline"), None
     for k, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{k}_{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            discard(spark, before)
+        before = path
     return docs
