@@ -120,14 +120,12 @@ def scorecard(scored: DataFrame, groups: list[str], y: str = "y", score: str = "
     """A10: confusion counts and the 8 metrics per group in one table.
 
     With ``threshold`` the decision is ``score >= threshold`` and everything comes from the
-    per-score counts (one scan of the scored rows); otherwise ``pred`` is taken as given
-    (e.g. after warm-up fill and whitelist overrides) and counted in a second aggregate."""
+    per-score counts; otherwise ``pred`` is taken as given (e.g. after warm-up fill and whitelist
+    overrides) and everything comes from the tally.  Either way the rows are scored once."""
+    if threshold is None:
+        return scorecard_of_tally(materialize(tally(scored, groups, y, score, pred)), groups)
     per = score_counts(scored, groups, y, score)
-    if threshold is not None:
-        cm = confusion_at(per, groups, threshold, score)
-    else:
-        cm = confusion(scored, groups, y, pred)
-    cm = error_rates(basic_rates(cm))
+    cm = error_rates(basic_rates(confusion_at(per, groups, threshold, score)))
     areas = curve_areas(curve_points(scored, groups, y, score, per=per), groups)
     return join_null_safe(cm, areas, groups) if groups else attach_row(cm, areas)
 
@@ -148,7 +146,7 @@ def scorecard_of_tally(t: DataFrame, groups: list[str]) -> DataFrame:
     yy, pp = F.col("y"), F.col("pred")
 
     def total(hit: Column) -> Column:
-        return F.sum(F.when(hit, F.col("n")).otherwise(F.lit(0)))
+        return F.coalesce(F.sum(F.when(hit, F.col("n")).otherwise(F.lit(0))), F.lit(0))
 
     cm = t.groupBy(*groups).agg(total(yy & pp).alias("tp"), total(~yy & pp).alias("fp"),
                                 total(~yy & ~pp).alias("tn"), total(yy & ~pp).alias("fn"))

@@ -33,7 +33,7 @@ from flowlens.operators.labels import label_by_source
 from flowlens.operators.metrics import metric_delta, scorecard, scorecard_pivot, select_model
 from flowlens.operators.profile import class_weight, with_class_weight
 from flowlens.operators.sequences import sequence_windows
-from flowlens.plans.materialize import materialize
+from flowlens.plans.materialize import even_parts, materialize
 from flowlens.plans.ordering import hash_order
 from flowlens.schema import DEFAULT_WHITELIST, SEQ_LEN
 
@@ -155,9 +155,10 @@ def fit_timed(name: str, estimator, df: DataFrame) -> Trained:
 
 def training_inputs(name: str, fm: FeatureModel, train: DataFrame, pos_weight: float, order: list[str], key: str) -> DataFrame:
     """Inputs of a candidate's fit, written once: vectors, labels and A3 weights (trees only).  Fits
-    read them many times."""
+    read them many times, in stages too short for many small tasks: partitions are put together."""
+    n = even_parts(train.sparkSession, train.count())
     rows = with_class_weight(model_inputs(name, fm, train, order, [key]), pos_weight)
-    return materialize(rows.select("features", "label", "w"))
+    return materialize(rows.select("features", "label", "w").coalesce(n))
 
 
 def train_candidates(fm: FeatureModel, train: DataFrame, pos_weight: float, order: list[str],
@@ -234,13 +235,13 @@ def ablation_report(fm_fit, train: DataFrame, test: DataFrame, shuffled: tuple[D
     experiment, deltas against the baseline (A15).
 
     Experiments share what they have in common: preprocessing and training inputs by split, models
-    by split and capacity.  Preprocessing is refitted on the shuffled split, whose windows are cut
+    by split and capacity, test inputs by split and what is zeroed.  Preprocessing is refitted on the shuffled split, whose windows are cut
     over the seeded shuffled order, not over time."""
     t = threshold_of(family, "test", t)
     data = {False: (train, test, order)}
     if any(e.shuffled for e in experiments):
         data[True] = (*(d.withColumn("_shuffled", hash_order(F.col(key), seed)) for d in shuffled), ["_shuffled", key])
-    fms, fitted, parts = {}, {}, []
+    fms, fitted, tested, parts = {}, {}, {}, []
     for e in experiments:
         own_train, own_test, by = data[e.shuffled]
         if e.shuffled not in fms:
@@ -250,8 +251,10 @@ def ablation_report(fm_fit, train: DataFrame, test: DataFrame, shuffled: tuple[D
         fm, inputs = fms[e.shuffled]
         if (e.shuffled, e.small) not in fitted:
             fitted[e.shuffled, e.small] = fit_timed(e.name, estimator(family, fm, e.small), inputs).model
-        rows = model_inputs(family, fm, own_test, by, [key], zero_numeric=e.zero_numeric, zero_categorical=e.zero_categorical)
-        parts.append(score(fitted[e.shuffled, e.small], rows, e.name, "test", key, t=t))
+        inputs = e.shuffled, e.zero_numeric, e.zero_categorical
+        if inputs not in tested:
+            tested[inputs] = model_inputs(family, fm, own_test, by, [key], zero_numeric=e.zero_numeric, zero_categorical=e.zero_categorical)
+        parts.append(score(fitted[e.shuffled, e.small], tested[inputs], e.name, "test", key, t=t))
     card = scorecard(functools.reduce(DataFrame.unionByName, parts), ["model"])
     return metric_delta(card, "model", experiments[0].name).withColumnRenamed("model", "experiment")
 

@@ -13,14 +13,19 @@ from flowlens.operators import models as md
 from flowlens.operators import profile as pf
 from flowlens.operators import sampling as sm
 from flowlens.plans.conformance.labels import CHRONO_SQL, CLEAN_SQL, chrono, clean
-from flowlens.plans.materialize import materialize
+from flowlens.plans.materialize import materialize, spread
+from flowlens.schema import FEATURES
 
 ORDER = ["ts", "uid"]
 KEY = "uid"
 
 
+#: What the models read of a connection.
+COLUMNS = list(dict.fromkeys([*ORDER, KEY, *FEATURES, "y", "is_benign", "split"]))
+
+
 def _splits(spark, sf):
-    c = materialize(chrono(spark, sf))
+    c = materialize(spread(chrono(spark, sf).select(*COLUMNS)))
     return {s: c.where(F.col("split") == s) for s in ("train", "cal", "test")}
 
 
@@ -79,7 +84,7 @@ def q_score_keys(spark, sf):
 
 def _ablation(spark, sf, family):
     sp = _splits(spark, sf)
-    sh = materialize(sm.shuffled_split(clean(spark, sf)))
+    sh = materialize(spread(sm.shuffled_split(clean(spark, sf)).select(*COLUMNS)))
     return md.ablation_report(ft.fit_features, sp["train"], sp["test"],
                               (sh.where(F.col("split") == "train"), sh.where(F.col("split") == "test")),
                               ORDER, KEY, family=family)
