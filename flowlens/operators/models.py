@@ -24,6 +24,7 @@ from typing import NamedTuple
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ from flowlens.operators.features import FeatureModel
 from flowlens.operators.labels import label_by_source
 from flowlens.operators.metrics import metric_delta, scorecard, scorecard_pivot, select_model
 from flowlens.operators.profile import class_weight, with_class_weight
-from flowlens.operators.sequences import sequence_windows
+from flowlens.operators.sequences import flat_windows, sequence_windows
 from flowlens.plans.materialize import even_parts, materialize
 from flowlens.plans.ordering import hash_order
 from flowlens.schema import DEFAULT_WHITELIST, SEQ_LEN
@@ -43,6 +44,8 @@ ROW_MODELS = ("gbt", "rf")
 #: Decision thresholds: the sequence model has its own, trees the library's default; live
 #: traffic has a lower one.
 SEQUENCE_T, TREE_T, LIVE_T = 0.90, 0.50, 0.05
+#: Entries of a window up to which its vector is dense (a batch of 10,000 windows: 80 MB).
+DENSE_WIDTH = 1024
 
 
 def threshold_of(name: str, dataset: str, thresholds: dict | float | None = None) -> float:
@@ -88,10 +91,16 @@ def prepare_sequences(fm: FeatureModel, df: DataFrame, order: list[str], keep: l
                       partition_by: list[str] | None = None, y: str = "y",
                       length: int = SEQ_LEN, **zero) -> DataFrame:
     """W1 + W3 over prepared rows: one flattened window vector per full window, label of the
-    last row."""
-    w = sequence_windows(fm.prepare(df, **zero), order, fm.row_values, length=length, pad=False,
-                         partition_by=partition_by, keep=list(dict.fromkeys(keep + [y])))
-    return fm.window_vectors(w, length).withColumn("label", F.col(y).cast("double")).drop("seq", "members")
+    last row.  Up to ``DENSE_WIDTH`` entries the vectors are dense and made where the windows are, as
+    the network takes them; wider ones are sparse."""
+    rows, keep = fm.prepare(df, **zero), list(dict.fromkeys(keep + [y]))
+    if length * fm.width <= DENSE_WIDTH:
+        w = flat_windows(rows, order, fm.row_values, fm.row_encoder(), length, partition_by, keep)
+        w = w.withColumns({"n_real": F.lit(length).cast("bigint"), "features": array_to_vector("window")}).drop("window")
+    else:
+        w = sequence_windows(rows, order, fm.row_values, length=length, pad=False, partition_by=partition_by, keep=keep)
+        w = fm.window_vectors(w, length).drop("seq", "members")
+    return w.withColumn("label", F.col(y).cast("double"))
 
 
 def score(model: PipelineModel, df: DataFrame, name: str, dataset: str, key: str,

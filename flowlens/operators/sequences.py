@@ -9,7 +9,8 @@ held L times.  The work of a task follows its rows alone, whatever the skew, and
 equals the plain global window exactly.  ``partition_by`` gives per-key windows (no mixing of
 hosts); keys are the leading part of the order, so a key of any size spans partitions.
 
-``sequence_windows`` returns windows as rows; ``score_sequences`` scores them where they are.
+``sequence_windows`` returns windows as rows, ``flat_windows`` as arrays that a model takes;
+``score_sequences`` scores them where they are.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from flowlens.plans.ordering import carried, fixed_order, partition_edges, run_s
 from flowlens.schema import SEQ_LEN
 
 Fix = Callable[[DataFrame], DataFrame]
+Encode = Callable[[np.ndarray], np.ndarray]
 
 
 @dataclass
@@ -102,9 +104,11 @@ def _matrix(rows: pa.Table, values: list[str], length: int, start: int) -> np.nd
     return np.vstack([np.zeros((short, x.shape[1])), x]) if short > 0 else x[start - (length - 1):]
 
 
-def _tensor(rows: pa.Table, values: list[str], length: int, at: np.ndarray, start: int, pad: bool) -> tuple[np.ndarray, np.ndarray]:
+def _tensor(rows: pa.Table, values: list[str], length: int, at: np.ndarray, start: int, pad: bool,
+            encode: Encode | None = None) -> tuple[np.ndarray, np.ndarray]:
     """[n, L, d] windows of the rows that have one, and those rows; members that do not exist are 0."""
     x = _matrix(rows, values, length, start)
+    x = encode(x) if encode else x
     view = np.lib.stride_tricks.sliding_window_view(x, length, axis=0).transpose(0, 2, 1)
     if not pad:
         chosen = np.flatnonzero(at >= length - 1)
@@ -167,6 +171,28 @@ def sequence_windows(df: DataFrame, order: list[str], values: list[str],
     return _Slide.over(df, parts, list(order), length, fix).run(emit, schema)
 
 
+def flat_windows(df: DataFrame, order: list[str], values: list[str], encode: Encode, length: int = SEQ_LEN,
+                 partition_by: list[str] | None = None, keep: list[str] | None = None, out: str = "window",
+                 fix: Fix = materialize) -> DataFrame:
+    """W1 + W3 for models: each full window as one ARRAY<DOUBLE> ``out`` of its rows, one after
+    another, with the ``keep`` columns of its last row and ``seq_pos``.  ``encode`` turns the rows'
+    values ([n, d]) into a model's inputs ([n, e]) before they are windowed, once for each row."""
+    parts, keep = list(partition_by or []), list(keep or [])
+    df = _prepared(df, parts, keep, [], list(order), list(values), False)
+    kept = list(dict.fromkeys([*parts, *keep]))
+    schema = T.StructType([*(df.schema[c] for c in kept), T.StructField("seq_pos", T.LongType()), T.StructField(out, T.ArrayType(T.DoubleType()))])
+
+    def emit(rows: pa.Table, at: np.ndarray, start: int) -> pa.RecordBatch:
+        tensor, chosen = _tensor(rows, values, length, at, start, False, encode)
+        n, d = len(chosen), length * tensor.shape[2]
+        own = rows.slice(start).take(pa.array(chosen)).combine_chunks()
+        head = [own[c].combine_chunks() if n else pa.array([], own.schema.field(c).type) for c in kept]
+        windows = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * d), pa.array(tensor.reshape(-1)))
+        return pa.RecordBatch.from_arrays([*head, pa.array(at[chosen], pa.int64()), windows], names=schema.names)
+
+    return _Slide.over(df, parts, list(order), length, fix).run(emit, schema)
+
+
 def score_sequences(df: DataFrame, order: list[str], values: list[str], model_fn: Callable[[np.ndarray], np.ndarray],
                     length: int = SEQ_LEN, pad: bool = False, partition_by: list[str] | None = None,
                     keep: list[str] | None = None, out: str = "score", checkpoint: bool = False, fix: Fix = materialize) -> DataFrame:

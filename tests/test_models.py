@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from flowlens.operators import features as ft
 from flowlens.operators import models as md
+from flowlens.plans.materialize import materialize, spread
 
 
 def _data(spark, n=240):
@@ -52,3 +53,35 @@ def test_sequence_candidate_shapes(spark):
     m = md.fit_timed("mlp", md.mlp(5 * fm.width, hidden=3, max_iter=5), seqs).model
     s = md.score(m, seqs, "mlp", "A", "uid")
     assert s.where(F.col("score").between(0, 1)).count() == 56
+
+
+def test_dense_and_sparse_windows_hold_the_same_vectors(spark, monkeypatch):
+    df = _data(spark, 60).withColumn("proto", F.when(F.col("ts") < 50, F.col("proto")).otherwise("gre"))
+    fm = ft.fit_features(df.where("ts < 50"), numeric=["duration", "orig_pkts"], categorical=["proto"])
+
+    def vectors(by, **zero):
+        rows = md.prepare_sequences(fm, df, ["ts", "uid"], keep=["uid"], partition_by=by, **zero).collect()
+        return {r["uid"]: (r["features"].toArray().tolist(), r["label"], r["seq_pos"], r["n_real"]) for r in rows}
+
+    def both(*by, **zero):
+        with monkeypatch.context() as patch:
+            dense = vectors(list(by), **zero)
+            patch.setattr(md, "DENSE_WIDTH", 0)
+            return dense, vectors(list(by), **zero)
+
+    for by, zero in (((), {}), (("proto",), {}), ((), {"zero_categorical": True, "zero_numeric": True})):
+        dense, sparse = both(*by, **zero)
+        assert dense == sparse and dense
+
+
+def test_fit_inputs_are_even_and_as_many_as_the_cores(spark):
+    df = _data(spark, 240).coalesce(1)
+    cores = spark.sparkContext.defaultParallelism
+    even = materialize(spread(df))
+    train = even.where("ts < 160")
+    fm = ft.fit_features(train, numeric=["duration", "orig_pkts"], categorical=["proto"])
+    for name in ("gbt", "mlp_seq"):
+        inputs = md.training_inputs(name, fm, train, 2.0, ["ts", "uid"], "uid")
+        sizes = [r["n"] for r in inputs.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+        assert inputs.rdd.getNumPartitions() <= cores and len(sizes) > 1 and max(sizes) < 0.75 * sum(sizes)
+        assert sum(sizes) == (160 if name == "gbt" else 156)
