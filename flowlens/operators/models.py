@@ -46,6 +46,8 @@ ROW_MODELS = ("gbt", "rf")
 SEQUENCE_T, TREE_T, LIVE_T = 0.90, 0.50, 0.05
 #: Entries of a window up to which its vector is dense (a batch of 10,000 windows: 80 MB).
 DENSE_WIDTH = 1024
+#: Windows that the network's fit puts into one matrix product: speed only.
+BLOCK = 1000
 
 
 def threshold_of(name: str, dataset: str, thresholds: dict | float | None = None) -> float:
@@ -79,7 +81,7 @@ def rf(weight_col: str | None = "w", trees: int = 100, depth: int = 6, seed: int
 def mlp(width: int, hidden: int = 32, seed: int = 42, max_iter: int = 100):
     """K3 (K8 with ``hidden=1``)."""
     return MultilayerPerceptronClassifier(featuresCol="features", labelCol="label",
-                                          layers=[width, hidden, 2], seed=seed, maxIter=max_iter)
+                                          layers=[width, hidden, 2], seed=seed, maxIter=max_iter, blockSize=BLOCK)
 
 
 def prepare_rows(fm: FeatureModel, df: DataFrame, y: str = "y", **zero) -> DataFrame:
