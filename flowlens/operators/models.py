@@ -46,7 +46,7 @@ ROW_MODELS = ("gbt", "rf")
 SEQUENCE_T, TREE_T, LIVE_T = 0.90, 0.50, 0.05
 #: Entries of a window up to which its vector is dense (a batch of 10,000 windows: 80 MB).
 DENSE_WIDTH = 1024
-#: Windows that the network's fit puts into one matrix product: speed only.
+#: Windows that the network's fit puts into one matrix product: speed, and the order of its sums.
 BLOCK = 1000
 
 
