@@ -6,7 +6,8 @@ candidates are Spark ML estimators trained on executors:
   * ``rf``      - ``RandomForestClassifier`` (100 trees, depth 6, same weight): a second,
                   distinct tree family;
   * ``mlp_seq`` - ``MultilayerPerceptronClassifier`` over flattened 5-row windows
-                  ([5*d, 32, 2]; unweighted, like the reference's sequence model).
+                  ([5*d, 32, 2]; unweighted, like the reference's sequence model), fitted in
+                  blocks (``operators.network``).
 Scoring is ``PipelineModel.transform`` + the positive-class probability; every candidate's
 scores on every dataset are unioned and summarised by ONE grouped scorecard job.
 
@@ -22,8 +23,7 @@ from dataclasses import dataclass
 from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassifier,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +32,7 @@ from flowlens.operators.decisions import decide, positive_score, whitelist_overr
 from flowlens.operators.features import FeatureModel
 from flowlens.operators.labels import label_by_source
 from flowlens.operators.metrics import metric_delta, scorecard, scorecard_pivot, select_model
+from flowlens.operators.network import DENSE_WIDTH, SequencePerceptron
 from flowlens.operators.profile import class_weight, with_class_weight
 from flowlens.operators.sequences import flat_windows, sequence_windows
 from flowlens.plans.materialize import even_parts, materialize
@@ -44,8 +45,6 @@ ROW_MODELS = ("gbt", "rf")
 #: Decision thresholds: the sequence model has its own, trees the library's default; live
 #: traffic has a lower one.
 SEQUENCE_T, TREE_T, LIVE_T = 0.90, 0.50, 0.05
-#: Entries of a window up to which its vector is dense (a batch of 10,000 windows: 80 MB).
-DENSE_WIDTH = 1024
 #: Windows that the network's fit puts into one matrix product: speed, and the order of its sums.
 BLOCK = 1000
 
@@ -80,8 +79,9 @@ def rf(weight_col: str | None = "w", trees: int = 100, depth: int = 6, seed: int
 
 def mlp(width: int, hidden: int = 32, seed: int = 42, max_iter: int = 100):
     """K3 (K8 with ``hidden=1``)."""
-    return MultilayerPerceptronClassifier(featuresCol="features", labelCol="label",
-                                          layers=[width, hidden, 2], seed=seed, maxIter=max_iter, blockSize=BLOCK)
+    out = SequencePerceptron(featuresCol="features", labelCol="label", layers=[width, hidden, 2], seed=seed, maxIter=max_iter, blockSize=BLOCK)
+    out.length = SEQ_LEN if width % SEQ_LEN == 0 else 1
+    return out
 
 
 def prepare_rows(fm: FeatureModel, df: DataFrame, y: str = "y", **zero) -> DataFrame:
@@ -165,11 +165,12 @@ def fit_timed(name: str, estimator, df: DataFrame) -> Trained:
 
 
 def training_inputs(name: str, fm: FeatureModel, train: DataFrame, pos_weight: float, order: list[str], key: str) -> DataFrame:
-    """Inputs of a candidate's fit, written once: vectors, labels and A3 weights (trees only).  Fits
-    read them many times, in stages too short for many small tasks: partitions are put together."""
+    """Inputs of a candidate's fit: vectors, labels and A3 weights (trees only).  Fits read them many
+    times, in stages too short for many small tasks: partitions are put together.  They are written
+    once, except for windows that the network packs, whose rows are written already."""
     n = even_parts(train.sparkSession, train.count())
     rows = with_class_weight(model_inputs(name, fm, train, order, [key]), pos_weight)
-    return materialize(rows.select("features", "label", "w").coalesce(n))
+    return materialize(rows.select("features", "label", "w").coalesce(n), name in ROW_MODELS or SEQ_LEN * fm.width > DENSE_WIDTH)
 
 
 def train_candidates(fm: FeatureModel, train: DataFrame, pos_weight: float, order: list[str],

@@ -1,9 +1,12 @@
 import random
 
+import numpy as np
+from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.sql import functions as F
 
 from flowlens.operators import features as ft
 from flowlens.operators import models as md
+from flowlens.operators import network
 from flowlens.plans.materialize import materialize, spread
 
 
@@ -85,3 +88,63 @@ def test_fit_inputs_are_even_and_as_many_as_the_cores(spark):
         sizes = [r["n"] for r in inputs.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
         assert inputs.rdd.getNumPartitions() <= cores and len(sizes) > 1 and max(sizes) < 0.75 * sum(sizes)
         assert sum(sizes) == (160 if name == "gbt" else 156)
+
+
+def _network(spark, n=300, parts=1, **params):
+    df = _data(spark, n).withColumn("service", F.when(F.col("ts") % 3 == 0, "dns"))
+    fm = ft.fit_features(df, numeric=["duration", "orig_pkts"], categorical=["proto", "service"])
+    seqs = materialize(md.prepare_sequences(fm, df, ["ts", "uid"], keep=["uid"]).select("features", "label").coalesce(parts))
+    return seqs, md.mlp(5 * fm.width, **params)
+
+
+def test_network_fit_in_blocks_takes_the_steps_of_spark_ml(spark):
+    seqs, own = _network(spark, hidden=4, max_iter=12)
+    theirs = MultilayerPerceptronClassifier(featuresCol="features", labelCol="label", layers=own.getLayers(), seed=42, maxIter=12, blockSize=1000)
+    a, b = own.fit(seqs), theirs.fit(seqs)
+    first = theirs.copy({theirs.maxIter: 0}).fit(seqs).weights.toArray()
+    assert type(a) is type(b) and (a.getMaxIter(), a.getSeed()) == (12, 42)
+    assert np.abs(a.weights.toArray() - b.weights.toArray()).max() < 1e-6 < np.abs(a.weights.toArray() - first).max()
+
+
+def test_network_fit_holds_a_row_of_overlapping_windows_once(spark):
+    seqs, own = _network(spark)
+    blocks = own._blocks(seqs).collect()
+    row = 8 * own.getLayers()[0] // 5
+    assert sum(r["n"] for r in blocks) == 296
+    assert sum(len(r["rows"]) for r in blocks) == (296 + 4 * len(blocks)) * row
+
+
+def test_packed_windows_come_back_whole_whatever_their_order():
+    rng = np.random.default_rng(3)
+    x = np.lib.stride_tricks.sliding_window_view(rng.normal(size=(40, 3)), 5, axis=0).transpose(0, 2, 1).reshape(-1, 15)
+    for own in (x, x[rng.permutation(len(x))], np.repeat(x, 2, axis=0), np.vstack([x[:7], x[20:]]), x[:1], np.zeros((9, 15))):
+        rows, starts = network.packed(own, 5)
+        assert np.array_equal(network.unpacked(rows, starts, 5), own)
+    assert len(network.packed(x, 5)[0]) == 40 and len(network.packed(x, 1)[0]) == len(x)
+
+
+def test_network_fit_does_not_depend_on_partitions_or_pieces(spark):
+    seqs, own = _network(spark, hidden=3, max_iter=8)
+    one = own.fit(seqs).weights.toArray()
+    many = own.copy({own.blockSize: 7}).fit(seqs.repartition(5)).weights.toArray()
+    assert np.abs(one - many).max() < 1e-6
+
+
+def test_network_fitted_in_blocks_is_saved_and_scored(spark, tmp_path):
+    seqs, own = _network(spark, hidden=3, max_iter=3)
+    m = md.fit_timed("mlp", own, seqs).model
+    md.save_model(m, str(tmp_path / "network"))
+    again = md.load_model(str(tmp_path / "network"))
+    assert m.transform(seqs).select("probability").collect() == again.transform(seqs).select("probability").collect()
+
+
+def test_windows_of_the_network_are_not_written_before_its_fit(spark, monkeypatch):
+    df = _data(spark, 60)
+    fm = ft.fit_features(df, numeric=["duration"], categorical=["proto"])
+    written = []
+    monkeypatch.setattr(md, "materialize", lambda rows, enabled=True: (written.append(enabled), materialize(rows, enabled))[1])
+    assert md.training_inputs("mlp_seq", fm, df, 1.0, ["ts", "uid"], "uid").count() == 56
+    md.training_inputs("rf", fm, df, 1.0, ["ts", "uid"], "uid")
+    monkeypatch.setattr(md, "DENSE_WIDTH", 0)
+    md.training_inputs("mlp_seq", fm, df, 1.0, ["ts", "uid"], "uid")
+    assert written == [False, True, True]
