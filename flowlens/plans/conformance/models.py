@@ -71,7 +71,7 @@ def q_candidate_scorecards(spark, sf):
 
 def q_candidate_support(spark, sf):
     """K1-K4, K6: rows of either class that each candidate scored, by dataset."""
-    scored, _ = _candidates(spark, sf, ("rf", "mlp_seq"))
+    scored, _ = _candidates(spark, sf, tuple(md.CANDIDATE_ORDER))
     card = md.candidate_scorecards(scored)
     return card.select("model", "dataset", (F.col("tp") + F.col("fn")).alias("attacks"), (F.col("fp") + F.col("tn")).alias("benign"))
 
@@ -133,10 +133,15 @@ QUERIES = {
 
 # ---- oracle SQL ------------------------------------------------------------------------------
 
-#: (model, dataset, uid, y) of the rows that a row model and a window model (not the first four) score
-_SCORED = f"""SELECT m.model, s.dataset, s.uid, s.y FROM (SELECT *, CASE split WHEN 'test' THEN 'A' ELSE 'B' END AS dataset,
+
+def _scored_sql(*models: tuple[str, int]) -> str:
+    """(model, dataset, uid, y) of the rows that ``models`` score, each given with the place of its first
+    row: a row model scores all, a window model not the first four."""
+    return f"""SELECT m.model, s.dataset, s.uid, s.y FROM (SELECT *, CASE split WHEN 'test' THEN 'A' ELSE 'B' END AS dataset,
     row_number() OVER (PARTITION BY split ORDER BY ts, uid) AS place FROM ({CHRONO_SQL}) c WHERE split IN ('test', 'cal')) s
-  JOIN (VALUES ('rf', 1), ('mlp_seq', {md.SEQ_LEN})) m(model, first) ON s.place >= m.first"""
+  JOIN (VALUES {", ".join(f"('{name}', {first})" for name, first in models)}) m(model, first) ON s.place >= m.first"""
+
+
 #: (experiment, family, y) of the rows behind each experiment
 _TESTED = f"""SELECT e.experiment, f.family, s.y FROM (SELECT 'time' AS split_by, y, row_number() OVER (ORDER BY ts, uid) AS place
     FROM ({CHRONO_SQL}) c WHERE split = 'test'
@@ -149,8 +154,8 @@ _TESTED = f"""SELECT e.experiment, f.family, s.y FROM (SELECT 'time' AS split_by
 
 ORACLE = {
     "candidate_support": f"""SELECT model, dataset, count(*) FILTER (WHERE y = 1) AS attacks, count(*) FILTER (WHERE y = 0) AS benign
-  FROM ({_SCORED}) s GROUP BY model, dataset""",
-    "score_keys": f"SELECT model, dataset, uid AS key, y, true AS in_range FROM ({_SCORED}) s",
+  FROM ({_scored_sql(("gbt", 1), ("rf", 1), ("mlp_seq", md.SEQ_LEN))}) s GROUP BY model, dataset""",
+    "score_keys": f"SELECT model, dataset, uid AS key, y, true AS in_range FROM ({_scored_sql(('rf', 1), ('mlp_seq', md.SEQ_LEN))}) s",
     "ablation_support": f"""SELECT family, experiment, count(*) FILTER (WHERE y = 1) AS attacks, count(*) FILTER (WHERE y = 0) AS benign
   FROM ({_TESTED}) t GROUP BY family, experiment""",
 }

@@ -1,5 +1,6 @@
 import random
 
+import duckdb
 import numpy as np
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.sql import functions as F
@@ -7,6 +8,8 @@ from pyspark.sql import functions as F
 from flowlens.operators import features as ft
 from flowlens.operators import models as md
 from flowlens.operators import network
+from flowlens.plans.conformance import models as queries
+from flowlens.plans.conformance.labels import chrono
 from flowlens.plans.materialize import materialize, spread
 
 
@@ -148,3 +151,19 @@ def test_windows_of_the_network_are_not_written_before_its_fit(spark, monkeypatc
     monkeypatch.setattr(md, "DENSE_WIDTH", 0)
     md.training_inputs("mlp_seq", fm, df, 1.0, ["ts", "uid"], "uid")
     assert written == [False, True, True]
+
+
+def test_support_has_every_candidate(spark, monkeypatch):
+    sf, real = "/root/testdata/sf0.001", md.estimator
+    fitted, rows = [], {}
+    monkeypatch.setattr(md, "estimator", lambda name, fm, small=False: (fitted.append(name), real(name, fm, True))[1])
+    for r in chrono(spark, sf).orderBy("ts", "uid").select("split", "y").collect():
+        rows.setdefault(r["split"], []).append(r["y"])
+    want = {(m, d): (sum(y), len(y) - sum(y)) for m in ("gbt", "rf", "mlp_seq") for d, y in (
+        (d, rows[s][4 if m == "mlp_seq" else 0:]) for d, s in (("A", "test"), ("B", "cal")))}
+    got = queries.q_candidate_support(spark, sf).collect()
+    assert {(r["model"], r["dataset"]): (r["attacks"], r["benign"]) for r in got} == want and len(got) == 6
+    assert fitted == ["gbt", "rf", "mlp_seq"]
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{sf}/events.parquet')")
+    assert {(m, d): (a, b) for m, d, a, b in con.execute(queries.ORACLE["candidate_support"]).fetchall()} == want
